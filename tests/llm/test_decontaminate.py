@@ -20,7 +20,7 @@ def brute(text, items, window=13):
             for j in range(len(w) - len(part) + 1):
                 if w[j : j + len(part)] == part:
                     hit |= set(range(j, j + len(part)))
-                    found.add(str(item_id))
+                    found |= {str(item_id)} if item_id is not None else set()
     return len(w), len(hit), sorted(found)
 
 
