@@ -7,10 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframe.llm import decontaminate
+from motionframe.llm import decontaminate, quality_lines, secrets, slots
 from motionframe.session import ship, table
 
 
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_lines.measure_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "n_lost_words")
+
+
+def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = slots.place(table(spark, sf_dir, "documents"), 40)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+
+
+def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.judged(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != "opaque")
+    said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(said(base), 256).alias("base_sha256"),
+        said(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return seen.select(
@@ -24,6 +48,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_line_quality": op7_line_quality,
+    "op8_virtual_slots": op8_virtual_slots,
+    "op9_secret_ownership": op9_secret_ownership,
     "op10_decontaminate": op10_decontaminate,
 }
 
