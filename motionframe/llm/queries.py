@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframe.llm import decontaminate, quality_lines, secrets, slots
+from motionframe.llm import decontaminate, minhash, quality_lines, secrets, slots
 from motionframe.session import ship, table
 
 
+def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicate_rows(table(spark, sf_dir, "documents"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_lines.measure_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "n_lost_words")
@@ -48,6 +52,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_circulant_minhash": op3_circulant_minhash,
     "op7_line_quality": op7_line_quality,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_secret_ownership": op9_secret_ownership,
