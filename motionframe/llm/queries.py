@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframe.llm import decontaminate, minhash, quality_lines, secrets, slots
-from motionframe.session import ship, table
+from motionframe.llm import decontaminate, minhash, prefix_bpe, quality_lines, repair_files, secrets, slots
+from motionframe.session import shared_folder, ship, table
+
+
+def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = repair_files.write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), shared_folder(spark))
+    return repair_files.read_documents(spark, path)
 
 
 def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicate_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_lines.measure_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "n_lost_words")
@@ -52,7 +62,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repair_ids": op2_repair_ids,
     "op3_circulant_minhash": op3_circulant_minhash,
+    "op6_prefix_bpe": op6_prefix_bpe,
     "op7_line_quality": op7_line_quality,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_secret_ownership": op9_secret_ownership,
