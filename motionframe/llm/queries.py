@@ -8,8 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframe.llm import decontaminate, minhash, prefix_bpe, quality_lines, repair_files, secrets, slots
-from motionframe.session import shared_folder, ship, table
+from motionframe.llm import chat, decontaminate, hyperlang, merkle, minhash, prefix_bpe, quality_lines, repair_files, secrets, slots
+from motionframe.session import shared_folder, ship, table, written
+
+
+def op1_hyperlang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", hyperlang.held_out().alias("held_out"))
+    known = hyperlang.prototypes(docs.where(~F.col("held_out") & F.col("lang").isNotNull()))
+    return hyperlang.identify(docs, known, ["doc_id", "held_out"])
 
 
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +27,30 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicate_rows(table(spark, sf_dir, "documents"))
 
 
+def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a copy of the archives in which some records have a byte changed and some archives lost their end."""
+    records = merkle.archived(table(spark, sf_dir, "pages"))
+    n = records.select(F.max("archive")).first()[0]
+    original = written(merkle.leaves(records), "original")
+    at = original.select("archive", "record_id", "ordinal", "start", "end")
+    ends = at.groupBy("archive").agg(F.max("ordinal").alias("last"))
+    found = records.join(at, ["archive", "record_id"]).join(ends, "archive")
+    kept = (F.col("archive") % 29 != 3) | (F.col("ordinal") + 5 <= F.col("last"))
+    middle = (F.octet_length("bytes") / 2).cast("int")
+    hit = F.crc32(F.col("record_id").cast("string").cast("binary")) % 97 == 0
+    damaged = F.when(hit, F.overlay("bytes", F.unhex(F.lit("00")), middle)).otherwise(F.col("bytes"))
+    copy = found.where(kept).select("archive", "start", damaged.alias("bytes"))
+    n_archives = (n or 0) + 1
+    return merkle.audit(merkle.tree(original, n_archives), merkle.tree(merkle.copied(original, copy), n_archives))
+
+
+def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(written(chat.format_conversations(rows.unionByName(extra)), "chat"))
+
+
 def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -62,8 +92,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hyperlang": op1_hyperlang,
     "op2_repair_ids": op2_repair_ids,
     "op3_circulant_minhash": op3_circulant_minhash,
+    "op4_merkle_audit": op4_merkle_audit,
+    "op5_chat_round_trip": op5_chat_round_trip,
     "op6_prefix_bpe": op6_prefix_bpe,
     "op7_line_quality": op7_line_quality,
     "op8_virtual_slots": op8_virtual_slots,
