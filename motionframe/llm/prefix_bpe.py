@@ -142,16 +142,19 @@ def decode(encoded: DataFrame, path: str, keep: list[str] = ["doc_id"], ids_col:
     return map_rows(encoded, keep, [ids_col], [("text", pa.string())], lambda bpe, ids: ([bpe.decode(i).decode() for i in ids],), lambda: loaded(path))
 
 
-def _round_trip(bpe: PrefixBPE, texts):
-    n, ids_sha, text_sha = [], [], []
-    for t in texts:
-        ids = bpe.encode(t or "")
-        n.append(len(ids) // 4)
-        ids_sha.append(hashlib.sha256(ids).hexdigest())
-        text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-    return n, ids_sha, text_sha
+def _digests(bpe: PrefixBPE, ids):
+    n = [len(i) // 4 for i in ids]
+    return n, [hashlib.sha256(i).hexdigest() for i in ids], [hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids]
+
+
+FIELDS = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+
+
+def checked(encoded: DataFrame, path: str, keep: list[str] = ["doc_id"], ids_col: str = "ids") -> DataFrame:
+    """The columns `keep`, n_tokens, and digests of the ids and of the text decoded from them."""
+    return map_rows(encoded, keep, [ids_col], FIELDS, _digests, lambda: loaded(path))
 
 
 def round_trip(docs: DataFrame, path: str, keep: list[str] = ["doc_id"], text_col: str = "text") -> DataFrame:
-    """The columns `keep`, n_tokens and digests of the ids and of the text decoded from them, in one pass."""
-    return map_rows(docs, keep, [text_col], [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())], _round_trip, lambda: loaded(path))
+    """The same of texts that are encoded first, in one pass."""
+    return map_rows(docs, keep, [text_col], FIELDS, lambda bpe, texts: _digests(bpe, [bpe.encode(t or "") for t in texts]), lambda: loaded(path))
