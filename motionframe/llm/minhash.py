@@ -6,14 +6,15 @@ numbers places each shingle, the place is shifted circularly by k steps, and a s
 is the least rank. 24 bands of 4 coordinates are keys; a pair with similarity 0.85 misses all of them with probability
 2e-8. All that follows works on distinct texts, so exact copies cost one row.
 
-1. Stars: in each band's bucket every member is compared with the bucket's least member. The pairs are distinct ones,
-   their number is at most that of the rows in buckets, and texts meet in joins on one key, which Spark splits where a
-   key is hot. Links are confirmed on full sets.
-2. Components of those links, by alternating stars.
-3. Rest: buckets whose members are in more than one component still have pairs that were not compared. Large buckets are
-   dealt into blocks, each pair of blocks is a group of bounded size, and its pairs of different components that share
-   at least two bands (a similar pair does with probability 1 - 6e-7) and whose sizes allow the similarity are compared.
-   Pairs inside a component are never made. Components again.
+1. Stars: in each band's bucket every member is paired with the bucket's least member; there are at most as many
+   distinct pairs as rows in buckets.
+2. Sketches: a pair goes on if the low bytes of at least 60 of the 96 coordinates agree; a pair with similarity 0.85
+   fails with probability 3e-8.
+3. Links are confirmed on full sets. The texts of bucket mates are fetched and written once; they meet in joins on one
+   key, which Spark splits where a key is hot. Components of the links, by alternating stars.
+4. Rest: buckets whose members are in more than one component still have pairs that were not compared. Large buckets are
+   dealt into blocks, each pair of blocks is a group of bounded size, and its pairs of different components that pass
+   the sketches are confirmed. Pairs inside a component are never made. Components again.
 
 Nulls: a null text has no words. Null ids take part; a component's id is its least id that is not null, or null. Rows
 that share an id share its fate; `kept` is true where the id is the component's. Empty tables give no rows. Extra
@@ -23,7 +24,6 @@ columns are not read, or carried through by `near_dedup`.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ PERCENT = 85
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 BLOCK = 256
+AGREE = 60
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -78,12 +79,18 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def _sign(texts):
-    sizes, bands = [], []
+    sizes, bands, sketches = [], [], []
     for text in texts:
         s = shingles(text)
         sizes.append(len(s))
-        bands.append(band_keys(signature(np.fromiter(map(xxhash.xxh3_64_intdigest, s), dtype=np.uint64, count=len(s)))) if s else [])
-    return sizes, bands
+        if s:
+            least = signature(np.fromiter(map(xxhash.xxh3_64_intdigest, s), dtype=np.uint64, count=len(s)))
+            bands.append(band_keys(least))
+            sketches.append(least.astype(np.uint8).tobytes())
+        else:
+            bands.append([])
+            sketches.append(None)
+    return sizes, bands, sketches
 
 
 def text_id(text: Column) -> Column:
@@ -107,12 +114,9 @@ def _confirm(a, b):
     return (out,)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose texts are linked. reps: (cid, rep), one row of docs for each text."""
-    needed = pairs.select(F.col("u").alias("cid")).union(pairs.select(F.col("v").alias("cid"))).distinct().join(reps, "cid")
-    texts = docs.select(text_id(F.col(text_col)).alias("cid"), _filled(id_col).alias("rep"), F.col(text_col).alias("text"))
-    texts = written(texts.join(needed, ["cid", "rep"]).dropDuplicates(["cid"]).select("cid", "text"), "texts")
-    both = pairs.join(texts.select(F.col("cid").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("cid").alias("v"), F.col("text").alias("b")), "v")
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose texts (n, text) are linked."""
+    both = pairs.join(texts.select(F.col("n").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("n").alias("v"), F.col("text").alias("b")), "v")
     return map_rows(both, ["u", "v"], ["a", "b"], [("linked", pa.bool_())], _confirm).where("linked").select("u", "v")
 
 
@@ -120,53 +124,68 @@ def _filled(id_col: str) -> Column:
     return F.coalesce(F.col(id_col), F.lit(-(2**63)))
 
 
+def _alike(a, b, sizes_a, sizes_b):
+    out = []
+    for x, y, m, n in zip(a, b, sizes_a, sizes_b):
+        out.append(100 * min(m, n) >= PERCENT * max(m, n) and int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum()) >= AGREE)
+    return (out,)
+
+
 def _cross(table: pa.Table) -> pa.Table:
-    """In a group of two blocks: pairs of different components that share two bands at least and may be similar."""
-    cid, comp, size, side, same, bands = (table.column(c).to_pylist() for c in ("cid", "component", "n_shingles", "side", "same", "bands"))
-    where: dict[int, list[int]] = {}
-    for i, keys in enumerate(bands):
-        for k in keys:
-            where.setdefault(k, []).append(i)
-    shared: Counter[tuple[int, int]] = Counter()
-    for members in where.values():
-        for x, i in enumerate(members):
-            for j in members[x + 1 :]:
-                if comp[i] != comp[j] and (same[i] or side[i] != side[j]) and 100 * min(size[i], size[j]) >= PERCENT * max(size[i], size[j]):
-                    shared[i, j] += 1
-    found = [(max(cid[i], cid[j]), min(cid[i], cid[j])) for (i, j), n in shared.items() if n >= 2]
-    return pa.table({"u": pa.array([x for x, _ in found], pa.binary()), "v": pa.array([y for _, y in found], pa.binary())})
+    """In a group of two blocks: pairs of different components that the sketches let pass."""
+    n, comp, size, side = (table.column(c).to_numpy() for c in ("n", "component", "n_shingles", "side"))
+    same = bool(table.column("same")[0].as_py())
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(n), -1)
+    us, vs = [], []
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, len(n))
+        ok = (comp[j] != comp[i]) & (same | (side[j] != side[i]))
+        ok &= 100 * np.minimum(size[j], size[i]) >= PERCENT * np.maximum(size[j], size[i])
+        j = j[ok]
+        j = j[(sketch[j] == sketch[i]).sum(axis=1) >= AGREE]
+        us.append(np.maximum(n[j], n[i]))
+        vs.append(np.minimum(n[j], n[i]))
+    none = np.zeros(0, np.int64)
+    return pa.table({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])})
 
 
 def rest_pairs(posted: DataFrame, labels: DataFrame, stars: DataFrame) -> DataFrame:
-    """Pairs of bucket mates in different components that the stars did not compare. posted: (key, cid, n_shingles, bands)."""
-    rows = posted.join(labels, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 and lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
+    """Pairs of bucket mates in different components that the stars did not compare. posted: (key, n, n_shingles, sketch)."""
+    rows = posted.join(labels, "n", "left").withColumn("component", F.coalesce("component", "n"))
+    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("key", "cid", "component", "n_shingles", "bands", "block", other.alias("other"))
+    rows = rows.select("key", "n", "component", "n_shingles", "sketch", "block", other.alias("other"))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    rows = rows.select("cid", "component", "n_shingles", "bands", F.col("block").alias("side"), (F.col("block") == F.col("other")).alias("same"), F.struct("key", lo.alias("lo"), hi.alias("hi")).alias("group"))
-    pairs = rows.groupBy("group").applyInArrow(_cross, "u binary, v binary").distinct()
+    rows = rows.select("n", "component", "n_shingles", "sketch", F.col("block").alias("side"), (F.col("block") == F.col("other")).alias("same"), F.struct("key", lo.alias("lo"), hi.alias("hi")).alias("group"))
+    pairs = rows.groupBy("group").applyInArrow(_cross, "u bigint, v bigint").distinct()
     return pairs.join(stars, ["u", "v"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(id, cid, n_shingles of each row, where cid stands for its text; component_id of each cid that has words)."""
     packed = docs.select(F.col(id_col).alias("id"), text_id(F.col(text_col)).alias("cid"), F.col(text_col).alias("text"))
-    signed = written(map_rows(packed, ["id", "cid"], ["text"], [("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))], _sign), "signed")
+    fields = [("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
+    signed = written(map_rows(packed, ["id", "cid"], ["text"], fields, _sign), "signed")
     sets = signed.where("n_shingles > 0").groupBy("cid")
-    classes = written(sets.agg(F.min(_filled("id")).alias("rep"), F.min("id").alias("least_id"), F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands")), "classes")
-    reps = classes.select("cid", "rep")
-    posted = classes.select("cid", "n_shingles", "bands", F.explode("bands").alias("key"))
-    keys = posted.select("cid", "key")
-    pivots = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("v")).where("n > 1").select("key", "v")
-    stars = written(keys.join(pivots, "key").where(F.col("cid") != F.col("v")).select(F.col("cid").alias("u"), "v").distinct(), "stars")
-    links = written(confirmed(stars, docs, reps, id_col, text_col), "links")
-    labels = components(links).withColumnRenamed("node", "cid")
-    rest = written(rest_pairs(posted, labels, stars), "rest")
+    classes = sets.agg(F.min(_filled("id")).alias("rep"), F.min("id").alias("least_id"), F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
+    classes = written(classes.withColumn("n", F.monotonically_increasing_id()), "classes")  # n: a short name for a text
+    sketches = classes.select("n", "n_shingles", "sketch")
+    keys = classes.select("n", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("v")).where("size > 1").select("key", "v")
+    posted = written(keys.join(shared, "key"), "posted")  # buckets of two and more
+    stars = written(posted.where(F.col("n") != F.col("v")).select(F.col("n").alias("u"), "v").distinct(), "stars")
+    mates = posted.select("n").distinct().join(classes.select("n", "cid", "rep"), "n")
+    texts = docs.select(text_id(F.col(text_col)).alias("cid"), _filled(id_col).alias("rep"), F.col(text_col).alias("text"))
+    texts = written(texts.join(mates, ["cid", "rep"]).select("n", "text").dropDuplicates(["n"]), "texts")
+    side = lambda k: sketches.select(F.col("n").alias(k), F.col("sketch").alias(f"sketch_{k}"), F.col("n_shingles").alias(f"size_{k}"))
+    alike = map_rows(stars.join(side("u"), "u").join(side("v"), "v"), ["u", "v"], ["sketch_u", "sketch_v", "size_u", "size_v"], [("alike", pa.bool_())], _alike).where("alike").select("u", "v")
+    links = written(confirmed(alike, texts), "links")
+    labels = components(links).withColumnRenamed("node", "n")
+    rest = written(rest_pairs(posted.select("key", "n").join(sketches, "n"), labels, stars), "rest")
     if not rest.isEmpty():
-        labels = components(links.union(confirmed(rest, docs, reps, id_col, text_col))).withColumnRenamed("node", "cid")
-    named = classes.join(labels, "cid", "left").select("cid", "least_id", F.coalesce("component", "cid").alias("component"))
+        labels = components(links.union(confirmed(rest, texts))).withColumnRenamed("node", "n")
+    named = classes.select("n", "cid", "least_id").join(labels, "n", "left").select("cid", "least_id", F.coalesce("component", "n").alias("component"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     return signed.select("id", "cid", "n_shingles"), named.join(least, "component").select("cid", "component_id")
 

@@ -36,12 +36,14 @@ def brute(docs):
     return [(d, len(s[i]), min((x for x in ids[find(i)] if x is not None), default=None) if s[i] else d) for i, (d, _) in enumerate(docs)]
 
 
-def check(spark, docs):
+def check(spark, docs, dedup=False):
     d = spark.createDataFrame([(a, b, "x", 1) for a, b in docs], "doc_id long, text string, cid string, kept int")
     rows = M.near_duplicate_rows(d).collect()
     key = lambda x: tuple((v is None, v or 0) for v in x)
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=key) == sorted(brute(docs), key=key)
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+    if not dedup:
+        return
     out = M.near_dedup(d)
     assert out.schema == d.schema and out.count() == sum(r.kept for r in rows)
 
@@ -51,12 +53,12 @@ def make(seed=3):
     say = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
     docs = [(None, None), (0, ""), (1, " \n"), (2, "one two"), (3, "One TWO"), (4, "two one"), (None, "one\ttwo"), (5, "É a"), (6, "é a"), (None, "all null"), (None, "all  null")]
     base = say(200)
-    for i in range(60):  # a chain: each differs from the one before
+    for i in range(40):  # a chain: each differs from the one before
         base = list(base)
         base[rng.randrange(200)] = f"x{i}"
         docs.append((100 + i, " ".join(base)))
     core = say(300)
-    for i in range(320):  # a large group around the threshold
+    for i in range(150):  # a large group around the threshold
         t = list(core)
         for _ in range(rng.randrange(0, 9)):
             t[rng.randrange(300)] = f"y{rng.randrange(10**6)}"
@@ -70,7 +72,7 @@ def make(seed=3):
 
 
 def test_brute_force(spark):
-    check(spark, make())
+    check(spark, make(), dedup=True)
 
 
 def test_empty(spark):
@@ -80,7 +82,7 @@ def test_empty(spark):
 
 def test_blocks_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(M, "BLOCK", 8)
-    check(spark, make(4)[:300])
+    check(spark, make(4)[:200])
 
 
 def test_signature_estimates_similarity():
