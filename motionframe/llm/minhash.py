@@ -13,8 +13,10 @@ is the least rank. 24 bands of 4 coordinates are keys; a pair with similarity 0.
 3. Links are confirmed on full sets. The texts of bucket mates are fetched and written once; they meet in joins on one
    key, which Spark splits where a key is hot. Components of the links, by alternating stars.
 4. Rest: buckets whose members are in more than one component still have pairs that were not compared. Large buckets are
-   dealt into blocks, each pair of blocks is a group of bounded size, and its pairs of different components that pass
-   the sketches are confirmed. Pairs inside a component are never made. Components again.
+   dealt into blocks, and each pair of blocks is a group of bounded size with its texts. Of its pairs of different
+   components that pass the sketches, the most alike come first; a pair that the ones before have joined is skipped, the
+   others are confirmed, and the links that join are the result: fewer than the group has rows. A pair is looked at in
+   the first band that it shares. Components again.
 
 Nulls: a null text has no words. Null ids take part; a component's id is its least id that is not null, or null. Rows
 that share an id share its fate; `kept` is true where the id is the component's. Empty tables give no rows. Extra
@@ -132,34 +134,54 @@ def _alike(a, b, sizes_a, sizes_b):
 
 
 def _cross(table: pa.Table) -> pa.Table:
-    """In a group of two blocks: pairs of different components that the sketches let pass."""
-    n, comp, size, side = (table.column(c).to_numpy() for c in ("n", "component", "n_shingles", "side"))
+    """In a group of two blocks: links that join different components."""
+    n, comp, size, side, band = (table.column(c).to_numpy() for c in ("n", "component", "n_shingles", "side", "band"))
     same = bool(table.column("same")[0].as_py())
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(n), -1)
-    us, vs = [], []
+    bands = np.array(table.column("bands").to_pylist(), np.int64)[:, : int(band[0])]
+    texts = table.column("text").to_pylist()
+    found = []
     for i in range(len(n) - 1):
         j = np.arange(i + 1, len(n))
         ok = (comp[j] != comp[i]) & (same | (side[j] != side[i]))
         ok &= 100 * np.minimum(size[j], size[i]) >= PERCENT * np.maximum(size[j], size[i])
         j = j[ok]
-        j = j[(sketch[j] == sketch[i]).sum(axis=1) >= AGREE]
-        us.append(np.maximum(n[j], n[i]))
-        vs.append(np.minimum(n[j], n[i]))
-    none = np.zeros(0, np.int64)
-    return pa.table({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])})
-
-
-def rest_pairs(posted: DataFrame, labels: DataFrame, stars: DataFrame) -> DataFrame:
-    """Pairs of bucket mates in different components that the stars did not compare. posted: (key, n, n_shingles, sketch)."""
+        j = j[~(bands[j] == bands[i]).any(axis=1)]
+        agree = (sketch[j] == sketch[i]).sum(axis=1)
+        found.append(np.stack([agree, np.full(len(j), i), j], axis=1)[agree >= AGREE])
+    pairs = np.concatenate([np.zeros((0, 3), np.int64), *found])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    sets: dict[int, set] = {}
+    links = []
+    for _, i, j in pairs[np.argsort(-pairs[:, 0], kind="stable")].tolist():
+        x, y = find(int(comp[i])), find(int(comp[j]))
+        if x == y:
+            continue
+        for k in (i, j):
+            if k not in sets:
+                sets[k] = shingles(texts[k])
+        inter = len(sets[i] & sets[j])
+        if 100 * inter >= PERCENT * (len(sets[i]) + len(sets[j]) - inter):
+            root[x] = y
+            links.append((max(n[i], n[j]), min(n[i], n[j])))
+    return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+
+def rest_links(posted: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of bucket mates in different components. posted: (band, key, n)."""
     rows = posted.join(labels, "n", "left").withColumn("component", F.coalesce("component", "n"))
     open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(open_, "key").withColumn("block", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("key", "n", "component", "n_shingles", "sketch", "block", other.alias("other"))
-    lo, hi = F.least("block", "other"), F.greatest("block", "other")
-    rows = rows.select("n", "component", "n_shingles", "sketch", F.col("block").alias("side"), (F.col("block") == F.col("other")).alias("same"), F.struct("key", lo.alias("lo"), hi.alias("hi")).alias("group"))
-    pairs = rows.groupBy("group").applyInArrow(_cross, "u bigint, v bigint").distinct()
-    return pairs.join(stars, ["u", "v"], "left_anti")
+    rows = rows.join(open_, "key").join(classes.select("n", "n_shingles", "sketch", "bands"), "n").join(texts, "n")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.struct("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    rows = rows.select("n", "component", "n_shingles", "sketch", "bands", "text", "band", F.col("block").alias("side"), (F.col("block") == F.col("other")).alias("same"), group.alias("group"))
+    return rows.groupBy("group").applyInArrow(_cross, "u bigint, v bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -171,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = sets.agg(F.min(_filled("id")).alias("rep"), F.min("id").alias("least_id"), F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
     classes = written(classes.withColumn("n", F.monotonically_increasing_id()), "classes")  # n: a short name for a text
     sketches = classes.select("n", "n_shingles", "sketch")
-    keys = classes.select("n", F.explode("bands").alias("key"))
+    keys = classes.select("n", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("v")).where("size > 1").select("key", "v")
     posted = written(keys.join(shared, "key"), "posted")  # buckets of two and more
     stars = written(posted.where(F.col("n") != F.col("v")).select(F.col("n").alias("u"), "v").distinct(), "stars")
@@ -182,9 +204,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = map_rows(stars.join(side("u"), "u").join(side("v"), "v"), ["u", "v"], ["sketch_u", "sketch_v", "size_u", "size_v"], [("alike", pa.bool_())], _alike).where("alike").select("u", "v")
     links = written(confirmed(alike, texts), "links")
     labels = components(links).withColumnRenamed("node", "n")
-    rest = written(rest_pairs(posted.select("key", "n").join(sketches, "n"), labels, stars), "rest")
+    rest = written(rest_links(posted.select("band", "key", "n"), classes, labels, texts), "rest")
     if not rest.isEmpty():
-        labels = components(links.union(confirmed(rest, texts))).withColumnRenamed("node", "n")
+        labels = components(links.union(rest)).withColumnRenamed("node", "n")
     named = classes.select("n", "cid", "least_id").join(labels, "n", "left").select("cid", "least_id", F.coalesce("component", "n").alias("component"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     return signed.select("id", "cid", "n_shingles"), named.join(least, "component").select("cid", "component_id")
