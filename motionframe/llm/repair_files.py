@@ -21,8 +21,8 @@ document, or any range of ids in it, is decoded by itself (`document_ids`). Spar
 that is run again leaves nothing twice.
 
 Ids are those of the tokenizers library for the whole text. Texts in Latin-1 without special tokens are cut at ASCII
-white space and each distinct chunk is encoded once in a while, since neither normalisation nor merging crosses such
-white space; all other texts are encoded whole.
+white space, and each distinct chunk is cut into the pattern's pieces and encoded once in a while, since neither
+normalisation nor merging crosses such white space; all other texts are encoded whole.
 
 Nulls: a null text is empty, a null id comes first. Rows that share an id stand next to each other, by text. An empty
 table gives an empty file table. Extra columns are not read.
@@ -33,14 +33,17 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motionframe.llm.common import ddl
+from motionframe.llm.prefix_bpe import SPACE, byte_chars
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -48,6 +51,8 @@ END = 2
 SHARD_IDS = 1 << 20
 ROUNDS, RULES, LEAST = 8, 512, 8
 CACHE = 400_000
+# Fixed value: the vocabulary's pattern.
+_PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+").findall
 FILE_FIELDS = [
     ("part", pa.int32()),
     ("shard", pa.int32()),
@@ -64,7 +69,10 @@ FILE_FIELDS = [
 
 
 class Encoder(dict):
-    """Texts to ids with the tokenizers library; as a dict, chunks that it has encoded lately."""
+    """Texts to ids with the tokenizers library; as a dict, chunks that it has encoded lately.
+
+    Its model, a BPE over the characters that stand for bytes, encodes the pieces that its pattern cuts a chunk into.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,9 +81,20 @@ class Encoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
+        self.chars = {b: c for c, b in byte_chars().items()}
+
+    def _piece(self, piece: str) -> bytes:
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        seen = piece if piece.isascii() and piece.isprintable() else "".join([self.chars[b] for b in piece.encode()])
+        ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+        return ids
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self[chunk] = np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        known = self.pieces.get
+        ids = self[chunk] = b"".join([known(p) or self._piece(p) for p in _PIECES(chunk.decode())])
         return ids
 
     def __call__(self, text: str) -> bytes:
@@ -83,7 +102,7 @@ class Encoder(dict):
             self.clear()
         if (text.isascii() or max(text) <= "\xff") and not any(s in text for s in self.special):
             return b"".join([self[c] for c in text.lower().encode().split()])
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 _loaded: dict[str, Encoder] = {}
@@ -106,25 +125,33 @@ def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = R
         if len(s) < 2:
             break
         pairs = (s[:-1] << np.uint64(32)) | s[1:]
-        # Buckets of pairs are counted first, and only pairs in full buckets are sorted.
+        # Pairs are counted by hash; the first pair in each of the fullest buckets is taken, others in it wait a round.
         bucket = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int32)
-        full = np.bincount(bucket, minlength=1 << 20)[bucket] >= least
-        full &= ~last[:-1]
-        found, counts = np.unique(pairs[full], return_counts=True)
-        top = np.argsort(-counts, kind="stable")[:per_round]
+        within = ~last[:-1]
+        counts = np.bincount(bucket[within], minlength=1 << 20)
+        top = np.sort(np.argpartition(counts, -per_round)[-per_round:])
         top = top[counts[top] >= least]
-        if not len(top):
+        number = np.full(1 << 20, -1, np.int32)
+        number[top] = np.arange(len(top))
+        rule = number[bucket]
+        rule[~within] = -1
+        at = np.flatnonzero(rule >= 0)
+        rule = rule[at]
+        chosen = np.zeros(len(top), np.uint64)
+        chosen[rule[::-1]] = pairs[at[::-1]]
+        hit = pairs[at] == chosen[rule]
+        at, rule = at[hit], rule[hit]
+        frequent = np.bincount(rule, minlength=len(top)) >= least
+        at, rule = at[frequent[rule]], (np.cumsum(frequent) - 1)[rule[frequent[rule]]]
+        chosen = chosen[frequent]
+        if not len(chosen):
             break
-        chosen = np.sort(found[top])
-        order = np.searchsorted(chosen, pairs)
-        order[order == len(chosen)] = 0
-        hit = full & (chosen[order] == pairs)
         # In a run of overlapping occurrences every second one counts, from the left.
-        at = np.flatnonzero(hit)
         starts = np.r_[True, np.diff(at) > 1]
         run = at[starts][np.cumsum(starts) - 1]
-        at = at[(at - run) % 2 == 0]
-        s[at] = np.uint64(first_rule + made) + order[at].astype(np.uint64)
+        every = (at - run) % 2 == 0
+        at, rule = at[every], rule[every]
+        s[at] = np.uint64(first_rule + made) + rule.astype(np.uint64)
         last[at] |= last[at + 1]
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
