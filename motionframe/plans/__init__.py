@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
+from motionframe.plans import catalogue, frames
+from motionframe.plans.registry import Query
+
+_PARTS = [catalogue.R, frames.R]
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return queries()["segment_scores"](spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {k: q for r in _PARTS for k, q in r.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: q for r in _PARTS for k, q in r.sql.items()}
