@@ -50,6 +50,16 @@ def distance(a: Column, b: Column) -> Column:
     return norm(sub(a, b))
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def unit(v: Column) -> Column:
+    """v by its length; null where that is 0."""
+    return let(F.struct(v.alias("v"), norm(v).alias("n")), lambda s: each(lambda c: F.try_divide(c, s["n"]), s["v"]))
+
+
 def zero() -> Column:
     return vec(F.lit(0.0), F.lit(0.0), F.lit(0.0))
 
@@ -113,14 +123,14 @@ def quat_of_matrix(rows: Column) -> Column:
 
 def look_rotation(direction: Column) -> Column:
     """The quaternion whose x axis is the direction, upright where it can be; the identity for a zero direction."""
-    n = norm(direction)
-    x = each(lambda c: F.try_divide(c, n), direction)
-    up = F.when(F.abs(x["y"]) > 0.99, vec(F.lit(0.0), F.lit(0.0), F.lit(1.0))).otherwise(vec(F.lit(0.0), F.lit(1.0), F.lit(0.0)))
-    raw = cross(x, up)
-    z = each(lambda c: F.try_divide(c, norm(raw)), raw)
-    y = cross(z, x)
-    rows = F.array(vec(x["x"], y["x"], z["x"]), vec(x["y"], y["y"], z["y"]), vec(x["z"], y["z"], z["z"]))
-    return F.when(n < 1e-6, F.array(*map(F.lit, (1.0, 0.0, 0.0, 0.0)))).otherwise(quat_of_matrix(rows))
+    up = lambda x: F.when(F.abs(x["y"]) > 0.99, vec(F.lit(0.0), F.lit(0.0), F.lit(1.0))).otherwise(vec(F.lit(0.0), F.lit(1.0), F.lit(0.0)))
+
+    def turned(x: Column) -> Column:
+        xz = let(unit(cross(x, up(x))), lambda z: F.struct(z.alias("z"), cross(z, x).alias("y")))
+        rows = lambda q: F.array(*(vec(x[k], q["y"][k], q["z"][k]) for k in "xyz"))
+        return let(xz, lambda q: let(rows(q), quat_of_matrix))
+
+    return F.when(norm(direction) < 1e-6, F.array(*map(F.lit, (1.0, 0.0, 0.0, 0.0)))).otherwise(let(unit(direction), turned))
 
 
 def euler_matrix(yaw: Column, pitch: Column, roll: Column) -> Column:

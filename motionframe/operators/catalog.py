@@ -218,7 +218,7 @@ def period_cost(costs: DataFrame, start: Column, end: Column, provider: str | No
 
 
 def batch_stats(results: DataFrame) -> DataFrame:
-    return results.agg(S.ratio(F.count_if("success"), F.count(F.lit(1))).alias("success_rate"), F.coalesce(F.avg(F.when(F.col("success"), F.col("seconds"))), F.lit(0.0)).alias("avg_seconds"), F.coalesce(F.avg(F.when(F.col("success"), F.col("frames"))), F.lit(0.0)).alias("frames_per_video"))
+    return results.agg(S.ratio(F.count_if(F.col("success")), F.count(F.lit(1))).alias("success_rate"), F.coalesce(F.avg(F.when(F.col("success"), F.col("seconds"))), F.lit(0.0)).alias("avg_seconds"), F.coalesce(F.avg(F.when(F.col("success"), F.col("frames"))), F.lit(0.0)).alias("frames_per_video"))
 
 
 def keyword_rates(searches: DataFrame) -> DataFrame:

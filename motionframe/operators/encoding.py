@@ -139,7 +139,7 @@ def validated(pairs: DataFrame, by: str = "episode_id", ts: str = "ts") -> DataF
     top = lambda c: F.max(F.array_max(F.transform(c, F.abs)))
     rows = pairs.withColumn("__dt", F.lead(ts).over(w) - F.col(ts))
     agg = rows.groupBy(by).agg(F.count("state").alias("n_states"), F.count("action").alias("n_actions"), F.stddev_pop("__dt").alias("dt_std"), F.avg("__dt").alias("dt_mean"), F.max(bad(F.col("state")) | bad(F.col("action"))).alias("has_nan"), top("state").alias("state_max"), top("action").alias("action_max"))
-    issues = F.array_compact(F.array(F.when(F.col("n_actions") != F.col("n_states") - 1, "length"), F.when(F.col("dt_std") > F.col("dt_mean") * 0.1, "uneven"), F.when("has_nan", "nan"), F.when(F.col("state_max") > 100, "state_range"), F.when(F.col("action_max") > 10, "action_range")))
+    issues = F.array_compact(F.array(F.when(F.col("n_actions") != F.col("n_states") - 1, "length"), F.when(F.col("dt_std") > F.col("dt_mean") * 0.1, "uneven"), F.when(F.col("has_nan"), "nan"), F.when(F.col("state_max") > 100, "state_range"), F.when(F.col("action_max") > 10, "action_range")))
     return agg.withColumn("issues", issues).withColumn("ok", F.size("issues") == 0)
 
 
@@ -151,4 +151,4 @@ def episode_stats(frames: DataFrame, array: str = "state", by: str = "episode_id
 def dataset_stats(frames: DataFrame, by: str = "episode_id") -> DataFrame:
     """Sizes and means over episodes (A15): state width, frames, confidence, hands, ready for training."""
     per = frames.groupBy(by).agg(F.count(F.lit(1)).alias("frames"), F.max(F.size("state")).alias("dim"), F.avg("confidence").alias("conf"), F.max(F.col("gripper") != 0.5).alias("hands"), F.min(F.array_min("state")).alias("lo"), F.max(F.array_max("state")).alias("hi"))
-    return per.agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.max("dim").alias("state_dim"), F.avg("lo").alias("mean_min"), F.avg("hi").alias("mean_max"), F.count_if("hands").alias("with_hands"), F.count_if((F.col("conf") > 0.1) & (F.col("frames") >= 5)).alias("ready"), F.avg("conf").alias("mean_confidence"))
+    return per.agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.max("dim").alias("state_dim"), F.avg("lo").alias("mean_min"), F.avg("hi").alias("mean_max"), F.count_if(F.col("hands")).alias("with_hands"), F.count_if((F.col("conf") > 0.1) & (F.col("frames") >= 5)).alias("ready"), F.avg("conf").alias("mean_confidence"))

@@ -53,18 +53,23 @@ def frame_valid(conf: Column, least: float) -> Column:
 
 def body_frame(pose: Column, scale: str = "shoulder") -> Column:
     """struct(origin, rows, scale, ok): origin in the middle of the hips, x along the shoulders, z = x × up, y = z × x."""
-    ls, rs, lh, rh = (at(pose, j) for j in (*SHOULDERS, *HIPS))
-    origin, chest = V.mid(lh, rh), V.mid(ls, rs)
-    across, up = V.sub(rs, ls), V.sub(chest, origin)
-    width, height = V.norm(across), V.norm(up)
-    unit = lambda v, n: V.each(lambda c: F.try_divide(c, n), v)
-    x = unit(across, width)
-    raw = V.cross(x, unit(up, height))
-    z = unit(raw, V.norm(raw))
-    y = V.cross(z, x)
-    size = {"shoulder": width, "hip": V.distance(lh, rh), "torso": height, "none": F.lit(1.0)}[scale]
-    ok = F.coalesce((width > 1e-6) & (height > 1e-6) & (V.norm(raw) > 1e-6), F.lit(False))
-    return F.struct(origin.alias("origin"), F.array(x, y, z).alias("rows"), size.alias("scale"), ok.alias("ok"))
+    joints = F.struct(*(at(pose, j).alias(k) for k, j in zip(("ls", "rs", "lh", "rh"), (*SHOULDERS, *HIPS))))
+
+    def base(p: Column) -> Column:
+        origin, across = V.mid(p["lh"], p["rh"]), V.sub(p["rs"], p["ls"])
+        return F.struct(origin.alias("origin"), across.alias("across"), V.sub(V.mid(p["ls"], p["rs"]), origin).alias("up"), V.distance(p["lh"], p["rh"]).alias("hips"))
+
+    def axes(b: Column) -> Column:
+        x = V.unit(b["across"])
+        return F.struct(b["origin"].alias("origin"), b["hips"].alias("hips"), V.norm(b["across"]).alias("width"), V.norm(b["up"]).alias("height"), x.alias("x"), V.cross(x, V.unit(b["up"])).alias("raw"))
+
+    def frame(c: Column) -> Column:
+        size = {"shoulder": c["width"], "hip": c["hips"], "torso": c["height"], "none": F.lit(1.0)}[scale]
+        ok = F.coalesce((c["width"] > 1e-6) & (c["height"] > 1e-6) & (V.norm(c["raw"]) > 1e-6), F.lit(False))
+        rows = V.let(V.unit(c["raw"]), lambda z: F.array(c["x"], V.cross(z, c["x"]), z))
+        return F.struct(c["origin"].alias("origin"), rows.alias("rows"), size.alias("scale"), ok.alias("ok"))
+
+    return V.let(V.let(V.let(joints, base), axes), frame)
 
 
 def apply_frame(pose: Column, frame: Column, rotate: bool = True, scale: bool = True) -> Column:
@@ -81,15 +86,15 @@ def aligned(frames: DataFrame, pose: str = "pose", conf: str = "conf", least: fl
     w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     own = body_frame(F.col(pose), scale)
     out = frames.withColumn("__own", own).withColumn("valid", frame_valid(F.col(conf), least) & F.col("__own.ok"))
-    out = out.withColumn("__use", F.last(F.when("valid", F.col("__own")), ignorenulls=True).over(w))
-    return out.withColumn(pose, F.when(F.col("__use").isNull(), F.col(pose)).otherwise(apply_frame(F.col(pose), F.col("__use")))).withColumn("frame_scale", F.when("valid", F.col("__own.scale"))).drop("__own", "__use")
+    out = out.withColumn("__use", F.last(F.when(F.col("valid"), F.col("__own")), ignorenulls=True).over(w))
+    return out.withColumn(pose, F.when(F.col("__use").isNull(), F.col(pose)).otherwise(apply_frame(F.col(pose), F.col("__use")))).withColumn("frame_scale", F.when(F.col("valid"), F.col("__own.scale"))).drop("__own", "__use")
 
 
 def alignment_metrics(aligned_frames: DataFrame, pose: str = "pose", by: str = "episode_id") -> DataFrame:
     s = F.col("frame_scale")
     size = F.transform(pose, lambda j: F.greatest(F.abs(j["x"]), F.abs(j["y"]), F.abs(j["z"])))
     mean_abs = F.aggregate(F.transform(pose, lambda j: (F.abs(j["x"]) + F.abs(j["y"]) + F.abs(j["z"])) / 3), F.lit(0.0), lambda a, v: a + v) / F.size(pose)
-    return aligned_frames.groupBy(by).agg(F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.min(s).alias("scale_min"), F.max(s).alias("scale_max"), F.avg(s).alias("scale_mean"), F.stddev_pop(s).alias("scale_std"), F.max(F.when("valid", F.array_max(size))).alias("coord_max"), F.avg(F.when("valid", mean_abs)).alias("coord_mean"))
+    return aligned_frames.groupBy(by).agg(F.avg(F.col("valid").cast("double")).alias("valid_ratio"), F.min(s).alias("scale_min"), F.max(s).alias("scale_max"), F.avg(s).alias("scale_mean"), F.stddev_pop(s).alias("scale_std"), F.max(F.when(F.col("valid"), F.array_max(size))).alias("coord_max"), F.avg(F.when(F.col("valid"), mean_abs)).alias("coord_mean"))
 
 
 def joint_relative(pose: Column, parents: list[int | None] | dict[int, int] = PARENT) -> Column:
@@ -155,12 +160,17 @@ def height_scaled(pose: Column, target: float = 1.7) -> Column:
 def shoulders_to_x(pose: Column) -> Column:
     """Rotated so that the axis of the shoulders is +x; axes that are parallel to x stay, whichever way they point."""
     a = V.sub(at(pose, SHOULDERS[1]), at(pose, SHOULDERS[0]))
-    n = V.norm(a)
-    x, y, z = (F.try_divide(c, n) for c in V.xyz(a))
-    k = F.try_divide(F.lit(1.0), 1 + x)  # R = I + K + K² / (1 + x), K of the cross product with +x
-    rows = F.array(V.vec(x, y, z), V.vec(-y, 1 - y * y * k, -y * z * k), V.vec(-z, -y * z * k, 1 - z * z * k))
-    parallel = (n < 1e-6) | (F.sqrt(y * y + z * z) < 1e-6)
-    return F.when(F.coalesce(parallel, F.lit(True)), pose).otherwise(each_joint(pose, lambda j: V.matvec(rows, j)))
+
+    def rotation(u: Column) -> Column:  # R = I + K + K² / (1 + x), K of the cross product with +x
+        x, y, z = V.xyz(u)
+        k = F.try_divide(F.lit(1.0), 1 + x)
+        return F.array(V.vec(x, y, z), V.vec(-y, 1 - y * y * k, -y * z * k), V.vec(-z, -y * z * k, 1 - z * z * k))
+
+    def turned(u: Column) -> Column:
+        parallel = F.coalesce(F.sqrt(u["y"] * u["y"] + u["z"] * u["z"]) < 1e-6, F.lit(True))
+        return F.when(parallel, pose).otherwise(V.let(rotation(u), lambda rows: each_joint(pose, lambda j: V.matvec(rows, j))))
+
+    return V.let(V.unit(a), turned)
 
 
 def flat(pose: Column) -> Column:

@@ -30,7 +30,7 @@ def pose_quality(frames: DataFrame, conf: str | None = "confidence", joints: int
     """One row an episode: ratios, means, jitter, continuity, quality_score, failure_reasons and passed."""
     rows = frames.withColumn("__nan", nan_frame(F.col(pose)))
     visible = F.size(F.filter(pose, lambda j: ~F.isnan(j["visibility"]) & (j["visibility"] > 0.5)))
-    agg = [F.count(F.lit(1)).alias("total_frames"), F.count_if("__nan").alias("nan_frames"), F.avg(visible.cast("double")).alias("visible_joints_mean")]
+    agg = [F.count(F.lit(1)).alias("total_frames"), F.count_if(F.col("__nan")).alias("nan_frames"), F.avg(visible.cast("double")).alias("visible_joints_mean")]
     if conf is not None:
         c = F.when(~F.isnan(conf), F.col(conf))
         agg += [F.coalesce(F.avg(c), F.lit(0.0)).alias("confidence_mean"), F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias("confidence_std"), F.coalesce(F.min(c), F.lit(0.0)).alias("confidence_min")]
@@ -97,7 +97,7 @@ def score_stats(scored: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def failure_histogram(scored: DataFrame) -> DataFrame:
-    return scored.select(F.split_part(F.explode("failure_reasons"), F.lit("="), F.lit(1)).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return scored.select(F.explode("failure_reasons").alias("r")).select(F.split_part("r", F.lit("="), F.lit(1)).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distribution(scored: DataFrame, column: str = "quality_score", category: str | None = None) -> DataFrame:
@@ -121,6 +121,6 @@ def quality_report(scored: DataFrame, thresholds: dict = THRESHOLDS) -> DataFram
     """One row: thresholds, counts and pass rate, statistics, and failure reasons as a map."""
     stats = score_stats(scored, ["quality_score", "confidence_mean", "jitter_score"]).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", F.struct("mean", "std", "min", "max", "median"))))).alias("stats"))
     reasons = failure_histogram(scored).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("failures"))
-    summary = scored.agg(F.count(F.lit(1)).alias("total"), F.count_if("passed").alias("passed"))
+    summary = scored.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("passed")).alias("passed"))
     said = F.create_map(*(F.lit(x) for k, v in thresholds.items() for x in (k, float(v))))
     return summary.crossJoin(stats).crossJoin(reasons).withColumn("thresholds", said).withColumn("pass_rate", F.coalesce(F.try_divide("passed", "total"), F.lit(0.0)))  # one row each

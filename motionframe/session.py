@@ -28,7 +28,8 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once for each application."""
+    """Send this package's sources to the executors, once for each application, and keep Arrow batches of texts small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
