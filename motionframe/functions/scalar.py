@@ -94,7 +94,7 @@ def search_query(keywords: Column, operator: Column, platform: Column) -> Column
 
 
 def split_keywords(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda k: k != "")
+    return F.filter(F.transform(F.split(text, ","), lambda k: F.trim(k)), lambda k: k != "")
 
 
 def error_id(*parts: Column) -> Column:
