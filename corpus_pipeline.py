@@ -40,9 +40,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids (little-endian unsigned 32-bit), n_tokens, and digests of ids and decoded text."""
     ship(spark)
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = prefix_bpe.encode(docs, path, ["doc_id", "lang", "source"])
-    return prefix_bpe.checked(encoded, path, ["doc_id", "lang", "source", "ids"])
+    return prefix_bpe.round_trip(docs, public_tokenizers.path(TOKENIZER), ["doc_id", "lang", "source"], with_ids=True)
 
 
 STAGES = [

@@ -39,6 +39,8 @@ def map_rows(df: DataFrame, keep: list[str], inputs: list[str], fields: list[tup
     """
     made = {n for n, _ in fields}
     keep = [c for c in dict.fromkeys(keep) if c not in made]
+    sent = [*keep, *(c for c in dict.fromkeys(inputs) if c not in keep)]  # no column is sent twice
+    at_input = [sent.index(c) for c in inputs]
     schema = pa.schema(fields)
     n = len(keep)
     q = lambda c: F.col(f"`{c}`")
@@ -48,11 +50,24 @@ def map_rows(df: DataFrame, keep: list[str], inputs: list[str], fields: list[tup
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                out = fn(*first, *(c.to_pylist() for c in part.columns[n:]))
+                out = fn(*first, *(part.columns[i].to_pylist() for i in at_input))
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(out, schema)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *arrays], names=[*part.schema.names[:n], *schema.names])
+        for x in first:
+            if isinstance(x, dict):  # what it has remembered is not held for other tasks
+                x.clear()
 
-    source = df.select(*(q(c).alias(f"__keep{i}") for i, c in enumerate(keep)), *(q(c).alias(f"__in{i}") for i, c in enumerate(inputs)))
+    source = df.select(*(q(c).alias(f"__keep{i}") for i, c in enumerate(sent)))
     kinds = [f"`__keep{i}` {source.schema[f'__keep{i}'].dataType.simpleString()}" for i in range(n)]
     out = source.mapInArrow(run, ", ".join([*kinds, *(f"`{c}` {ddl(t)}" for c, t in fields)]))
     return out.select(*(F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)), *(q(c) for c, _ in fields))
+
+
+def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """df with its columns named by place, so that none clashes with a computed one, and these names."""
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), names
+
+
+def restored(df: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
+    return df.select(*(F.col(n).alias(c) for n, c in zip(names, columns)))

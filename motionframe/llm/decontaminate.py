@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motionframe.llm.common import SPANS, map_rows
+from motionframe.llm.common import SPANS, map_rows, positional, restored
 
 WINDOW = 13
 BLOCK_BYTES = 256 * 1024
@@ -117,7 +117,8 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     spark = docs.sparkSession
     blocks = item_blocks(benchmark, block_bytes=block_bytes)
     state = [("__words", pa.int64()), ("__ranges", pa.list_(pa.int64())), ("__ids", pa.list_(pa.string()))]
-    rows = docs.withColumn("__text", F.col(text_col))
+    rows = docs.withColumn("__text", F.col(text_col)) if len(blocks) > 1 else docs
+    text = "__text" if len(blocks) > 1 else text_col
     for k, block in enumerate(blocks):
         held = spark.sparkContext.broadcast(block)
         last = k == len(blocks) - 1
@@ -130,7 +131,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
             return _spans(texts, *out) if last else out
 
         known = [n for n, _ in state] if k else []
-        rows = map_rows(rows, keep if last else [*keep, "__text"], ["__text", *known], FIELDS if last else state, step, setup)
+        rows = map_rows(rows, keep if last else [*keep, text], [text, *known], FIELDS if last else state, step, setup)
     return rows
 
 
@@ -141,6 +142,6 @@ def is_contaminated(n_hit: Column, n_words: Column, percent: int = 5) -> Column:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """docs without its contaminated rows; all its columns stay as they are."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col(text_col).alias("text"))
-    seen = scan_documents(packed, benchmark, keep=["__row"])
-    return seen.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))).select("__row.*")
+    rows, names = positional(docs)
+    seen = scan_documents(rows, benchmark, names[docs.columns.index(text_col)], keep=names)
+    return restored(seen.where(~is_contaminated(F.col("n_hit"), F.col("n_words"))), names, docs.columns)

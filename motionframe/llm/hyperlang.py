@@ -14,25 +14,35 @@ one, ties go to the first language by name; without any labelled row all is `und
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motionframe.llm.common import map_rows
+from motionframe.llm.common import map_rows, positional, restored
 
 DIM = 1024
 SCALE = 1000
 SEED = 20_231
 #: Trigram vectors that a worker remembers at once.
-CACHE = 30_000
+CACHE = 12_000
 UNKNOWN = "und"
 
 
+@cache
+def letters() -> np.ndarray:
+    """For each code point, whether it is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
+
+
 class Space:
+    """The vectors of letters and trigrams: of one task, so that no worker holds them for longer."""
+
     def __init__(self, dim: int = DIM):
         self.dim = dim
-        self.letter = np.array([chr(c).isalpha() for c in range(0x110000)])
+        self.letter = letters()
         self.letters: dict[int, np.ndarray] = {}
         self.at: dict[int, int] = {}
         self.vectors = np.empty((CACHE, dim), np.float32)
@@ -82,15 +92,6 @@ class Space:
         return out / norm if norm else out
 
 
-_space: list[Space] = []
-
-
-def space() -> Space:
-    if not _space:
-        _space.append(Space())
-    return _space[0]
-
-
 def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> list[tuple[str, list[int]]]:
     """(language, prototype), sorted by language: one row for each language comes back, of DIM numbers."""
 
@@ -101,7 +102,7 @@ def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "tex
                 sums[lang] = sums.get(lang, 0) + np.rint(v * SCALE).astype(np.int64)
         return list(sums), [v.tolist() for v in sums.values()]
 
-    parts = map_rows(labelled, [], [lang_col, text_col], [("lang", pa.string()), ("vector", pa.list_(pa.int64()))], bundle, space)
+    parts = map_rows(labelled, [], [lang_col, text_col], [("lang", pa.string()), ("vector", pa.list_(pa.int64()))], bundle, Space)
     sums = parts.select("lang", F.posexplode("vector").alias("i", "v")).groupBy("lang", "i").agg(F.sum("v").alias("v"))
     rows = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("v")).collect()
     return sorted((r["lang"], [x["v"] for x in r["v"]]) for r in rows)
@@ -128,7 +129,7 @@ def identify(docs: DataFrame, known: list[tuple[str, list[int]]], keep: list[str
                 score.append(min(1.0, max(0.0, float(cos[k]))))
         return lang, score
 
-    return map_rows(docs, keep, [text_col], [("lang_pred", pa.string()), ("score", pa.float64())], judge, space)
+    return map_rows(docs, keep, [text_col], [("lang_pred", pa.string()), ("score", pa.float64())], judge, Space)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -138,6 +139,6 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def keep_known(docs: DataFrame, labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """docs without rows whose language is unknown or whose score is under min_score; all columns stay as they are."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col(text_col).alias("__text"))
-    rows = identify(packed, prototypes(labelled, lang_col, text_col), ["__row"], "__text")
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    rows, names = positional(docs)
+    rows = identify(rows, prototypes(labelled, lang_col, text_col), names, names[docs.columns.index(text_col)])
+    return restored(rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), names, docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from motionframe.llm.common import map_rows
 
 #: Pieces that a worker remembers at once.
-CACHE = 400_000
+CACHE = 150_000
 # White space as the vocabulary's pattern means it, and that pattern.
 SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -59,19 +59,8 @@ class PrefixBPE(dict):
             pair = ids[left], ids[right]
             self.rank[pair] = k
             parts.setdefault(ids[left + right], (k, *pair))
-        # The tokens at a token's right and left edge, each with the rank of the merge that takes it in.
-        self.right: dict[int, list[tuple[int, int]]] = {}
-        self.left: dict[int, list[tuple[int, int]]] = {}
-        made = len(spec["model"]["merges"])
-        for i in ids.values():
-            for edges, side in ((self.right, 2), (self.left, 1)):
-                t, until, out = i, made, []
-                while True:
-                    out.append((t, until))
-                    if t not in parts:
-                        break
-                    until, t = parts[t][0], parts[t][side]
-                edges[i] = out
+        self.parts = parts
+        self.made = len(spec["model"]["merges"])
         self.pairs: dict[tuple[int, int], bool] = {}
         self.tokens = ahocorasick.Automaton()
         for b, i in ids.items():
@@ -79,14 +68,26 @@ class PrefixBPE(dict):
                 self.tokens.add_word(b.decode("latin-1"), (i, len(b)))
         self.tokens.make_automaton()
 
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens at a token's right (2) or left (1) edge, each with the rank of the merge that takes it in."""
+        t, until, out = token, self.made, []
+        while True:
+            out.append((t, until))
+            if t not in self.parts:
+                return out
+            until, t = self.parts[t][0], self.parts[t][side]
+
     def _first_across(self, a: int, b: int) -> int | None:
         """The rank of the first merge across the border of a and b, or None."""
-        ranks = [m for x, x_until in self.right[a] for y, y_until in self.left[b] if (m := self.rank.get((x, y))) is not None and m < x_until and m <= y_until]
+        left = self._edge(b, 1)
+        ranks = [m for x, x_until in self._edge(a, 2) for y, y_until in left if (m := self.rank.get((x, y))) is not None and m < x_until and m <= y_until]
         return min(ranks, default=None)
 
     def compatible(self, a: int, b: int) -> bool:
         got = self.pairs.get((a, b))
         if got is None:
+            if len(self.pairs) > CACHE:
+                self.pairs.clear()
             got = self.pairs[a, b] = self._first_across(a, b) is None
         return got
 
@@ -150,11 +151,11 @@ def _digests(bpe: PrefixBPE, ids):
 FIELDS = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 
 
-def checked(encoded: DataFrame, path: str, keep: list[str] = ["doc_id"], ids_col: str = "ids") -> DataFrame:
-    """The columns `keep`, n_tokens, and digests of the ids and of the text decoded from them."""
-    return map_rows(encoded, keep, [ids_col], FIELDS, _digests, lambda: loaded(path))
+def round_trip(docs: DataFrame, path: str, keep: list[str] = ["doc_id"], text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """The columns `keep`, n_tokens, and digests of the ids and of the text decoded from them, in one pass; ids if asked for."""
 
+    def run(bpe: PrefixBPE, texts):
+        ids = [bpe.encode(t or "") for t in texts]
+        return (*((ids,) if with_ids else ()), *_digests(bpe, ids))
 
-def round_trip(docs: DataFrame, path: str, keep: list[str] = ["doc_id"], text_col: str = "text") -> DataFrame:
-    """The same of texts that are encoded first, in one pass."""
-    return map_rows(docs, keep, [text_col], FIELDS, lambda bpe, texts: _digests(bpe, [bpe.encode(t or "") for t in texts]), lambda: loaded(path))
+    return map_rows(docs, keep, [text_col], [*([("ids", pa.binary())] if with_ids else []), *FIELDS], run, lambda: loaded(path))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionframe.llm.common import map_rows
+from motionframe.llm.common import map_rows, positional, restored
 
 MAX_LOST = 0.5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -111,6 +111,7 @@ def measure_lines(docs: DataFrame, text_col: str = "text", keep: list[str] = ["d
 
 def clean(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
     """The documents kept, all columns as they are but for the text, which has lost its failing lines."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col(text_col).alias("__text"))
-    kept = measure_lines(packed, "__text", ["__row"], with_text=True, max_lost=max_lost).where("kept")
-    return kept.select(*(F.col("cleaned_text").alias(c) if c == text_col else F.col("__row").getField(c).alias(c) for c in docs.columns))
+    rows, names = positional(docs)
+    text = names[docs.columns.index(text_col)]
+    kept = measure_lines(rows, text, [n for n in names if n != text], with_text=True, max_lost=max_lost).where("kept")
+    return restored(kept.withColumn(text, F.col("cleaned_text")), names, docs.columns)

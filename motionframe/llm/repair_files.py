@@ -50,7 +50,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 END = 2
 SHARD_IDS = 1 << 20
 ROUNDS, RULES, LEAST = 8, 512, 8
-CACHE = 400_000
+CACHE = 150_000
 # Fixed value: the vocabulary's pattern.
 _PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+").findall
 FILE_FIELDS = [

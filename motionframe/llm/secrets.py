@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionframe.llm.common import map_rows
+from motionframe.llm.common import map_rows, positional, restored
 from motionframe.session import written
 
 MAX_OWNERS = 3
@@ -91,11 +91,11 @@ def ownership(scanned: DataFrame, owner_col: str = "source") -> DataFrame:
     return owners.join(by_repo.groupBy("hash").agg(F.sum("n").alias("n_repos")), "hash")
 
 
-def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS, keep_text: bool = False) -> DataFrame:
+def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
     """The columns `keep` and spans: array of (kind, start, end, from, hash, n_owners, n_repos, live), by start and kind.
 
     The scanned rows are written once, so that row ids hold when an executor is lost; only rows with candidates take
-    part in the joins. With keep_text, `__text` has the text of those rows.
+    part in the joins.
     """
     q = [F.col(f"`{c}`") for c in keep]
     packed = docs.select(F.struct(*q).alias("__row"), F.col(owner_col).alias("__owner"), F.col(text_col).alias("__text"))
@@ -128,15 +128,14 @@ def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", m
 
     Rows without candidates stay where they are. The others, with their text, are written once and joined by row id.
     """
-    cols = docs.columns
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in cols)).alias("__row"), F.col(owner_col).alias("__owner"), F.col(text_col).alias("__text"))
-    seen = scan(packed, ["__row", "__owner"], "__text")
-    clean = seen.where(F.size("candidates") == 0).select("__row.*")
+    rows, names = positional(docs)
+    owner, text = (names[docs.columns.index(c)] for c in (owner_col, text_col))
+    seen = scan(rows, names, text)
+    clean = seen.where(F.size("candidates") == 0).select(*names)
     some = written(seen.where(F.size("candidates") > 0).withColumn("__id", F.monotonically_increasing_id()), "secrets")
     each = some.select("__id", F.explode("candidates").alias("c"))
-    each = each.join(ownership(some, "__owner").withColumnRenamed("hash", "__hash"), F.col("c.hash") == F.col("__hash")).where(F.col("n_owners") <= max_owners)
+    each = each.join(ownership(some, owner).withColumnRenamed("hash", "__hash"), F.col("c.hash") == F.col("__hash")).where(F.col("n_owners") <= max_owners)
     spans = each.groupBy("__id").agg(F.collect_list(F.struct(F.col("c.from").alias("from"), F.col("c.end").alias("end"))).alias("spans"))
     hit = some.join(spans, "__id", "left").withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
-    hit = hit.withColumn("__text", F.col("__row").getField(text_col))
-    masked = map_rows(hit, ["__row"], ["__text", "spans"], [("__masked", pa.string())], _masked)
-    return clean.unionByName(masked.select(*(F.col("__masked").alias(c) if c == text_col else F.col("__row").getField(c).alias(c) for c in cols)))
+    masked = map_rows(hit, [n for n in names if n != text], [text, "spans"], [(text, pa.string())], _masked)
+    return restored(clean.unionByName(masked), names, docs.columns)
