@@ -23,6 +23,27 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end"
 ROWS = 1000
 
 
+class Recent(dict):
+    """What make(key) gave for the keys asked for lately, between size and twice size of them."""
+
+    def __init__(self, make: Callable[[object], object], size: int):
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            super().clear()
+        self[key] = value
+        return value
+
+    def clear(self) -> None:
+        self.old = {}
+        super().clear()
+
+
 def ddl(kind: pa.DataType) -> str:
     if pa.types.is_list(kind):
         return f"array<{ddl(kind.value_type)}>"
@@ -54,7 +75,7 @@ def map_rows(df: DataFrame, keep: list[str], inputs: list[str], fields: list[tup
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(out, schema)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *arrays], names=[*part.schema.names[:n], *schema.names])
         for x in first:
-            if isinstance(x, dict):  # what it has remembered is not held for other tasks
+            if hasattr(x, "clear"):  # what it has remembered is not held for other tasks
                 x.clear()
 
     source = df.select(*(q(c).alias(f"__keep{i}") for i, c in enumerate(sent)))

@@ -22,10 +22,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from motionframe.llm.common import map_rows
+from motionframe.llm.common import Recent, map_rows
 
 #: Pieces that a worker remembers at once.
-CACHE = 150_000
+CACHE = 100_000
 # White space as the vocabulary's pattern means it, and that pattern.
 SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -39,8 +39,8 @@ def byte_chars() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class PrefixBPE(dict):
-    """Encoder and decoder for a vocabulary file. As a dict it maps pieces to their ids, made when first asked for."""
+class PrefixBPE:
+    """Encoder and decoder for a vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -61,7 +61,8 @@ class PrefixBPE(dict):
             parts.setdefault(ids[left + right], (k, *pair))
         self.parts = parts
         self.made = len(spec["model"]["merges"])
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs = Recent(lambda pair: self._first_across(*pair) is None, CACHE)
+        self.pieces = Recent(lambda piece: np.array(self.encode_piece(piece), dtype="<u4").tobytes(), CACHE)
         self.tokens = ahocorasick.Automaton()
         for b, i in ids.items():
             if i not in parts or self._first_across(*parts[i][1:]) == parts[i][0]:  # else merging never makes it
@@ -83,19 +84,11 @@ class PrefixBPE(dict):
         ranks = [m for x, x_until in self._edge(a, 2) for y, y_until in left if (m := self.rank.get((x, y))) is not None and m < x_until and m <= y_until]
         return min(ranks, default=None)
 
-    def compatible(self, a: int, b: int) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) > CACHE:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self._first_across(a, b) is None
-        return got
-
     def encode_piece(self, piece: str) -> list[int]:
         s = piece.encode().decode("latin-1")
         last = [None] * len(s)
         for end, (token, size) in self.tokens.iter(s):
-            if last[end] is None and (size > end or self.compatible(last[end - size][0], token)):
+            if last[end] is None and (size > end or self.pairs[last[end - size][0], token]):
                 last[end] = (token, size)
         out, end = [], len(s) - 1
         while end >= 0:
@@ -104,18 +97,16 @@ class PrefixBPE(dict):
             end -= size
         return out[::-1]
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > CACHE:
-            self.clear()
-        ids = self[piece] = np.array(self.encode_piece(piece), dtype="<u4").tobytes()
-        return ids
+    def clear(self) -> None:
+        self.pieces.clear()
+        self.pairs.clear()
 
     def encode(self, text: str) -> bytes:
         if self.cut is None or not any(s in text for s in self.special):
-            return b"".join([self[p] for p in self.find(text)])
+            return b"".join([self.pieces[p] for p in self.find(text)])
         out = []
         for part in self.cut.split(text):
-            out.append(self.special[part].to_bytes(4, "little") if part in self.special else b"".join([self[p] for p in self.find(part)]))
+            out.append(self.special[part].to_bytes(4, "little") if part in self.special else b"".join([self.pieces[p] for p in self.find(part)]))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
