@@ -10,17 +10,26 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def brute(text, items, window=13):
-    w = WORD.findall((text or "").translate(LOW))
-    hit, found = set(), set()
+def windows(items, window=13):
+    """By length: the ids of each window."""
+    out = {}
     for item_id, t in items:
         v = WORD.findall((t or "").translate(LOW))
         for i in range(max(1, len(v) - window + 1) if v else 0):
-            part = v[i : i + window]
-            for j in range(len(w) - len(part) + 1):
-                if w[j : j + len(part)] == part:
-                    hit |= set(range(j, j + len(part)))
-                    found |= {str(item_id)} if item_id is not None else set()
+            part = tuple(v[i : i + window])
+            out.setdefault(len(part), {}).setdefault(part, set()).update({str(item_id)} if item_id is not None else set())
+    return out
+
+
+def brute(text, items, window=13):
+    w = WORD.findall((text or "").translate(LOW))
+    hit, found = set(), set()
+    for n, known in windows(items, window).items():
+        for j in range(len(w) - n + 1):
+            ids = known.get(tuple(w[j : j + n]))
+            if ids is not None:
+                hit |= set(range(j, j + n))
+                found |= ids
     return len(w), len(hit), sorted(found)
 
 
