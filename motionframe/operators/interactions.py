@@ -24,6 +24,12 @@ def largest(objects: Column, name: str | None = None) -> Column:
     return F.get(ranked, F.lit(0))["o"]
 
 
+def numbered(objects: DataFrame) -> DataFrame:
+    """Rows (video_id, frame_idx, o) with the ordinal that each object has in its frame, in order."""
+    w = Window.partitionBy("video_id", "frame_idx").orderBy("o")
+    return objects.select("video_id", "frame_idx", (F.row_number().over(w) - 1).alias("ordinal"), "o")
+
+
 def sampled(frames: DataFrame, source_fps: float, out_fps: float, most: int | None = None, by: str = "video_id", frame: str = "frame_idx") -> DataFrame:
     """Every k-th frame, k = max(1, int(source / out)), and the first `most` of them."""
     k = max(1, int(source_fps / out_fps))
@@ -36,10 +42,14 @@ def pairs(hands: DataFrame, detections: DataFrame) -> DataFrame:
 
     Objects of one class in a frame are told apart by their ordinal.
     """
+    return paired(hands, detections.select("video_id", "frame_idx", F.posexplode("objects").alias("ordinal", "o")))
+
+
+def paired(hands: DataFrame, objects: DataFrame) -> DataFrame:
+    """pairs, with the objects as rows (video_id, frame_idx, ordinal, o)."""
     h = hands.withColumn("m", hand_measures(F.col("points")))
-    o = detections.select("video_id", "frame_idx", F.posexplode("objects").alias("ordinal", "o"))
     box = bbox_measures(F.col("o.bbox"), F.lit(1920), F.lit(1080))
-    rows = h.join(o, ["video_id", "frame_idx"]).withColumn("box", box)
+    rows = h.join(objects, ["video_id", "frame_idx"]).withColumn("box", box)
     d2 = distance_2d(F.col("m.px"), F.col("m.py"), F.col("box.cx"), F.col("box.cy"))
     d3 = distance_3d(F.get("points", F.lit(0)), F.col("box.cx"), F.col("box.cy"), F.col("o.bbox"))
     rows = rows.withColumn("distance", d2).withColumn("distance_3d", d3)

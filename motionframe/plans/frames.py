@@ -103,22 +103,41 @@ R.add("quality_distribution", lambda s, d: Q.distribution(Q.pose_quality(seen_bo
 R.add("failure_histogram", lambda s, d: Q.failure_histogram(Q.pose_quality(seen_bodies(s, d))))
 
 
-def detections(s: SparkSession, d: str) -> DataFrame:
+def lines(s: SparkSession, d: str) -> DataFrame:
+    """l_orderkey, l_suppkey and the detected object of each line."""
     p = table(s, d, "lineitem")
     x, y = (F.col("l_partkey") % 1800).cast("int"), (F.col("l_suppkey") % 1000).cast("int")
     o = F.struct(F.ascii("l_returnflag").alias("class_id"), F.col("l_returnflag").alias("class_name"), (1 - F.col("l_tax")).alias("confidence"), F.array(x, y, (x + 20 + F.col("l_quantity")).cast("int"), y + 20 + F.col("l_linenumber") * 10).alias("bbox"))
-    rows = p.select((F.col("l_suppkey") % 10).cast("string").alias("video_id"), (F.col("l_orderkey") % 200).alias("frame_idx"), o.alias("o"))
+    return p.select("l_orderkey", "l_suppkey", o.alias("o"))
+
+
+def detections(s: SparkSession, d: str) -> DataFrame:
+    rows = lines(s, d).select((F.col("l_suppkey") % 10).cast("string").alias("video_id"), (F.col("l_orderkey") % 200).alias("frame_idx"), "o")
     return rows.groupBy("video_id", "frame_idx").agg(F.array_sort(F.collect_list("o")).alias("objects"))
 
 
+def hand_detections(s: SparkSession, d: str) -> DataFrame:
+    """A row for each object, on the frames of tracked_hands: lines are dealt over all frames by order.
+
+    Where there are more frames than orders, an order's lines are seen in several frames.
+    """
+    n = table(s, d, "embeddings").agg(F.max("vec_id")).first()[0]
+    m = table(s, d, "lineitem").agg(F.max("l_orderkey")).first()[0]
+    frames = (n or 0) + 1
+    slots = min(frames, (m or 0) + 1)
+    at = F.explode(F.sequence(F.pmod("l_orderkey", F.lit(slots)), F.lit(frames - 1).cast("long"), F.lit(slots).cast("long")))
+    rows = lines(s, d).select(at.alias("at"), "o")
+    return rows.select(F.floor(F.col("at") / EPISODE).cast("string").alias("video_id"), (F.col("at") % EPISODE).alias("frame_idx"), "o")
+
+
 def tracked_hands(s: SparkSession, d: str) -> DataFrame:
-    h = hands(s, d)
+    """Every hand, on a frame of its own: its episode is its video."""
     points = F.transform("pose", lambda p: V.vec(F.abs(p["x"]) * 3, F.abs(p["y"]) * 3, p["z"]))
-    return h.select(((F.col("episode_id") + F.col("t")) % 10).cast("string").alias("video_id"), F.pmod(F.col("episode_id") * EPISODE + F.col("t"), F.lit(200)).alias("frame_idx"), F.lit("left").alias("hand"), points.alias("points")).dropDuplicates(["video_id", "frame_idx", "hand"])
+    return hands(s, d).select(F.col("episode_id").cast("string").alias("video_id"), F.col("t").alias("frame_idx"), F.lit("left").alias("hand"), points.alias("points"))
 
 
-R.add("interactions", lambda s, d: I.pairs(tracked_hands(s, d), detections(s, d)).groupBy("video_id", "kind").agg(F.count(F.lit(1)).alias("n")))
-R.add("interaction_events", lambda s, d: I.sessions(I.pairs(tracked_hands(s, d), detections(s, d)), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")))
+R.add("interactions", lambda s, d: I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))).groupBy("video_id", "kind").agg(F.count(F.lit(1)).alias("n")))
+R.add("interaction_events", lambda s, d: I.sessions(I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")))
 R.add("largest_object", lambda s, d: detections(s, d).select("video_id", "frame_idx", I.largest(F.col("objects"))["bbox"].alias("bbox")).select("video_id", "frame_idx", ((F.col("bbox")[2] - F.col("bbox")[0]) * (F.col("bbox")[3] - F.col("bbox")[1])).alias("area")), "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx, max(CAST(20 + l_quantity AS INTEGER) * CAST(20 + l_linenumber * 10 AS INTEGER)) AS area FROM lineitem GROUP BY 1, 2")
 R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d), 30.0, 10.0, 40).select("video_id", "frame_idx"), "SELECT DISTINCT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx FROM lineitem WHERE (l_orderkey % 200) % 3 = 0 AND l_orderkey % 200 < 120")
 R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {_BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
