@@ -9,14 +9,12 @@ from motionframe.llm import decontaminate, hyperlang, minhash, prefix_bpe, secre
 from motionframe.session import ship, table, written
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Below this, a cosine is what random vectors of hyperlang.DIM numbers have.
-MIN_SCORE = 0.05
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Prototypes of the labelled documents; those whose text has no letters, or is like no language, go."""
+    """Prototypes of the labelled documents; those whose text has no letters go."""
     ship(spark)
-    return hyperlang.keep_known(docs, docs, min_score=MIN_SCORE)
+    return hyperlang.keep_known(docs, docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
