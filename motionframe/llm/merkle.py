@@ -11,6 +11,9 @@ at most, every join is on a node's key, and where the roots agree nothing below
 
 Nulls: a null url or html is empty, a null page_id is written as "null". Repeated rows are records of their own. Empty
 tables have an empty root and agree. Other columns are not read.
+
+Each row has a number, written with it, by which its bytes and its place find each other. Rows that are the same in all
+columns are dealt in runs of `RUN` over the archives, so that none has more records than its node has places.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ FANOUT = 16
 ARCHIVE_RECORDS = 1000
 #: Archives in order share a level's nodes; an archive has this many levels, and at most FANOUT ** LEVELS records.
 LEVELS = 3
+#: Of rows that are the same in all columns, so many in a row go to the same archive.
+RUN = 64
 _CRLF = "\r\n"
 
 
@@ -46,18 +51,46 @@ def record_bytes(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records: int = ARCHIVE_RECORDS) -> DataFrame:
-    """record_id, archive and bytes of each page. An archive's size is about `records`, whatever the ids are."""
-    n = max(1, -(-pages.count() // records))
-    key = F.xxhash64(id_col, url_col, html_col)
-    return pages.select(F.col(id_col).alias("record_id"), F.pmod(key, F.lit(n)).cast("long").alias("archive"), key.alias("key"), record_bytes(F.col(id_col), F.col(url_col), F.col(html_col)).alias("bytes"))
+    """row, record_id, archive, key, n_archives and bytes of each page. An archive's size is about `records`, whatever the ids are.
+
+    `archive` is that of the first of repeated rows; `leaves` deals the others. The pages are written once, so that the
+    row numbers hold.
+    """
+    rows = pages.select(F.col(id_col).alias("record_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
+    n = max(1, -(-rows.count() // records))
+    key = F.xxhash64("record_id", "url", "html")
+    return rows.select("row", "record_id", _archive(key, F.lit(0), F.lit(n)).alias("archive"), key.alias("key"), F.lit(n).cast("long").alias("n_archives"), record_bytes(F.col("record_id"), F.col("url"), F.col("html")).alias("bytes"))
+
+
+def _archive(key: Column, run: Column, n: Column) -> Column:
+    return F.pmod(F.xxhash64(key, run.cast("long")), n).cast("long")
+
+
+def later_runs(keys: DataFrame) -> DataFrame:
+    """(row, run) of the repeated rows (row, key) that are not in their key's first run.
+
+    Rows are counted by part first, so that no task holds all rows of a key.
+    """
+    part = F.shiftright("row", 33)
+    counts = keys.groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("key")
+    before = F.sum("n").over(w.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    counts = counts.select("key", "part", before.alias("before"), F.sum("n").over(w).alias("total")).where(F.col("total") > RUN).drop("total")
+    rows = keys.withColumn("part", part).join(written(counts, "repeated"), ["key", "part"])
+    place = F.col("before") + F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+    return rows.select("row", F.floor(place / RUN).alias("run")).where(F.col("run") > 0)
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """archive, ordinal, record_id, start, end and digest; offsets are those in the archive. The bytes are not shuffled."""
-    short = records.select("archive", "key", "record_id", F.octet_length("bytes").cast("long").alias("length"), F.sha2("bytes", 256).alias("digest"))
-    w = Window.partitionBy("archive").orderBy("record_id", "key")
+    """row, archive, ordinal, record_id, start, end and digest; offsets are those in the archive. The bytes are not shuffled."""
+    short = records.select("row", "archive", "key", "n_archives", "record_id", F.octet_length("bytes").cast("long").alias("length"), F.sha2("bytes", 256).alias("digest"))
+    runs = written(later_runs(records.select("row", "key")), "runs")
+    if not runs.isEmpty():
+        short = short.join(runs, "row", "left").withColumn("archive", F.when(F.col("run").isNull(), F.col("archive")).otherwise(_archive(F.col("key"), F.col("run"), F.col("n_archives"))))
+    w = Window.partitionBy("archive").orderBy("record_id", "key", "row")
     end = F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return short.select("archive", (F.row_number().over(w) - 1).cast("long").alias("ordinal"), "record_id", (end - F.col("length")).alias("start"), end.alias("end"), "digest")
+    return short.select("row", "archive", (F.row_number().over(w) - 1).cast("long").alias("ordinal"), "record_id", (end - F.col("length")).alias("start"), end.alias("end"), "digest")
 
 
 def copied(leaves_: DataFrame, copy: DataFrame) -> DataFrame:
@@ -73,7 +106,8 @@ def tree(leaves_: DataFrame, n_archives: int, fanout: int = FANOUT) -> list[Data
     Node numbers are archive * fanout ** LEVELS + ordinal at the leaves, and a parent is its child's number // fanout.
     """
     width = fanout**LEVELS
-    level = written(leaves_.select((F.col("archive") * width + F.col("ordinal")).alias("node"), "start", "end", "digest", "archive", "ordinal", "record_id").withColumn("parent", F.floor(F.col("node") / fanout)), "leaves")
+    ordinal = F.when(F.col("ordinal") < width, F.col("ordinal")).otherwise(F.raise_error(F.lit(f"an archive has more than {width} records")).cast("long"))
+    level = written(leaves_.select((F.col("archive") * width + ordinal).alias("node"), "start", "end", "digest", "archive", "ordinal", "record_id").withColumn("parent", F.floor(F.col("node") / fanout)), "leaves")
     out, top = [level], n_archives * width
     while top > 1:
         child = F.array_sort(F.collect_list(F.struct("node", "start", "end", "digest")))

@@ -30,17 +30,17 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a copy of the archives in which some records have a byte changed and some archives lost their end."""
     records = merkle.archived(table(spark, sf_dir, "pages"))
-    n = records.select(F.max("archive")).first()[0]
+    n = records.select("n_archives").first()
     original = written(merkle.leaves(records), "original")
-    at = original.select("archive", "record_id", "ordinal", "start", "end")
+    at = original.select("row", "archive", "ordinal", "start")
     ends = at.groupBy("archive").agg(F.max("ordinal").alias("last"))
-    found = records.join(at, ["archive", "record_id"]).join(ends, "archive")
+    found = records.select("row", "record_id", "bytes").join(at, "row").join(ends, "archive")
     kept = (F.col("archive") % 29 != 3) | (F.col("ordinal") + 5 <= F.col("last"))
     middle = (F.octet_length("bytes") / 2).cast("int")
     hit = F.crc32(F.col("record_id").cast("string").cast("binary")) % 97 == 0
     damaged = F.when(hit, F.overlay("bytes", F.unhex(F.lit("00")), middle)).otherwise(F.col("bytes"))
     copy = found.where(kept).select("archive", "start", damaged.alias("bytes"))
-    n_archives = (n or 0) + 1
+    n_archives = n[0] if n else 1
     return merkle.audit(merkle.tree(original, n_archives), merkle.tree(merkle.copied(original, copy), n_archives))
 
 

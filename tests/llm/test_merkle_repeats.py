@@ -1,0 +1,26 @@
+import zlib
+from collections import Counter
+
+from motionframe.llm import merkle as M
+from motionframe.llm.queries import queries
+
+HIT = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 97 == 0]
+
+
+def test_query_with_null_and_repeated_ids(spark, tmp_path):
+    rows = [(i, f"http://x/{i}", "p" * (i % 7)) for i in range(400)] + [(None, f"http://n/{i}", "n") for i in range(30)]
+    rows += [(HIT[0], f"http://r/{i}", "r" * i) for i in range(40)] + [(HIT[1], "http://same", "same")] * 5 + [(7, "http://hot", "hot")] * 4500
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7).write.parquet(f"{tmp_path}/pages.parquet")
+    leaves = M.leaves(M.archived(spark.read.parquet(f"{tmp_path}/pages.parquet"))).collect()
+    last = {}
+    for r in leaves:
+        last[r.archive] = max(last.get(r.archive, 0), r.ordinal)
+    assert len(leaves) == len(rows) == len({(r.archive, r.ordinal) for r in leaves}) and max(last.values()) < M.FANOUT**M.LEVELS
+    want = Counter()
+    for r in leaves:
+        if r.archive % 29 == 3 and r.ordinal + 5 > last[r.archive]:
+            want[r.archive, r.ordinal, r.record_id, "missing"] += 1
+        elif r.record_id in HIT:
+            want[r.archive, r.ordinal, r.record_id, "changed"] += 1
+    got = Counter((r.archive, r.ordinal, r.record_id, r.status) for r in queries()["op4_merkle_audit"](spark, str(tmp_path)).collect())
+    assert got == want and sum(x[2] == HIT[0] and x[3] == "changed" for x in got) >= 35
