@@ -24,6 +24,13 @@ def largest(objects: Column, name: str | None = None) -> Column:
     return F.get(ranked, F.lit(0))["o"]
 
 
+def largest_in_frame(objects: DataFrame) -> DataFrame:
+    """(video_id, frame_idx, o) of rows (video_id, frame_idx, o): the largest, without gathering a frame's objects."""
+    area = (F.col("o.bbox")[2] - F.col("o.bbox")[0]) * (F.col("o.bbox")[3] - F.col("o.bbox")[1])
+    best = F.min(F.struct((-area).alias("a"), F.col("o").alias("o")))
+    return objects.groupBy("video_id", "frame_idx").agg(best.alias("best")).select("video_id", "frame_idx", F.col("best.o").alias("o"))
+
+
 def numbered(objects: DataFrame) -> DataFrame:
     """Rows (video_id, frame_idx, o) with the ordinal that each object has in its frame, in order."""
     w = Window.partitionBy("video_id", "frame_idx").orderBy("o")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +27,34 @@ def diff_summary(diff: DataFrame) -> DataFrame:
 
 
 def checksum(entries: DataFrame, by: str = "version", digest: str = "sha256") -> DataFrame:
-    """SHA-256 of all digests in order, one after another: one value for each version, of all its files."""
-    return entries.groupBy(by).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(digest)), ""), 256).alias("checksum"))
+    """SHA-256 of all digests in order, one after another: one value for each version, of all its files.
+
+    A version's digests are sorted on disk and streamed through one hash, so that memory does not grow with them. Null
+    digests are left out; a version with no other has the hash of nothing.
+    """
+    rows = entries.select(F.col(by).alias("by"), F.col(digest).cast("string").alias("digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = last = total = None
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([at, pa.array([total.hexdigest()])], names=["by", "checksum"])
+
+        for batch in batches:
+            versions = batch.column(0)
+            for i, (version, value) in enumerate(zip(versions.to_pylist(), batch.column(1).to_pylist())):
+                if total is None or version != last:
+                    if total is not None:
+                        yield row()
+                    at, last, total = versions.slice(i, 1), version, hashlib.sha256()
+                if value is not None:
+                    total.update(value.encode())
+        if total is not None:
+            yield row()
+
+    kind = rows.schema["by"].dataType.simpleString()
+    out = rows.repartition("by").sortWithinPartitions("by", "digest").mapInArrow(run, f"by {kind}, checksum string")
+    return out.select(F.col("by").alias(by), "checksum")
 
 
 def version_order(versions: DataFrame) -> DataFrame:

@@ -112,8 +112,8 @@ def lines(s: SparkSession, d: str) -> DataFrame:
 
 
 def detections(s: SparkSession, d: str) -> DataFrame:
-    rows = lines(s, d).select((F.col("l_suppkey") % 10).cast("string").alias("video_id"), (F.col("l_orderkey") % 200).alias("frame_idx"), "o")
-    return rows.groupBy("video_id", "frame_idx").agg(F.array_sort(F.collect_list("o")).alias("objects"))
+    """A row for each object: frames have no bound on their objects."""
+    return lines(s, d).select((F.col("l_suppkey") % 10).cast("string").alias("video_id"), (F.col("l_orderkey") % 200).alias("frame_idx"), "o")
 
 
 def hand_detections(s: SparkSession, d: str) -> DataFrame:
@@ -138,8 +138,8 @@ def tracked_hands(s: SparkSession, d: str) -> DataFrame:
 
 R.add("interactions", lambda s, d: I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))).groupBy("video_id", "kind").agg(F.count(F.lit(1)).alias("n")))
 R.add("interaction_events", lambda s, d: I.sessions(I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")))
-R.add("largest_object", lambda s, d: detections(s, d).select("video_id", "frame_idx", I.largest(F.col("objects"))["bbox"].alias("bbox")).select("video_id", "frame_idx", ((F.col("bbox")[2] - F.col("bbox")[0]) * (F.col("bbox")[3] - F.col("bbox")[1])).alias("area")), "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx, max(CAST(20 + l_quantity AS INTEGER) * CAST(20 + l_linenumber * 10 AS INTEGER)) AS area FROM lineitem GROUP BY 1, 2")
-R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d), 30.0, 10.0, 40).select("video_id", "frame_idx"), "SELECT DISTINCT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx FROM lineitem WHERE (l_orderkey % 200) % 3 = 0 AND l_orderkey % 200 < 120")
+R.add("largest_object", lambda s, d: I.largest_in_frame(detections(s, d)).select("video_id", "frame_idx", F.col("o.bbox").alias("bbox")).select("video_id", "frame_idx", ((F.col("bbox")[2] - F.col("bbox")[0]) * (F.col("bbox")[3] - F.col("bbox")[1])).alias("area")), "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx, max(CAST(20 + l_quantity AS INTEGER) * CAST(20 + l_linenumber * 10 AS INTEGER)) AS area FROM lineitem GROUP BY 1, 2")
+R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d).select("video_id", "frame_idx").distinct(), 30.0, 10.0, 40), "SELECT DISTINCT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx FROM lineitem WHERE (l_orderkey % 200) % 3 = 0 AND l_orderkey % 200 < 120")
 R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {_BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
 R.add("depth_norm", lambda s, d: exploded(A.depth_normalized(hands(s, d).select("episode_id", "t", "pose"))).select("episode_id", "t", "j", F.floor(F.col("z") * 100 + 1e-4).alias("z")), f"WITH {HANDS}, x AS (SELECT episode_id, t, unnest(range(0, 21))::INTEGER AS j, e FROM h), z AS (SELECT episode_id, t, j, e[3*j+3] AS z FROM x), m AS (SELECT *, quantile_cont(z, 0.5) OVER (PARTITION BY episode_id, j) AS a FROM z), q AS (SELECT *, quantile_cont(abs(z - a), 0.5) OVER (PARTITION BY episode_id, j) + 1e-8 AS b FROM m) SELECT episode_id, t, j, CAST(floor(round((z - a) / b, 5) * 100 + 1e-4) AS BIGINT) AS z FROM q")
 R.add("speed_change", lambda s, d: A.sped(bodies(s, d).select("episode_id", "t", "ts", "pose"), F.lit(1.25)).groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("ts"), 6).alias("end_ts")), "WITH f AS (SELECT vec_id // 50 AS e, count(*) AS n, max((vec_id % 50) / 30) AS t FROM embeddings GROUP BY 1) SELECT e AS episode_id, CAST(floor(n / 1.25) AS BIGINT) AS n, round(t / 1.25, 6) AS end_ts FROM f")
