@@ -75,6 +75,8 @@ def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         *map(count, ("assign", "access", "hex")),
         F.sha2(said(base), 256).alias("base_sha256"),
         said(F.col("spans")).alias("spans"),
+        F.array_join("spans.n_owners", ",").alias("n_owners"),
+        F.array_join("spans.n_repos", ",").alias("n_repos"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
     )
 

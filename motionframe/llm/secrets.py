@@ -3,7 +3,8 @@
 Candidates in a text are spans of the base patterns (assign, access, hex) and, outside of those, `opaque` runs: 20 or more
 characters of `[A-Za-z0-9+/_=-]` with lower and upper case letters, digits and at least 3.2 bits of entropy a
 character. Each candidate's value is hashed; hashes are counted over the corpus by distinct repositories and owners.
-Values that more than `MAX_OWNERS` owners have are widely copied examples; the others are live-looking.
+Values that more than `MAX_OWNERS` owners or more than `MAX_REPOS` repositories have are widely copied examples; the
+others are live-looking.
 
 Base spans are reported always, with their status; opaque ones are reported only where they are live-looking, for there
 the pattern alone says too little. The value of an assign span is its group 2.
@@ -23,13 +24,14 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motionframe.llm.common import map_rows, positional, restored
 from motionframe.session import written
 
 MAX_OWNERS = 3
+MAX_REPOS = 10
 KINDS = ("assign", "access", "hex", "opaque")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -91,7 +93,11 @@ def ownership(scanned: DataFrame, owner_col: str = "source") -> DataFrame:
     return owners.join(by_repo.groupBy("hash").agg(F.sum("n").alias("n_repos")), "hash")
 
 
-def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
+def is_live(max_owners: int, max_repos: int) -> Column:
+    return (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+
+
+def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """The columns `keep` and spans: array of (kind, start, end, from, hash, n_owners, n_repos, live), by start and kind.
 
     The scanned rows are written once, so that row ids hold when an executor is lost; only rows with candidates take
@@ -103,7 +109,7 @@ def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col
     owners = ownership(seen, "__owner")
     each = seen.where(F.size("candidates") > 0).select("__id", F.explode("candidates").alias("c"))
     each = each.join(owners.withColumnRenamed("hash", "__hash"), F.col("c.hash") == F.col("__hash"))
-    live = F.col("n_owners") <= max_owners
+    live = is_live(max_owners, max_repos)
     each = each.where((F.col("c.kind") != "opaque") | live)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("c.kind"))
     span = F.struct(F.col("c.start").alias("start"), rank.alias("rank"), F.col("c.end").alias("end"), F.col("c.kind").alias("kind"), F.col("c.from").alias("from"), F.col("c.hash").alias("hash"), "n_owners", "n_repos", live.alias("live"))
@@ -123,7 +129,7 @@ def _masked(texts, spans):
     return (out,)
 
 
-def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """docs with the values of live-looking candidates replaced by `[secret]`; no row goes, and all columns stay.
 
     Rows without candidates stay where they are. The others, with their text, are written once and joined by row id.
@@ -134,7 +140,7 @@ def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", m
     clean = seen.where(F.size("candidates") == 0).select(*names)
     some = written(seen.where(F.size("candidates") > 0).withColumn("__id", F.monotonically_increasing_id()), "secrets")
     each = some.select("__id", F.explode("candidates").alias("c"))
-    each = each.join(ownership(some, owner).withColumnRenamed("hash", "__hash"), F.col("c.hash") == F.col("__hash")).where(F.col("n_owners") <= max_owners)
+    each = each.join(ownership(some, owner).withColumnRenamed("hash", "__hash"), F.col("c.hash") == F.col("__hash")).where(is_live(max_owners, max_repos))
     spans = each.groupBy("__id").agg(F.collect_list(F.struct(F.col("c.from").alias("from"), F.col("c.end").alias("end"))).alias("spans"))
     hit = some.join(spans, "__id", "left").withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
     masked = map_rows(hit, [n for n in names if n != text], [text, "spans"], [(text, pa.string())], _masked)
