@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,18 @@ class Recent(dict):
         super().clear()
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose strings in that column have about `size` bytes; a longer one is a slice of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def ddl(kind: pa.DataType) -> str:
     if pa.types.is_list(kind):
         return f"array<{ddl(kind.value_type)}>"
