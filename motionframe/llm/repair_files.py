@@ -52,9 +52,9 @@ from motionframe.llm.prefix_bpe import byte_chars
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END = 2
-SHARD_IDS = 1 << 19
+SHARD_IDS = 1 << 20
 #: A pair is frequent if it is one in so many of a shard's pairs: 8 in a full one, where a rule takes 12 bytes and saves 2 a use.
-RAREST = 1 << 16
+RAREST = 1 << 17
 #: Pieces that a worker remembers.
 CACHE = 800_000
 #: Texts are encoded in batches of about so many bytes.
