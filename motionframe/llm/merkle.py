@@ -1,19 +1,20 @@
 """WARC fixity audit with Merkle trees, in DataFrame operations alone.
 
-Pages are rendered as WARC records and dealt into archives of about `ARCHIVE_RECORDS`; in an archive they are ordered,
-and each has the offset range that its bytes take. The leaves of a replica's tree are the digests of its records; a node
-covers `FANOUT` neighbours below it, in order, with the offset range from the first to the last, and its digest is that
-of their digests and ranges. Above the archives' roots the levels go on over the archives in order, up to one root.
+Pages are rendered as WARC records, put in order by id and digest, and cut into archives of `ARCHIVE_RECORDS` each; in an
+archive each record has the offset range that its bytes take. The leaves of a replica's tree are the digests of its
+records; a node covers `FANOUT` neighbours below it, in order, with the offset range from the first to the last, and its
+digest is that of their digests and ranges. Above the archives' roots the levels go on over the archives in order, up to
+one root. Trees of replicas that are compared have one `shape`, which holds the largest archive of either, however large.
 
 The audit compares the roots, and then, level by level, only the children of nodes that differ, down to the records:
 those changed, those missing and those that only the copy has. Levels are written once; every group has FANOUT members
 at most, every join is on a node's key, and where the roots agree nothing below is read.
 
-Nulls: a null url or html is empty, a null page_id is written as "null". Repeated rows are records of their own. Empty
-tables have an empty root and agree. Other columns are not read.
+Order: each row has a number, written with it, by which its bytes and its place find each other and which comes last in
+the order, so that ids, and even whole rows, may repeat as often as they like: no key is dealt to one task.
 
-Each row has a number, written with it, by which its bytes and its place find each other. Rows that are the same in all
-columns are dealt in runs of `RUN` over the archives, so that none has more records than its node has places.
+Nulls: a null url or html is empty, a null id is written as "null" and comes first. Repeated rows are records of their
+own. Empty tables have an empty root and agree. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,10 +26,6 @@ from motionframe.session import written
 
 FANOUT = 16
 ARCHIVE_RECORDS = 1000
-#: Archives in order share a level's nodes; an archive has this many levels, and at most FANOUT ** LEVELS records.
-LEVELS = 3
-#: Of rows that are the same in all columns, so many in a row go to the same archive.
-RUN = 64
 _CRLF = "\r\n"
 
 
@@ -50,47 +47,29 @@ def record_bytes(page_id: Column, url: Column, html: Column) -> Column:
     return F.encode(F.concat(header, body, F.lit(_CRLF * 2)), "UTF-8")
 
 
-def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records: int = ARCHIVE_RECORDS) -> DataFrame:
-    """row, record_id, archive, key, n_archives and bytes of each page. An archive's size is about `records`, whatever the ids are.
-
-    `archive` is that of the first of repeated rows; `leaves` deals the others. The pages are written once, so that the
-    row numbers hold.
-    """
+def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """row, record_id and bytes of each page. The pages are written once, so that the row numbers hold."""
     rows = pages.select(F.col(id_col).alias("record_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
-    n = max(1, -(-rows.count() // records))
-    key = F.xxhash64("record_id", "url", "html")
-    return rows.select("row", "record_id", _archive(key, F.lit(0), F.lit(n)).alias("archive"), key.alias("key"), F.lit(n).cast("long").alias("n_archives"), record_bytes(F.col("record_id"), F.col("url"), F.col("html")).alias("bytes"))
-
+    return rows.select("row", "record_id", record_bytes(F.col("record_id"), F.col("url"), F.col("html")).alias("bytes"))
 
-def _archive(key: Column, run: Column, n: Column) -> Column:
-    return F.pmod(F.xxhash64(key, run.cast("long")), n).cast("long")
 
+def leaves(records: DataFrame, size: int = ARCHIVE_RECORDS) -> DataFrame:
+    """row, archive, ordinal, record_id, start, end and digest; offsets are those in the archive. The bytes are not shuffled.
 
-def later_runs(keys: DataFrame) -> DataFrame:
-    """(row, run) of the repeated rows (row, key) that are not in their key's first run.
-
-    Rows are counted by part first, so that no task holds all rows of a key.
+    Places are found in two levels: rows of each range of the order, and the place within the range.
     """
-    part = F.shiftright("row", 33)
-    counts = keys.groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("key")
-    before = F.sum("n").over(w.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    counts = counts.select("key", "part", before.alias("before"), F.sum("n").over(w).alias("total")).where(F.col("total") > RUN).drop("total")
-    rows = keys.withColumn("part", part).join(written(counts, "repeated"), ["key", "part"])
-    place = F.col("before") + F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
-    return rows.select("row", F.floor(place / RUN).alias("run")).where(F.col("run") > 0)
-
-
-def leaves(records: DataFrame) -> DataFrame:
-    """row, archive, ordinal, record_id, start, end and digest; offsets are those in the archive. The bytes are not shuffled."""
-    short = records.select("row", "archive", "key", "n_archives", "record_id", F.octet_length("bytes").cast("long").alias("length"), F.sha2("bytes", 256).alias("digest"))
-    runs = written(later_runs(records.select("row", "key")), "runs")
-    if not runs.isEmpty():
-        short = short.join(runs, "row", "left").withColumn("archive", F.when(F.col("run").isNull(), F.col("archive")).otherwise(_archive(F.col("key"), F.col("run"), F.col("n_archives"))))
-    w = Window.partitionBy("archive").orderBy("record_id", "key", "row")
-    end = F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return short.select("row", "archive", (F.row_number().over(w) - 1).cast("long").alias("ordinal"), "record_id", (end - F.col("length")).alias("start"), end.alias("end"), "digest")
+    short = written(records.select("row", "record_id", F.octet_length("bytes").cast("long").alias("length"), F.sha2("bytes", 256).alias("digest")), "records")
+    order = ["record_id", "digest", "row"]
+    dealt = written(short.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "order")
+    part = F.shiftright("place", 33)
+    counts = dealt.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))  # one row a partition
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = dealt.join(F.broadcast(counts.select("__part", before.alias("before"))), part == F.col("__part"))
+    nth = F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1)
+    placed = placed.select("row", F.floor(nth / size).alias("archive"), (nth % size).alias("ordinal"), "record_id", "length", "digest")
+    end = F.sum("length").over(Window.partitionBy("archive").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.select("row", "archive", "ordinal", "record_id", (end - F.col("length")).alias("start"), end.alias("end"), "digest")
 
 
 def copied(leaves_: DataFrame, copy: DataFrame) -> DataFrame:
@@ -100,14 +79,23 @@ def copied(leaves_: DataFrame, copy: DataFrame) -> DataFrame:
     return at.join(found, ["archive", "start"]).withColumn("digest", F.col("__digest")).drop("__digest")
 
 
-def tree(leaves_: DataFrame, n_archives: int, fanout: int = FANOUT) -> list[DataFrame]:
+def shape(*replicas: DataFrame, fanout: int = FANOUT) -> tuple[int, int]:
+    """(archives, levels of an archive): the largest of all replicas' leaves."""
+    found = [r.agg(F.max("archive"), F.max("ordinal")).first() for r in replicas]
+    archives, records = (1 + max([f[i] for f in found if f[i] is not None], default=0) for i in (0, 1))
+    levels = 1
+    while fanout**levels < records:
+        levels += 1
+    return archives, levels
+
+
+def tree(leaves_: DataFrame, n_archives: int, levels: int, fanout: int = FANOUT) -> list[DataFrame]:
     """The levels of a replica's tree, from the root down to the leaves: (node, parent, start, end, digest, ...).
 
-    Node numbers are archive * fanout ** LEVELS + ordinal at the leaves, and a parent is its child's number // fanout.
+    Node numbers are archive * fanout ** levels + ordinal at the leaves, and a parent is its child's number // fanout.
     """
-    width = fanout**LEVELS
-    ordinal = F.when(F.col("ordinal") < width, F.col("ordinal")).otherwise(F.raise_error(F.lit(f"an archive has more than {width} records")).cast("long"))
-    level = written(leaves_.select((F.col("archive") * width + ordinal).alias("node"), "start", "end", "digest", "archive", "ordinal", "record_id").withColumn("parent", F.floor(F.col("node") / fanout)), "leaves")
+    width = fanout**levels
+    level = written(leaves_.select((F.col("archive") * width + F.col("ordinal")).alias("node"), "start", "end", "digest", "archive", "ordinal", "record_id").withColumn("parent", F.floor(F.col("node") / fanout)), "leaves")
     out, top = [level], n_archives * width
     while top > 1:
         child = F.array_sort(F.collect_list(F.struct("node", "start", "end", "digest")))

@@ -30,7 +30,6 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a copy of the archives in which some records have a byte changed and some archives lost their end."""
     records = merkle.archived(table(spark, sf_dir, "pages"))
-    n = records.select("n_archives").first()
     original = written(merkle.leaves(records), "original")
     at = original.select("row", "archive", "ordinal", "start")
     ends = at.groupBy("archive").agg(F.max("ordinal").alias("last"))
@@ -40,8 +39,9 @@ def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = F.crc32(F.col("record_id").cast("string").cast("binary")) % 97 == 0
     damaged = F.when(hit, F.overlay("bytes", F.unhex(F.lit("00")), middle)).otherwise(F.col("bytes"))
     copy = found.where(kept).select("archive", "start", damaged.alias("bytes"))
-    n_archives = n[0] if n else 1
-    return merkle.audit(merkle.tree(original, n_archives), merkle.tree(merkle.copied(original, copy), n_archives))
+    copy = written(merkle.copied(original, copy), "copy")
+    shape = merkle.shape(original, copy)
+    return merkle.audit(merkle.tree(original, *shape), merkle.tree(copy, *shape))
 
 
 def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
