@@ -16,7 +16,7 @@ def sets(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def brute(docs):
+def brute(docs, percent=85):
     """component_id by id, all pairs compared."""
     s = [sets(t) for _, t in docs]
     root = list(range(len(docs)))
@@ -28,7 +28,7 @@ def brute(docs):
 
     for i in range(len(docs)):
         for j in range(i):
-            if s[i] and s[j] and (s[i] is s[j] or 100 * len(s[i] & s[j]) >= 85 * len(s[i] | s[j])):
+            if s[i] and s[j] and (s[i] is s[j] or 100 * len(s[i] & s[j]) >= percent * len(s[i] | s[j])):
                 root[find(i)] = find(j)
     ids = {}
     for i, (d, _) in enumerate(docs):
@@ -44,8 +44,25 @@ def check(spark, docs, dedup=False):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
     if not dedup:
         return
-    out = M.near_dedup(d)
-    assert out.schema == d.schema and out.count() == sum(r.kept for r in rows)
+    for percent in (80, 85):
+        check_dedup(spark, docs, percent)
+
+
+def check_dedup(spark, docs, percent):
+    """Columns that clash with names in the operator; of each component one row stays, of rows without words all."""
+    d = spark.createDataFrame([(a, b, 7, b"r", [1], i) for i, (a, b) in enumerate(docs)], "doc_id long, text string, __cid int, __rep binary, __bands array<int>, __row int")
+    out = M.near_dedup(d, percent=percent)
+    assert out.schema == d.schema
+    kept = out.collect()
+    assert all(r["__cid"] == 7 and bytes(r["__rep"]) == b"r" and r["__bands"] == [1] and docs[r["__row"]] == (r.doc_id, r.text) for r in kept)
+    numbered = [(i, t) for i, (_, t) in enumerate(docs)]  # by place, so that every component has a name
+    groups = {}
+    for (i, n, c), (d_, _) in zip(brute(numbered, percent), docs):
+        groups.setdefault(c if n else ("none", i), []).append((d_ is not None, d_ or 0, i))
+    got = {r["__row"] for r in kept}
+    assert len(got) == len(kept) == len(groups)
+    for g in groups.values():
+        assert any(i in got and (a, b) == min(g)[:2] for a, b, i in g)
 
 
 def make(seed=3):
@@ -66,6 +83,8 @@ def make(seed=3):
     passage = say(60)
     docs += [(2000 + i, " ".join(passage + say(12))) for i in range(60)]  # alike, but below it
     docs += [(3000 + i, " ".join(core)) for i in range(40)] + [(3000, " ".join(core))]
+    nulls = " ".join(say(80))
+    docs += [(None, nulls)] * 3 + [(7, nulls + " more")] * 2
     docs.append((4000, " ".join(say(30000))))
     rng.shuffle(docs)
     return docs
@@ -82,9 +101,26 @@ def test_empty(spark):
 
 def test_blocks_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "SKETCH_BLOCK", 20)
+    monkeypatch.setattr(M, "BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(M, "HOT_TEXTS", 2)
     check(spark, make(4)[:200])
 
 
+def test_no_texts_are_copied_for_dissimilar_bucket_mates(spark):
+    """A bucket of many rows that no sketch joins: its rows are not dealt with their texts at all."""
+    rng = np.random.default_rng(1)
+    n = 5000
+    sketch = [rng.integers(0, 256, 96).astype(np.uint8).tobytes() for _ in range(n)]
+    classes = spark.createDataFrame([(i, 50, s, list(range(i * 24, i * 24 + 24))) for i, s in enumerate(sketch)], "n long, n_shingles long, sketch binary, bands array<bigint>")
+    posted = spark.createDataFrame([(0, 77, i) for i in range(n)], "band int, key long, n long")
+    labels = spark.createDataFrame([], "n long, component long")
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(n)], "n long, text string")
+    sizes = posted.groupBy("key").count().selectExpr("key", f"cast(ceil(count / {M.SKETCH_BLOCK}) as int) blocks")
+    assert M._in_blocks(posted, sizes).count() <= 3 * n
+    assert M.rest_links(posted, classes, labels, texts, 85).count() == 0
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.85):

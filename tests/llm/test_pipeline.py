@@ -26,7 +26,7 @@ def test_stages_against_brute_force(spark):
 
     two = P.drop_near_copies(spark, one, DIR)
     assert two.schema == docs.schema
-    want = [d for d, _, c in components(list(kept)) if d == c]
+    want = [d for d, _, c in components(list(kept), 80) if d == c]
     assert sorted((r.doc_id for r in two.collect()), key=str) == sorted(want, key=str)
 
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
