@@ -44,14 +44,13 @@ from pyspark.sql import functions as F
 
 from motionframe.llm.common import map_rows, positional, restored
 from motionframe.llm.components import components
+from motionframe.llm.skew import join_by_share
 from motionframe.session import written
 
 PERCENT = 85
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 BLOCK, BLOCK_BYTES, SKETCH_BLOCK = 256, 4 << 20, 2048
-#: More texts than this cannot each have more than one in as many rows.
-HOT_TEXTS = 10_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint64) * _STEP
@@ -269,22 +268,14 @@ def near_classes(signed: DataFrame, id_col: str, text_col: str, percent: int) ->
     return classes.join(labels, "n", "left").select("cid", "copies", "best", "least_id", F.coalesce("component", "n").alias("component"))
 
 
-def with_class(rows: DataFrame, classes: DataFrame, copies: DataFrame) -> DataFrame:
-    """rows left joined by cid with classes; copies: (cid, copies). Texts that many rows have are joined by broadcast."""
-    share = max(1000, rows.count() // HOT_TEXTS)
-    hot = F.broadcast(copies.where(F.col("copies") > share).select("cid"))  # HOT_TEXTS at most
-    few = rows.join(hot, "cid", "left_anti").join(classes, "cid", "left")
-    return few.unionByName(rows.join(F.broadcast(classes.join(hot, "cid", "left_semi")), "cid"))
-
-
 def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """For each row of docs: id_col, n_shingles, component_id and kept."""
     signed = signed_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
     classes = written(near_classes(signed, "id", "text", percent), "named")
     least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    found = written(classes.join(least, "component").select("cid", "component_id"), "found")
+    found = written(classes.join(least, "component").select("cid", "copies", "component_id"), "found")
     rows = signed.select("id", F.col("__cid").alias("cid"), F.col("__size").alias("n_shingles"))
-    out = with_class(rows, found, classes.select("cid", "copies"))
+    out = join_by_share(rows, found, "cid", rows.count(), "copies")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 

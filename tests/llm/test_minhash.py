@@ -4,6 +4,7 @@ import re
 import numpy as np
 
 from motionframe.llm import minhash as M
+from motionframe.llm import skew
 from motionframe.llm.components import components
 from motionframe.llm.queries import queries
 
@@ -103,7 +104,7 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(M, "BLOCK", 8)
     monkeypatch.setattr(M, "SKETCH_BLOCK", 20)
     monkeypatch.setattr(M, "BLOCK_BYTES", 10_000)
-    monkeypatch.setattr(M, "HOT_TEXTS", 2)
+    monkeypatch.setattr(skew, "HOT_KEYS", 2)
     check(spark, make(4)[:200])
 
 
@@ -151,3 +152,13 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     rows = queries()["op3_circulant_minhash"](spark, d).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == sorted(brute(docs))
+
+
+def test_join_by_share(spark):
+    """Keys above the share and below it, keys without facts, and null keys."""
+    rows = spark.createDataFrame([("hot", i) for i in range(3000)] + [("few", i) for i in range(5)] + [("none", 1), (None, 2)], "k string, i int")
+    facts = spark.createDataFrame([("hot", 3000, "h"), ("few", 5, "f"), ("unused", 0, "u")], "k string, copies long, v string")
+    for how, more in (("left", [("none", 1, None), (None, 2, None)]), ("inner", [])):
+        out = skew.join_by_share(rows, facts, "k", 3007, "copies", how).select("k", "i", "v").collect()
+        want = [("hot", i, "h") for i in range(3000)] + [("few", i, "f") for i in range(5)] + more
+        assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))

@@ -1,5 +1,9 @@
 import hashlib
+import math
+import random
 import re
+import statistics
+from collections import defaultdict
 
 from motionframe.llm import secrets as S
 from motionframe.llm.queries import queries
@@ -55,13 +59,72 @@ def test_redact(spark):
     assert rows[10].text == DOCS[9][1]
 
 
+OPAQUE = re.compile("[A-Za-z0-9+/_=-]{20,}")
+
+
+def entropy(s):
+    return -sum(s.count(c) / len(s) * math.log2(s.count(c) / len(s)) for c in set(s))
+
+
+def opaque(text, taken):
+    """Long runs with both cases and digits, outside of the base spans."""
+    for m in OPAQUE.finditer(text or ""):
+        s = m.group()
+        if any(c.islower() for c in s) and any(c.isupper() for c in s) and any(c.isdigit() for c in s) and entropy(s) >= 3.2 and not any(a < m.end() and m.start() < b for _, a, b in taken):
+            yield ("opaque", *m.span())
+
+
+def brute(rows):
+    """For each (id, text, owner): its spans as (kind, start, end, owners, repositories, live)."""
+    found, owners, repos = [], defaultdict(set), defaultdict(set)
+    for _, text, owner in rows:
+        spans = base(text)
+        spans += opaque(text, spans)
+        one = []
+        for k, a, b in sorted(spans, key=lambda x: (x[1], S.KINDS.index(x[0]))):
+            value = A.match(text, a).group(2) if k == "assign" else text[a:b]
+            owners[value].add(owner)
+            repos[value].add(text)
+            one.append((k, a, b, value))
+        found.append(one)
+    counts = list(map(len, owners.values()))
+    usual = min(max(int(3 * statistics.median(counts or [0])), 2), 10)
+    live = lambda v: len(owners[v]) <= usual and len(repos[v]) <= 10
+    return usual, [[(k, a, b, len(owners[v]), len(repos[v]), live(v)) for k, a, b, v in one if k != "opaque" or live(v)] for one in found]
+
+
+def planted():
+    """Values of one to twelve owners, in a few texts or in many."""
+    rng = random.Random(4)
+    value = lambda: "".join(rng.choice("abcdefgXYZ0123456789") for _ in range(30)) + "aZ9"
+    rows = []
+    for n in range(260):
+        v, owners = value(), 1 if n < 240 else 1 + n % 12
+        rows += [(len(rows) + i, f"w{rng.random()} {'token = ' if n % 2 else ''}{v} end", f"own{rng.randrange(9)}{i}") for i in range(owners)]
+    rows += [(9000 + i, f"copy {i} {'q1W2' * 8}x", "one") for i in range(14)]
+    return rows + [(None, None, None), (None, None, None)]
+
+
+def test_ownership_against_brute_force(spark):
+    rows = planted()
+    usual, want = brute(rows)
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {(r.doc_id, r.text): [(s.kind, s.start, s.end, s.n_owners, s.n_repos, s.live) for s in r.spans] for r in S.judged(d, ["doc_id", "text"]).collect()}
+    assert 2 <= usual < 12 and got == {r[:2]: w for r, w in zip(rows, want)}
+    kinds = {(k, live) for one in want for k, *_, live in one}
+    assert {("assign", True), ("assign", False), ("opaque", True)} <= kinds and ("opaque", False) not in kinds
+    other = {r.doc_id: [s.live for s in r.spans if s.kind == "assign"] for r in S.judged(d.where("doc_id < 600"), ["doc_id"], corpus=d).collect()}
+    assert all(v == [s[5] for s in w if s[0] == "assign"] for (i, *_), w in zip(rows, want) if (v := other.get(i)) is not None)
+
+
 def test_query(spark):
     d = "/root/testdata/sf0.1"
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
-    rows = queries()["op9_secret_ownership"](spark, d).collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        b = base(texts[r.doc_id])
-        said = [":".join(map(str, x)) for x in b]
-        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[0] == k for x in b) for k in ("assign", "access", "hex"))
-        assert r.base_sha256 == hashlib.sha256(",".join(said).encode()).hexdigest() and set(said) <= set(r.spans.split(",") + [""])
+    docs = spark.read.parquet(f"{d}/documents.parquet").collect()
+    usual, want = brute([(r.doc_id, r.text, r.source) for r in docs])
+    rows = {r.doc_id: r for r in queries()["op9_secret_ownership"](spark, d).collect()}
+    assert len(rows) == len(docs) and 2 <= usual <= 10
+    for doc, spans in zip(docs, want):
+        r, said = rows[doc.doc_id], [":".join(map(str, s[:3])) for s in spans]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in spans) for k in ("assign", "access", "hex"))
+        assert r.base_sha256 == hashlib.sha256(",".join(x for x in said if not x.startswith("opaque")).encode()).hexdigest() and r.spans == ",".join(said)
+        assert (r.n_owners, r.n_repos, r.n_live) == (",".join(str(s[3]) for s in spans), ",".join(str(s[4]) for s in spans), sum(s[5] for s in spans))
