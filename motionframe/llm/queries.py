@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -61,8 +62,9 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = slots.place(table(spark, sf_dir, "documents"), 40)
-    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot")
+    rows = slots.place(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/slot_map-{uuid.uuid4().hex}", 40)
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown, "vslot", "piece", "first_shard")
 
 
 def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,18 @@
 """Fixed virtual slots: records hash into thousands of slots, and a versioned map says which shard holds a slot.
 
 The slot of a record depends on its key alone and never changes. Bytes are summed for each slot, a table of `n_slots`
-rows at most, whatever the input; the map of a version is edited from the version before: slots leave shards that hold
+rows at most, whatever the input. A version of the map is edited from the version before: slots leave shards that hold
 more than their share, the largest first that fit, and fill those that hold the least. Only the rows of edited slots
-move. A map is a table (version, vslot, shard), written and read with the data.
+move. The map is a table in a folder of its own, (version, vslot, piece, rows_each, shard), to which `write_map` adds a
+version and from which `read_map` takes one; rows are placed by what is read there.
 
-Law `bytes`: sizes of shards are as near to each other as the slots' sizes allow. One key with very many rows would be
-one large slot: rows with equal keys are dealt over slots by their content as well (`spread`), and equal rows by
-nothing more than their size, which sums them.
+Law `bytes`: sizes of shards are as near to each other as the slots' sizes allow. One key with very many rows makes one
+large slot; a slot with more than a `PIECES`-th of a shard's share is cut into pieces of `rows_each` rows in the slot's
+order, each with a shard of its own.
 
-Positions: `slot` of a row is its place in its shard, without gaps from 0, by (vslot, key, crc, size). It is found in
-two levels, so that no task holds a shard: counts by slot, their running sum in a shard (n_slots rows), and the place
-within the slot.
+Order: rows stand by slot, key, crc and size, in ranges that Spark cuts and sorts (equal rows by a row number), so that
+no key and no slot is dealt to one task. A row's place in its slot is its place in the order less the slot's start, and
+`slot` is its place in its shard, without gaps from 0: both come from counts of ranges, slots and pieces.
 
 Nulls: a null key is a key of its own, a null text has no bytes and a null crc. Repeated rows each get a place of their
 own; which of two equal rows comes first makes no difference. Empty tables give no rows. Other columns are not read.
@@ -21,30 +22,90 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motionframe.session import written
+
 N_SLOTS = 8192
 OVERHEAD = 16
+PIECES = 16
+#: A slot's part: (virtual slot, number of the piece).
+Piece = tuple[int, int]
+MAP_SCHEMA = "version int, vslot int, piece int, rows_each long, shard int"
+
+
+def vslot(key: Column, n_slots: int = N_SLOTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int")
+
+
+def slotted(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """key, size, text_crc32, vslot and place, written in the order of slots. The upper bits of place are the range."""
+    size = (F.coalesce(F.octet_length(text_col), F.lit(0)) + OVERHEAD).cast("long")
+    rows = docs.select(F.col(key_col).alias("key"), size.alias("size"), F.crc32(F.encode(text_col, "UTF-8")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumn("vslot", vslot(F.col("key"), n_slots))
+    order = ["vslot", "key", "text_crc32", "size", "row"]
+    return written(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("row").withColumn("place", F.monotonically_increasing_id()), "slotted")
+
+
+def ranked(rows: DataFrame) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """(rows with nth, the place in the slot; bytes and rows of each slot). The driver has counts of ranges and slots."""
+    part = F.shiftright("place", 33)
+    sums = rows.groupBy(part.alias("part"), "vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
+    parts: dict[int, int] = {}
+    slots: dict[int, tuple[int, int]] = {}
+    for r in sums:
+        parts[r["part"]] = parts.get(r["part"], 0) + r["rows"]
+        b, n = slots.get(r["vslot"], (0, 0))
+        slots[r["vslot"]] = b + r["bytes"], n + r["rows"]
+    spark = rows.sparkSession
+    before = F.broadcast(spark.createDataFrame(_starts(parts), "__part long, __before long"))
+    first = F.broadcast(spark.createDataFrame(_starts({s: n for s, (_, n) in slots.items()}), "vslot int, __first long"))
+    nth = F.col("__before") + F.col("place").bitwiseAND((1 << 33) - 1) - F.col("__first")
+    out = rows.join(before, part == F.col("__part")).join(first, "vslot").withColumn("nth", nth)
+    return out.drop("__part", "__before", "__first"), slots
 
 
-def vslot(key: Column, content: Column, n_slots: int = N_SLOTS) -> Column:
-    return F.pmod(F.xxhash64(key, content), F.lit(n_slots)).cast("int")
+def _starts(counts: dict[int, int]) -> list[tuple[int, int]]:
+    """(key, sum of the counts of lesser keys)."""
+    at, out = 0, []
+    for k in sorted(counts):
+        out.append((k, at))
+        at += counts[k]
+    return out
 
 
-def slot_bytes(rows: DataFrame, size: str = "size") -> DataFrame:
-    """Bytes and rows of each slot."""
-    return rows.groupBy("vslot").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+def first_map(n_shards: int, n_slots: int = N_SLOTS) -> dict[Piece, int]:
+    """Version 1: whole slots in turn."""
+    return {(s, 0): s % n_shards for s in range(n_slots)}
 
 
-def first_map(n_shards: int, n_slots: int = N_SLOTS) -> dict[int, int]:
-    """Version 1: slots in turn."""
-    return {s: s % n_shards for s in range(n_slots)}
+def cut(slots: dict[int, tuple[int, int]], n_shards: int) -> dict[int, int]:
+    """Of slots that are large, the rows of a piece; slots has bytes and rows. They are n_shards * PIECES at most."""
+    share = sum(b for b, _ in slots.values()) / n_shards / PIECES
+    return {s: max(1, int(n * share / b)) for s, (b, n) in slots.items() if n > 1 and b > share}
 
 
-def edited_map(old: dict[int, int], load: dict[int, int], n_shards: int) -> dict[int, int]:
+def piece(rows_each: dict[int, int], vslot_: Column, nth: Column, spark: SparkSession) -> Column:
+    """The piece that a row is in."""
+    if not rows_each:
+        return F.lit(0)
+    each = F.element_at(F.create_map(*(F.lit(x) for kv in rows_each.items() for x in kv)), vslot_)
+    return F.coalesce(F.floor(nth / each), F.lit(0)).cast("int")
+
+
+def piece_sums(rows: DataFrame, slots: dict[int, tuple[int, int]], rows_each: dict[int, int]) -> dict[Piece, tuple[int, int]]:
+    """Bytes and rows of each piece of each slot; only large slots are summed again."""
+    out = {(s, 0): v for s, v in slots.items() if s not in rows_each}
+    if rows_each:
+        large = rows.where(F.col("vslot").isin(*rows_each)).withColumn("piece", piece(rows_each, F.col("vslot"), F.col("nth"), rows.sparkSession))
+        out |= {(r["vslot"], r["piece"]): (r["bytes"], r["rows"]) for r in large.groupBy("vslot", "piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()}
+    return out
+
+
+def edited_map(old: dict[Piece, int], load: dict[Piece, int], n_shards: int) -> dict[Piece, int]:
     """The next version: the fewest slots move that leave shards above the mean, the largest of those that fit first."""
-    held: dict[int, list[tuple[int, int]]] = {k: [] for k in range(n_shards)}
+    held: dict[int, list[tuple[int, Piece]]] = {k: [] for k in range(n_shards)}
     for s, k in old.items():
         held.setdefault(k, []).append((load.get(s, 0), s))
     total = {k: sum(b for b, _ in v) for k, v in held.items()}
@@ -64,9 +125,9 @@ def edited_map(old: dict[int, int], load: dict[int, int], n_shards: int) -> dict
     return _evened(new, load, n_shards)
 
 
-def _evened(slots: dict[int, int], load: dict[int, int], n_shards: int) -> dict[int, int]:
+def _evened(slots: dict[Piece, int], load: dict[Piece, int], n_shards: int) -> dict[Piece, int]:
     """Move small slots from the fullest shard to the emptiest for as long as that narrows the gap."""
-    held: list[list[tuple[int, int]]] = [[] for _ in range(n_shards)]
+    held: list[list[tuple[int, Piece]]] = [[] for _ in range(n_shards)]
     for s, k in slots.items():
         if load.get(s, 0):
             held[k].append((load[s], s))
@@ -88,25 +149,38 @@ def _evened(slots: dict[int, int], load: dict[int, int], n_shards: int) -> dict[
     return slots
 
 
-def map_table(spark: SparkSession, versions: dict[int, dict[int, int]]) -> DataFrame:
-    return spark.createDataFrame([(v, s, k) for v, m in versions.items() for s, k in m.items()], "version int, vslot int, shard int")
+def write_map(spark: SparkSession, folder: str, version: int, slots: dict[Piece, int], rows_each: dict[int, int] = {}) -> None:  # noqa: B006
+    """Add a version to the map in folder."""
+    rows = [(version, s, p, rows_each.get(s), k) for (s, p), k in sorted(slots.items())]
+    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def read_map(spark: SparkSession, folder: str, version: int) -> tuple[dict[Piece, int], dict[int, int]]:
+    """(shards of slots and pieces, rows_each of the slots that are cut)."""
+    rows = spark.read.schema(MAP_SCHEMA).parquet(folder).where(F.col("version") == version).collect()  # n_slots and the pieces
+    return {(r["vslot"], r["piece"]): r["shard"] for r in rows}, {r["vslot"]: r["rows_each"] for r in rows if r["rows_each"] is not None}
+
 
+def place(docs: DataFrame, folder: str, n_shards: int = 40, key_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """Rows with key_col, size, text_crc32, vslot, piece, shard, slot and first_shard, that of version 1.
 
-def place(docs: DataFrame, n_shards: int = 40, key_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> tuple[DataFrame, DataFrame]:
-    """(rows with key, size, text_crc32, vslot, shard and slot; the map table with version 1 and the edited version 2)."""
+    The map is written below folder: version 1 deals the slots in turn, version 2 is edited from it by the bytes found.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key_col), (F.coalesce(F.octet_length(text_col), F.lit(0)) + OVERHEAD).cast("long").alias("size"), F.crc32(F.encode(text_col, "UTF-8")).alias("text_crc32"))
-    rows = rows.withColumn("vslot", vslot(F.col(key_col), F.col("text_crc32"), n_slots))
-    sums = slot_bytes(rows).collect()  # n_slots rows at most
-    first = first_map(n_shards, n_slots)
-    second = edited_map(first, {r["vslot"]: r["bytes"] for r in sums}, n_shards)
-    maps = map_table(spark, {1: first, 2: second})
-    counts = {r["vslot"]: r["rows"] for r in sums}
+    rows, slots = ranked(slotted(docs, key_col, text_col, n_slots))
+    write_map(spark, folder, 1, first_map(n_shards, n_slots))
+    one, _ = read_map(spark, folder, 1)
+    rows_each = cut(slots, n_shards)
+    sums = piece_sums(rows, slots, rows_each)
+    held = sums | {p: (0, 0) for p in one if p not in sums and p[0] not in rows_each}
+    write_map(spark, folder, 2, edited_map({p: one[p[0], 0] for p in held}, {p: b for p, (b, _) in sums.items()}, n_shards), rows_each)
+    two, rows_each = read_map(spark, folder, 2)
     at, start = [0] * n_shards, []
-    for s in range(n_slots):
-        start.append((s, second[s], at[second[s]]))
-        at[second[s]] += counts.get(s, 0)
-    starts = F.broadcast(spark.createDataFrame(start, "vslot int, shard int, __start long"))
-    w = Window.partitionBy("vslot").orderBy(key_col, "text_crc32", "size")
-    placed = rows.withColumn("__at", F.row_number().over(w) - 1).join(starts, "vslot")
-    return placed.withColumn("slot", (F.col("__start") + F.col("__at")).cast("long")).drop("__start", "__at"), maps
+    for p, k in sorted(two.items()):
+        start.append((*p, k, at[k], one[p[0], 0]))
+        at[k] += sums.get(p, (0, 0))[1]
+    starts = F.broadcast(spark.createDataFrame(start, "vslot int, piece int, shard int, __start long, first_shard int"))
+    placed = rows.withColumn("piece", piece(rows_each, F.col("vslot"), F.col("nth"), spark)).join(starts, ["vslot", "piece"])
+    each = F.lit(0) if not rows_each else F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in rows_each.items() for x in kv)), F.col("vslot")), F.lit(0))
+    slot = (F.col("__start") + F.col("nth") - F.col("piece") * each).cast("long")
+    return placed.select(F.col("key").alias(key_col), "size", "text_crc32", "vslot", "piece", "shard", slot.alias("slot"), "first_shard")

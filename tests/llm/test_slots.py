@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from motionframe.llm import slots as S
 from motionframe.llm.queries import queries
@@ -13,7 +13,7 @@ def laws(rows, n_shards):
 
 
 def test_map_edits():
-    load = {s: (s * 7919) % 1000 + 1 for s in range(512)}
+    load = {(s, 0): (s * 7919) % 1000 + 1 for s in range(512)}
     one = S.first_map(10, 512)
     two = S.edited_map(one, load, 10)
     total = [sum(load[s] for s, k in two.items() if k == i) for i in range(10)]
@@ -25,18 +25,32 @@ def test_map_edits():
     assert S.edited_map(one, {}, 10) == one
 
 
-def test_edges(spark):
-    docs = [(None, None), (None, None), (1, ""), (1, ""), (1, "abc"), (2, "é" * 50_000)] + [(i, "t" * i) for i in range(200)]
-    d = spark.createDataFrame([(a, b, 1, 2) for a, b in docs], "doc_id long, text string, size int, slot int")
-    rows, maps = S.place(d, 7)
-    rows = rows.collect()
-    assert len(rows) == len(docs)
+def test_edges(spark, tmp_path):
+    """Null and repeated keys, and a third of all rows the very same row."""
+    docs = [(None, None), (None, None), (1, ""), (1, ""), (1, "abc"), (2, "é" * 1000)] + [(i, "t" * i) for i in range(200)] + [(77, "same")] * 700 + [(78, f"other {i}") for i in range(700)]
+    d = spark.createDataFrame([(a, b, 1, 2) for a, b in docs], "doc_id long, text string, size int, slot int").repartition(5)
+    rows = S.place(d, f"{tmp_path}/map", 7).collect()
+    assert Counter((r.doc_id, r.size) for r in rows) == Counter((a, len((b or "").encode()) + 16) for a, b in docs)
     laws(rows, 7)
-    assert {r.size for r in rows if r.doc_id is None} == {16} and max(r.size for r in rows) == 100_016
-    assert maps.where("version = 2").count() == S.N_SLOTS
-    where = {r.vslot: r.shard for r in maps.where("version = 2").collect()}
-    assert all(where[r.vslot] == r.shard for r in rows)
-    assert S.place(d.limit(0), 7)[0].count() == 0
+    total = Counter()
+    for r in rows:
+        total[r.shard] += r.size
+    assert len(total) == 7 and max(total.values()) < 1.1 * min(total.values())
+    assert len({r.shard for r in rows if r.doc_id == 77}) > 1
+    slot = {}
+    assert all(slot.setdefault(r.doc_id, r.vslot) == r.vslot for r in rows)  # by the key alone
+    two, rows_each = S.read_map(spark, f"{tmp_path}/map", 2)
+    assert all(two[r.vslot, r.piece] == r.shard for r in rows) and set(rows_each) == {r.vslot for r in rows if r.piece}
+    one, _ = S.read_map(spark, f"{tmp_path}/map", 1)
+    assert len(one) == S.N_SLOTS == len({s for s, _ in two}) and all(one[r.vslot, 0] == r.first_shard for r in rows)
+    assert S.place(d.limit(0), f"{tmp_path}/none", 7).count() == 0
+
+
+def test_slots_do_not_depend_on_texts(spark, tmp_path):
+    d = spark.createDataFrame([(i, "t" * i) for i in range(300)], "doc_id long, text string")
+    a = {r.doc_id: r.vslot for r in S.slotted(d).selectExpr("key doc_id", "vslot").collect()}
+    b = {r.doc_id: r.vslot for r in S.slotted(d.selectExpr("doc_id", "'changed' text")).selectExpr("key doc_id", "vslot").collect()}
+    assert a == b and len(set(a.values())) > 250
 
 
 def test_query(spark):
@@ -51,3 +65,6 @@ def test_query(spark):
         total[r.shard] += r.size
     laws(rows, 40)
     assert len(total) == 40 and max(total.values()) < 1.01 * min(total.values())
+    moved = {r.vslot for r in rows if r.shard != r.first_shard}
+    stayed = {r.vslot for r in rows if r.shard == r.first_shard}
+    assert 0 < len(moved) < len(stayed)
