@@ -2,11 +2,17 @@
 
 Texts and items are normalised alike: A-Z becomes a-z, every other ASCII character that is no letter or digit separates
 words. A window is `window` consecutive words of an item; an item with fewer words, but not none, is one window. A word
-of a document is hit if it lies in an occurrence of a window. Windows start and end with a space in the automaton, so
-that they only match whole words. Word positions are mapped back to code points of the original text.
+of a document is hit if it lies in an occurrence of a window. Word positions are mapped back to code points of the
+original text.
 
-The items are held as the automaton's patterns in each Python worker, at most `BLOCK_BYTES` of item text at a time: a
-larger benchmark is dealt into blocks, and the scans of the blocks follow each other in the same stage without a shuffle.
+The automaton's patterns are the short items and, of longer ones, every `(window + 1) // 2` words in a row: each window
+holds one of these blocks whole, so the automaton is no larger than the items. Where a block occurs, the document's
+windows around it are looked up among the items' windows, once each. Patterns start and end with a space, so that they
+only match whole words.
+
+A worker holds `BLOCK_BYTES` of item text (about 80 bytes of memory each) and a text is scanned once. A larger benchmark
+is taken piece after piece: the driver has one piece at a time, what is found is written with the texts between the
+pieces, and no task holds two automata.
 
 Nulls: a null text has no words and is not contaminated; a null doc_id is carried through; items with a null text or
 without words have no windows, and an item with a null id is left out of the list of ids but its windows do hit. Repeated
@@ -16,6 +22,7 @@ rows are judged one by one; repeated items count once for each distinct id. Extr
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -24,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motionframe.llm.common import SPANS, map_rows, positional, restored
+from motionframe.session import written
 
 WINDOW = 13
-BLOCK_BYTES = 256 * 1024
+BLOCK_BYTES = 4 << 20
 #: Bytes that separate words become spaces, A-Z become a-z; bytes of other letters stay.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile(rb"[^ ]+")
@@ -37,44 +45,76 @@ def words(text: str) -> list[bytes]:
     return text.encode().translate(NORMAL).split()
 
 
-def automaton(items: list[tuple[str | None, str]], window: int = WINDOW) -> ahocorasick.Automaton | None:
-    """Of (id, text): each window's value is (number of words, ids)."""
-    found: dict[str, tuple[int, set]] = {}
-    for item_id, text in items:
-        w = words(text)
-        for i in range(max(1, len(w) - window + 1) if w else 0):
-            part = w[i : i + window]
-            found.setdefault((b" " + b" ".join(part) + b" ").decode("latin-1"), (len(part), set()))[1].add(item_id)
-    if not found:
-        return None
-    made = ahocorasick.Automaton()
-    for key, value in found.items():
-        made.add_word(key, value)
-    made.make_automaton()
-    return made
-
-
-def _scan(made, texts, *known):
-    """n_words, hit word ranges (flat: start, end, ...) and ids of each text, added to those that earlier blocks gave."""
+class Items:
+    """The windows of items (id, text), and an automaton that finds where a text may have them."""
+
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
+        self.window, self.block = window, (window + 1) // 2
+        self.ids: list[str | None] = []
+        self.windows: dict[bytes, int | list[int]] = {}  # numbers of the items that have it
+        short: dict[bytes, int] = {}
+        blocks: set[bytes] = set()
+        for item_id, text in items:
+            w = words(text)
+            if not w:
+                continue
+            k = len(self.ids)
+            self.ids.append(item_id)
+            for i in range(max(1, len(w) - window + 1)):
+                self._add(b" ".join(w[i : i + window]), k)
+            if len(w) < window:
+                short[b" ".join(w)] = len(w)
+            else:
+                blocks |= {b" ".join(w[i : i + self.block]) for i in range(0, len(w) - self.block + 1, self.block)}
+        self.automaton = ahocorasick.Automaton()
+        for p in short.keys() | blocks:
+            self.automaton.add_word(f" {p.decode('latin-1')} ", (short.get(p, 0), p in blocks))
+        if self.ids:
+            self.automaton.make_automaton()
+
+    def _add(self, key: bytes, k: int) -> None:
+        had = self.windows.get(key)
+        if had is None:
+            self.windows[key] = k
+        elif isinstance(had, int):
+            self.windows[key] = [had, k] if had != k else had
+        elif had[-1] != k:
+            had.append(k)
+
+    def find(self, w: list[bytes]) -> Iterator[tuple[int, int, int | list[int]]]:
+        """(first word, last word + 1, item numbers) of each window that the words have."""
+        starts, seen = None, 0
+        for end, (size, is_block) in self.automaton.iter((b" " + b" ".join(w) + b" ").decode("latin-1")):
+            if starts is None:
+                starts = np.cumsum([1] + [len(x) + 1 for x in w])  # where words start; the last is the end
+            last = int(np.searchsorted(starts, end, side="left"))
+            if size:
+                yield last - size, last, self.windows[b" ".join(w[last - size : last])]
+            if is_block:
+                for i in range(max(seen, last - self.window), min(last - self.block, len(w) - self.window) + 1):
+                    found = self.windows.get(b" ".join(w[i : i + self.window]))
+                    if found is not None:
+                        yield i, i + self.window, found
+                seen = max(seen, last - self.block + 1)
+
+
+def _scan(items: Items, texts, *known):
+    """n_words, hit word ranges (flat: start, end, ...) and ids of each text, added to those that earlier pieces gave."""
     counts, ranges, ids = [], [], []
     old = zip(*known) if known else ((None, [], []) for _ in texts)
     for text, (_, had, had_ids) in zip(texts, old):
         w = words(text) if text is not None else []
         counts.append(len(w))
-        hits, got = list(had), set(had_ids)
-        if made is not None and w:
-            starts = None
-            for end, (size, of) in made.iter((b" " + b" ".join(w) + b" ").decode("latin-1")):
-                if starts is None:
-                    starts = np.cumsum([1] + [len(x) + 1 for x in w])  # where words start; the last is the end
-                last = int(np.searchsorted(starts, end, side="left"))
-                if len(hits) > 1 and hits[-2] <= last - size <= hits[-1]:
-                    hits[-1] = max(hits[-1], last)
+        hits, got = list(had), set()
+        if w and items.ids:
+            for a, b, of in items.find(w):
+                if len(hits) > 1 and hits[-2] <= a <= hits[-1]:
+                    hits[-1] = max(hits[-1], b)
                 else:
-                    hits += [last - size, last]
-                got |= {x for x in of if x is not None}
+                    hits += [a, b]
+                got.update((of,) if isinstance(of, int) else of)
         ranges.append(hits)
-        ids.append(sorted(got))
+        ids.append(sorted({x for k in got if (x := items.ids[k]) is not None}.union(had_ids)))
     return counts, ranges, ids
 
 
@@ -98,41 +138,45 @@ def _spans(texts, counts, ranges, ids):
     return counts, n_hit, ids, spans
 
 
-def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str | None, str]]]:
-    """The items in blocks of about block_bytes each, in an order that does not depend on partitions."""
+def item_pieces(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
+    """The items, about block_bytes of text at a time, in an order that does not depend on partitions; one piece at least."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull()).distinct()
-    blocks: list[list[tuple[str | None, str]]] = [[]]
+    piece: list[tuple[str | None, str]] = []
     size = 0
     for r in items.orderBy("item", "text").toLocalIterator(prefetchPartitions=False):
         if size > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["item"], r["text"]))
-        size += len(r["text"])
-    return blocks
+            yield piece
+            piece, size = [], 0
+        piece.append((r["item"], r["text"]))
+        size += len(r["text"].encode())
+    yield piece
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, keep: list[str] = ["doc_id"], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of docs: the columns `keep`, then n_words, n_hit, item_ids (sorted) and spans in the original text."""
-    spark = docs.sparkSession
-    blocks = item_blocks(benchmark, block_bytes=block_bytes)
+    keep = [c for c in dict.fromkeys(keep) if c not in {n for n, _ in FIELDS}]
+    names = [f"__c{i}" for i in range(len(keep))]  # as clashing names must not meet
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)), F.col(f"`{text_col}`").alias("__text"))
     state = [("__words", pa.int64()), ("__ranges", pa.list_(pa.int64())), ("__ids", pa.list_(pa.string()))]
-    rows = docs.withColumn("__text", F.col(text_col)) if len(blocks) > 1 else docs
-    text = "__text" if len(blocks) > 1 else text_col
-    for k, block in enumerate(blocks):
-        held = spark.sparkContext.broadcast(block)
-        last = k == len(blocks) - 1
+    pieces = item_pieces(benchmark, block_bytes=block_bytes)
+    piece, known = next(pieces), []
+    while True:
+        after = next(pieces, None)
+        held = docs.sparkSession.sparkContext.broadcast(piece)
 
         def setup(held=held):
-            return automaton(held.value, window)
+            return Items(held.value, window)
 
-        def step(made, texts, *known, last=last):
-            out = _scan(made, texts, *known)
+        def step(items, texts, *known, last=after is None):
+            out = _scan(items, texts, *known)
             return _spans(texts, *out) if last else out
 
-        known = [n for n, _ in state] if k else []
-        rows = map_rows(rows, keep if last else [*keep, text], [text, *known], FIELDS if last else state, step, setup)
-    return rows
+        rows = map_rows(rows, names if after is None else [*names, "__text"], ["__text", *known], FIELDS if after is None else state, step, setup)
+        if after is None:
+            return rows.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), *(n for n, _ in FIELDS))
+        rows = written(rows, "scanned")
+        held.destroy()
+        piece, known = after, [n for n, _ in state]
 
 
 def is_contaminated(n_hit: Column, n_words: Column, percent: int = 5) -> Column:

@@ -21,12 +21,12 @@ def windows(items, window=13):
     return out
 
 
-def brute(text, items, window=13):
+def brute(text, items, window=13, known=None):
     w = WORD.findall((text or "").translate(LOW))
     hit, found = set(), set()
-    for n, known in windows(items, window).items():
+    for n, of in (known or windows(items, window)).items():
         for j in range(len(w) - n + 1):
-            ids = known.get(tuple(w[j : j + n]))
+            ids = of.get(tuple(w[j : j + n]))
             if ids is not None:
                 hit |= set(range(j, j + n))
                 found |= ids
@@ -66,6 +66,25 @@ def test_against_brute_force_and_in_blocks(spark):
     assert sorted(map(key, one)) == sorted(map(key, many))
 
 
+def test_two_megabytes_of_items_in_one_pass(spark):
+    rng = random.Random(9)
+    vocab = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(say(rng.randrange(1, 120))), "") for i in range(6000)]
+    items += [(9000 + i, "the the the the the the the the " * 3 + f"end{i}", "") for i in range(300)]  # one block in many items
+    assert sum(len(t) for _, t, _ in items) > 2_000_000
+    docs = [(-1, "the " * 300, "", 0), (-2, "the " * 12, "", 0)]
+    for i in range(150):
+        w = rng.choice(items)[1].split()
+        a = rng.randrange(len(w))
+        docs.append((i, " ".join(say(20) + w[a : a + rng.randrange(8, 30)] + say(rng.randrange(9)) + w[-13:]), "", 0))
+    d = spark.createDataFrame(docs, "doc_id long, text string, n_words string, item_ids int")
+    out = D.scan_documents(d, spark.createDataFrame(items, "item_id long, text string, text2 string"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    known = windows([i[:2] for i in items])
+    assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in out.collect()} == {d[0]: brute(d[1], None, known=known) for d in docs}
+
+
 def test_spans_are_in_the_original(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     text = "Ça va? " + item.upper().replace(" ", "\t-- ") + "; bien"
@@ -81,6 +100,9 @@ def test_empty_tables_and_removal(spark):
     none = D.scan_documents(d, b.limit(0))
     assert none.agg(F.sum("n_hit")).first()[0] == 0 and none.count() == len(docs)
     assert D.scan_documents(d.limit(0), b).count() == 0
+    odd = d.withColumnRenamed("item_ids", "__text").withColumnRenamed("n_words", "__c0")
+    for r in D.scan_documents(odd, b, keep=odd.columns, block_bytes=100).collect():  # names that clash with the operator's
+        assert (r.doc_id, r.text, r["__c0"], r["__text"]) in docs
     kept = D.remove_contaminated(d, b)
     assert kept.schema == d.schema
     pairs = [i[:2] for i in items]
