@@ -18,7 +18,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies, similar from 0.8 on, the document with the smallest id stays."""
     ship(spark)
     return minhash.near_dedup(docs)
 
@@ -30,9 +30,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live-looking credentials are masked in their texts; widely copied examples stay, and so do all documents."""
+    """Live-looking credentials are masked in their texts; widely copied examples stay, and so do all documents.
+
+    Owners are counted over the whole table: the copies that show who has a value have left docs.
+    """
     ship(spark)
-    return secrets.redact(docs)
+    return secrets.redact(docs, corpus=table(spark, sf_dir, "documents"))
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
