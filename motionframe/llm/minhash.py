@@ -50,7 +50,7 @@ from motionframe.session import written
 PERCENT = 85
 SHINGLE = 5
 BANDS, ROWS = 24, 4
-BLOCK, BLOCK_BYTES, SKETCH_BLOCK = 256, 4 << 20, 2048
+BLOCK, BLOCK_BYTES, SKETCH_BLOCK = 256, 4 << 20, 512
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint64) * _STEP
