@@ -111,24 +111,23 @@ def views(frames: DataFrame, n: int, yaw: float = 30.0, pitch: float = 10.0, rol
     return rows.withColumn("pose", rotated(F.col("pose"), a("yaw", yaw), a("pitch", pitch), a("roll", roll)))
 
 
-def depth_normalized(frames: DataFrame, method: str = "median", by: str = "episode_id") -> DataFrame:
-    """z of each joint by median and MAD over the episode, by its range, or cut at three deviations."""
-    joints = frames.select(by, "t", F.posexplode("pose").alias("j", "p"))
-    z = F.col("p.z")
+def depth_normalized(frames: DataFrame, method: str = "median", eps: float = 1e-8, by: str = "episode_id") -> DataFrame:
+    """z over all joints and frames of an episode: by median and MAD, to [-1, 1] by its range (as it is where the range is
+    under eps), or cut at three deviations from the median."""
+    z = frames.select(by, F.explode("pose").alias("p")).select(by, F.col("p.z").alias("z"))
+    per = z.groupBy(by).agg(F.percentile("z", F.lit(0.5)).alias("__a"), F.min("z").alias("__lo"), F.max("z").alias("__hi"), F.stddev_pop("z").alias("__s"))
+    a, lo, hi, s = (F.col(f"__{c}") for c in ("a", "lo", "hi", "s"))
     if method == "median":
-        med = joints.groupBy(by, "j").agg(F.percentile(z, F.lit(0.5)).alias("a"))
-        dev = joints.join(med, [by, "j"]).groupBy(by, "j", "a").agg((F.percentile(F.abs(z - F.col("a")), F.lit(0.5)) + 1e-8).alias("b"))
-        new = (z - F.col("a")) / F.col("b")
+        mad = z.join(per.select(by, "__a"), by).groupBy(by).agg(F.percentile(F.abs(F.col("z") - a), F.lit(0.5)).alias("__m"))
+        per, new = per.join(mad, by), lambda v: (v - a) / (F.col("__m") + eps)
     elif method == "range":
-        dev = joints.groupBy(by, "j").agg(F.min(z).alias("a"), (F.max(z) - F.min(z) + 1e-8).alias("b"))
-        new = (z - F.col("a")) / F.col("b")
+        new = lambda v: F.when(hi - lo > eps, (v - lo) * 2 / (hi - lo) - 1).otherwise(v)
     elif method == "clip":
-        dev = joints.groupBy(by, "j").agg((F.avg(z) - F.stddev_pop(z) * 3).alias("a"), (F.avg(z) + F.stddev_pop(z) * 3).alias("b"))
-        new = F.greatest(F.col("a"), F.least(F.col("b"), z))
+        new = lambda v: F.greatest(a - s * 3, F.least(a + s * 3, v))
     else:
         raise ValueError(f"unknown method {method!r}")
-    moved = joints.join(dev, [by, "j"]).groupBy(by, "t").agg(F.array_sort(F.collect_list(F.struct("j", V.vec(F.col("p.x"), F.col("p.y"), new).alias("p")))).alias("p"))
-    return frames.drop("pose").join(moved.select(by, "t", F.transform("p", lambda r: r["p"]).alias("pose")), [by, "t"])
+    rows = frames.join(per, by).withColumn("pose", F.transform("pose", lambda j: V.vec(j["x"], j["y"], new(j["z"]))))
+    return rows.select(*frames.columns)
 
 
 def augmented(frames: DataFrame, kinds: list[str] = ["spatial", "temporal", "viewpoint"], by: str = "episode_id", t: str = "t", ts: str = "ts", all_actions: bool = False) -> DataFrame:

@@ -35,9 +35,47 @@ def list_keywords(keywords: DataFrame, category: int | None = None, language: st
     return list_by(keywords, {"category_id": category, "language": language, "is_active": active}, "priority", limit, tie="keyword_id")
 
 
-def skip_reason(max_retries: int = 3, status: str = "status", retries: str = "retry_count", failure: str = "failure_type") -> Column:
-    """Why a job is not run again, or null if it is."""
-    return F.when(F.col(status) == "completed", "completed").when((F.col(status) == "failed") & (F.col(failure) == "quality"), "quality_failed").when(F.col(retries) >= max_retries, "retries_exhausted")
+def skip_reason(max_retries: str = "max_retries", status: str = "status", retries: str = "retry_count", failure: str = "failure_type") -> Column:
+    """Why a job is not run again, or null if it is: a quality failure stays one whatever the status, and each job has its limit."""
+    return F.when(F.col(status) == "completed", "completed").when(F.col(failure) == "quality", "quality_failed").when(F.col(retries) >= F.col(max_retries), "retries_exhausted")
+
+
+def by_prefix(df: DataFrame, column: str, prefix: str, negate: bool = False) -> DataFrame:
+    """Rows whose column begins with prefix, or those whose column does not; a null is in neither."""
+    found = F.col(column).startswith(prefix)
+    return df.where(~found if negate else found)
+
+
+def among(df: DataFrame, others: DataFrame, key: str, negate: bool = False) -> DataFrame:
+    """Rows whose key others have, or those whose key they lack."""
+    return df.join(others.select(key).distinct(), key, "left_anti" if negate else "left_semi")
+
+
+def lookup(df: DataFrame, **equal: object) -> DataFrame:
+    """Rows by id, digest, address, episode or version: each given column has its value, or one of a list."""
+    for c, v in equal.items():
+        df = df.where(F.col(c).isin(*v) if isinstance(v, (list, tuple, set)) else F.col(c) == v)
+    return df
+
+
+def queue_order(tasks: DataFrame) -> DataFrame:
+    """Waiting tasks as a queue gives them out: the highest priority first, and among equals the first that came."""
+    return tasks.where(F.col("status").isin("pending", "queued")).orderBy(F.col("priority").desc(), "created_at", "task_id")
+
+
+def requeued(tasks: DataFrame, failed: DataFrame, retry: bool = True, key: str = "task_id") -> DataFrame:
+    """tasks after those of failed (key, error) failed: one more retry and a lower priority, or failed for good at the limit."""
+    hit = failed.groupBy(key).agg(F.max("error").alias("__error"), F.lit(True).alias("__hit"))
+    both = tasks.join(hit, key, "left")
+    tries = F.col("retry_count") + 1
+    again = F.lit(retry) & (tries < F.col("max_retries"))
+    new = {
+        "status": F.when(again, "pending").otherwise("failed"),
+        "priority": F.when(again, F.greatest(F.lit(1), F.col("priority") - 1)).otherwise(F.col("priority")),
+        "retry_count": tries,
+        "error": F.col("__error"),
+    }
+    return both.select(*(F.when(F.col("__hit"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in tasks.columns))
 
 
 def retryable(jobs: DataFrame, kind: str = "network") -> DataFrame:
@@ -87,9 +125,10 @@ def top_keywords_by(keywords: DataFrame, performance: DataFrame, metric: str, li
     return keywords.join(performance, "keyword_id").orderBy(F.col(metric).desc(), "keyword_id").limit(limit)
 
 
-def insert_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """existing, and the first of the rows of new for each key that it lacks."""
-    return existing.unionByName(new.dropDuplicates([key]).join(existing.select(key), key, "left_anti"), allowMissingColumns=True)
+def insert_absent(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
+    """existing, and of the rows of new for each key that it lacks the first in order."""
+    first = new.groupBy(key).agg(F.min_by(F.struct(*new.columns), F.struct(order, *(c for c in new.columns if c not in (key, order)))).alias("__r")).select("__r.*")
+    return existing.unionByName(first.join(existing.select(key), key, "left_anti"), allowMissingColumns=True)
 
 
 def is_blank(c: str, kind: str) -> Column:
@@ -105,12 +144,17 @@ def is_blank(c: str, kind: str) -> Column:
     return col.isNull()
 
 
-def fill_blanks(existing: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Upsert that keeps what is there: columns that are blank take the new value, absent keys are added."""
+def fill_blanks(existing: DataFrame, new: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
+    """Upsert that keeps what is there: columns that are blank take the new value, absent keys are added.
+
+    Where new has several rows of a key, each column takes the first in order that is not blank.
+    """
     kinds = dict(existing.dtypes)
-    given = new.select(F.col(key), *(F.col(c).alias(f"__{c}") for c in columns))
+    place = F.struct(*([order] if order else []), *columns)
+    value = lambda c: F.min_by(c, F.when(~is_blank(c, kinds[c]), place))
+    given = new.groupBy(key).agg(*(value(c).alias(f"__{c}") for c in columns))
     both = existing.join(given, key, "full_outer")
-    return both.select(*(F.when(is_blank(c, kinds[c]), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in existing.columns))
+    return both.select(*(F.when(is_blank(c, kinds[c]), F.coalesce(F.col(f"__{c}"), F.col(c))).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in existing.columns))
 
 
 def latest_jobs(log: DataFrame, key: str = "job_key", at: str = "updated_at", started: str = "started_at") -> DataFrame:

@@ -56,17 +56,27 @@ def eef_pairs(frames: DataFrame, fps: float, by: str = "episode_id", t: str = "t
     return rows.select(by, t, F.when(F.col("__n") < 2, "too_short").otherwise("ok").alias("status"), state.alias("state"), F.when(F.col("__f").isNotNull(), flat(F.zip_with("__f", "__e", V.sub))).alias("action"))
 
 
-def encoding_summary(pairs: DataFrame, by: str = "episode_id") -> DataFrame:
-    per = pairs.groupBy(by).agg(F.first("status").alias("status"), F.count(F.lit(1)).alias("frames"))
-    return per.groupBy("status").agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"))
+def encoding_results(pairs: DataFrame, files: DataFrame | None = None, by: str = "episode_id") -> DataFrame:
+    """A row for each episode: status, sizes and error. files (by, error): all that were read, with what went wrong there."""
+    per = pairs.groupBy(by).agg(F.max("status").alias("status"), F.count(F.lit(1)).alias("frames"), F.max(F.size("state")).alias("state_dim"), F.greatest(F.max(F.size("action")), F.lit(0)).alias("action_dim"))
+    per = per.withColumn("error", F.when(F.col("status") != "ok", F.concat(F.lit("under 2 frames: "), F.col("frames"))))
+    if files is None:
+        return per
+    both = files.select(by, F.col("error").alias("__error")).join(per, by, "left")
+    wrong = F.coalesce("__error", "error", F.when(F.col("status").isNull(), "no frames"))
+    return both.select(by, F.when(wrong.isNull(), "ok").when(F.col("__error").isNull() & (F.col("status") == "too_short"), "too_short").otherwise("error").alias("status"), F.coalesce("frames", F.lit(0)).alias("frames"), "state_dim", "action_dim", wrong.alias("error"))
+
+
+def encoding_summary(results: DataFrame) -> DataFrame:
+    return results.groupBy("status").agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"))
 
 
 def nearest_objects(relative: Column, k: int) -> Column:
-    """The k nearest object vectors, flat, with zeros where there are fewer."""
+    """The object vectors, flat: in their order if there are k at most, else the k nearest by distance; zeros fill up to k."""
     known = F.filter(relative, lambda o: o.isNotNull())
-    ranked = F.array_sort(F.transform(known, lambda o: F.struct(V.norm(o).alias("d"), o.alias("o"))))
-    best = flat(F.transform(F.slice(ranked, 1, k), lambda r: r["o"]))
-    return F.slice(F.concat(best, F.array_repeat(F.lit(0.0), 3 * k)), 1, 3 * k)
+    ranked = F.array_sort(F.transform(known, lambda o, i: F.struct(V.norm(o).alias("d"), i.alias("i"), o.alias("o"))))
+    best = F.when(F.size(known) > k, F.transform(F.slice(ranked, 1, k), lambda r: r["o"])).otherwise(known)
+    return F.slice(F.concat(flat(best), F.array_repeat(F.lit(0.0), 3 * k)), 1, 3 * k)
 
 
 def build_state(pose: Column, velocity: Column | None = None, objects: Column | None = None, conf: Column | None = None, top_k: int = 3, with_velocity: bool = True) -> Column:
@@ -133,22 +143,34 @@ def encoded(frames: DataFrame, parts: list[str] = ["eef"], by: str = "episode_id
 
 
 def validated(pairs: DataFrame, by: str = "episode_id", ts: str = "ts") -> DataFrame:
-    """Issues of each episode: lengths, uneven steps, numbers that are none or too large; and the ranges."""
+    """Of each episode: errors (lengths of times and actions, numbers that are none), which make it invalid, notes (uneven
+    steps, large values), which do not, and the sizes and ranges of states and actions."""
     w = Window.partitionBy(by).orderBy(ts)
-    bad = lambda c: F.exists(F.coalesce(c, F.array().cast("array<double>")), F.isnan)
-    top = lambda c: F.max(F.array_max(F.transform(c, F.abs)))
+    bad = lambda c: F.coalesce(F.exists(c, F.isnan), F.lit(False))
+    least, most = lambda c: F.min(F.array_min(c)), lambda c: F.max(F.array_max(c))
     rows = pairs.withColumn("__dt", F.lead(ts).over(w) - F.col(ts))
-    agg = rows.groupBy(by).agg(F.count("state").alias("n_states"), F.count("action").alias("n_actions"), F.stddev_pop("__dt").alias("dt_std"), F.avg("__dt").alias("dt_mean"), F.max(bad(F.col("state")) | bad(F.col("action"))).alias("has_nan"), top("state").alias("state_max"), top("action").alias("action_max"))
-    issues = F.array_compact(F.array(F.when(F.col("n_actions") != F.col("n_states") - 1, "length"), F.when(F.col("dt_std") > F.col("dt_mean") * 0.1, "uneven"), F.when(F.col("has_nan"), "nan"), F.when(F.col("state_max") > 100, "state_range"), F.when(F.col("action_max") > 10, "action_range")))
-    return agg.withColumn("issues", issues).withColumn("ok", F.size("issues") == 0)
+    agg = rows.groupBy(by).agg(
+        F.count("state").alias("n_states"), F.count("action").alias("n_actions"), F.count(ts).alias("n_times"),
+        F.stddev_pop("__dt").alias("dt_std"), F.avg("__dt").alias("dt_mean"), F.max(bad(F.col("state"))).alias("nan_states"), F.max(bad(F.col("action"))).alias("nan_actions"),
+        F.max(F.size("state")).alias("state_dim"), F.greatest(F.max(F.size("action")), F.lit(0)).alias("action_dim"),
+        least("state").alias("state_min"), most("state").alias("state_max"), least("action").alias("action_min"), most("action").alias("action_max"),
+    )
+    large = lambda c, limit: F.greatest(F.abs(F.col(f"{c}_min")), F.abs(F.col(f"{c}_max"))) > limit
+    said = lambda *found: F.array_compact(F.array(*(F.when(c, name) for name, c in found)))
+    errors = said(("timestamps", F.col("n_times") != F.col("n_states")), ("actions", F.col("n_actions") != F.col("n_states") - 1), ("nan_states", F.col("nan_states")), ("nan_actions", F.col("nan_actions")))
+    notes = said(("uneven", F.col("dt_std") > F.col("dt_mean") * 0.1), ("large_states", large("state", 100)), ("large_actions", large("action", 10)))
+    return agg.withColumn("errors", errors).withColumn("notes", notes).withColumn("valid", F.size("errors") == 0)
 
 
 def episode_stats(frames: DataFrame, array: str = "state", by: str = "episode_id") -> DataFrame:
-    v = frames.select(by, F.explode(array).alias("v"))
-    return v.groupBy(by).agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    """Shape (rows, width) and numbers of an array column in each episode."""
+    v = frames.where(F.col(array).isNotNull()).select(by, F.explode(F.transform(array, lambda x, i: F.struct(i.alias("i"), x.cast("double").alias("v")))).alias("e"))
+    v = v.select(by, "e.i", "e.v")
+    return v.groupBy(by).agg(F.count_if(F.col("i") == 0).alias("rows"), (F.max("i") + 1).alias("width"), F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
 
 
 def dataset_stats(frames: DataFrame, by: str = "episode_id") -> DataFrame:
     """Sizes and means over episodes (A15): state width, frames, confidence, hands, ready for training."""
     per = frames.groupBy(by).agg(F.count(F.lit(1)).alias("frames"), F.max(F.size("state")).alias("dim"), F.avg("confidence").alias("conf"), F.max(F.col("gripper") != 0.5).alias("hands"), F.min(F.array_min("state")).alias("lo"), F.max(F.array_max("state")).alias("hi"))
-    return per.agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.max("dim").alias("state_dim"), F.avg("lo").alias("mean_min"), F.avg("hi").alias("mean_max"), F.count_if(F.col("hands")).alias("with_hands"), F.count_if((F.col("conf") > 0.1) & (F.col("frames") >= 5)).alias("ready"), F.avg("conf").alias("mean_confidence"))
+    per = per.join(episode_stats(frames, by=by).select(by, F.col("std").alias("sd")), by, "left")
+    return per.agg(F.count(F.lit(1)).alias("episodes"), F.sum("frames").alias("frames"), F.max("dim").alias("state_dim"), F.avg("lo").alias("mean_min"), F.avg("hi").alias("mean_max"), F.avg("sd").alias("mean_std"), F.count_if(F.col("hands")).alias("with_hands"), F.count_if((F.col("conf") > 0.1) & (F.col("frames") >= 5)).alias("ready"), F.avg("conf").alias("mean_confidence"))

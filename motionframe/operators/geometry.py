@@ -232,15 +232,19 @@ def distance_2d(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
 
 
 def distance_3d(hand: Column, cx: Column, cy: Column, bbox: Column) -> Column:
-    """With the object's depth guessed from its diagonal: 1000 / max(diagonal, 1)."""
+    """Of a hand and an object's centre, both in fractions of the image; its depth is guessed from its diagonal in pixels:
+    1000 / max(diagonal, 1)."""
     diag = F.sqrt(((bbox[2] - bbox[0]) * (bbox[2] - bbox[0]) + (bbox[3] - bbox[1]) * (bbox[3] - bbox[1])).cast("double"))
     depth = 1000.0 / F.greatest(diag, F.lit(1.0))
     return V.norm(V.vec(hand["x"] - cx, hand["y"] - cy, hand["z"] - depth))
 
 
-def interaction_kind(distance: Column, grasp: Column) -> Column:
+def interaction(distance: Column, grasp: Column) -> Column:
+    """struct(kind, confidence): a grasp's is its strength, that of a touch or an approach grows as the distance falls."""
     # Distances in pixels and the strength that a grasp takes.
-    return F.when((distance < 20) & (grasp > 0.5), "grasp").when(distance < 30, "touch").when(distance < 100, "approach").otherwise("none")
+    of = lambda kind, c: F.struct(F.lit(kind).alias("kind"), c.cast("double").alias("confidence"))
+    near = lambda most: 1 - distance / most
+    return F.when((distance < 20) & (grasp > 0.5), of("grasp", grasp)).when(distance < 30, of("touch", near(30))).when(distance < 100, of("approach", near(100))).otherwise(of("none", F.lit(0.0)))
 
 
 def frame_confidence(visibility: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionframe.functions.scalar import bbox_measures
-from motionframe.operators.geometry import distance_2d, distance_3d, hand_measures, interaction_kind
+from motionframe.operators.geometry import distance_2d, distance_3d, hand_measures, interaction
 
 
 def by_class(objects: Column, names: list[str]) -> Column:
@@ -32,8 +32,10 @@ def largest_in_frame(objects: DataFrame) -> DataFrame:
 
 
 def numbered(objects: DataFrame) -> DataFrame:
-    """Rows (video_id, frame_idx, o) with the ordinal that each object has in its frame, in order."""
-    w = Window.partitionBy("video_id", "frame_idx").orderBy("o")
+    """Rows (video_id, frame_idx, o) with the ordinal that each object has among those of its class in its frame, from the
+    left: other classes that come and go do not change it."""
+    box = F.col("o.bbox")
+    w = Window.partitionBy("video_id", "frame_idx", "o.class_name").orderBy(box[0], box[1], box[2], box[3], "o.confidence")
     return objects.select("video_id", "frame_idx", (F.row_number().over(w) - 1).alias("ordinal"), "o")
 
 
@@ -44,23 +46,22 @@ def sampled(frames: DataFrame, source_fps: float, out_fps: float, most: int | No
     return out if most is None else out.where(F.col(frame) < most * k)
 
 
-def pairs(hands: DataFrame, detections: DataFrame) -> DataFrame:
-    """hands (video_id, frame_idx, hand, points) with each object of the frame: distance, grasp, kind.
+def pairs(hands: DataFrame, detections: DataFrame, width: int = 1920, height: int = 1080) -> DataFrame:
+    """hands (video_id, frame_idx, hand, points) with each object of the frame: distances, grasp, kind and confidence.
 
     Objects of one class in a frame are told apart by their ordinal.
     """
-    return paired(hands, detections.select("video_id", "frame_idx", F.posexplode("objects").alias("ordinal", "o")))
-
-
-def paired(hands: DataFrame, objects: DataFrame) -> DataFrame:
-    """pairs, with the objects as rows (video_id, frame_idx, ordinal, o)."""
-    h = hands.withColumn("m", hand_measures(F.col("points")))
-    box = bbox_measures(F.col("o.bbox"), F.lit(1920), F.lit(1080))
-    rows = h.join(objects, ["video_id", "frame_idx"]).withColumn("box", box)
-    d2 = distance_2d(F.col("m.px"), F.col("m.py"), F.col("box.cx"), F.col("box.cy"))
-    d3 = distance_3d(F.get("points", F.lit(0)), F.col("box.cx"), F.col("box.cy"), F.col("o.bbox"))
-    rows = rows.withColumn("distance", d2).withColumn("distance_3d", d3)
-    return rows.select("video_id", "frame_idx", "hand", F.concat_ws("#", "o.class_name", "ordinal").alias("object"), "distance", "distance_3d", F.col("m.grasp").alias("grasp"), F.col("m.open").alias("open"), interaction_kind(F.col("distance"), F.col("m.grasp")).alias("kind"), (F.greatest(F.lit(0.0), 1 - F.col("distance") / 100) * F.col("o.confidence")).alias("confidence"))
+    return paired(hands, numbered(detections.select("video_id", "frame_idx", F.explode("objects").alias("o"))), width, height)
+
+
+def paired(hands: DataFrame, objects: DataFrame, width: int = 1920, height: int = 1080) -> DataFrame:
+    """pairs, with the objects as rows (video_id, frame_idx, ordinal, o), in an image of that size."""
+    h = hands.withColumn("m", hand_measures(F.col("points"), width, height))
+    rows = h.join(objects, ["video_id", "frame_idx"]).withColumn("box", bbox_measures(F.col("o.bbox"), F.lit(width), F.lit(height)))
+    rows = rows.withColumn("distance", distance_2d(F.col("m.px"), F.col("m.py"), F.col("box.cx"), F.col("box.cy")))
+    rows = rows.withColumn("distance_3d", distance_3d(F.get("points", F.lit(0)), F.col("box.cx") / width, F.col("box.cy") / height, F.col("o.bbox")))
+    rows = rows.withColumn("i", interaction(F.col("distance"), F.col("m.grasp")))
+    return rows.select("video_id", "frame_idx", "hand", F.concat_ws("#", "o.class_name", "ordinal").alias("object"), "distance", "distance_3d", F.col("m.grasp").alias("grasp"), F.col("m.open").alias("open"), "i.kind", "i.confidence")
 
 
 def sessions(rows: DataFrame, fps: float, least_seconds: float = 0.1) -> DataFrame:

@@ -19,16 +19,22 @@ def uniform_grid(samples: DataFrame, fps: float, by: str = "episode_id", ts: str
     return span.where(n > 0).select(by, "t0", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("i")).select(by, "i", (F.col("t0") + F.col("i") / fps).alias(ts))
 
 
-def nearest_both(grid: DataFrame, samples: DataFrame, values: list[str], by: str = "episode_id", ts: str = "ts") -> DataFrame:
-    """grid with structs prev and next: the nearest samples at or before, and at or after, each point."""
+def nearest_both(grid: DataFrame, samples: DataFrame, values: list[str], by: str = "episode_id", ts: str = "ts", only: str | None = None) -> DataFrame:
+    """grid with structs prev and next: the nearest samples at or before, and at or after, each point.
+
+    only: a boolean column of samples; the others do not count for prev and next. prev_ts and next_ts are of any sample.
+    """
     s = F.struct(F.col(ts).alias("ts"), *values)
     rest = [c for c in grid.columns if c not in (by, ts)]
-    a = grid.select(by, ts, F.struct(*rest).alias("__g") if rest else F.struct(F.lit(1).alias("one")).alias("__g"), F.lit(None).cast(samples.select(s.alias("s")).schema["s"].dataType).alias("__s"), F.lit(True).alias("__is"))
-    b = samples.select(by, ts, F.lit(None).cast(a.schema["__g"].dataType).alias("__g"), s.alias("__s"), F.lit(False).alias("__is"))
-    w = Window.partitionBy(by).orderBy(ts)
-    rows = a.unionByName(b)
-    rows = rows.withColumn("prev", F.last("__s", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("next", F.first("__s", ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing)))
-    return rows.where("__is").select(by, ts, *(F.col(f"__g.{c}").alias(c) for c in rest), "prev", "next")
+    kind = samples.select(s.alias("s")).schema["s"].dataType
+    a = grid.select(by, ts, F.struct(*rest).alias("__g") if rest else F.struct(F.lit(1).alias("one")).alias("__g"), F.lit(None).cast(kind).alias("__s"), F.lit(None).cast("double").alias("__t"), F.lit(True).alias("__is"))
+    kept = F.when(F.col(only), s) if only else s
+    b = samples.select(by, ts, F.lit(None).cast(a.schema["__g"].dataType).alias("__g"), kept.alias("__s"), F.col(ts).cast("double").alias("__t"), F.lit(False).alias("__is"))
+    w = Window.partitionBy(by)
+    last = lambda c, o: F.last(c, ignorenulls=True).over(w.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    up, down = F.col(ts).asc(), F.col(ts).desc()  # what follows is the last one from the end: a running value, not a scan a row
+    rows = a.unionByName(b).select("*", last("__s", up).alias("prev"), last("__s", down).alias("next"), last("__t", up).alias("prev_ts"), last("__t", down).alias("next_ts"))
+    return rows.where("__is").select(by, ts, *(F.col(f"__g.{c}").alias(c) for c in rest), "prev", "next", "prev_ts", "next_ts")
 
 
 def _lerp(a: Column, b: Column, value: str, t: Column) -> Column:
@@ -36,39 +42,48 @@ def _lerp(a: Column, b: Column, value: str, t: Column) -> Column:
     return F.when(span == 0, a[value]).otherwise(a[value] + (b[value] - a[value]) * (t - a["ts"]) / span)
 
 
-def resample(samples: DataFrame, fps: float, value: str = "value", conf: str | None = None, least: float = 0.3, by: str = "episode_id", ts: str = "ts") -> DataFrame:
-    """(by, i, ts, value, valid, interpolated): linear between confident samples, continued past the first and last two.
+def resampled(samples: DataFrame, fps: float, values: list[str], conf: str | None = None, least: float = 0.3, by: str = "episode_id", ts: str = "ts", plain: list[str] = []) -> DataFrame:  # noqa: B006
+    """(by, i, ts, values, plain, valid, interpolated) on one grid: one pass over the samples, whatever the number of columns.
 
-    Episodes with fewer than two confident samples are 0 throughout. A point is valid if a sample of any confidence that
-    passes is nearer than half a period, else interpolated.
+    values are linear between confident samples, and continued past the first and last two; episodes with fewer than two
+    confident samples are 0 throughout. plain columns are so too, but of all samples. A point is valid if a sample of any
+    confidence is nearer than half a period, else interpolated.
     """
-    good = samples.where(F.col(conf) >= least) if conf else samples
-    good = good.select(by, ts, value)
-    w = Window.partitionBy(by).orderBy(ts)
-    item = F.struct(F.col(ts).alias("ts"), F.col(value).alias(value))
-    good = good.withColumn("__one", item).withColumn("__before", F.lag("__one").over(w)).withColumn("__after", F.lead("__one").over(w))
-    near = nearest_both(uniform_grid(samples, fps, by, ts), good, [value, "__before", "__after"], by, ts)
-    p, n, t = F.col("prev"), F.col("next"), F.col(ts)
-    inner = _lerp(p, n, value, t)
-    left = _lerp(n, n["__after"], value, t)
-    right = _lerp(p["__before"], p, value, t)
-    out = F.when(p.isNotNull() & n.isNotNull(), inner).when(n.isNotNull() & n["__after"].isNotNull(), left).when(p.isNotNull() & p["__before"].isNotNull(), right)
+    w = Window.partitionBy(by)
+    ok = F.coalesce(F.col(conf) >= least, F.lit(False)) if conf else F.lit(True)
+    rows = samples.withColumn("__ok", ok)
+    item = lambda cols: F.struct(F.col(ts).alias("ts"), *cols)
+    before = lambda o: F.last("__one", ignorenulls=True).over(w.orderBy(o).rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("__one", F.when(F.col("__ok"), item(values)))
+    rows = rows.withColumn("__before", before(F.col(ts).asc())).withColumn("__after", before(F.col(ts).desc()))
+    near = nearest_both(uniform_grid(samples, fps, by, ts), rows, [*values, "__before", "__after"], by, ts, "__ok")
+    near = near.withColumn("valid", F.least(F.coalesce(F.col(ts) - F.col("prev_ts"), F.lit(float("inf"))), F.coalesce(F.col("next_ts") - F.col(ts), F.lit(float("inf")))) < 0.5 / fps)
+    out = near.select(by, "i", ts, *(_continued(v, F.col(ts)).alias(v) for v in values), "valid", (~F.col("valid")).alias("interpolated"))
+    if not plain:
+        return out
+    return out.join(resampled(samples, fps, plain, None, least, by, ts).select(by, "i", *plain), [by, "i"])
+
+
+def _continued(value: str, t: Column) -> Column:
+    p, n = F.col("prev"), F.col("next")
+    out = F.when(p.isNotNull() & n.isNotNull(), _lerp(p, n, value, t)).when(n.isNotNull() & n["__after"].isNotNull(), _lerp(n, n["__after"], value, t)).when(p.isNotNull() & p["__before"].isNotNull(), _lerp(p["__before"], p, value, t))
     alone = (p.isNotNull() & p["__before"].isNull() & p["__after"].isNull()) | (n.isNotNull() & n["__before"].isNull() & n["__after"].isNull())
-    closest = F.least(F.coalesce(t - p["ts"], F.lit(float("inf"))), F.coalesce(n["ts"] - t, F.lit(float("inf"))))
-    valid = closest < 0.5 / fps
-    return near.select(by, "i", ts, F.coalesce(F.when(~alone, out), F.lit(0.0)).alias(value), valid.alias("valid"), (~valid).alias("interpolated"))
+    return F.coalesce(F.when(~alone, out), F.lit(0.0))
+
+
+def resample(samples: DataFrame, fps: float, value: str = "value", conf: str | None = None, least: float = 0.3, by: str = "episode_id", ts: str = "ts") -> DataFrame:
+    """(by, i, ts, value, valid, interpolated): `resampled` of one column."""
+    return resampled(samples, fps, [value], conf, least, by, ts)
 
 
 def aligned_channels(samples: DataFrame, fps: float, channels: list[str], conf: str, least: float = 0.3, smooth: str = "savgol", by: str = "episode_id", ts: str = "ts") -> DataFrame:
     """All channels on one grid, smoothed; confidence is resampled from all samples; low_confidence marks points below least."""
     if smooth not in ("savgol", "none"):
         raise ValueError(f"unknown smoothing {smooth!r}")
-    out = resample(samples, fps, conf, None, least, by, ts).select(by, "i", ts, conf, "valid", "interpolated")
-    for c in channels:
-        one = resample(samples, fps, c, conf, least, by, ts).select(by, "i", c)
-        if smooth == "savgol":
-            one = smoothed(one, c, out="__s", by=by, t="i").select(by, "i", F.col("__s").alias(c))
-        out = out.join(one, [by, "i"])
+    out = resampled(samples, fps, channels, conf, least, by, ts, [conf])
+    if smooth == "savgol":
+        for c in channels:
+            out = smoothed(out, c, out="__s", by=by, t="i").withColumn(c, F.col("__s")).drop("__s")
     return out.withColumn("low_confidence", F.col(conf) < least)
 
 

@@ -76,7 +76,7 @@ def islands(df: DataFrame, flag: Column, out: str = "run", by: str = "episode_id
     return df.withColumn("__c", change).withColumn(out, F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumnRenamed("__f", f"{out}_flag").drop("__c")
 
 
-def motion_segments(df: DataFrame, energy: str = "energy", threshold: float = 0.02, least: int = 30, most: int = 300, by: str = "episode_id", t: str = "t") -> DataFrame:
+def motion_segments(df: DataFrame, energy: str = "energy", threshold: float = 0.01, least: int = 30, most: int = 300, by: str = "episode_id", t: str = "t") -> DataFrame:
     """Runs of frames with energy over the threshold, at least `least` long, cut into pieces of `most`; shorter pieces go. End exclusive."""
     rows = islands(df.where(F.col(energy).isNotNull()), F.col(energy) > threshold, "run", by, t).where("run_flag")
     runs = rows.groupBy(by, "run").agg(F.min(t).alias("a"), (F.max(t) + 1).alias("b")).where(F.col("b") - F.col("a") >= least)
@@ -118,12 +118,16 @@ def gaps(samples: DataFrame, fps: float, most: float, ts: str = "ts", by: str =
     return rows.where(F.col("b") - F.col("a") > most / fps).select(by, place("a").alias("start"), place("b").alias("end"))
 
 
-def split_by_gaps(samples: DataFrame, fps: float, most: float, ts: str = "ts", by: str = "episode_id") -> DataFrame:
-    """Samples with the number of their piece between gaps; pieces of under `most` samples go."""
-    w = Window.partitionBy(by).orderBy(ts)
-    rows = samples.withColumn("__g", F.coalesce((F.col(ts) - F.lag(ts).over(w) > most / fps).cast("int"), F.lit(0)))
-    rows = rows.withColumn("piece", F.sum("__g").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__g")
-    return rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(by, "piece"))).where(F.col("__n") >= most).drop("__n")
+def split_by_gaps(grid: DataFrame, found: DataFrame, least: int, by: str = "episode_id", i: str = "i") -> DataFrame:
+    """Points of a resampled grid outside of all gaps, with the number of their piece; of episodes that have a gap, pieces of
+    under `least` points go. found: `gaps` of the samples."""
+    starts = found.where(F.col("end") > F.col("start")).groupBy(by, F.col("start").alias(i)).agg(F.max("end").alias("__end"))
+    w = Window.partitionBy(by).orderBy(i).rowsBetween(Window.unboundedPreceding, 0)
+    rows = grid.join(starts, [by, i], "left").withColumn("piece", F.count("__end").over(w)).withColumn("__until", F.max("__end").over(w))
+    rows = rows.where(F.coalesce(F.col(i) >= F.col("__until"), F.lit(True)))
+    rows = rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(by, "piece")))
+    has = found.where(F.col("end") > F.col("start")).select(by, F.lit(True).alias("__has")).distinct()
+    return rows.join(has, by, "left").where(F.col("__has").isNull() | (F.col("__n") >= least)).select(*grid.columns, "piece")
 
 
 def savgol_rows(window: int, degree: int) -> np.ndarray:

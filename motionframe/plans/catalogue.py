@@ -46,7 +46,7 @@ def us(c: str) -> F.Column:
 
 R.add("job_stats", lambda s, d: K.status_counts(jobs(s, d), ["pending", "running", "completed", "failed", "skipped"]), f"""WITH {JOBS} SELECT count(*) AS total, count_if(status='pending') AS pending, count_if(status='running') AS running, count_if(status='completed') AS completed, count_if(status='failed') AS failed, count_if(status='skipped') AS skipped, count_if(status IN ('pending','queued')) AS queue_depth FROM jobs""")
 R.add("job_search", lambda s, d: K.search_jobs(jobs(s, d), "V1_", status="failed", limit=50, offset=2).select("job_key", "stage"), f"""WITH {JOBS} SELECT job_key, stage FROM jobs WHERE status='failed' AND (job_key ILIKE '%V1\\_%' ESCAPE '\\' OR video_id ILIKE '%V1\\_%' ESCAPE '\\' OR failure_reason ILIKE '%V1\\_%' ESCAPE '\\') ORDER BY created_at DESC, job_key LIMIT 50 OFFSET 2""")
-R.add("job_skip_reasons", lambda s, d: jobs(s, d).select("job_key", K.skip_reason().alias("reason")).where("reason is not null"), f"""WITH {JOBS} SELECT * FROM (SELECT job_key, CASE WHEN status='completed' THEN 'completed' WHEN status='failed' AND failure_type='quality' THEN 'quality_failed' WHEN retry_count >= 3 THEN 'retries_exhausted' END AS reason FROM jobs) WHERE reason IS NOT NULL""")
+R.add("job_skip_reasons", lambda s, d: jobs(s, d).select("job_key", K.skip_reason().alias("reason")).where("reason is not null"), f"""WITH {JOBS} SELECT * FROM (SELECT job_key, CASE WHEN status='completed' THEN 'completed' WHEN failure_type='quality' THEN 'quality_failed' WHEN retry_count >= max_retries THEN 'retries_exhausted' END AS reason FROM jobs) WHERE reason IS NOT NULL""")
 R.add("job_retryable", lambda s, d: K.retryable(jobs(s, d)).select("job_key", "retry_count", S.backoff_seconds(F.col("retry_count")).alias("delay")), f"""WITH {JOBS} SELECT job_key, retry_count, least(pow(2.0, retry_count), 60.0) AS delay FROM jobs WHERE status='failed' AND failure_type='network' AND retry_count < max_retries""")
 R.add("recent_error_counts", lambda s, d: K.recent_errors(jobs(s, d), 200), f"""WITH {JOBS}, l AS (SELECT * FROM jobs WHERE status='failed' ORDER BY created_at DESC, job_key LIMIT 200) SELECT failure_type, count(*) AS n FROM l GROUP BY 1""")
 R.add("hourly_throughput", lambda s, d: K.hourly(jobs(s, d)).select(us("hour").alias("hour_us"), "jobs", "errors"), f"""WITH {JOBS} SELECT epoch_us(date_trunc('hour', created_at)) AS hour_us, count(*) AS jobs, count_if(status='failed') AS errors FROM jobs GROUP BY 1""")
@@ -93,8 +93,8 @@ R.add("version_bumps", lambda s, d: table(s, d, "orders").select("o_orderkey", S
 R.add("old_files", lambda s, d: K.older_than(files(s, d), F.to_timestamp(F.lit("1996-06-01 00:00:00")), 24 * 30).select("key"), f"WITH {FILES} SELECT key FROM files WHERE epoch_us(modified_at) < epoch_us(TIMESTAMP '1996-06-01') - 2592000000000")
 
 # --- upserts and maintenance
-R.add("upsert_fill_blank", lambda s, d: K.fill_blanks(table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("seg"), F.when(F.col("c_custkey") % 4 == 0, 0.0).otherwise(F.col("c_acctbal")).alias("bal")).where("c_custkey % 5 != 0"), table(s, d, "customer").select("c_custkey", F.lit("NEW").alias("seg"), F.lit(1.5).alias("bal")).where("c_custkey % 2 = 0"), "c_custkey", ["seg", "bal"]), """WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, CASE WHEN c_custkey % 4 = 0 THEN 0.0 ELSE c_acctbal END AS bal FROM customer WHERE c_custkey % 5 != 0), b AS (SELECT c_custkey, 'NEW' AS seg, 1.5::DOUBLE AS bal FROM customer WHERE c_custkey % 2 = 0) SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN a.seg IS NULL OR a.seg = '' THEN b.seg ELSE a.seg END AS seg, CASE WHEN a.bal IS NULL OR a.bal = 0 THEN b.bal ELSE a.bal END AS bal FROM a FULL JOIN b ON a.c_custkey = b.c_custkey""")
-R.add("insert_absent", lambda s, d: K.insert_absent(table(s, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", "c_name"), table(s, d, "customer").where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("c_name")), "c_custkey"), "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE 'new' END AS c_name FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0")
+R.add("upsert_fill_blank", lambda s, d: K.fill_blanks(table(s, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("seg"), F.when(F.col("c_custkey") % 4 == 0, 0.0).otherwise(F.col("c_acctbal")).alias("bal")).where("c_custkey % 5 != 0"), table(s, d, "customer").select("c_custkey", F.lit("NEW").alias("seg"), F.lit(1.5).alias("bal")).where("c_custkey % 2 = 0"), "c_custkey", ["seg", "bal"]), """WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS seg, CASE WHEN c_custkey % 4 = 0 THEN 0.0 ELSE c_acctbal END AS bal FROM customer WHERE c_custkey % 5 != 0), b AS (SELECT c_custkey, 'NEW' AS seg, 1.5::DOUBLE AS bal FROM customer WHERE c_custkey % 2 = 0) SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN a.seg IS NULL OR a.seg = '' THEN coalesce(b.seg, a.seg) ELSE a.seg END AS seg, CASE WHEN a.bal IS NULL OR a.bal = 0 THEN coalesce(b.bal, a.bal) ELSE a.bal END AS bal FROM a FULL JOIN b ON a.c_custkey = b.c_custkey""")
+R.add("insert_absent", lambda s, d: K.insert_absent(table(s, d, "customer").where("c_custkey % 3 = 0").select("c_custkey", "c_name"), table(s, d, "customer").where("c_custkey % 2 = 0").select("c_custkey", F.lit("new").alias("c_name")), "c_custkey", "c_name"), "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE 'new' END AS c_name FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0")
 R.add("cascade_remove", lambda s, d: K.dependants(table(s, d, "orders"), table(s, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")[1].groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1")
 R.add("merge_changes", lambda s, d: K.merged(table(s, d, "customer").select("c_custkey", "c_acctbal"), table(s, d, "customer").where("c_custkey % 4 = 1").select("c_custkey", F.lit(7.0).alias("c_acctbal"), (F.col("c_custkey") % 8 == 1).alias("gone")), "c_custkey", "gone"), "SELECT c_custkey, CASE WHEN c_custkey % 4 = 1 THEN 7.0 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 8 != 1")
 R.add("not_done", lambda s, d: K.not_done(table(s, d, "orders").select("o_orderkey"), table(s, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -129,4 +129,6 @@ R.add("profile_text", lambda s, d: P.text_profile(table(s, d, "documents"), ["te
 R.add("profile_categorical", lambda s, d: P.categorical_profile(table(s, d, "lineitem"), ["l_returnflag", "l_linestatus"]), """WITH x AS (UNPIVOT (SELECT l_returnflag, l_linestatus FROM lineitem) ON l_returnflag, l_linestatus INTO NAME "column" VALUE v), g AS (SELECT "column", v, count(*) AS c, row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, v) AS r FROM x GROUP BY 1, 2) SELECT "column", CAST(sum(c) AS BIGINT) AS n, count(*) AS n_unique, max(CASE WHEN r = 1 THEN v END) AS top, max(CASE WHEN r = 1 THEN c END) AS freq FROM g GROUP BY 1""")
 R.add("value_counts", lambda s, d: P.value_counts(table(s, d, "documents"), ["source", "lang"], 10), """WITH x AS (UNPIVOT (SELECT source, lang FROM documents) ON source, lang INTO NAME "column" VALUE v) SELECT "column", v AS value, count(*) AS n, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, v) AS INTEGER) AS rank FROM x GROUP BY 1, 2 QUALIFY rank <= 10""")
 R.add("column_types", lambda s, d: P.column_types(table(s, d, "orders")).select("column", "kind", "n", "n_null", "n_unique"), """SELECT c AS "column", k AS kind, n, 0::BIGINT AS n_null, u AS n_unique FROM (SELECT count(*) AS n, unnest(['o_orderkey','o_custkey','o_orderstatus','o_totalprice','o_orderdate','o_orderpriority']) AS c, unnest(['numeric','numeric','categorical','numeric','datetime','categorical']) AS k, unnest([count(DISTINCT o_orderkey), count(DISTINCT o_custkey), count(DISTINCT o_orderstatus), count(DISTINCT o_totalprice), count(DISTINCT o_orderdate), count(DISTINCT o_orderpriority)]) AS u FROM orders)""")
-R.add("check_suite", lambda s, d: P.suite_report([P.nan_check(table(s, d, "lineitem")), P.shape_check(table(s, d, "lineitem"), 1, required=["l_tax"]), P.range_check(table(s, d, "lineitem"), "l_quantity", 0, 40), P.unique_check(table(s, d, "documents"), ["text"], 0.0), P.type_check(table(s, d, "orders"), {"o_orderkey": "int", "o_totalprice": "double"}), P.custom_check(table(s, d, "events"), "positive", lambda df: F.min("value") > 0)]), "SELECT 4::BIGINT AS passed, 2::BIGINT AS failed, 0::BIGINT AS warnings, CAST(4 AS DOUBLE) * 100 / 6 AS success_pct, 'warn' AS overall FROM (SELECT count(*) FROM events)")
+R.add("check_suite", lambda s, d: P.suite_report([P.nan_check(table(s, d, "lineitem")), P.shape_check(table(s, d, "lineitem"), 1, required=["l_tax"]), P.range_check(table(s, d, "lineitem"), "l_quantity", 0, 40), P.unique_check(table(s, d, "documents"), ["text"], 0.0), P.type_check(table(s, d, "orders"), {"o_orderkey": "int", "o_totalprice": "double"}), P.custom_check(table(s, d, "events"), "positive", lambda df: F.min("value") > 0)]), """WITH x AS (SELECT count(*) AS n, count(l_orderkey) AS a, count(l_partkey) AS b, count(l_suppkey) AS c, count(l_linenumber) AS d, count(l_quantity) AS e, count(l_extendedprice) AS f, count(l_discount) AS g, count(l_tax) AS h, count(l_returnflag) AS i, count(l_linestatus) AS j, count(l_shipdate) AS k, max(l_quantity) AS hi, min(l_quantity) AS lo FROM lineitem),
+c AS (SELECT n = least(a, b, c, d, e, f, g, h, i, j, k) AS ok, 'high' AS severity FROM x UNION ALL SELECT n >= 1, 'critical' FROM x UNION ALL SELECT lo >= 0 AND hi <= 40, 'medium' FROM x UNION ALL SELECT max(k) = 1, 'high' FROM (SELECT count(*) AS k FROM documents GROUP BY text) UNION ALL SELECT bool_and(contains(upper(typeof(o_orderkey)), 'INT') AND typeof(o_totalprice) = 'DOUBLE'), 'medium' FROM orders UNION ALL SELECT min(value) > 0, 'medium' FROM events)
+SELECT count_if(ok)::BIGINT AS passed, count_if(NOT ok)::BIGINT AS failed, 0::BIGINT AS warnings, count_if(ok) * 100.0::DOUBLE / count(*) AS success_pct, CASE WHEN count_if(NOT ok AND severity = 'critical') > 0 THEN 'fail' WHEN count_if(NOT ok) > 0 THEN 'warn' ELSE 'pass' END AS overall FROM c""")

@@ -68,7 +68,6 @@ R.add("velocity", lambda s, d: W.velocity(series(s, d), "value", 2.0).select("ep
 R.add("difference", lambda s, d: W.difference(series(s, d), "value").select("episode_id", "t", r("delta")), f"WITH {SERIES} SELECT episode_id, t, round(lead(value) OVER (PARTITION BY episode_id ORDER BY t) - value, 6) AS delta FROM s")
 R.add("acceleration", lambda s, d: W.acceleration(series(s, d), "value", 1.0).groupBy("episode_id").agg(F.round(F.sum("acceleration"), 4).alias("total")), f"WITH {SERIES}, v AS (SELECT episode_id, t, CASE WHEN lag(value) OVER w IS NULL THEN lead(value) OVER w - value WHEN lead(value) OVER w IS NULL THEN value - lag(value) OVER w ELSE (lead(value) OVER w - lag(value) OVER w) / 2 END AS v FROM s WINDOW w AS (PARTITION BY episode_id ORDER BY t)), a AS (SELECT episode_id, CASE WHEN lag(v) OVER w IS NULL THEN lead(v) OVER w - v WHEN lead(v) OVER w IS NULL THEN v - lag(v) OVER w ELSE (lead(v) OVER w - lag(v) OVER w) / 2 END AS a FROM v WINDOW w AS (PARTITION BY episode_id ORDER BY t)) SELECT episode_id, round(sum(a), 4) AS total FROM a GROUP BY 1")
 R.add("moving_average", lambda s, d: W.moving_average(series(s, d), "value", 30).select("episode_id", "t", r("average", 4)), f"WITH {SERIES}, n AS (SELECT *, count(*) OVER (PARTITION BY episode_id) AS n, avg(value) OVER (PARTITION BY episode_id) AS m FROM s) SELECT episode_id, t, round(CASE WHEN n < 30 THEN m ELSE sum(value) OVER (PARTITION BY episode_id ORDER BY t ROWS BETWEEN 15 PRECEDING AND 14 FOLLOWING) / 30 END, 4) AS average FROM n")
-R.add("smoothing_savgol", lambda s, d: W.smoothed(series(s, d), "value").select("episode_id", "t", r("smoothed")))
 R.add("motion_energy", lambda s, d: W.motion_energy(hands(s, d)).select("episode_id", "t", r("energy")), f"WITH {ENERGY} SELECT episode_id, t, round(energy, 6) AS energy FROM g")
 R.add("pose_jitter", lambda s, d: W.jitter(hands(s, d)).select("episode_id", "t", r("jitter")), f"WITH {HANDS} SELECT a.episode_id, a.t, round(coalesce(list_sum(list_transform(range(0, 21), lambda j: sqrt(pow(b.e[3*j+1]-2*a.e[3*j+1]+c.e[3*j+1], 2) + pow(b.e[3*j+2]-2*a.e[3*j+2]+c.e[3*j+2], 2) + pow(b.e[3*j+3]-2*a.e[3*j+3]+c.e[3*j+3], 2)))) / 21, 0), 6) AS jitter FROM h a LEFT JOIN h b ON b.episode_id = a.episode_id AND b.t = a.t + 1 LEFT JOIN h c ON c.episode_id = a.episode_id AND c.t = a.t - 1")
 _T = 0.21
@@ -79,28 +78,16 @@ R.add("fixed_segments", lambda s, d: W.fixed_segments(series(s, d).groupBy("epis
 R.add("continuity", lambda s, d: W.continuity(hands(s, d), F.col("confidence") > 0.05), f"WITH {HANDS}, i AS (SELECT episode_id, confidence > 0.05 AS v, t - row_number() OVER (PARTITION BY episode_id, confidence > 0.05 ORDER BY t) AS k FROM h), c AS (SELECT episode_id, v, k, count(*) AS n FROM i GROUP BY 1, 2, 3) SELECT episode_id, coalesce(max(CASE WHEN v THEN n END), 0) AS continuous_frames, coalesce(max(CASE WHEN NOT v THEN n END), 0) AS max_gap_frames FROM c GROUP BY 1")
 R.add("carry_forward", lambda s, d: W.carried(series(s, d), "value", F.col("value") > 40, "last_value").select("episode_id", "t", "last_value"), f"WITH {SERIES} SELECT episode_id, t, last_value(CASE WHEN value > 40 THEN value END IGNORE NULLS) OVER (PARTITION BY episode_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_value FROM s")
 R.add("gaps", lambda s, d: W.gaps(series(s, d), 1 / 3600, 20.0), f"WITH {SERIES}, w AS (SELECT episode_id, ts AS a, lead(ts) OVER p AS b, min(ts) OVER (PARTITION BY episode_id) AS t0 FROM s WINDOW p AS (PARTITION BY episode_id ORDER BY ts)) SELECT episode_id, CAST(ceil((a - t0) * (1 / 3600)) AS BIGINT) AS start, CAST(ceil((b - t0) * (1 / 3600)) AS BIGINT) AS \"end\" FROM w WHERE b - a > 20.0 / (1 / 3600)")
-R.add("split_by_gaps", lambda s, d: W.split_by_gaps(series(s, d), 1 / 3600, 10.0).groupBy("episode_id", "piece").agg(F.count(F.lit(1)).alias("n")), f"WITH {SERIES}, w AS (SELECT episode_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY episode_id ORDER BY ts) > 10.0 / (1 / 3600), false)::INT AS g FROM s), c AS (SELECT episode_id, sum(g) OVER (PARTITION BY episode_id ORDER BY ts) AS piece FROM w) SELECT episode_id, CAST(piece AS BIGINT) AS piece, count(*) AS n FROM c GROUP BY 1, 2 HAVING count(*) >= 10")
 R.add("resample", lambda s, d: T.resample(series(s, d), 1 / 7200).select("episode_id", "i", r("value", 4), "valid", "interpolated"), f"WITH {SERIES}, g AS (SELECT episode_id, t0 + i * 7200.0 AS ts, i FROM (SELECT episode_id, t0, unnest(range(0, CAST(ceil(round((t1 - t0) * (1 / 7200), 9)) AS BIGINT))) AS i FROM (SELECT episode_id, min(ts) AS t0, max(ts) AS t1 FROM s GROUP BY 1))), p AS (SELECT g.*, s.ts AS pt, s.value AS pv FROM g ASOF LEFT JOIN s ON g.episode_id = s.episode_id AND g.ts >= s.ts), n AS (SELECT p.*, s.ts AS nt, s.value AS nv FROM p ASOF LEFT JOIN s ON p.episode_id = s.episode_id AND p.ts <= s.ts) SELECT episode_id, i, round(CASE WHEN nt = pt THEN pv ELSE pv + (nv - pv) * (ts - pt) / (nt - pt) END, 4) AS value, least(ts - pt, nt - ts) < 3600 AS valid, NOT (least(ts - pt, nt - ts) < 3600) AS interpolated FROM n")
-R.add("interpolated_ratio", lambda s, d: T.interpolated_ratio(T.resample(series(s, d), 1 / 7200)).select("episode_id", r("interpolated_ratio")))
 R.add("aligned_channels", lambda s, d: T.aligned_channels(hands(s, d).select("episode_id", "ts", F.col("pose")[0]["x"].alias("x"), "confidence"), 20.0, ["x"], "confidence", 0.02).select("episode_id", "i", r("x"), r("confidence"), "valid", "low_confidence"))
 R.add("hand_gripper", lambda s, d: hands(s, d).select("episode_id", "t", F.round(E.gripper(F.lit(None).cast("array<struct<x:double,y:double,z:double>>"), F.col("pose")), 6).alias("gripper"), E.gripper_closed(F.col("pose")).alias("closed")), f"WITH {HANDS}, p AS (SELECT episode_id, t, sqrt(pow(e[13]-e[25], 2) + pow(e[14]-e[26], 2) + pow(e[15]-e[27], 2)) AS p FROM h) SELECT episode_id, t, round(least(1.0, greatest(0.0, 1 - (p - 0.03) / 0.2)), 6) AS gripper, (p < 0.05)::DOUBLE AS closed FROM p")
 R.add("translated_hand", lambda s, d: exploded(hands(s, d).withColumn("pose", G.joint_relative_to(F.col("pose"), 0))), f"WITH {HANDS}, j AS (SELECT unnest(range(0, 21))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] - e[1], 5) AS x, round(e[3*j+2] - e[2], 5) AS y, round(e[3*j+3] - e[3], 5) AS z FROM h, j")
-_BODY = "b AS (SELECT vec_id // 50 AS episode_id, vec_id % 50 AS t, list_transform(range(0, 99), lambda i: embedding[i % 63 + 1]::DOUBLE) AS e FROM embeddings)"
-R.add("body_normalised", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.hip_normalized(F.col("pose")))), f"WITH {_BODY}, c AS (SELECT *, list_transform(range(1, 4), lambda k: (e[69+k] + e[72+k]) / 2) AS o, least(2.0, greatest(0.01, sqrt(pow(e[34]-e[37], 2) + pow(e[35]-e[38], 2) + pow(e[36]-e[39], 2)))) AS w FROM b), j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round((e[3*j+1] - o[1]) / w, 5) AS x, round((e[3*j+2] - o[2]) / w, 5) AS y, round((e[3*j+3] - o[3]) / w, 5) AS z FROM c, j")
-R.add("mirror", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.mirrored(F.col("pose")))), f"WITH {_BODY}, j AS (SELECT j::INTEGER AS j, m FROM (SELECT unnest(range(0, 33)) AS j, unnest([0, 4, 5, 6, 1, 2, 3, 8, 7, 10, 9, 12, 11, 14, 13, 16, 15, 18, 17, 20, 19, 22, 21, 24, 23, 26, 25, 28, 27, 30, 29, 32, 31]) AS m)) SELECT episode_id, t, j, round(-e[3*m+1], 5) AS x, round(e[3*m+2], 5) AS y, round(e[3*m+3], 5) AS z FROM b, j")
-R.add("joint_relative", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.joint_relative(F.col("pose"), G.LIMB_PARENT))), f"WITH {_BODY}, j AS (SELECT j::INTEGER AS j, p FROM (SELECT unnest(range(0, 33)) AS j, unnest([NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,0,0,11,12,13,14,NULL,NULL,NULL,NULL,NULL,NULL,0,0,23,24,25,26,NULL,NULL,NULL,NULL]) AS p)) SELECT episode_id, t, j, round(e[3*j+1] - coalesce(e[3*p+1], 0), 5) AS x, round(e[3*j+2] - coalesce(e[3*p+2], 0), 5) AS y, round(e[3*j+3] - coalesce(e[3*p+3], 0), 5) AS z FROM b, j")
+BODY = "b AS (SELECT vec_id // 50 AS episode_id, vec_id % 50 AS t, list_transform(range(0, 99), lambda i: embedding[i % 63 + 1]::DOUBLE) AS e FROM embeddings)"
+R.add("body_normalised", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.hip_normalized(F.col("pose")))), f"WITH {BODY}, c AS (SELECT *, list_transform(range(1, 4), lambda k: (e[69+k] + e[72+k]) / 2) AS o, least(2.0, greatest(0.01, sqrt(pow(e[34]-e[37], 2) + pow(e[35]-e[38], 2) + pow(e[36]-e[39], 2)))) AS w FROM b), j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round((e[3*j+1] - o[1]) / w, 5) AS x, round((e[3*j+2] - o[2]) / w, 5) AS y, round((e[3*j+3] - o[3]) / w, 5) AS z FROM c, j")
+R.add("mirror", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.mirrored(F.col("pose")))), f"WITH {BODY}, j AS (SELECT j::INTEGER AS j, m FROM (SELECT unnest(range(0, 33)) AS j, unnest([0, 4, 5, 6, 1, 2, 3, 8, 7, 10, 9, 12, 11, 14, 13, 16, 15, 18, 17, 20, 19, 22, 21, 24, 23, 26, 25, 28, 27, 30, 29, 32, 31]) AS m)) SELECT episode_id, t, j, round(-e[3*m+1], 5) AS x, round(e[3*m+2], 5) AS y, round(e[3*m+3], 5) AS z FROM b, j")
+R.add("joint_relative", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.joint_relative(F.col("pose"), G.LIMB_PARENT))), f"WITH {BODY}, j AS (SELECT j::INTEGER AS j, p FROM (SELECT unnest(range(0, 33)) AS j, unnest([NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,0,0,11,12,13,14,NULL,NULL,NULL,NULL,NULL,NULL,0,0,23,24,25,26,NULL,NULL,NULL,NULL]) AS p)) SELECT episode_id, t, j, round(e[3*j+1] - coalesce(e[3*p+1], 0), 5) AS x, round(e[3*j+2] - coalesce(e[3*p+2], 0), 5) AS y, round(e[3*j+3] - coalesce(e[3*p+3], 0), 5) AS z FROM b, j")
 R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))).select("episode_id", *(r(c) for c in ("valid_ratio", "scale_min", "scale_max", "scale_mean", "coord_mean"))))
-R.add("rotation_normalised", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.shoulders_to_x(F.col("pose")))))
-R.add("height_scaled", lambda s, d: bodies(s, d).select("episode_id", "t", F.round(G.height_scaled(F.col("pose"))["factor"], 6).alias("factor")), f"WITH {_BODY}, n AS (SELECT episode_id, t, sqrt(pow(e[1]-(e[82]+e[85])/2, 2) + pow(e[2]-(e[83]+e[86])/2, 2) + pow(e[3]-(e[84]+e[87])/2, 2)) AS h FROM b) SELECT episode_id, t, round(CASE WHEN h < 1e-6 THEN 1.0 ELSE 1.7 / h END, 6) AS factor FROM n")
-R.add("states_actions", lambda s, d: E.imitation_pairs(bodies(s, d), 30.0)[0].select("episode_id", "t", F.size("state").alias("state_dim"), F.coalesce(F.size("action"), F.lit(-1)).alias("action_dim"), F.round(F.aggregate(F.col("state").cast("array<double>"), F.lit(0.0), lambda a, v: a + v), 1).alias("state_sum")))
-R.add("eef_encoding", lambda s, d: E.encoding_summary(E.eef_pairs(bodies(s, d), 30.0)), "SELECT 'ok' AS status, count(DISTINCT vec_id // 50) AS episodes, count(*)::BIGINT AS frames FROM embeddings")
-R.add("validated_pairs", lambda s, d: E.validated(E.imitation_pairs(bodies(s, d), 30.0)[0].join(bodies(s, d).select("episode_id", "t", "ts"), ["episode_id", "t"])).select("episode_id", "n_states", "n_actions", "has_nan", F.concat_ws(",", "issues").alias("issues"), "ok"))
-R.add("dataset_stats", lambda s, d: E.dataset_stats(E.imitation_pairs(bodies(s, d), 30.0)[0].join(bodies(s, d).select("episode_id", "t", "confidence", E.gripper(F.col("left_hand"), F.col("right_hand")).alias("gripper")), ["episode_id", "t"])).select("episodes", "frames", "state_dim", "with_hands", "ready", r("mean_confidence")))
-R.add("pose_quality", lambda s, d: Q.pose_quality(seen_bodies(s, d)).select("episode_id", "total_frames", "continuous_frames", *(r(c) for c in ("confidence_mean", "jitter_score", "visible_joints_mean", "quality_score")), F.concat_ws("; ", "failure_reasons").alias("reasons"), "passed"))
-R.add("top_percent", lambda s, d: Q.top_percent(Q.pose_quality(seen_bodies(s, d)), 30).select("episode_id", r("quality_score")))
-R.add("pass_rate_grid", lambda s, d: Q.pass_rates(Q.pose_quality(seen_bodies(s, d)), [{"min_confidence": c, "max_jitter_score": j} for c in (0.0, 0.05, 0.1) for j in (0.1, 0.3, 1.0)]).withColumn("pass_rate", F.round("pass_rate", 6)))
-R.add("quality_distribution", lambda s, d: Q.distribution(Q.pose_quality(seen_bodies(s, d))).select("n", *(r(c) for c in ("mean", "std", "min", "max", "p25", "p50", "p75", "p95", "pass_rate"))))
-R.add("failure_histogram", lambda s, d: Q.failure_histogram(Q.pose_quality(seen_bodies(s, d))))
+R.add("height_scaled", lambda s, d: bodies(s, d).select("episode_id", "t", F.round(G.height_scaled(F.col("pose"))["factor"], 6).alias("factor")), f"WITH {BODY}, n AS (SELECT episode_id, t, sqrt(pow(e[1]-(e[82]+e[85])/2, 2) + pow(e[2]-(e[83]+e[86])/2, 2) + pow(e[3]-(e[84]+e[87])/2, 2)) AS h FROM b) SELECT episode_id, t, round(CASE WHEN h < 1e-6 THEN 1.0 ELSE 1.7 / h END, 6) AS factor FROM n")
 
 
 def lines(s: SparkSession, d: str) -> DataFrame:
@@ -136,12 +123,9 @@ def tracked_hands(s: SparkSession, d: str) -> DataFrame:
     return hands(s, d).select(F.col("episode_id").cast("string").alias("video_id"), F.col("t").alias("frame_idx"), F.lit("left").alias("hand"), points.alias("points"))
 
 
-R.add("interactions", lambda s, d: I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))).groupBy("video_id", "kind").agg(F.count(F.lit(1)).alias("n")))
-R.add("interaction_events", lambda s, d: I.sessions(I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d))), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")))
 R.add("largest_object", lambda s, d: I.largest_in_frame(detections(s, d)).select("video_id", "frame_idx", F.col("o.bbox").alias("bbox")).select("video_id", "frame_idx", ((F.col("bbox")[2] - F.col("bbox")[0]) * (F.col("bbox")[3] - F.col("bbox")[1])).alias("area")), "SELECT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx, max(CAST(20 + l_quantity AS INTEGER) * CAST(20 + l_linenumber * 10 AS INTEGER)) AS area FROM lineitem GROUP BY 1, 2")
 R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d).select("video_id", "frame_idx").distinct(), 30.0, 10.0, 40), "SELECT DISTINCT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx FROM lineitem WHERE (l_orderkey % 200) % 3 = 0 AND l_orderkey % 200 < 120")
-R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {_BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
-R.add("depth_norm", lambda s, d: exploded(A.depth_normalized(hands(s, d).select("episode_id", "t", "pose"))).select("episode_id", "t", "j", F.floor(F.col("z") * 100 + 1e-4).alias("z")), f"WITH {HANDS}, x AS (SELECT episode_id, t, unnest(range(0, 21))::INTEGER AS j, e FROM h), z AS (SELECT episode_id, t, j, e[3*j+3] AS z FROM x), m AS (SELECT *, quantile_cont(z, 0.5) OVER (PARTITION BY episode_id, j) AS a FROM z), q AS (SELECT *, quantile_cont(abs(z - a), 0.5) OVER (PARTITION BY episode_id, j) + 1e-8 AS b FROM m) SELECT episode_id, t, j, CAST(floor(round((z - a) / b, 5) * 100 + 1e-4) AS BIGINT) AS z FROM q")
+R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
 R.add("speed_change", lambda s, d: A.sped(bodies(s, d).select("episode_id", "t", "ts", "pose"), F.lit(1.25)).groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("ts"), 6).alias("end_ts")), "WITH f AS (SELECT vec_id // 50 AS e, count(*) AS n, max((vec_id % 50) / 30) AS t FROM embeddings GROUP BY 1) SELECT e AS episode_id, CAST(floor(n / 1.25) AS BIGINT) AS n, round(t / 1.25, 6) AS end_ts FROM f")
 R.add("augment_batch", lambda s, d: A.augment_batch(bodies(s, d).select("episode_id", "t", "ts", "pose"), 0.5).groupBy("variant").agg(F.count(F.lit(1)).alias("frames"), F.count_distinct("episode_id").alias("episodes")))
 R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid"))

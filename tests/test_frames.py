@@ -103,7 +103,11 @@ def test_states_and_actions(spark):
     assert np.allclose(rows[0].action[:99], ((p[1] - p[0]) / 0.3 * 30).ravel(), atol=1e-3) and rows[0].action[99] == 0.5
     assert rejects.collect()[0].episode_id == 2
     ok = E.validated(pairs.join(df.select("episode_id", "t", "ts"), ["episode_id", "t"])).first()
-    assert ok.n_states == 6 and ok.n_actions == 5 and "length" not in ok.issues
+    assert (ok.n_states, ok.n_actions, ok.n_times, ok.errors, ok.valid) == (6, 5, 6, [], True)
+    bad = E.validated(pairs.join(df.select("episode_id", "t", F.when(F.col("t") != 2, F.col("ts")).alias("ts")), ["episode_id", "t"]).withColumn("state", F.when(F.col("t") == 1, F.transform("state", lambda v: F.lit(float("nan")).cast("float"))).otherwise(F.col("state")))).first()
+    assert bad.errors == ["timestamps", "nan_states"] and not bad.valid
+    odd = E.validated(pairs.join(df.select("episode_id", "t", (F.col("ts") + F.when(F.col("t") > 3, 9).otherwise(0)).alias("ts")), ["episode_id", "t"])).first()
+    assert "uneven" in odd.notes and odd.valid  # notes don't make it invalid
 
 
 def test_resample(spark):
@@ -169,7 +173,14 @@ def test_augment(spark):
     s = A.sped(df, F.lit(2.0)).orderBy("t").collect()
     assert len(s) == 20 and math.isclose(s[-1].ts, df.agg(F.max("ts")).first()[0] / 2)
     z = poses_of(A.depth_normalized(df))[:, :, 2]
-    med = np.median(p[:, :, 2], axis=0)
-    assert np.allclose(z, (p[:, :, 2] - med) / (np.median(np.abs(p[:, :, 2] - med), axis=0) + 1e-8))
+    depth = p[:, :, 2]
+    med = np.median(depth)
+    assert np.allclose(z, (depth - med) / (np.median(np.abs(depth - med)) + 1e-8))
+    z = poses_of(A.depth_normalized(df, "range"))[:, :, 2]
+    assert np.allclose(z, 2 * (depth - depth.min()) / (depth.max() - depth.min()) - 1)
+    z = poses_of(A.depth_normalized(df, "clip"))[:, :, 2]
+    assert np.allclose(z, np.clip(depth, med - 3 * depth.std(), med + 3 * depth.std()))
+    level = df.withColumn("pose", F.transform("pose", lambda j: F.struct(j["x"].alias("x"), j["y"].alias("y"), F.lit(2.0).alias("z"))))
+    assert np.allclose(poses_of(A.depth_normalized(level, "range"))[:, :, 2], 2.0)
     a, b = (sorted((r.variant, r.t, str(r.pose)) for r in A.augmented(x).collect()) for x in (df, df.repartition(7)))
     assert a == b and {v for v, _, _ in a} == {"mirror", "scale", "noise", "view", "speed", "offset", "crop"}

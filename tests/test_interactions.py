@@ -27,10 +27,13 @@ def kinds(spark, d):
     for v, e in hands.items():
         p = [(abs(e[3 * j]) * 3, abs(e[3 * j + 1]) * 3, e[3 * j + 2]) for j in range(21)]
         grasp = 1 - max(0.0, min(1.0, (math.dist(p[4], p[8]) - 0.05) / 0.45))
-        for k, (_, name, conf, (x1, y1, x2, y2)) in enumerate(sorted(objects[v])):
+        nth = Counter()
+        for _, name, _, (x1, y1, x2, y2) in sorted(objects[v], key=lambda o: (o[3], o[2])):
+            k = nth[name]  # among those of its class
+            nth[name] += 1
             far = math.hypot(p[0][0] * 1920 - (x1 + x2) / 2, p[0][1] * 1080 - (y1 + y2) / 2)
             kind = "grasp" if far < 20 and grasp > 0.5 else "touch" if far < 30 else "approach" if far < 100 else "none"
-            out.append((str(v // 50), f"{name}#{k}", v % 50, kind, max(0.0, 1 - far / 100) * conf))
+            out.append((str(v // 50), f"{name}#{k}", v % 50, kind, {"grasp": grasp, "touch": 1 - far / 30, "approach": 1 - far / 100, "none": 0.0}[kind]))
     return hands, out
 
 
