@@ -87,6 +87,21 @@ def format_size(size: Column) -> Column:
     return out.otherwise(said(5, "PB"))
 
 
+def video_summary(name: Column, seconds: Column, width: Column, height: Column, fps: Column, codec: Column, audio: Column, size: Column) -> Column:
+    """One line on a video; what is not known, or 0, is left out."""
+    known = lambda test, said: F.when(F.coalesce(test, F.lit(False)), said)
+    whole = F.floor(seconds)
+    return F.array_join(F.array(
+        F.concat(F.lit("File: "), name),
+        known(seconds > 0, F.format_string("Duration: %dm %ds", F.floor(whole / 60), whole % 60)),
+        known((width > 0) & (height > 0), F.format_string("Resolution: %dx%d", width, height)),
+        known(fps > 0, F.format_string("FPS: %.2f", fps)),
+        known(codec != "", F.concat(F.lit("Video Codec: "), codec)),
+        known(audio != "", F.concat(F.lit("Audio Codec: "), audio)),
+        known(size > 0, F.format_string("Size: %.2f MB", size / 1048576.0)),
+    ), " | ")
+
+
 def search_query(keywords: Column, operator: Column, platform: Column) -> Column:
     """The known platforms join with OR if asked to; all else joins with blanks."""
     joined = (F.upper(operator) == "OR") & F.lower(platform).isin("youtube", "vimeo")

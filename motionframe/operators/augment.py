@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from motionframe.functions import vec as V
 from motionframe.operators.encoding import actions
 from motionframe.operators.geometry import MIRROR_PAIRS
+from motionframe.operators.ranks import values_at
 from motionframe.operators.temporal import nearest_both
 
 SEED = 42
@@ -150,10 +151,11 @@ def augmented(frames: DataFrame, kinds: list[str] = ["spatial", "temporal", "vie
 
 
 def augment_batch(frames: DataFrame, ratio: float = 0.5, by: str = "episode_id", **kw) -> DataFrame:
-    """frames and the variants of floor(N * ratio) episodes, chosen by hash."""
-    ids = frames.select(by).distinct()
+    """frames and the variants of floor(N * ratio) episodes, chosen by hash: those up to the hash at that rank."""
+    ids = frames.select(by).distinct().withColumn("__u", F.xxhash64(F.lit(SEED), F.col(by), F.lit("choose")))
     n = int(ids.count() * ratio)
-    chosen = ids.orderBy(uniform(F.col(by), "choose"), by).limit(n)
+    bound = values_at(ids, "__u", [], {"__bound": lambda m: F.lit(n - 1)})
+    chosen = ids.crossJoin(F.broadcast(bound)).where(F.col("__u") <= F.col("__bound")).select(by)  # one row
     new = augmented(frames.join(chosen, by, "left_semi"), by=by, **kw)
     old = frames.select(F.col(by).cast("string").alias(by), F.col(by).cast("string").alias("source_episode_id"), F.lit("original").alias("variant"), F.col("t").cast("bigint").alias("t"), "ts", "pose", F.lit(None).cast("array<double>").alias("action"))
     return old.unionByName(new.withColumn("source_episode_id", F.col("source_episode_id").cast("string")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionframe.functions.scalar import kpi_status, micros, ratio
+from motionframe.operators.ranks import percentiles, values_at
 
 # Name, kind, warning, critical.
 STANDARD_KPIS = [
@@ -44,30 +45,24 @@ def availability(up: Column, total: Column) -> Column:
 
 
 def rank_percentiles(df: DataFrame, value: str, percents: list[float], by: list[str]) -> DataFrame:
-    """sorted[min(int(n * p), n - 1)] of each group for each p.
-
-    Values are counted first: a running count over distinct values finds the ranks, so repeated values cost one row.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*by).orderBy(value)
-    seen = counts.withColumn("__hi", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__n", F.sum("__c").over(Window.partitionBy(*by)))
-    at = lambda p: F.least(F.floor(F.col("__n") * p), F.col("__n") - 1)
-    pick = [F.max(F.when((F.col("__hi") > at(p)) & (F.col("__hi") - F.col("__c") <= at(p)), F.col(value))).alias(f"p{p * 100:g}") for p in percents]
-    return seen.groupBy(*by).agg(*pick)
+    """sorted[min(int(n * p), n - 1)] of each group for each p."""
+    return values_at(df, value, by, {f"p{p * 100:g}": lambda n, p=p: F.least(F.floor(n * p), n - 1) for p in percents})
 
 
 def aggregate(df: DataFrame, value: str, method: str) -> DataFrame:
     """sum, avg, min, max, count, or p50, p90, p95, p99 by rank; 0 when empty; any other name is the mean."""
     if method in ("p50", "p90", "p95", "p99"):
-        got = rank_percentiles(df.withColumn("__all", F.lit(1)), value, [int(method[1:]) / 100], ["__all"])
+        got = rank_percentiles(df, value, [int(method[1:]) / 100], [])
         return got.agg(F.coalesce(F.max(method), F.lit(0.0)).alias("value"))
     f = {"sum": F.sum, "min": F.min, "max": F.max, "count": lambda c: F.count(c).cast("double")}.get(method, F.avg)
     return df.agg(F.coalesce(f(value), F.lit(0.0)).alias("value"))
 
 
 def quality_stats(episodes: DataFrame, passed: float = 0.7) -> DataFrame:
-    """Share that passes, means, sample deviation of confidence and p95 of jitter; zeros are left out of the last two."""
-    w = episodes.agg(ratio(F.count_if(F.col("quality_score") >= passed), F.count(F.lit(1))).alias("pass_rate"), F.coalesce(F.avg("confidence_score"), F.lit(0.0)).alias("mean_confidence"), F.coalesce(F.avg("jittering_score"), F.lit(0.0)).alias("mean_jitter"), F.coalesce(F.stddev_samp(F.when(F.col("confidence_score") != 0, F.col("confidence_score"))), F.lit(0.0)).alias("std_confidence"))
+    """Counts and share that passes, means, sample deviation of confidence and p95 of jitter; zeros are left out of the last two."""
+    good = F.count_if(F.col("quality_score") >= passed)
+    length = [F.coalesce(F.avg("duration_frames"), F.lit(0.0)).alias("mean_length")] if "duration_frames" in episodes.columns else []
+    w = episodes.agg(F.count(F.lit(1)).alias("total"), good.alias("passed"), (F.count(F.lit(1)) - good).alias("failed"), *length, ratio(F.count_if(F.col("quality_score") >= passed), F.count(F.lit(1))).alias("pass_rate"), F.coalesce(F.avg("confidence_score"), F.lit(0.0)).alias("mean_confidence"), F.coalesce(F.avg("jittering_score"), F.lit(0.0)).alias("mean_jitter"), F.coalesce(F.stddev_samp(F.when(F.col("confidence_score") != 0, F.col("confidence_score"))), F.lit(0.0)).alias("std_confidence"))
     return w.crossJoin(aggregate(episodes.where("jittering_score != 0"), "jittering_score", "p95").withColumnRenamed("value", "p95_jitter"))  # one row each
 
 
@@ -98,6 +93,14 @@ def inflight(jobs: DataFrame) -> DataFrame:
     return per.select("stage", "ts", F.sum("d").over(w).alias("inflight"))
 
 
+def job_events(jobs: DataFrame) -> DataFrame:
+    """A row for each start and end of a job: ts, event, and at the end its outcome and seconds."""
+    start = F.struct(F.col("started_at").alias("ts"), F.lit("start").alias("event"), F.lit(None).cast("string").alias("outcome"), F.lit(None).cast("double").alias("seconds"))
+    took = (micros("completed_at") - micros("started_at")) / 1e6
+    end = F.struct(F.col("completed_at").alias("ts"), F.lit("end").alias("event"), F.col("status").alias("outcome"), took.cast("double").alias("seconds"))
+    return jobs.select("job_key", "stage", F.inline(F.array(start, end))).where("ts is not null")
+
+
 def newest(df: DataFrame, at: str, n: int, tie: str) -> DataFrame:
     """A bounded history: the newest n rows."""
     return df.orderBy(F.col(at).desc(), tie).limit(n)
@@ -169,5 +172,9 @@ def histogram_rows(summary: DataFrame) -> DataFrame:
 
 
 def weekly_quality(episodes: DataFrame, high: float = 0.7) -> DataFrame:
-    q = lambda c, p, a: F.percentile(c, F.lit(p)).alias(a)
-    return episodes.groupBy(F.date_trunc("week", "created_at").alias("week")).agg(F.count(F.lit(1)).alias("episodes"), F.count_if(F.col("quality_score") >= high).alias("high_quality"), q("confidence_score", 0.5, "conf_p50"), q("confidence_score", 0.9, "conf_p90"), q("jittering_score", 0.9, "jitter_p90"), q("interpolated_ratio", 0.9, "interpolated_p90"))
+    week = F.date_trunc("week", "created_at").alias("week")
+    rows = episodes.select(week, "quality_score", "confidence_score", "jittering_score", "interpolated_ratio")
+    out = rows.groupBy("week").agg(F.count(F.lit(1)).alias("episodes"), F.count_if(F.col("quality_score") >= high).alias("high_quality"))
+    for column, named in (("confidence_score", {"conf_p50": 0.5, "conf_p90": 0.9}), ("jittering_score", {"jitter_p90": 0.9}), ("interpolated_ratio", {"interpolated_p90": 0.9})):
+        out = out.join(percentiles(rows, column, ["week"], named), "week", "left")
+    return out

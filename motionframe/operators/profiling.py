@@ -159,3 +159,9 @@ def period_report(reports: DataFrame, end: Column, days: int) -> DataFrame:
     """Reports (dataset, at, overall, passed, failed) of the days up to end: totals of each dataset, with what failed."""
     rows = reports.where((F.col("at") > end - F.make_interval(days=F.lit(days))) & (F.col("at") <= end))
     return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("reports"), F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), F.count_if(F.col("overall") != "pass").alias("not_passed"), F.count_if(F.col("overall") == "fail").alias("critical"))
+
+
+def failed_checks(results: DataFrame, end: Column, days: int, critical: bool = False) -> DataFrame:
+    """Of check results (dataset, at, check, severity, status, value) of the days up to end: those that failed, or the critical ones."""
+    rows = results.where((F.col("at") > end - F.make_interval(days=F.lit(days))) & (F.col("at") <= end) & (F.col("status") == "fail"))
+    return (rows.where("severity = 'critical'") if critical else rows).select("dataset", "check", "severity", "value", "at")

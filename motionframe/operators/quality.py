@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motionframe.operators.ranks import percentiles, values_at
 from motionframe.operators.windows import continuity, order
 
 # Thresholds of the profile `default`.
@@ -85,9 +86,14 @@ def split_passed(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def top_percent(scored: DataFrame, percent: float, score: str = "quality_score", tie: str = "episode_id") -> DataFrame:
-    """The best max(1, int(n * percent / 100)) rows."""
+    """The best max(1, int(n * percent / 100)) rows: those over the score at that rank, and of its equals the first by tie."""
     n = scored.count()
-    return scored.orderBy(F.col(score).desc(), tie).limit(max(1, int(n * percent / 100)))
+    k = max(1, int(n * percent / 100))
+    bound = values_at(scored, score, [], {"__bound": lambda m: F.greatest(m - k, F.lit(0))})
+    rows = scored.crossJoin(F.broadcast(bound))  # one row
+    over = rows.where(F.col(score) > F.col("__bound")).drop("__bound")
+    equals = rows.where(F.col(score) == F.col("__bound")).drop("__bound")
+    return over.unionByName(equals.orderBy(tie).limit(max(0, k - over.count())))
 
 
 def score_stats(scored: DataFrame, columns: list[str]) -> DataFrame:
@@ -101,9 +107,10 @@ def failure_histogram(scored: DataFrame) -> DataFrame:
 
 
 def distribution(scored: DataFrame, column: str = "quality_score", category: str | None = None) -> DataFrame:
-    q = lambda p, a: F.percentile(column, F.lit(p)).alias(a)
     by = [category] if category else []
-    return scored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_pop(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"), q(0.25, "p25"), q(0.5, "p50"), q(0.75, "p75"), q(0.95, "p95"), F.avg(F.col("passed").cast("double")).alias("pass_rate"))
+    one = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_pop(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"), F.avg(F.col("passed").cast("double")).alias("pass_rate"))
+    ranks = percentiles(scored, column, by, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95})
+    return one.join(ranks, category, "left") if category else one.crossJoin(ranks)  # one row each
 
 
 def pass_rates(measured: DataFrame, grid: list[dict]) -> DataFrame:

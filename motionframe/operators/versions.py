@@ -111,3 +111,17 @@ def result_path(base: str, kind: Column, platform: Column, video: Column, versio
 
 def dated_key(prefix: str, at: Column, name: Column) -> Column:
     return F.concat_ws("/", F.lit(prefix), F.date_format(at, "yyyy/MM/dd"), name)
+
+
+def cost_recommendations(files: DataFrame, pattern: str = "cold", retention_days: int = 365) -> DataFrame:
+    """(type, storage_class, recommended_class, bytes, monthly savings): files that are not compressed (7 tenths of them would
+    go), and the standard class for files that are not read often. files: size_bytes, storage_class, compression."""
+    to = S.recommended_class(F.lit(pattern), F.lit(retention_days))
+    loose = F.coalesce(F.col("compression"), F.lit("")) == ""
+    packed = files.where(loose).agg(F.sum("size_bytes").alias("bytes")).where("bytes > 0")
+    packed = packed.select(F.lit("compression").alias("type"), F.lit(None).cast("string").alias("storage_class"), to.alias("recommended_class"), "bytes", S.storage_cost(F.floor(F.col("bytes") * 0.7), to).alias("savings"))
+    if pattern == "hot":
+        return packed
+    moved = files.where("storage_class = 'STANDARD'").groupBy("storage_class").agg(F.sum("size_bytes").alias("bytes"))
+    saved = S.storage_cost(F.col("bytes"), F.col("storage_class")) - S.storage_cost(F.col("bytes"), to)
+    return packed.unionByName(moved.select(F.lit("storage_class").alias("type"), "storage_class", to.alias("recommended_class"), "bytes", saved.alias("savings")))

@@ -45,10 +45,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on one machine, a temporary one where that is unset."""
     conf = spark.sparkContext.getConf()
     folder = conf.get("spark.checkpoint.dir") or spark.conf.get("motionframe.local.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: driver and executors need a folder that they share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("motionframe.local.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
