@@ -13,7 +13,7 @@ is the least rank. 24 bands of 4 coordinates are keys. All that follows works on
    key, which Spark splits where a key is hot. Components of the links, by alternating stars.
 4. Rest: buckets whose members are in more than one component still have pairs that were not compared. Such buckets are
    dealt into blocks, and each pair of blocks is a group. First only sketches (100 bytes a row, `SKETCH_BLOCK` rows a
-   block) meet, to find the rows that have an alike partner in another component at all; only these rows, with their
+   block, but `SKETCH_BLOCKS` blocks at most, so that what is shuffled is linear) meet, to find the rows that have an alike partner in another component at all; only these rows, with their
    texts, are then dealt into blocks of at most about `BLOCK` rows and `BLOCK_BYTES` of text. Of a group's alike pairs of
    different components, the most alike come first; a pair that the ones before have joined is skipped, the others are
    confirmed, and the links that join are the result: fewer than the group has rows. A pair is looked at in the first
@@ -50,7 +50,8 @@ from motionframe.session import written
 PERCENT = 85
 SHINGLE = 5
 BANDS, ROWS = 24, 4
-BLOCK, BLOCK_BYTES, SKETCH_BLOCK = 256, 4 << 20, 512
+BLOCK, BLOCK_BYTES = 256, 4 << 20
+SKETCH_BLOCK, SKETCH_BLOCKS = 512, 64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint64) * _STEP
@@ -220,6 +221,11 @@ def _joining(percent: int) -> Callable[[pa.Table], pa.Table]:
     return find
 
 
+def sketch_blocks(size: Column) -> Column:
+    """Into how many blocks a bucket is dealt: each row is copied that often."""
+    return F.least(size / SKETCH_BLOCK, F.lit(SKETCH_BLOCKS))
+
+
 def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """rows once for each group of two blocks of its bucket that it is in. sizes: (key, blocks)."""
     rows = rows.join(sizes, "key").withColumn("side", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -231,7 +237,7 @@ def rest_links(posted: DataFrame, classes: DataFrame, labels: DataFrame, texts:
     """Links of bucket mates in different components. posted: (band, key, n)."""
     rows = posted.join(labels, "n", "left").withColumn("component", F.coalesce("component", "n"))
     blocks = lambda share: F.ceil(share).cast("int").alias("blocks")
-    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo != hi").select("key", blocks(F.col("size") / SKETCH_BLOCK))
+    open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo != hi").select("key", blocks(sketch_blocks(F.col("size"))))
     rows = written(rows.join(open_.select("key"), "key").join(classes.select("n", "n_shingles", "sketch", "bands"), "n"), "open")
     some = _in_blocks(rows.select("key", "n", "component", "n_shingles", "sketch"), open_).groupBy("group").applyInArrow(_with_rivals(percent), "key bigint, n bigint").distinct()
     near = written(rows.join(some, ["key", "n"]).join(texts.select("n", F.octet_length("text").alias("bytes")), "n"), "rivals")

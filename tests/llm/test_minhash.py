@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from motionframe.llm import minhash as M
 from motionframe.llm import skew
@@ -117,8 +118,9 @@ def test_no_texts_are_copied_for_dissimilar_bucket_mates(spark):
     posted = spark.createDataFrame([(0, 77, i) for i in range(n)], "band int, key long, n long")
     labels = spark.createDataFrame([], "n long, component long")
     texts = spark.createDataFrame([(i, f"t{i}") for i in range(n)], "n long, text string")
-    sizes = posted.groupBy("key").count().selectExpr("key", f"cast(ceil(count / {M.SKETCH_BLOCK}) as int) blocks")
-    assert M._in_blocks(posted, sizes).count() <= 3 * n
+    sizes = posted.groupBy("key").count().select("key", F.ceil(M.sketch_blocks(F.col("count"))).cast("int").alias("blocks"))
+    assert M._in_blocks(posted, sizes).count() == n * -(-n // M.SKETCH_BLOCK)
+    assert spark.range(1).select(M.sketch_blocks(F.lit(10**9)).alias("b")).first().b == M.SKETCH_BLOCKS  # linear in the rows
     assert M.rest_links(posted, classes, labels, texts, 85).count() == 0
 
 
