@@ -86,7 +86,6 @@ BODY = "b AS (SELECT vec_id // 50 AS episode_id, vec_id % 50 AS t, list_transfor
 R.add("body_normalised", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.hip_normalized(F.col("pose")))), f"WITH {BODY}, c AS (SELECT *, list_transform(range(1, 4), lambda k: (e[69+k] + e[72+k]) / 2) AS o, least(2.0, greatest(0.01, sqrt(pow(e[34]-e[37], 2) + pow(e[35]-e[38], 2) + pow(e[36]-e[39], 2)))) AS w FROM b), j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round((e[3*j+1] - o[1]) / w, 5) AS x, round((e[3*j+2] - o[2]) / w, 5) AS y, round((e[3*j+3] - o[3]) / w, 5) AS z FROM c, j")
 R.add("mirror", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.mirrored(F.col("pose")))), f"WITH {BODY}, j AS (SELECT j::INTEGER AS j, m FROM (SELECT unnest(range(0, 33)) AS j, unnest([0, 4, 5, 6, 1, 2, 3, 8, 7, 10, 9, 12, 11, 14, 13, 16, 15, 18, 17, 20, 19, 22, 21, 24, 23, 26, 25, 28, 27, 30, 29, 32, 31]) AS m)) SELECT episode_id, t, j, round(-e[3*m+1], 5) AS x, round(e[3*m+2], 5) AS y, round(e[3*m+3], 5) AS z FROM b, j")
 R.add("joint_relative", lambda s, d: exploded(bodies(s, d).withColumn("pose", G.joint_relative(F.col("pose"), G.LIMB_PARENT))), f"WITH {BODY}, j AS (SELECT j::INTEGER AS j, p FROM (SELECT unnest(range(0, 33)) AS j, unnest([NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,NULL,0,0,11,12,13,14,NULL,NULL,NULL,NULL,NULL,NULL,0,0,23,24,25,26,NULL,NULL,NULL,NULL]) AS p)) SELECT episode_id, t, j, round(e[3*j+1] - coalesce(e[3*p+1], 0), 5) AS x, round(e[3*j+2] - coalesce(e[3*p+2], 0), 5) AS y, round(e[3*j+3] - coalesce(e[3*p+3], 0), 5) AS z FROM b, j")
-R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))).select("episode_id", *(r(c) for c in ("valid_ratio", "scale_min", "scale_max", "scale_mean", "coord_mean"))))
 R.add("height_scaled", lambda s, d: bodies(s, d).select("episode_id", "t", F.round(G.height_scaled(F.col("pose"))["factor"], 6).alias("factor")), f"WITH {BODY}, n AS (SELECT episode_id, t, sqrt(pow(e[1]-(e[82]+e[85])/2, 2) + pow(e[2]-(e[83]+e[86])/2, 2) + pow(e[3]-(e[84]+e[87])/2, 2)) AS h FROM b) SELECT episode_id, t, round(CASE WHEN h < 1e-6 THEN 1.0 ELSE 1.7 / h END, 6) AS factor FROM n")
 
 
@@ -128,5 +127,4 @@ R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d).select("video_id
 R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
 R.add("speed_change", lambda s, d: A.sped(bodies(s, d).select("episode_id", "t", "ts", "pose"), F.lit(1.25)).groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("ts"), 6).alias("end_ts")), "WITH f AS (SELECT vec_id // 50 AS e, count(*) AS n, max((vec_id % 50) / 30) AS t FROM embeddings GROUP BY 1) SELECT e AS episode_id, CAST(floor(n / 1.25) AS BIGINT) AS n, round(t / 1.25, 6) AS end_ts FROM f")
 R.add("augment_batch", lambda s, d: A.augment_batch(bodies(s, d).select("episode_id", "t", "ts", "pose"), 0.5).groupBy("variant").agg(F.count(F.lit(1)).alias("frames"), F.count_distinct("episode_id").alias("episodes")))
-R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid"))
 R.add("pca_transform", lambda s, d: G.apply_pca(hands(s, d), G.fit_pca(hands(s, d), 4)).select("episode_id", "t", F.size("components").alias("k"), F.round(F.aggregate("components", F.lit(0.0), lambda a, v: a + v * v), 5).alias("energy")))

@@ -125,3 +125,26 @@ R.add("interactions", lambda s, d: _paired(s, d).groupBy("video_id", "kind").agg
 R.add("interaction_events", lambda s, d: I.sessions(_paired(s, d), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")), f"""WITH {_PAIRED}, n AS (SELECT *, coalesce(sum((kind = 'none')::INT) OVER (PARTITION BY video_id, object ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS session, CASE kind WHEN 'grasp' THEN 3 WHEN 'touch' THEN 2 WHEN 'approach' THEN 1 ELSE 0 END AS k FROM i),
 e AS (SELECT video_id, object, min(CASE WHEN k > 0 THEN frame_idx END) AS start, max(CASE WHEN k > 0 THEN frame_idx END) AS last, max(CASE WHEN k = 0 THEN frame_idx END) AS closer, max(k) AS k, max(CASE WHEN k > 0 THEN confidence END) AS c FROM n GROUP BY video_id, object, session)
 SELECT video_id, 'left' AS hand, object, start, coalesce(closer - 1, last) AS "end", CASE k WHEN 3 THEN 'grasp' WHEN 2 THEN 'touch' ELSE 'approach' END AS kind, round(c, 6) AS peak_confidence FROM e WHERE start IS NOT NULL""")
+
+
+# --- alignment with the body
+
+
+def _aligned(least: float) -> str:
+    """q: poses in the body's own frame, of the last valid frame up to each."""
+    unit = lambda k, a, n: ", ".join(f"{a}{c} / nullif({n}, 0) AS {k}{c}" for c in "xyz")
+    along = lambda x, y, z, v: f"({x} * {v[0]} + {y} * {v[1]} + {z} * {v[2]}) / (u.s + 1e-8)"
+    v = ["(e[3*j+1] - u.ox)", "(e[3*j+2] - u.oy)", "(e[3*j+3] - u.oz)"]
+    return f"""{BODY}, c AS (SELECT b.*, least(abs(m.embedding[64]::DOUBLE) * 10, 1.0) AS conf FROM b JOIN embeddings m ON m.vec_id = b.episode_id * 50 + b.t),
+a AS (SELECT *, (e[70]+e[73])/2 AS ox, (e[71]+e[74])/2 AS oy, (e[72]+e[75])/2 AS oz, e[37]-e[34] AS ax, e[38]-e[35] AS ay, e[39]-e[36] AS az FROM c),
+m AS (SELECT *, (e[34]+e[37])/2 - ox AS mx, (e[35]+e[38])/2 - oy AS my, (e[36]+e[39])/2 - oz AS mz FROM a), n AS (SELECT *, sqrt(ax*ax + ay*ay + az*az) AS wd, sqrt(mx*mx + my*my + mz*mz) AS ht FROM m),
+x AS (SELECT *, {unit('x', 'a', 'wd')}, {unit('u', 'm', 'ht')} FROM n), r AS (SELECT *, xy*uz - xz*uy AS rx, xz*ux - xx*uz AS ry, xx*uy - xy*ux AS rz FROM x), l AS (SELECT *, sqrt(rx*rx + ry*ry + rz*rz) AS rn FROM r), z AS (SELECT *, {unit('z', 'r', 'rn')} FROM l),
+f AS (SELECT episode_id, t, e, wd, coalesce(conf >= {least} AND wd > 1e-6 AND ht > 1e-6 AND rn > 1e-6, false) AS valid, {{'ox': ox, 'oy': oy, 'oz': oz, 'xx': xx, 'xy': xy, 'xz': xz, 'yx': zy*xz - zz*xy, 'yy': zz*xx - zx*xz, 'yz': zx*xy - zy*xx, 'zx': zx, 'zy': zy, 'zz': zz, 's': wd}} AS fr FROM z),
+g AS (SELECT *, last_value(CASE WHEN valid THEN fr END IGNORE NULLS) OVER (PARTITION BY episode_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS u FROM f),
+al AS (SELECT episode_id, t, valid, wd, CASE WHEN u IS NULL THEN e ELSE flatten(list_transform(range(0, 33), lambda j: [{along('u.xx', 'u.xy', 'u.xz', v)}, {along('u.yx', 'u.yy', 'u.yz', v)}, {along('u.zx', 'u.zy', 'u.zz', v)}])) END AS q FROM g)"""
+
+
+R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))).select("episode_id", *(F.round(c, 5).alias(c) for c in ("valid_ratio", "scale_min", "scale_max", "scale_mean", "scale_std", "coord_max", "coord_mean"))), f"WITH {_aligned(0.5)}, w AS (SELECT *, CASE WHEN valid THEN wd END AS s, CASE WHEN valid THEN list_max(list_transform(q, lambda x: abs(x))) END AS mx, CASE WHEN valid THEN list_sum(list_transform(q, lambda x: abs(x))) / 99 END AS me FROM al) SELECT episode_id, round(avg(valid::INT), 5) AS valid_ratio, round(min(s), 5) AS scale_min, round(max(s), 5) AS scale_max, round(avg(s), 5) AS scale_mean, round(stddev_pop(s), 5) AS scale_std, round(max(mx), 5) AS coord_max, round(avg(me), 5) AS coord_mean FROM w GROUP BY 1")
+_KEPT = [(15, 13), (16, 14), (13, 11), (14, 12), (11, 0), (12, 0), (23, 0), (24, 0)]
+_FEATURES = ", ".join(f"q[{3 * j + k}] - q[{3 * p + k}]" for j, p in _KEPT for k in (1, 2, 3))
+R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid", F.round(_sum("features"), 3).alias("total"), F.round(F.col("features")[4].cast("double"), 4).alias("fifth")), f"WITH {_aligned(0.1)}, v AS (SELECT *, list_transform([{_FEATURES}], lambda x: x::FLOAT::DOUBLE) AS f FROM al) SELECT episode_id, t, len(f)::INTEGER AS width, valid, round(list_sum(f), 3) AS total, round(f[5], 4) AS fifth FROM v")
