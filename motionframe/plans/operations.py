@@ -66,3 +66,14 @@ SELECT job_key, CASE WHEN e * 360 < 60 THEN printf('%.1fs', e * 360.0::DOUBLE) W
 CASE h WHEN 2160 THEN '4K' WHEN 1440 THEN '1440p' WHEN 1080 THEN '1080p' WHEN 720 THEN '720p' WHEN 480 THEN '480p' WHEN 360 THEN '360p' ELSE (e % 2000) || 'x' || h END AS label,
 concat_ws(' | ', 'File: ' || job_key, CASE WHEN e > 0 THEN printf('Duration: %dm %ds', CAST(floor(floor(e / 7) / 60) AS BIGINT), CAST(floor(e / 7) % 60 AS BIGINT)) END, CASE WHEN e % 2000 > 0 AND h > 0 THEN printf('Resolution: %dx%d', e % 2000, h) END, CASE WHEN fps > 0 THEN printf('FPS: %.2f', fps) END, 'Video Codec: h264', CASE WHEN e > 0 THEN printf('Size: %.2f MB', e::DOUBLE) END) AS summary FROM j""")
 R.add("failed_checks", lambda s, d: P.failed_checks(jobs(s, d).select(F.col("stage").alias("dataset"), F.col("created_at").alias("at"), F.col("job_key").alias("check"), F.when(F.col("retry_count") > 3, "critical").otherwise("high").alias("severity"), F.when(F.col("status") == "failed", "fail").otherwise("pass").alias("status"), F.col("processing_sec").alias("value")), F.lit("2024-01-15 00:00:00").cast("timestamp"), 7, True).select("dataset", F.col("check").alias("name"), "value"), f"WITH {JOBS} SELECT stage AS dataset, job_key AS name, processing_sec AS value FROM jobs WHERE status = 'failed' AND retry_count > 3 AND created_at > TIMESTAMP '2024-01-08' AND created_at <= TIMESTAMP '2024-01-15'")
+
+
+def _names(s: SparkSession, d: str) -> DataFrame:
+    e, labels = F.col("event_id"), F.create_map(F.lit("b"), F.col("stage"), F.lit("a"), F.col("failure_type"))
+    return jobs(s, d).select(
+        "job_key", S.error_id(F.col("failure_type"), F.col("stage")).alias("error_id"), S.fingerprint(F.col("stage"), labels).alias("fingerprint"), S.params_hash(labels).alias("params"), S.result_hash(F.col("job_key")).alias("result"),
+        S.search_query(F.array("stage", "failure_type"), F.when(e % 2 == 0, "or").otherwise("AND"), F.when(e % 3 == 0, "YouTube").otherwise("web")).alias("query"), F.array_join(S.split_keywords(F.concat("stage", F.lit(" ,, "), "failure_type", F.lit(","))), ";").alias("words"),
+    )
+
+
+R.add("names", _names, f"WITH {JOBS} SELECT job_key, substr(md5(failure_type || '|' || stage), 1, 12) AS error_id, substr(md5(stage || '|a=' || failure_type || ',b=' || stage), 1, 16) AS fingerprint, substr(md5('a:' || failure_type || ',b:' || stage), 1, 8) AS params, substr(sha256(job_key), 1, 16) AS result, CASE WHEN event_id % 6 = 0 THEN stage || ' OR ' || failure_type ELSE stage || ' ' || failure_type END AS query, stage || ';' || failure_type AS words FROM jobs")

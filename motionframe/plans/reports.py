@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motionframe.functions import vec as V
 from motionframe.operators import augment as A
 from motionframe.operators import encoding as E
 from motionframe.operators import geometry as G
@@ -148,3 +149,13 @@ R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))
 _KEPT = [(15, 13), (16, 14), (13, 11), (14, 12), (11, 0), (12, 0), (23, 0), (24, 0)]
 _FEATURES = ", ".join(f"q[{3 * j + k}] - q[{3 * p + k}]" for j, p in _KEPT for k in (1, 2, 3))
 R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid", F.round(_sum("features"), 3).alias("total"), F.round(F.col("features")[4].cast("double"), 4).alias("fifth")), f"WITH {_aligned(0.1)}, v AS (SELECT *, list_transform([{_FEATURES}], lambda x: x::FLOAT::DOUBLE) AS f FROM al) SELECT episode_id, t, len(f)::INTEGER AS width, valid, round(list_sum(f), 3) AS total, round(f[5], 4) AS fifth FROM v")
+
+
+# --- points and objects
+
+_JOINTS = f"WITH {HANDS}, j AS (SELECT unnest(range(0, 21))::INTEGER AS j), x AS (SELECT episode_id, t, j, e[3*j+1] AS x, e[3*j+2] AS y, e[3*j+3] AS z FROM h, j)"
+R.add("normalized_2d", lambda s, d: exploded(hands(s, d).withColumn("pose", G.normalized_2d(F.col("pose"), 640, 480))), f"{_JOINTS} SELECT episode_id, t, j, round((x / 640 * 2 - 1) * (640 / 480), 5) AS x, round(y / 480 * 2 - 1, 5) AS y, round(z, 5) AS z FROM x")
+R.add("pixel_to_unit", lambda s, d: exploded(hands(s, d).withColumn("pose", G.pixel_to_unit(F.transform("pose", lambda p: V.times(p, 1000)), 640, 480))), f"{_JOINTS} SELECT episode_id, t, j, round(x * 1000 / 640, 5) AS x, round(y * 1000 / 480, 5) AS y, round(z * 1000, 5) AS z FROM x")
+R.add("back_projected", lambda s, d: exploded(hands(s, d).withColumn("pose", G.back_projected(F.col("pose"), F.transform("pose", lambda p: p["z"] + 2), G.intrinsics(640, 480)))), f"{_JOINTS}, f AS (SELECT 640 / (2 * tan(radians(30))) AS f) SELECT episode_id, t, j, round((x - 320) * (z + 2) / f, 5) AS x, round((y - 240) * (z + 2) / f, 5) AS y, round(z + 2, 5) AS z FROM x, f")
+R.add("nearest_objects", lambda s, d: hands(s, d).select("episode_id", "t", F.posexplode(E.nearest_objects(F.slice("pose", 1, (F.col("t") % 4 + 2).cast("int")), 3)).alias("i", "v")).withColumn("v", F.round("v", 5)), f"WITH {HANDS}, q AS (SELECT episode_id, t, e, 2 + t % 4 AS n FROM h), o AS (SELECT *, CASE WHEN n > 3 THEN list_transform(list_slice(list_sort(list_transform(range(0, n), lambda j: {{'d': sqrt(e[3*j+1]*e[3*j+1] + e[3*j+2]*e[3*j+2] + e[3*j+3]*e[3*j+3]), 'j': j}})), 1, 3), lambda r: r.j) ELSE range(0, n) END AS k FROM q), i AS (SELECT unnest(range(0, 9))::INTEGER AS i) SELECT episode_id, t, i, round(CASE WHEN i // 3 < len(k) THEN e[3*k[i // 3 + 1] + i % 3 + 1] ELSE 0 END, 5) AS v FROM o, i")
+R.add("state_rows", lambda s, d: hands(s, d).select("episode_id", "t", F.posexplode(E.state_tensor(F.col("pose"), F.transform("pose", lambda p: V.times(p, -1.0)))).alias("j", "v")).select("episode_id", "t", "j", F.size("v").alias("width"), F.round(F.col("v")[1], 5).alias("y"), F.round(F.col("v")[5], 5).alias("vz")), f"{_JOINTS} SELECT episode_id, t, j, 6::INTEGER AS width, round(y, 5) AS y, round(-z, 5) AS vz FROM x")
