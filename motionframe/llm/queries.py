@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionframe.llm import chat, decontaminate, hyperlang, merkle, minhash, prefix_bpe, quality_lines, repair_files, secrets, slots
+from motionframe.llm import chat, decontaminate, gnat_codes, hyperlang, licences, merkle, minhash, prefix_bpe, quality_lines, repair_files, secrets, slots, whitening
 from motionframe.session import shared_folder, ship, table, written
 
 
@@ -95,6 +95,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13_licence_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licences.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size("base_starts").cast("long").alias("n_base"),
+        F.array_min("base_starts").alias("first_word"),
+        F.array_max("base_starts").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperlang": op1_hyperlang,
     "op2_repair_ids": op2_repair_ids,
@@ -106,6 +128,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_decontaminate": op10_decontaminate,
+    "op11_gnat_codes": op11_gnat_codes,
+    "op12_exact_whitening": op12_exact_whitening,
+    "op13_licence_index": op13_licence_index,
 }
 
 
@@ -121,4 +146,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_gnat_codes": gnat_codes.sql(), "op13_licence_index": licences.sql()}
