@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionframe.functions.scalar import kpi_status, micros, ratio
+from motionframe.operators.alerts import fired
+from motionframe.operators.ranges import running_sums
 from motionframe.operators.ranks import percentiles, values_at
 
 # Name, kind, warning, critical.
@@ -89,8 +88,7 @@ def inflight(jobs: DataFrame) -> DataFrame:
     """Jobs in flight after each start and end of a stage."""
     delta = jobs.select("stage", F.explode(F.array(F.struct(F.col("started_at").alias("ts"), F.lit(1).alias("d")), F.struct(F.col("completed_at").alias("ts"), F.lit(-1).alias("d")))).alias("e")).select("stage", "e.ts", "e.d").where("ts is not null")
     per = delta.groupBy("stage", "ts").agg(F.sum("d").alias("d"))
-    w = Window.partitionBy("stage").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    return per.select("stage", "ts", F.sum("d").over(w).alias("inflight"))
+    return running_sums(per, ["stage"], ["ts"], inflight=F.col("d")).select("stage", "ts", "inflight")
 
 
 def job_events(jobs: DataFrame) -> DataFrame:
@@ -107,14 +105,14 @@ def newest(df: DataFrame, at: str, n: int, tie: str) -> DataFrame:
 
 
 def to_free(files: DataFrame, needed: int) -> DataFrame:
-    """The oldest files that together free `needed` bytes. Days are summed first, so only the last day is numbered by file."""
+    """The oldest files that together free `needed` bytes. Days are summed first, so only files of the days needed are sorted."""
     day = F.to_date("modified_at")
     days = files.groupBy(day.alias("__day")).agg(F.sum("size_bytes").alias("__b"))
     before = days.select("__day", F.coalesce(F.sum("__b").over(Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # one row a day
     rows = files.withColumn("__day", day).join(before.where(F.col("__before") < needed), "__day")
-    w = Window.partitionBy("__day").orderBy("modified_at", "key").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("bytes_before", F.col("__before") + F.coalesce(F.sum("size_bytes").over(w), F.lit(0)))
-    return rows.where(F.col("bytes_before") < needed).drop("__day", "__before")
+    rows = running_sums(rows, [], ["modified_at", "key"], __upto=F.col("size_bytes"))
+    rows = rows.withColumn("bytes_before", F.col("__upto") - F.col("size_bytes"))
+    return rows.where(F.col("bytes_before") < needed).drop("__day", "__before", "__upto")
 
 
 def with_status(values: DataFrame) -> DataFrame:
@@ -142,27 +140,8 @@ def custom_firing(context: DataFrame, name: str, condition: str, severity: str =
 
 
 def cooled(alerts: DataFrame, seconds: float, rule: str = "rule", at: str = "ts") -> DataFrame:
-    """Alerts that fire: at least `seconds` after the last of the rule that fired.
-
-    Whether one fires depends on all before it, so each rule's times are streamed in order; a rule keeps one number.
-    """
-    schema = alerts.schema
-    out = alerts.repartition(rule).sortWithinPartitions(rule, at)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, last = object(), None
-        for pdf in parts:
-            keep = []
-            for r, t in zip(pdf[rule], pdf[at]):
-                if r != now:
-                    now, last = r, None
-                fires = last is None or (t - last).total_seconds() >= seconds
-                if fires:
-                    last = t
-                keep.append(fires)
-            yield pdf[keep]
-
-    return out.mapInPandas(run, schema)
+    """Alerts that fire: at least `seconds` after the last of the rule that fired. `alerts.fired` has silences and force too."""
+    return fired(alerts, seconds, rule, at)
 
 
 def histogram_rows(summary: DataFrame) -> DataFrame:

@@ -71,7 +71,6 @@ R.add("jobs_in_flight", lambda s, d: M.inflight(jobs(s, d)).select("stage", us("
 R.add("kpi_status", lambda s, d: M.with_status(jobs(s, d).groupBy("stage").agg(M.error_rate(F.count_if(F.col("status") == "failed"), F.count(F.lit(1))).alias("value")).select(F.lit("pipeline_error_rate").alias("name"), "stage", "value")).select("stage", F.round("value", 6).alias("value"), "status"), f"""WITH {JOBS}, v AS (SELECT stage, count_if(status='failed') * 100.0 / count(*) AS value FROM jobs GROUP BY 1) SELECT stage, round(value, 6) AS value, CASE WHEN value >= 10 THEN 'critical' WHEN value >= 5 THEN 'warning' ELSE 'ok' END AS status FROM v""")
 R.add("alert_firing", lambda s, d: M.firing(table(s, d, "events").select("ts", F.col("value").alias("error_rate"), (F.col("value") * 100).alias("queue_depth"))).groupBy("rule", "severity").agg(F.count(F.lit(1)).alias("n")), """SELECT 'high_error_rate' AS rule, 'critical' AS severity, count(*) AS n FROM events WHERE value > 10 UNION ALL SELECT 'queue_backlog', 'warning', count(*) FROM events WHERE value * 100 > 5000""")
 R.add("alert_custom", lambda s, d: M.custom_firing(table(s, d, "events"), "hot", "value > 100 and event_type = 'error'").groupBy("rule").agg(F.count(F.lit(1)).alias("n")), "SELECT 'hot' AS rule, count(*) AS n FROM events WHERE value > 100 AND event_type = 'error' HAVING count(*) > 0")
-R.add("alert_cooldown", lambda s, d: M.cooled(table(s, d, "events").select(F.col("event_type").alias("rule"), "ts", "value"), 3600.0).select("rule", us("ts").alias("ts_us"), "value"))
 R.add("overview", lambda s, d: K.overview(jobs(s, d), jobs(s, d).withColumn("quality_score", F.col("processing_sec") / 100), F.to_timestamp(F.lit(AS_OF)), 24 * 7), f"""WITH {JOBS}, r AS (SELECT * FROM jobs WHERE epoch_us(created_at) >= epoch_us(TIMESTAMP '{AS_OF}') - 604800000000) SELECT count(*) AS jobs, round(count_if(status='failed') * 100.0 / count(*), 2) AS error_pct, count(*) AS episodes, count_if(processing_sec / 100 >= 0.7) AS high_quality FROM r""")
 R.add("pipeline_kpi", lambda s, d: K.pipeline_kpi(jobs(s, d).withColumn("status", F.when(F.col("status") == "running", "downloaded").otherwise(F.col("status"))), jobs(s, d), jobs(s, d).withColumn("quality_score", F.col("processing_sec") / 100), files(s, d).select(F.col("size_bytes").cast("double").alias("total_cost"), F.struct("modified_at", "key").alias("period_end"))).withColumns({"success_rate": F.round("success_rate", 6), "mean_processing_sec": F.round("mean_processing_sec", 6)}), f"""WITH {JOBS}, {FILES} SELECT (SELECT count(*) FROM jobs) AS total_videos, (SELECT count_if(status='running') FROM jobs) AS downloaded, (SELECT count(*) FROM jobs) AS total_episodes, (SELECT count_if(processing_sec / 100 >= 0.8) FROM jobs) AS high_quality, (SELECT round(count_if(status='completed') / greatest(count(*), 1), 6) FROM jobs) AS success_rate, (SELECT round(avg(processing_sec), 6) FROM jobs WHERE status='completed') AS mean_processing_sec, (SELECT CAST(size_bytes AS DOUBLE) FROM files ORDER BY modified_at DESC, key DESC LIMIT 1) AS latest_cost""")
 R.add("quality_stats", lambda s, d: M.quality_stats(jobs(s, d).select((F.col("processing_sec") / 100).alias("quality_score"), (F.col("retry_count") / 5).alias("confidence_score"), F.col("processing_sec").alias("jittering_score"))).select(*(F.round(c, 6).alias(c) for c in ("pass_rate", "mean_confidence", "mean_jitter", "std_confidence", "p95_jitter"))), f"""WITH {JOBS}, x AS (SELECT processing_sec / 100 AS q, retry_count / 5 AS c, processing_sec AS j FROM jobs), r AS (SELECT j, row_number() OVER (ORDER BY j) AS k, count(*) OVER () AS n FROM x WHERE j != 0) SELECT round(count_if(q >= 0.7) / count(*), 6) AS pass_rate, round(avg(c), 6) AS mean_confidence, round(avg(j), 6) AS mean_jitter, round(stddev_samp(CASE WHEN c != 0 THEN c END), 6) AS std_confidence, (SELECT round(max(j), 6) FROM r WHERE k = least(floor(n * 0.95), n - 1) + 1) AS p95_jitter FROM x""")
