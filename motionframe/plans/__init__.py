@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motionframe.plans import alerting, catalogue, frames, operations, reports
+from motionframe.plans import alerting, catalogue, frames, operations, reports, streams
 from motionframe.plans.registry import Query
 
-_PARTS = [catalogue.R, frames.R, reports.R, operations.R, alerting.R]
+_PARTS = [catalogue.R, frames.R, reports.R, operations.R, alerting.R, streams.R]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,7 @@ R.add(
 )
 
 #: The alerts that no silence holds back, numbered, and those of them that fire.
-_FIRED = """
+FIRED = """
     said AS (
       SELECT event_type AS rule, epoch_us(ts) AS us, NULL::BOOLEAN AS is_on, event_id FROM events
       UNION ALL SELECT event_type, epoch_us(ts), true, NULL FROM events WHERE event_id % 50 = 0
@@ -81,12 +81,12 @@ _FIRED = """
       SELECT rule, us, event_id, forced, n FROM (
         SELECT rule, min(a.n) AS n FROM f JOIN a USING (rule) WHERE a.n > f.n AND (a.forced OR a.us >= f.us + 1800000000) GROUP BY rule) JOIN a USING (rule, n))
 """
-R.add("alert_silenced", alert_silenced, f"WITH RECURSIVE {_FIRED} SELECT rule, us AS ts_us, event_id, forced FROM f")
+R.add("alert_silenced", alert_silenced, f"WITH RECURSIVE {FIRED} SELECT rule, us AS ts_us, event_id, forced FROM f")
 R.add(
     "alert_history",
     alert_history,
     f"""
-    WITH RECURSIVE {_FIRED},
+    WITH RECURSIVE {FIRED},
     shown AS (SELECT rule || '/' || event_id % 20 AS fingerprint, arg_max(event_id, (us, event_id)) AS event_id, max(us) AS us FROM f GROUP BY 1),
     ends AS (SELECT event_type || '/' || event_id % 20 AS fingerprint, epoch_us(ts) AS ended FROM events WHERE event_id % 11 = 0)
     SELECT fingerprint, us AS ts_us, event_id, CASE WHEN min(ended) IS NULL THEN 'firing' ELSE 'resolved' END AS state, min(ended) AS resolved_us

@@ -1,13 +1,13 @@
-"""Structured Streaming: the same measures on streams of job events, candidates, frames and alerts."""
+"""Structured Streaming: the same measures on streams of job events and candidates; files as streams, and replays."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from motionframe.session import shared_folder
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataFrame:
@@ -15,6 +15,28 @@ def file_stream(spark: SparkSession, path: str, schema: str, files: int = 1) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, one file or a folder of them, as a stream."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")  # a pattern may match a file, a path must be a folder
+
+
+def replayed(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """What the stream gives out for all that is there now, with the number of the micro-batch as epoch.
+
+    Each batch is written into the shared folder under its number, so one that is run again replaces itself.
+    """
+    spark = stream.sparkSession
+    folder = f"{shared_folder(spark)}/replay-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/epoch={epoch}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 def kpi_stream(events: DataFrame) -> DataFrame:
     """Counts and means by status, kept up to date (R1); for output mode update or complete."""
     return events.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"))
@@ -31,80 +53,5 @@ def unique_candidates(stream: DataFrame, key: str = "video_id", at: str = "ts",
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def job_states(events: DataFrame) -> DataFrame:
-    """(job_key, status, retry_count, terminal, updated_at) after each batch (R4): the latest status, and how often it failed."""
-    out = "job_key string, status string, retry_count long, terminal boolean, updated_at timestamp"
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, retries, at = state.get if state.exists else (None, 0, None)
-        at = None if at is None else pd.Timestamp(at, unit="us")
-        rows = pd.concat(list(parts)).sort_values("ts", kind="stable")
-        for s, t in zip(rows["status"], rows["ts"]):
-            retries += s == "failed"
-            if at is None or t >= at:
-                status, at = s, t
-        state.update((status, int(retries), int(at.value // 1000)))
-        yield pd.DataFrame({"job_key": [key[0]], "status": [status], "retry_count": [int(retries)], "terminal": [status in ("completed", "skipped")], "updated_at": [at]})
-
-    return events.select("job_key", "status", "ts").groupBy("job_key").applyInPandasWithState(step, out, "status string, retries long, at long", "update", GroupStateTimeout.NoTimeout)
-
-
-def cooled_alerts(alerts: DataFrame, seconds: float) -> DataFrame:
-    """Alerts (rule, ts, value, silenced) that fire: not silenced, and `seconds` after the rule's last that fired."""
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(parts)).sort_values("ts", kind="stable")
-        keep = []
-        for t, quiet in zip(rows["ts"], rows["silenced"]):
-            us = int(t.value // 1000)
-            fires = not quiet and (last is None or us - last >= seconds * 1e6)
-            if fires:
-                last = us
-            keep.append(fires)
-        if last is not None:
-            state.update((last,))
-        out = rows[keep]
-        yield pd.DataFrame({"rule": [key[0]] * len(out), "ts": out["ts"].values, "value": out["value"].values})
-
-    return alerts.select("rule", "ts", "value", "silenced").groupBy("rule").applyInPandasWithState(step, "rule string, ts timestamp, value double", "last long", "append", GroupStateTimeout.NoTimeout)
-
-
-def interaction_sessions(rows: DataFrame, fps: float, least_seconds: float = 0.1) -> DataFrame:
-    """Sessions of (hand, object) on live frames (R7): given out when an explicit none closes them."""
-    strength = {"approach": 1, "touch": 2, "grasp": 3}
-    names = {v: k for k, v in strength.items()}
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, kind, peak = state.get if state.exists else (-1, 0, 0.0)
-        done = []
-        for f, k, c in pd.concat(list(parts)).sort_values("frame_idx", kind="stable")[["frame_idx", "kind", "confidence"]].itertuples(index=False):
-            if k == "none":
-                if start >= 0 and (f - start) / fps >= least_seconds:
-                    done.append((*key, start, f - 1, names[kind], peak))
-                start, kind, peak = -1, 0, 0.0
-            else:
-                start, kind, peak = (f if start < 0 else start), max(kind, strength[k]), max(peak, c)
-        state.update((int(start), int(kind), float(peak)))
-        yield pd.DataFrame(done, columns=["video_id", "hand", "object", "start", "end", "kind", "peak_confidence"])
-
-    out = "video_id string, hand string, object string, start long, end long, kind string, peak_confidence double"
-    return rows.groupBy("video_id", "hand", "object").applyInPandasWithState(step, out, "start long, kind int, peak double", "append", GroupStateTimeout.NoTimeout)
-
-
-def incremental(stream: DataFrame, target: str, key: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df):
-    """Append what is new by key, batch by batch (R8); a batch that is run again adds nothing."""
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = transform(batch).dropDuplicates([key])
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            rows = rows.join(spark.read.parquet(target).select(key), key, "left_anti")
-        rows.write.mode("append").parquet(target)
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 def status_of(event_type: Column) -> Column:
     return F.when(event_type == "error", "failed").when(event_type == "purchase", "completed").when(event_type == "signup", "pending").when(event_type == "view", "running").otherwise("skipped")

@@ -8,7 +8,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from motionframe.sources import files as S
-from motionframe.streaming import operators as R
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -52,40 +51,3 @@ def test_parquet_sinks(spark):
     r = S.episode_rows(f).first()
     assert (r.duration, r.state_dim, r.action_dim) == (3, 2, 1)
     assert set(S.export(f, f"{d}/x", ["parquet", "orc", "json", "csv"])) == {"parquet", "orc", "json", "csv"} and spark.read.orc(f"{d}/x/orc").count() == 3
-
-
-def run(df, mode):
-    q = df.writeStream.format("memory").queryName("t" + R.__name__.replace(".", "") + mode + str(abs(hash(str(df.schema))) % 10**9)).outputMode(mode).option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    return df.sparkSession.table(q.name).collect()
-
-
-def stream(spark, rows, schema, parts=2):
-    d = tempfile.mkdtemp()
-    n = -(-len(rows) // parts)
-    for i in range(parts):
-        spark.createDataFrame(rows[i * n : (i + 1) * n], schema).coalesce(1).write.mode("append").parquet(d)
-    return R.file_stream(spark, d, schema)
-
-
-def test_streams(spark):
-    rows = [("j", "failed", T0), ("j", "running", T0 + dt.timedelta(1)), ("j", "completed", T0 + dt.timedelta(2)), ("k", "failed", T0)]
-    last = {}
-    for r in run(R.job_states(stream(spark, rows, "job_key string, status string, ts timestamp")), "update"):
-        last[r.job_key] = (r.status, r.retry_count, r.terminal)
-    assert last == {"j": ("completed", 1, True), "k": ("failed", 1, False)}
-    alerts = [("a", T0 + dt.timedelta(seconds=s), float(s), s == 0) for s in (0, 10, 20, 3700)]
-    got = sorted(r.value for r in run(R.cooled_alerts(stream(spark, alerts, "rule string, ts timestamp, value double, silenced boolean"), 3600), "append"))
-    assert got == [10.0, 3700.0]
-    k = ["touch", "grasp", "none", "touch", "none"]
-    frames = [("v", "left", "cup", i, x, 0.5) for i, x in enumerate(k)]
-    got = sorted((r.start, r.end, r.kind) for r in run(R.interaction_sessions(stream(spark, frames, "video_id string, hand string, object string, frame_idx long, kind string, confidence double"), 30.0, 0.0), "append"))
-    assert got == [(0, 1, "grasp"), (3, 3, "touch")]
-
-
-def test_incremental(spark):
-    d = tempfile.mkdtemp()
-    s = stream(spark, [("a", 1), ("b", 2), ("a", 3), ("c", 4)], "k string, v int")
-    for c in ("c1", "c2"):
-        R.incremental(s, f"{d}/out", "k", f"{d}/{c}").awaitTermination(120)
-    assert sorted(r.k for r in spark.read.parquet(f"{d}/out").collect()) == ["a", "b", "c"]
