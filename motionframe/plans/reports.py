@@ -91,22 +91,22 @@ R.add("episode_numbers", lambda s, d: E.episode_stats(_pairs(s, d)).select("epis
 
 # --- quality
 
-_QUALITY = f"""{BODY}, c AS (SELECT b.*, abs(m.embedding[64]::DOUBLE) AS conf, len(list_filter(range(0, 33), lambda j: least(1.0, abs(e[3*j+1]) * 6) > 0.5)) AS seen, lead(e) OVER w AS e1, lead(e, 2) OVER w AS e2 FROM b JOIN embeddings m ON m.vec_id = b.episode_id * 50 + b.t WINDOW w AS (PARTITION BY b.episode_id ORDER BY b.t)),
+QUALITY = f"""{BODY}, c AS (SELECT b.*, abs(m.embedding[64]::DOUBLE) AS conf, len(list_filter(range(0, 33), lambda j: least(1.0, abs(e[3*j+1]) * 6) > 0.5)) AS seen, lead(e) OVER w AS e1, lead(e, 2) OVER w AS e2 FROM b JOIN embeddings m ON m.vec_id = b.episode_id * 50 + b.t WINDOW w AS (PARTITION BY b.episode_id ORDER BY b.t)),
 me AS (SELECT episode_id, count(*) AS total_frames, avg(conf) AS confidence_mean, coalesce(avg(CASE WHEN e2 IS NOT NULL THEN list_sum(list_transform(range(1, 100), lambda i: abs(e2[i] - e1[i] * 2 + e[i]))) / 99 END), 0) AS jitter_score, avg(seen) AS visible_joints_mean FROM c GROUP BY 1),
 sc AS (SELECT *, total_frames AS continuous_frames, least(confidence_mean / 0.5, 1) * 0.3 + 0.2 + (1 - least(jitter_score / 0.3, 1)) * 0.2 + least(visible_joints_mean / 33 / 0.7, 1) * 0.15 + 0.15 AS quality_score FROM me),
 q AS (SELECT *, concat_ws('; ', CASE WHEN confidence_mean < 0.5 THEN printf('confidence=%.2f < 0.5', confidence_mean) END, CASE WHEN jitter_score > 0.3 THEN printf('jitter=%.2f > 0.3', jitter_score) END, CASE WHEN visible_joints_mean < 15 THEN printf('visible_joints=%.1f < 15', visible_joints_mean) END, CASE WHEN total_frames < 30 THEN printf('continuous_frames=%d < 30', total_frames) END) AS reasons FROM sc)"""
 
 
-def _quality(s: SparkSession, d: str) -> DataFrame:
+def scored_episodes(s: SparkSession, d: str) -> DataFrame:
     return Q.pose_quality(seen_bodies(s, d))
 
 
-R.add("pose_quality", lambda s, d: _quality(s, d).select("episode_id", "total_frames", "continuous_frames", *(r(c) for c in ("confidence_mean", "jitter_score", "visible_joints_mean", "quality_score")), F.concat_ws("; ", "failure_reasons").alias("reasons"), "passed"), f"WITH {_QUALITY} SELECT episode_id, total_frames, continuous_frames, round(confidence_mean, 6) AS confidence_mean, round(jitter_score, 6) AS jitter_score, round(visible_joints_mean, 6) AS visible_joints_mean, round(quality_score, 6) AS quality_score, reasons, reasons = '' AS passed FROM q")
-R.add("top_percent", lambda s, d: Q.top_percent(_quality(s, d), 30).select("episode_id", r("quality_score")), f"WITH {_QUALITY}, k AS (SELECT *, row_number() OVER (ORDER BY quality_score DESC, episode_id) AS k, count(*) OVER () AS n FROM q) SELECT episode_id, round(quality_score, 6) AS quality_score FROM k WHERE k <= greatest(1, floor(n * 30 / 100))")
+R.add("pose_quality", lambda s, d: scored_episodes(s, d).select("episode_id", "total_frames", "continuous_frames", *(r(c) for c in ("confidence_mean", "jitter_score", "visible_joints_mean", "quality_score")), F.concat_ws("; ", "failure_reasons").alias("reasons"), "passed"), f"WITH {QUALITY} SELECT episode_id, total_frames, continuous_frames, round(confidence_mean, 6) AS confidence_mean, round(jitter_score, 6) AS jitter_score, round(visible_joints_mean, 6) AS visible_joints_mean, round(quality_score, 6) AS quality_score, reasons, reasons = '' AS passed FROM q")
+R.add("top_percent", lambda s, d: Q.top_percent(scored_episodes(s, d), 30).select("episode_id", r("quality_score")), f"WITH {QUALITY}, k AS (SELECT *, row_number() OVER (ORDER BY quality_score DESC, episode_id) AS k, count(*) OVER () AS n FROM q) SELECT episode_id, round(quality_score, 6) AS quality_score FROM k WHERE k <= greatest(1, floor(n * 30 / 100))")
 _CUTS = [(c, j) for c in (0.0, 0.05, 0.1) for j in (0.1, 0.3, 1.0)]
-R.add("pass_rate_grid", lambda s, d: Q.pass_rates(_quality(s, d), [{"min_confidence": c, "max_jitter_score": j, "min_visible_joints": 3} for c, j in _CUTS]).withColumn("pass_rate", F.round("pass_rate", 6)), f"WITH {_QUALITY} " + " UNION ALL ".join(f"SELECT {i}::INTEGER AS grid, round(avg((confidence_mean >= {c} AND jitter_score <= {j} AND visible_joints_mean >= 3 AND total_frames >= 30)::INT), 6) AS pass_rate FROM q" for i, (c, j) in enumerate(_CUTS)))
-R.add("quality_distribution", lambda s, d: Q.distribution(_quality(s, d)).select("n", *(r(c) for c in ("mean", "std", "min", "max", "p25", "p50", "p75", "p95", "pass_rate"))), f"WITH {_QUALITY} SELECT count(*) AS n, round(avg(quality_score), 6) AS mean, round(stddev_pop(quality_score), 6) AS std, round(min(quality_score), 6) AS min, round(max(quality_score), 6) AS max, round(quantile_cont(quality_score, 0.25), 6) AS p25, round(quantile_cont(quality_score, 0.5), 6) AS p50, round(quantile_cont(quality_score, 0.75), 6) AS p75, round(quantile_cont(quality_score, 0.95), 6) AS p95, round(avg((reasons = '')::INT), 6) AS pass_rate FROM q")
-R.add("failure_histogram", lambda s, d: Q.failure_histogram(_quality(s, d)), f"WITH {_QUALITY}, x AS (SELECT unnest(string_split(reasons, '; ')) AS x FROM q WHERE reasons != '') SELECT split_part(x, '=', 1) AS reason, count(*) AS n FROM x GROUP BY 1")
+R.add("pass_rate_grid", lambda s, d: Q.pass_rates(scored_episodes(s, d), [{"min_confidence": c, "max_jitter_score": j, "min_visible_joints": 3} for c, j in _CUTS]).withColumn("pass_rate", F.round("pass_rate", 6)), f"WITH {QUALITY} " + " UNION ALL ".join(f"SELECT {i}::INTEGER AS grid, round(avg((confidence_mean >= {c} AND jitter_score <= {j} AND visible_joints_mean >= 3 AND total_frames >= 30)::INT), 6) AS pass_rate FROM q" for i, (c, j) in enumerate(_CUTS)))
+R.add("quality_distribution", lambda s, d: Q.distribution(scored_episodes(s, d)).select("n", *(r(c) for c in ("mean", "std", "min", "max", "p25", "p50", "p75", "p95", "pass_rate"))), f"WITH {QUALITY} SELECT count(*) AS n, round(avg(quality_score), 6) AS mean, round(stddev_pop(quality_score), 6) AS std, round(min(quality_score), 6) AS min, round(max(quality_score), 6) AS max, round(quantile_cont(quality_score, 0.25), 6) AS p25, round(quantile_cont(quality_score, 0.5), 6) AS p50, round(quantile_cont(quality_score, 0.75), 6) AS p75, round(quantile_cont(quality_score, 0.95), 6) AS p95, round(avg((reasons = '')::INT), 6) AS pass_rate FROM q")
+R.add("failure_histogram", lambda s, d: Q.failure_histogram(scored_episodes(s, d)), f"WITH {QUALITY}, x AS (SELECT unnest(string_split(reasons, '; ')) AS x FROM q WHERE reasons != '') SELECT split_part(x, '=', 1) AS reason, count(*) AS n FROM x GROUP BY 1")
 
 # --- interactions
 

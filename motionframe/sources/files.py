@@ -1,11 +1,7 @@
-"""Readers and writers: CSV, JSON and JSONL, text lists, array containers, frame and episode Parquet, manifests."""
+"""Readers and writers: CSV, JSON and JSONL, text lists, frame and episode Parquet, manifests. Array containers: arrays.py."""
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +9,21 @@ from motionframe import schemas
 from motionframe.functions import scalar as S
 from motionframe.operators.candidates import url_column
 
-# --- CSV (S1-S6)
+# --- CSV (S1-S6): quotes within quoted fields are doubled, fields may have line breaks
+
+CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+WRITTEN = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_urls_csv(spark: SparkSession, path: str) -> DataFrame:
     """The column of URLs, by name or else the first, without blank ones."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.options(**CSV).csv(path)
     c = url_column(df.columns)
     return df.select(F.trim(F.col(f"`{c}`")).alias("url")).where("url is not null and url != ''")
 
 
 def write_candidates(df: DataFrame, path: str, overwrite: bool = True) -> None:
-    df.select(*schemas.CANDIDATES).write.mode("overwrite" if overwrite else "append").option("header", True).csv(path)
+    df.select(*schemas.CANDIDATES).write.mode("overwrite" if overwrite else "append").options(**WRITTEN).csv(path)
 
 
 def csv_rows(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
@@ -40,22 +39,23 @@ def csv_rows(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
 
 
 def export_videos(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
-    csv_rows(df, fields).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    csv_rows(df, fields).write.mode("overwrite").options(**WRITTEN).csv(path)
 
 
 def export_by(df: DataFrame, path: str, column: str, fields: list[str] | None = None) -> None:
     """A folder for each value of column, lower case; null is unknown."""
     key = F.lower(F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit("unknown"))).alias("part")
     rows = df.withColumn("__part", key)
-    csv_rows(rows, [*(fields or df.columns), "__part"]).withColumnRenamed("__part", f"{column}_part").write.mode("overwrite").partitionBy(f"{column}_part").option("header", True).csv(path)
+    csv_rows(rows, [*(fields or df.columns), "__part"]).withColumnRenamed("__part", f"{column}_part").write.mode("overwrite").partitionBy(f"{column}_part").options(**WRITTEN).csv(path)
 
 
 def append_csv(df: DataFrame, path: str) -> None:
-    csv_rows(df).write.mode("append").option("header", True).csv(path)
+    csv_rows(df).write.mode("append").options(**WRITTEN).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path)
+    """All columns as text; what was null or empty is null."""
+    return spark.read.options(**CSV).csv(path)
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -69,9 +69,22 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
 # --- JSON (S7-S9, S18, S19, S21, S24)
 
 
-def read_poses(spark: SparkSession, path: str) -> DataFrame:
+#: Times keep their microseconds.
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def write_documents(df: DataFrame, path: str, lines: bool = False) -> None:
+    """One document a file, as other tools have it; or a line each, for many documents."""
+    df.write.mode("overwrite").options(**JSON).option("maxRecordsPerFile", 0 if lines else 1).json(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+
+
+def read_poses(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """One row a frame of landmark files."""
-    files = spark.read.schema(schemas.POSE_JSON).option("multiLine", True).json(path)
+    files = read_documents(spark, path, schemas.POSE_JSON, lines)
     return files.select(F.col("metadata.video_path").alias("video_path"), F.col("metadata.fps").alias("fps"), F.explode("frames").alias("f")).select("video_path", "fps", "f.*")
 
 
@@ -83,23 +96,23 @@ def pose_documents(frames: DataFrame) -> DataFrame:
     return per.select(F.struct("video_path", "fps", n.alias("total_frames"), n.alias("num_pose_frames")).alias("metadata"), "frames")
 
 
-def write_poses(frames: DataFrame, path: str) -> None:
-    pose_documents(frames).write.mode("overwrite").json(path)
+def write_poses(frames: DataFrame, path: str, lines: bool = False) -> None:
+    write_documents(pose_documents(frames), path, lines)
 
 
-def read_detections(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.schema(schemas.DETECTIONS_JSON).option("multiLine", True).json(path)
+def read_detections(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    files = read_documents(spark, path, schemas.DETECTIONS_JSON, lines)
     return files.select("video_path", F.explode("frames").alias("f")).select("video_path", "f.*")
 
 
-def write_detections(frames: DataFrame, path: str) -> None:
+def write_detections(frames: DataFrame, path: str, lines: bool = False) -> None:
     item = F.struct("frame_idx", "timestamp", "objects")
-    frames.groupBy("video_path").agg(F.array_sort(F.collect_list(item)).alias("frames")).write.mode("overwrite").json(path)
+    write_documents(frames.groupBy("video_path").agg(F.array_sort(F.collect_list(item)).alias("frames")), path, lines)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     """Interactions, events and reports."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**JSON).json(path)
 
 
 def read_contract(spark: SparkSession, path: str, stage: str) -> DataFrame:
@@ -114,46 +127,18 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def write_manifests(entries: DataFrame, path: str) -> None:
     item = F.struct("key", "sha256", "size_bytes", "file_type", "storage_class", "compression")
-    entries.groupBy("version").agg(F.max("created_at").alias("created_at"), F.array_sort(F.collect_list(item)).alias("files")).write.mode("overwrite").json(path)
+    entries.groupBy("version").agg(F.max("created_at").alias("created_at"), F.array_sort(F.collect_list(item)).alias("files")).write.mode("overwrite").options(**JSON).json(path)
 
 
 def write_contexts(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").partitionBy("platform", "video_id").json(path)
+    df.write.mode("overwrite").options(**JSON).partitionBy("platform", "video_id").json(path)
 
 
 def read_contexts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CONTEXT).json(path)
 
 
-# --- arrays and Parquet
-
-# Names that containers use for an array, in order.
-ALIASES = {"poses": ["poses", "body", "keypoints"], "confidence": ["confidences", "confidence", "conf"]}
-
-
-def read_arrays(spark: SparkSession, path: str, fps: float = 30.0) -> DataFrame:
-    """One row a frame of array containers: path, t, ts, pose (flat), width of a joint and confidence."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        for pdf in parts:
-            for name, content in zip(pdf["path"], pdf["content"]):
-                z = np.load(io.BytesIO(content), allow_pickle=False)
-                pick = lambda k: next((z[a] for a in ALIASES[k] if a in z), None)
-                poses, conf = pick("poses"), pick("confidence")
-                if poses is None:
-                    continue
-                n = len(poses)
-                width = poses.shape[2] if poses.ndim == 3 else 4 if poses.shape[1] % 4 == 0 else 3
-                flat = poses.reshape(n, -1).astype(float)
-                rate = float(z["fps"]) if "fps" in z else fps
-                ts = z["timestamps"].astype(float) if "timestamps" in z else np.arange(n) / rate
-                conf = np.full(n, np.nan) if conf is None else conf.astype(float)
-                yield pd.DataFrame({"path": name, "t": range(n), "ts": ts, "pose": list(flat), "width": width, "confidence": conf})
-
-    return files.mapInPandas(run, "path string, t int, ts double, pose array<double>, width int, confidence double")
+# --- Parquet
 
 
 def write_frames(frames: DataFrame, path: str, keys: list[str] = [], compression: str = "snappy") -> None:
@@ -165,6 +150,12 @@ def episode_rows(frames: DataFrame) -> DataFrame:
     return frames.groupBy("episode_id").agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("duration"), F.max(F.size("state")).alias("state_dim"), F.greatest(F.max(F.size("action")), F.lit(0)).alias("action_dim"), F.avg("confidence").alias("quality"))
 
 
+def episode_scores(frames: DataFrame, episode: str = "episode_id", confidence: str = "confidence") -> DataFrame:
+    """Each episode's range of frames and scores (A16): both scores are the mean confidence, jitter is 0 until it is measured."""
+    n, mean = F.count(F.lit(1)), F.avg(confidence)
+    return frames.groupBy(episode).agg(F.lit(0).cast("long").alias("start_frame"), n.alias("end_frame"), n.alias("duration_frames"), mean.alias("confidence_score"), mean.alias("quality_score"), F.lit(0.0).alias("jittering_score"))
+
+
 def write_episodes(frames: DataFrame, path: str, keys: list[str] = [], compression: str = "snappy") -> None:
     episode_rows(frames).write.mode("overwrite").partitionBy(*keys).option("compression", compression).parquet(path)
 
@@ -183,7 +174,8 @@ def export(df: DataFrame, path: str, formats: list[str] = ["parquet", "json"]) -
     out = {}
     for f in formats:
         rows = csv_rows(df) if f == "csv" else df
-        rows.write.mode("overwrite").format(f).save(f"{path}/{f}")
+        options = {"csv": WRITTEN, "json": JSON}.get(f, {})
+        rows.write.mode("overwrite").format(f).options(**options).save(f"{path}/{f}")
         out[f] = f"{path}/{f}"
     return out
 
