@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from motionframe.operators.ranks import percentiles
+from motionframe.session import written
+
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -46,10 +49,11 @@ def _long(df: DataFrame, cols: list[str], kind: str) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    rows = _long(df, cols or [c for c in df.columns if _is_number(df, c)], "double")
-    q = lambda p: F.percentile("v", F.lit(p))
-    out = rows.groupBy("column").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), q(0.5).alias("median"), q(0.25).alias("q1"), q(0.75).alias("q3"), F.skewness("v").alias("skew"), F.kurtosis("v").alias("kurtosis"), F.count_if(F.col("v") == 0).alias("zeros"), F.count_if(F.col("v") < 0).alias("negatives"))
-    return out.withColumn("iqr", F.col("q3") - F.col("q1"))
+    """Counts, moments and exact quartiles of each column, all columns in the same passes. Skew and kurtosis are the population's."""
+    rows = written(_long(df, cols or [c for c in df.columns if _is_number(df, c)], "double"), "numbers")
+    out = rows.groupBy("column").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.skewness("v").alias("skew"), F.kurtosis("v").alias("kurtosis"), F.count_if(F.col("v") == 0).alias("zeros"), F.count_if(F.col("v") < 0).alias("negatives"))
+    quartiles = percentiles(rows, "v", ["column"], {"median": 0.5, "q1": 0.25, "q3": 0.75})
+    return out.join(quartiles, "column").withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def value_counts(df: DataFrame, cols: list[str], top: int = 20) -> DataFrame:

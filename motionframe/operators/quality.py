@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from motionframe.operators.ranks import percentiles, values_at
 from motionframe.operators.windows import continuity, order
+from motionframe.session import written
 
 # Thresholds of the profile `default`.
 THRESHOLDS = {"min_confidence": 0.5, "max_jitter_score": 0.3, "min_episode_frames": 30, "max_nan_ratio": 0.1, "min_visible_joints": 15, "min_pose_completeness": 0.7}
@@ -87,19 +88,22 @@ def split_passed(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def top_percent(scored: DataFrame, percent: float, score: str = "quality_score", tie: str = "episode_id") -> DataFrame:
     """The best max(1, int(n * percent / 100)) rows: those over the score at that rank, and of its equals the first by tie."""
+    scored = written(scored, "scored")
     n = scored.count()
     k = max(1, int(n * percent / 100))
-    bound = values_at(scored, score, [], {"__bound": lambda m: F.greatest(m - k, F.lit(0))})
-    rows = scored.crossJoin(F.broadcast(bound))  # one row
-    over = rows.where(F.col(score) > F.col("__bound")).drop("__bound")
-    equals = rows.where(F.col(score) == F.col("__bound")).drop("__bound")
+    (bound,) = values_at(scored, score, [], {"bound": lambda m: F.greatest(m - k, F.lit(0))}).collect() or [None]
+    if bound is None:  # no row has a score
+        return scored.limit(0)
+    over = scored.where(F.col(score) > F.lit(bound["bound"]))
+    equals = scored.where(F.col(score) == F.lit(bound["bound"]))
     return over.unionByName(equals.orderBy(tie).limit(max(0, k - over.count())))
 
 
 def score_stats(scored: DataFrame, columns: list[str]) -> DataFrame:
     """(metric, mean, std, min, max, median), std of the population."""
-    rows = scored.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns))).alias("r")).select("r.*")
-    return rows.groupBy("metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.percentile("v", F.lit(0.5)).alias("median"))
+    rows = written(scored.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns))).alias("r")).select("r.*"), "scores")
+    out = rows.groupBy("metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    return out.join(percentiles(rows, "v", ["metric"], {"median": 0.5}), "metric", "left")
 
 
 def failure_histogram(scored: DataFrame) -> DataFrame:

@@ -123,7 +123,18 @@ R.add("scraped_urls", lambda s, d: C.scraped_urls(table(s, d, "pages"), r'href="
 R.add("duration_parse", lambda s, d: table(s, d, "events").select("event_id", S.duration_seconds(F.concat(F.col("event_id") % 3, F.lit(":"), F.col("event_id") % 60, F.when(F.col("event_id") % 2 == 0, F.lit(":07")).otherwise(F.lit("")))).alias("seconds"), S.view_count(F.concat(F.round(F.col("value"), 1), F.lit("K views"))).alias("views")), "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN (event_id % 3) * 3600 + (event_id % 60) * 60 + 7 ELSE (event_id % 3) * 60 + event_id % 60 END AS seconds, CAST(round(round(value, 1) * 1000) AS BIGINT) AS views FROM events")
 
 # --- profiles and checks
-R.add("profile_numeric", lambda s, d: P.numeric_profile(table(s, d, "lineitem"), ["l_quantity", "l_discount", "l_extendedprice"]).select("column", "n", "zeros", "negatives", *(F.round(c, 4).alias(c) for c in ("mean", "std", "min", "max", "median", "q1", "q3", "iqr"))), """WITH x AS (UNPIVOT (SELECT l_quantity, l_discount, l_extendedprice FROM lineitem) ON l_quantity, l_discount, l_extendedprice INTO NAME "column" VALUE v) SELECT "column", count(*) AS n, count_if(v = 0) AS zeros, count_if(v < 0) AS negatives, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS min, round(max(v), 4) AS max, round(quantile_cont(v, 0.5), 4) AS median, round(quantile_cont(v, 0.25), 4) AS q1, round(quantile_cont(v, 0.75), 4) AS q3, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 4) AS iqr FROM x GROUP BY 1""")
+R.add(
+    "profile_numeric",
+    lambda s, d: P.numeric_profile(table(s, d, "lineitem"), ["l_quantity", "l_discount", "l_extendedprice"]).select("column", "n", "zeros", "negatives", *(F.round(c, 4).alias(c) for c in ("mean", "std", "min", "max", "median", "q1", "q3", "iqr", "skew", "kurtosis"))),
+    """
+    WITH x AS (UNPIVOT (SELECT l_quantity, l_discount, l_extendedprice FROM lineitem) ON l_quantity, l_discount, l_extendedprice INTO NAME "column" VALUE v),
+    c AS (SELECT "column", v, v - avg(v) OVER (PARTITION BY "column") AS d FROM x)
+    SELECT "column", count(*) AS n, count_if(v = 0) AS zeros, count_if(v < 0) AS negatives, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS min, round(max(v), 4) AS max,
+      round(quantile_cont(v, 0.5), 4) AS median, round(quantile_cont(v, 0.25), 4) AS q1, round(quantile_cont(v, 0.75), 4) AS q3, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 4) AS iqr,
+      round(avg(d * d * d) / pow(avg(d * d), 1.5), 4) AS skew, round(avg(d * d * d * d) / pow(avg(d * d), 2) - 3, 4) AS kurtosis
+    FROM c GROUP BY 1
+    """,
+)
 R.add("profile_text", lambda s, d: P.text_profile(table(s, d, "documents"), ["text", "source"]).withColumn("avg_length", F.round("avg_length", 6)), """WITH x AS (UNPIVOT (SELECT text, source FROM documents) ON text, source INTO NAME "column" VALUE v) SELECT "column", round(avg(length(v)), 6) AS avg_length, CAST(min(length(v)) AS INTEGER) AS min_length, CAST(max(length(v)) AS INTEGER) AS max_length, count_if(trim(v) = '') AS n_empty, count(DISTINCT v) AS n_unique FROM x GROUP BY 1""")
 R.add("profile_categorical", lambda s, d: P.categorical_profile(table(s, d, "lineitem"), ["l_returnflag", "l_linestatus"]), """WITH x AS (UNPIVOT (SELECT l_returnflag, l_linestatus FROM lineitem) ON l_returnflag, l_linestatus INTO NAME "column" VALUE v), g AS (SELECT "column", v, count(*) AS c, row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, v) AS r FROM x GROUP BY 1, 2) SELECT "column", CAST(sum(c) AS BIGINT) AS n, count(*) AS n_unique, max(CASE WHEN r = 1 THEN v END) AS top, max(CASE WHEN r = 1 THEN c END) AS freq FROM g GROUP BY 1""")
 R.add("value_counts", lambda s, d: P.value_counts(table(s, d, "documents"), ["source", "lang"], 10), """WITH x AS (UNPIVOT (SELECT source, lang FROM documents) ON source, lang INTO NAME "column" VALUE v) SELECT "column", v AS value, count(*) AS n, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, v) AS INTEGER) AS rank FROM x GROUP BY 1, 2 QUALIFY rank <= 10""")

@@ -106,6 +106,14 @@ R.add("top_percent", lambda s, d: Q.top_percent(scored_episodes(s, d), 30).selec
 _CUTS = [(c, j) for c in (0.0, 0.05, 0.1) for j in (0.1, 0.3, 1.0)]
 R.add("pass_rate_grid", lambda s, d: Q.pass_rates(scored_episodes(s, d), [{"min_confidence": c, "max_jitter_score": j, "min_visible_joints": 3} for c, j in _CUTS]).withColumn("pass_rate", F.round("pass_rate", 6)), f"WITH {QUALITY} " + " UNION ALL ".join(f"SELECT {i}::INTEGER AS grid, round(avg((confidence_mean >= {c} AND jitter_score <= {j} AND visible_joints_mean >= 3 AND total_frames >= 30)::INT), 6) AS pass_rate FROM q" for i, (c, j) in enumerate(_CUTS)))
 R.add("quality_distribution", lambda s, d: Q.distribution(scored_episodes(s, d)).select("n", *(r(c) for c in ("mean", "std", "min", "max", "p25", "p50", "p75", "p95", "pass_rate"))), f"WITH {QUALITY} SELECT count(*) AS n, round(avg(quality_score), 6) AS mean, round(stddev_pop(quality_score), 6) AS std, round(min(quality_score), 6) AS min, round(max(quality_score), 6) AS max, round(quantile_cont(quality_score, 0.25), 6) AS p25, round(quantile_cont(quality_score, 0.5), 6) AS p50, round(quantile_cont(quality_score, 0.75), 6) AS p75, round(quantile_cont(quality_score, 0.95), 6) AS p95, round(avg((reasons = '')::INT), 6) AS pass_rate FROM q")
+R.add(
+    "score_stats",
+    lambda s, d: Q.score_stats(scored_episodes(s, d), ["quality_score", "confidence_mean", "jitter_score"]).select("metric", *(r(c) for c in ("mean", "std", "min", "max", "median"))),
+    f"""
+    WITH {QUALITY}, x AS (UNPIVOT (SELECT quality_score, confidence_mean, jitter_score FROM q) ON quality_score, confidence_mean, jitter_score INTO NAME metric VALUE v)
+    SELECT metric, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max, round(quantile_cont(v, 0.5), 6) AS median FROM x GROUP BY 1
+    """,
+)
 R.add("failure_histogram", lambda s, d: Q.failure_histogram(scored_episodes(s, d)), f"WITH {QUALITY}, x AS (SELECT unnest(string_split(reasons, '; ')) AS x FROM q WHERE reasons != '') SELECT split_part(x, '=', 1) AS reason, count(*) AS n FROM x GROUP BY 1")
 
 # --- interactions

@@ -23,18 +23,39 @@ def groups(spark):
 def test_values_at_any_rank(spark):
     df, by = groups(spark)
     ranks = {"first": lambda n: F.lit(0), "mid": lambda n: F.floor(n / 2), "last": lambda n: n - 1}
-    got = {r.k: (r.first, r.mid, r.last) for r in values_at(df, "v", ["k"], ranks, 16).where("k is not null").collect()}
-    assert got == {k: (v[0], v[len(v) // 2], v[-1]) for k, v in by.items() if k is not None}
+    got = {r.k: (r.first, r.mid, r.last) for r in values_at(df, "v", ["k"], ranks).collect()}
+    assert got == {k: (v[0], v[len(v) // 2], v[-1]) for k, v in by.items()}
     every = sorted(x for v in by.values() for x in v)
     (r,) = values_at(df, "v", [], {"p": lambda n: F.floor(n * 0.9)}).collect()
     assert r.p == every[math.floor(len(every) * 0.9)]
     assert values_at(df.limit(0), "v", ["k"], ranks).count() == 0
 
 
+def test_hard_numbers(spark):
+    """Both signs, zeros, infinities, NaN, the least and the largest doubles, and neighbours of one another."""
+    rng = random.Random(8)
+    near = [math.nextafter(1.0, 2.0), 1.0, math.nextafter(1.0, 0.0), 0.1 + 0.2, 0.3]
+    v = [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, math.nan, math.nan, *near, *(-x for x in near)]
+    v += [rng.choice([-1, 1]) * math.exp(rng.uniform(-700, 700)) for _ in range(500)] + [1e9 + i * 2**-20 for i in range(500)]
+    df = spark.createDataFrame([(x,) for x in v], "v double").repartition(3)
+    want = sorted(v, key=lambda x: (math.isnan(x), x))
+    at = list(range(0, len(v), 37)) + [len(v) - 1, len(v) - 3]
+    (got,) = values_at(df, "v", [], {f"r{i}": lambda n, i=i: F.lit(i) for i in at} | {"beyond": lambda n: n}, "n").collect()
+    assert got.n == len(v) and got.beyond is None
+    assert all(got[f"r{i}"] == want[i] or math.isnan(got[f"r{i}"]) and math.isnan(want[i]) for i in at)
+
+
+def test_longs_that_doubles_do_not_tell_apart(spark):
+    v = [2**62 + i for i in range(300)] + [-(2**62) - i for i in range(300)] + [2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(x,) for x in v], "v long").repartition(3)
+    (got,) = values_at(df, "v", [], {f"r{i}": lambda n, i=i: F.lit(i) for i in range(0, 602, 60)}).collect()
+    assert all(got[f"r{i}"] == sorted(v)[i] for i in range(0, 602, 60))
+
+
 def test_percentiles(spark):
     df, by = groups(spark)
-    got = {r.k: (r.a, r.b) for r in percentiles(df, "v", ["k"], {"a": 0.25, "b": 0.95}).where("k is not null").collect()}
-    assert set(got) == {k for k in by if k is not None}
+    got = {r.k: (r.a, r.b) for r in percentiles(df, "v", ["k"], {"a": 0.25, "b": 0.95}).collect()}
+    assert set(got) == set(by)
     assert all(np.allclose(got[k], np.percentile(by[k], [25, 95])) for k in got)
 
 
