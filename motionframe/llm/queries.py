@@ -62,9 +62,16 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = slots.place(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/slot_map-{uuid.uuid4().hex}", 40)
+    """Version 1 of a new map deals the slots in turn, version 2 is edited by the bytes; first_shard is version 1's."""
+    folder, n_shards = f"{shared_folder(spark)}/slot_map-{uuid.uuid4().hex}", 40
+    docs = slots.measured(table(spark, sf_dir, "documents"))
+    slots.start(spark, folder, n_shards)
+    slots.rebalance(docs, folder, n_shards)
+    rows = slots.place(docs, folder)
+    one, _ = slots.read_map(spark, folder, 1)
+    first = spark.createDataFrame([(s, k) for (s, _), k in one.items()], "vslot int, first_shard int")  # a row a slot
     grown = F.lit(None).cast("int").alias("grown_shard")
-    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown, "vslot", "piece", "first_shard")
+    return rows.join(F.broadcast(first), "vslot").select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown, "vslot", "piece", "first_shard")
 
 
 def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
