@@ -29,6 +29,8 @@ SEED = 20_231
 #: Trigram vectors that a worker remembers at once.
 CACHE = 12_000
 UNKNOWN = "und"
+#: Standard deviations of an unrelated text's cosine, distinct trigrams from which on it is judged, and by how much a label is wrong.
+NOISE, LEAST_TRIGRAMS, MARGIN = 4.0, 50, 0.25
 
 
 @cache
@@ -108,28 +110,37 @@ def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "tex
     return sorted((r["lang"], [x["v"] for x in r["v"]]) for r in rows)
 
 
-def identify(docs: DataFrame, known: list[tuple[str, list[int]]], keep: list[str] = ["doc_id"], text_col: str = "text") -> DataFrame:
-    """The columns `keep`, lang_pred and score, the cosine with that language's prototype, at least 0."""
+def measured(docs: DataFrame, known: list[tuple[str, list[int]]], keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns `keep`, lang_pred, score (the cosine with that language's prototype, at least 0), margin (over the next
+    language's cosine; 1 with one language) and n_trigrams, the distinct ones."""
     names = [lang for lang, _ in known]
     matrix = np.array([v for _, v in known], np.float64).reshape(len(known), DIM)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix = matrix / np.where(norms == 0, 1, norms)
 
     def judge(sp, texts):
-        lang, score = [], []
+        lang, score, margin, size = [], [], [], []
         for text in texts:
             v = sp.encode(text)
+            size.append(0 if v is None else len(sp.trigrams(text)[0]))
             if v is None or not names:
                 lang.append(UNKNOWN)
                 score.append(0.0)
+                margin.append(0.0)
             else:
                 cos = matrix @ v
                 k = int(np.argmax(cos))
                 lang.append(names[k])
                 score.append(min(1.0, max(0.0, float(cos[k]))))
-        return lang, score
+                margin.append(float(cos[k] - np.delete(cos, k).max()) if len(names) > 1 else 1.0)
+        return lang, score, margin, size
+
+    return map_rows(docs, keep, [text_col], [("lang_pred", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("n_trigrams", pa.int64())], judge, Space)
 
-    return map_rows(docs, keep, [text_col], [("lang_pred", pa.string()), ("score", pa.float64())], judge, Space)
+
+def identify(docs: DataFrame, known: list[tuple[str, list[int]]], keep: list[str] = ["doc_id"], text_col: str = "text") -> DataFrame:
+    """The columns `keep`, lang_pred and score."""
+    return measured(docs, known, keep, text_col).drop("margin", "n_trigrams")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -137,8 +148,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def keep_known(docs: DataFrame, labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """docs without rows whose language is unknown or whose score is under min_score; all columns stay as they are."""
+def keep_known(docs: DataFrame, labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", noise: float = NOISE, least: int = LEAST_TRIGRAMS, margin: float = MARGIN) -> DataFrame:
+    """docs without what is in no known language, and with its language where the label is missing or wrong.
+
+    Rejected are texts without a letter, and texts of `least` distinct trigrams or more that are no nearer to any prototype than
+    unrelated vectors are: their score is under noise / sqrt(DIM), so many standard deviations of such a cosine. Shorter
+    texts are too short to tell. A label is wrong if another language is nearer by `margin`; null labels are filled. All
+    other columns stay as they are. Without any labelled row there is no language, and all rows go.
+    """
     rows, names = positional(docs)
-    rows = identify(rows, prototypes(labelled, lang_col, text_col), names, names[docs.columns.index(text_col)])
-    return restored(rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)), names, docs.columns)
+    lang = names[docs.columns.index(lang_col)]
+    rows = measured(rows, prototypes(labelled, lang_col, text_col), names, names[docs.columns.index(text_col)])
+    random = (F.col("n_trigrams") >= least) & (F.col("score") < noise / DIM**0.5)
+    sure = F.col(lang).isNull() | ((F.col(lang) != F.col("lang_pred")) & (F.col("margin") >= margin))
+    kept = rows.where((F.col("lang_pred") != UNKNOWN) & ~random).withColumn(lang, F.when(sure, F.col("lang_pred")).otherwise(F.col(lang)))
+    return restored(kept, names, docs.columns)

@@ -86,6 +86,7 @@ def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         said(F.col("spans")).alias("spans"),
         F.array_join("spans.n_owners", ",").alias("n_owners"),
         F.array_join("spans.n_repos", ",").alias("n_repos"),
+        F.array_join("spans.class", ",").alias("classes"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
     )
 

@@ -3,10 +3,15 @@
 Candidates in a text are spans of the base patterns (assign, access, hex) and, outside of those, `opaque` runs: 20 or more
 characters of `[A-Za-z0-9+/_=-]` with lower and upper case letters, digits and at least 3.2 bits of entropy a
 character. Each candidate's value is hashed; hashes are counted over the corpus by distinct repositories and owners.
-Widely copied examples are values with more than three times as many owners as the corpus's median value (with 2 at most they
-never are, with more than 10 always), or with more than `MAX_REPOS` repositories; the others are
-live-looking. The corpus may be another table than the one that is judged: ownership is counted where the copies are,
-before duplicates are removed.
+A value is of one of three classes:
+
+- `example`: `WIDE` owners or more have it, or it is in more than `MAX_REPOS` repositories: widely copied, as values of
+  documentation and tests are; not live;
+- `shared`: of the others, those with several owners; as a credential that leaked or is passed on may be, it counts as live;
+- `owner`: one owner has it; a live-looking credential of its own.
+
+The corpus may be another table than the one that is judged: ownership is counted where the copies are, before
+duplicates are removed. A value that the corpus does not have has one owner.
 
 Base spans are reported always, with their status; opaque ones are reported only where they are live-looking, for there
 the pattern alone says too little. The value of an assign span is its group 2.
@@ -33,9 +38,8 @@ from motionframe.llm.common import map_rows, positional, restored
 from motionframe.llm.skew import join_by_share
 from motionframe.session import written
 
-#: So many times the median number of owners is still ordinary, and the bounds of what follows from it.
-ORDINARY, LEAST_OWNERS, MOST_OWNERS = 3, 2, 10
-MAX_REPOS = 10
+#: Owners from which on, and repositories beyond which, a value is a widely copied example.
+WIDE, MAX_REPOS = 3, 10
 KINDS = ("assign", "access", "hex", "opaque")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -97,29 +101,22 @@ def ownership(scanned: DataFrame, owner_col: str = "source") -> DataFrame:
     return written(owners.join(by_repo.groupBy("hash").agg(F.sum("n").alias("n_repos")), "hash"), "owners")
 
 
-def most_owners(owners: DataFrame) -> int:
-    """How many owners a value may have that is not widely copied: see above."""
-    (usual,) = owners.agg(F.median("n_owners")).first()  # of few distinct numbers
-    return min(max(int(ORDINARY * (usual or 0)), LEAST_OWNERS), MOST_OWNERS)
-
-
-def is_live(max_owners: int, max_repos: int) -> Column:
-    return (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+def ownership_class(wide: int = WIDE, max_repos: int = MAX_REPOS) -> Column:
+    return F.when((F.col("n_owners") >= wide) | (F.col("n_repos") > max_repos), "example").when(F.col("n_owners") > 1, "shared").otherwise("owner")
 
 
-def _each(seen: DataFrame, corpus: DataFrame | None, owner_col: str, text_col: str, max_owners: int | None, max_repos: int) -> DataFrame:
-    """The candidates of seen, one a row: __id, c, n_owners, n_repos and live. corpus: None counts seen itself."""
+def _each(seen: DataFrame, corpus: DataFrame | None, owner_col: str, text_col: str, wide: int) -> DataFrame:
+    """The candidates of seen, one a row: __id, c, n_owners, n_repos, class and live. corpus: None counts seen itself."""
     counted = seen if corpus is None else scan(corpus.select(F.col(owner_col).alias("__owner"), F.col(text_col).alias("__text")), ["__owner"], "__text")
     owners = ownership(counted, "__owner")
-    live = is_live(most_owners(owners) if max_owners is None else max_owners, max_repos)
     each = written(seen.select("__id", F.explode("candidates").alias("c")).withColumn("hash", F.col("c.hash")), "spans")
     found = join_by_share(each, owners, "hash", each.count(), "n_spans")
     own = lambda c: F.coalesce(F.col(c), F.lit(1)).alias(c)  # noqa: E731  a value that the corpus does not have
-    return found.select("__id", "c", own("n_owners"), own("n_repos")).withColumn("live", live)
+    return found.select("__id", "c", own("n_owners"), own("n_repos")).withColumn("class", ownership_class(wide)).withColumn("live", F.col("class") != "example")
 
 
-def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", max_owners: int | None = None, max_repos: int = MAX_REPOS, corpus: DataFrame | None = None) -> DataFrame:
-    """The columns `keep` and spans: array of (kind, start, end, from, hash, n_owners, n_repos, live), by start and kind.
+def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col: str = "text", wide: int = WIDE, corpus: DataFrame | None = None) -> DataFrame:
+    """The columns `keep` and spans: array of (kind, start, end, from, hash, n_owners, n_repos, class, live), by start and kind.
 
     The scanned rows are written once, so that row ids hold when an executor is lost; only rows with candidates take
     part in the joins.
@@ -127,12 +124,13 @@ def judged(docs: DataFrame, keep: list[str], owner_col: str = "source", text_col
     q = [F.col(f"`{c}`") for c in keep]
     packed = docs.select(F.struct(*q).alias("__row"), F.col(owner_col).alias("__owner"), F.col(text_col).alias("__text"))
     seen = written(scan(packed, ["__row", "__owner"], "__text").withColumn("__id", F.monotonically_increasing_id()), "secrets")
-    each = _each(seen, corpus, owner_col, text_col, max_owners, max_repos)
+    each = _each(seen, corpus, owner_col, text_col, wide)
     each = each.where((F.col("c.kind") != "opaque") | F.col("live"))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("c.kind"))
-    span = F.struct(F.col("c.start").alias("start"), rank.alias("rank"), F.col("c.end").alias("end"), F.col("c.kind").alias("kind"), F.col("c.from").alias("from"), F.col("c.hash").alias("hash"), "n_owners", "n_repos", "live")
+    span = F.struct(F.col("c.start").alias("start"), rank.alias("rank"), F.col("c.end").alias("end"), F.col("c.kind").alias("kind"), F.col("c.from").alias("from"), F.col("c.hash").alias("hash"), "n_owners", "n_repos", "class", "live")
     spans = each.groupBy("__id").agg(F.array_sort(F.collect_list(span)).alias("spans"))  # of one text
-    return seen.join(spans, "__id", "left").select("__row.*", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"))
+    kept = [F.col(f"__row.`{c}`") for c in keep if c != "spans"]  # of that name the computed one stays
+    return seen.join(spans, "__id", "left").select(*kept, F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"))
 
 
 def _masked(texts, spans):
@@ -147,18 +145,17 @@ def _masked(texts, spans):
     return (out,)
 
 
-def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", max_owners: int | None = None, max_repos: int = MAX_REPOS, corpus: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, owner_col: str = "source", text_col: str = "text", wide: int = WIDE, corpus: DataFrame | None = None) -> DataFrame:
     """docs with the values of live-looking candidates replaced by `[secret]`; no row goes, and all columns stay.
 
-    Rows without candidates stay where they are. The others, with their text, are written once and joined by row id.
+    The scanned rows are written once; those with candidates are joined by row id.
     """
     rows, names = positional(docs)
     owner, text = (names[docs.columns.index(c)] for c in (owner_col, text_col))
-    seen = scan(rows, names, text)
+    seen = written(scan(rows, names, text).withColumn("__id", F.monotonically_increasing_id()), "secrets")
     clean = seen.where(F.size("candidates") == 0).select(*names)
-    some = seen.where(F.size("candidates") > 0).withColumn("__id", F.monotonically_increasing_id()).withColumn("__owner", F.col(owner))
-    some = written(some, "secrets")
-    each = _each(some, corpus, owner_col, text_col, max_owners, max_repos).where("live")
+    some = seen.where(F.size("candidates") > 0).withColumn("__owner", F.col(owner))
+    each = _each(some, corpus, owner_col, text_col, wide).where("live")
     spans = each.groupBy("__id").agg(F.collect_list(F.struct(F.col("c.from").alias("from"), F.col("c.end").alias("end"))).alias("spans"))
     hit = some.join(spans, "__id", "left").withColumn("spans", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)))
     masked = map_rows(hit, [n for n in names if n != text], [text, "spans"], [(text, pa.string())], _masked)

@@ -43,3 +43,36 @@ def test_query(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.98 * len(held)
+
+
+def by_hand(text, rows):
+    """Letter by letter and trigram by trigram: the language and its cosine. rows: (text, language)."""
+    letter = lambda ch: np.random.default_rng([H.SEED, ord(ch) if ch != " " else 0]).choice(np.array([-1.0, 1.0]), H.DIM)
+
+    def bundle(t):
+        runs = "".join(ch if ch.isalpha() else " " for ch in (t or "").lower()).split()
+        padded = f" {' '.join(runs)} "
+        grams = [padded[i : i + 3] for i in range(len(padded) - 2)] if runs else []
+        out = sum((np.roll(letter(g[0]), 2) * np.roll(letter(g[1]), 1) * letter(g[2]) for g in grams), np.zeros(H.DIM))
+        return out / np.linalg.norm(out) if grams else None
+
+    sums = {}
+    for t, lang in rows:
+        if lang is not None and (v := bundle(t)) is not None:
+            sums[lang] = sums.get(lang, 0) + np.rint(v * H.SCALE)
+    v = bundle(text)
+    if v is None:
+        return "und", 0.0
+    cos = {lang: float(v @ p / np.linalg.norm(p)) for lang, p in sorted(sums.items())}
+    best = max(cos, key=cos.get)
+    return best, max(0.0, cos[best])
+
+
+def test_predictions_by_hand(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 600").orderBy("doc_id").limit(30).collect()
+    rows = [(r.text, r.lang) for r in docs] + [(FR, "fr"), (EN, "en")]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate([*rows, ("Ünïcode, \u0130stanbul", None), ("", None), ("x", None)])], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in H.identify(d, H.prototypes(d)).collect()}
+    for r in d.collect():
+        lang, score = by_hand(r.text, rows)
+        assert got[r.doc_id].lang_pred == lang and abs(got[r.doc_id].score - score) < 1e-3

@@ -2,7 +2,6 @@ import hashlib
 import math
 import random
 import re
-import statistics
 from collections import defaultdict
 
 from motionframe.llm import secrets as S
@@ -87,10 +86,8 @@ def brute(rows):
             repos[value].add(text)
             one.append((k, a, b, value))
         found.append(one)
-    counts = list(map(len, owners.values()))
-    usual = min(max(int(3 * statistics.median(counts or [0])), 2), 10)
-    live = lambda v: len(owners[v]) <= usual and len(repos[v]) <= 10
-    return usual, [[(k, a, b, len(owners[v]), len(repos[v]), live(v)) for k, a, b, v in one if k != "opaque" or live(v)] for one in found]
+    live = lambda v: len(owners[v]) < 3 and len(repos[v]) <= 10
+    return [[(k, a, b, len(owners[v]), len(repos[v]), live(v)) for k, a, b, v in one if k != "opaque" or live(v)] for one in found]
 
 
 def planted():
@@ -107,10 +104,10 @@ def planted():
 
 def test_ownership_against_brute_force(spark):
     rows = planted()
-    usual, want = brute(rows)
+    want = brute(rows)
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {(r.doc_id, r.text): [(s.kind, s.start, s.end, s.n_owners, s.n_repos, s.live) for s in r.spans] for r in S.judged(d, ["doc_id", "text"]).collect()}
-    assert 2 <= usual < 12 and got == {r[:2]: w for r, w in zip(rows, want)}
+    assert got == {r[:2]: w for r, w in zip(rows, want)}
     kinds = {(k, live) for one in want for k, *_, live in one}
     assert {("assign", True), ("assign", False), ("opaque", True)} <= kinds and ("opaque", False) not in kinds
     other = {r.doc_id: [s.live for s in r.spans if s.kind == "assign"] for r in S.judged(d.where("doc_id < 600"), ["doc_id"], corpus=d).collect()}
@@ -120,11 +117,20 @@ def test_ownership_against_brute_force(spark):
 def test_query(spark):
     d = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{d}/documents.parquet").collect()
-    usual, want = brute([(r.doc_id, r.text, r.source) for r in docs])
+    want = brute([(r.doc_id, r.text, r.source) for r in docs])
     rows = {r.doc_id: r for r in queries()["op9_secret_ownership"](spark, d).collect()}
-    assert len(rows) == len(docs) and 2 <= usual <= 10
+    assert len(rows) == len(docs)
+    assert {live for spans in want for k, *_, live in spans if k != "opaque"} == {True, False}  # some base values are copied examples
     for doc, spans in zip(docs, want):
         r, said = rows[doc.doc_id], [":".join(map(str, s[:3])) for s in spans]
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in spans) for k in ("assign", "access", "hex"))
         assert r.base_sha256 == hashlib.sha256(",".join(x for x in said if not x.startswith("opaque")).encode()).hexdigest() and r.spans == ",".join(said)
         assert (r.n_owners, r.n_repos, r.n_live) == (",".join(str(s[3]) for s in spans), ",".join(str(s[4]) for s in spans), sum(s[5] for s in spans))
+        classes = ["example" if not s[5] else "shared" if s[3] > 1 else "owner" for s in spans]
+        assert r.classes == ",".join(classes)
+
+
+def test_a_kept_column_of_the_same_name(spark):
+    d = spark.createDataFrame([(1, "token = abcdefgh", "o", "mine")], "doc_id long, text string, source string, spans string")
+    out = S.judged(d, ["doc_id", "spans"])
+    assert out.columns == ["doc_id", "spans"] and len(out.first().spans) == 1
