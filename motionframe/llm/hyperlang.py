@@ -82,7 +82,9 @@ class Space:
 
     def encode(self, text: str | None) -> np.ndarray | None:
         """The unit vector of a text, or None without a letter."""
-        keys, counts = self.trigrams(text or "")
+        return self.bundled(*self.trigrams(text or ""))
+
+    def bundled(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
         if not len(keys):
             return None
         out = np.zeros(self.dim, np.float32)
@@ -121,8 +123,9 @@ def measured(docs: DataFrame, known: list[tuple[str, list[int]]], keep: list[str
     def judge(sp, texts):
         lang, score, margin, size = [], [], [], []
         for text in texts:
-            v = sp.encode(text)
-            size.append(0 if v is None else len(sp.trigrams(text)[0]))
+            keys, counts = sp.trigrams(text or "")
+            v = sp.bundled(keys, counts)
+            size.append(len(keys))
             if v is None or not names:
                 lang.append(UNKNOWN)
                 score.append(0.0)
