@@ -1,4 +1,5 @@
-"""Augmentation. Random numbers are hashes of (seed, episode, operator, index): the same however rows are dealt."""
+"""Augmentation. Random numbers are digits of md5("seed|episode|operator|index"): the same however rows are dealt, and such as SQL
+can state too."""
 
 from __future__ import annotations
 
@@ -12,14 +13,24 @@ from motionframe.operators.encoding import actions
 from motionframe.operators.geometry import MIRROR_PAIRS
 from motionframe.operators.ranks import values_at
 from motionframe.operators.temporal import nearest_both
+from motionframe.session import written
 
 SEED = 42
 
 
+def digest(*keys: Column | str | int, seed: int = SEED) -> Column:
+    """md5 of the seed and the keys, with | between them."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *((k if isinstance(k, Column) else F.lit(k)).cast("string") for k in keys)))
+
+
+def digits(md5: Column, part: int = 0) -> Column:
+    """In (0, 1): 13 hex digits of a digest, of which there are two such parts."""
+    return (F.conv(F.substring(md5, 1 + 13 * part, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
 def uniform(*keys: Column | str | int, seed: int = SEED) -> Column:
     """In (0, 1), of the keys."""
-    cols = [k if isinstance(k, Column) else F.lit(k) for k in keys]
-    return (F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return digits(digest(*keys, seed=seed))
 
 
 def between(u: Column, low: float, high: float) -> Column:
@@ -47,8 +58,8 @@ def noisy(frames: DataFrame, sigma: float = 0.01, conf: str | None = None, by: s
 
     def one(j: Column, i: Column) -> Column:
         def g(axis: str) -> Column:
-            u, v = uniform(F.col(by), F.col(t), i, axis, "u"), uniform(F.col(by), F.col(t), i, axis, "v")
-            return F.sqrt(F.log(u) * -2) * F.cos(v * (2 * math.pi)) * size
+            normal = lambda d: F.sqrt(F.log(digits(d)) * -2) * F.cos(digits(d, 1) * (2 * math.pi)) * size
+            return V.let(digest(F.col(by), F.col(t), i, axis), normal)
 
         return V.vec(j["x"] + g("x"), j["y"] + g("y"), j["z"] + g("z"))
 
@@ -70,7 +81,8 @@ def sped(frames: DataFrame, speed: Column, mode: str = "speed", by: str = "episo
     near = nearest_both(grid, frames.select(by, ts, "pose"), ["pose"], by, ts)
     p, q = F.coalesce("prev", "next"), F.coalesce("next", "prev")
     k = F.when(q["ts"] > p["ts"], (F.col(ts) - p["ts"]) / (q["ts"] - p["ts"])).otherwise(0.0)
-    pose = F.zip_with(p["pose"], q["pose"], lambda a, b: V.add(a, V.times(V.sub(b, a), k)))
+    near = near.withColumn("__k", k)  # of the sampled time: in the select below, ts would be the new one
+    pose = F.zip_with(p["pose"], q["pose"], lambda a, b: V.add(a, V.times(V.sub(b, a), F.col("__k"))))
     return near.select(by, F.col("i").alias("t"), F.col("new_ts").alias(ts), pose.alias("pose"))
 
 
@@ -152,7 +164,7 @@ def augmented(frames: DataFrame, kinds: list[str] = ["spatial", "temporal", "vie
 
 def augment_batch(frames: DataFrame, ratio: float = 0.5, by: str = "episode_id", **kw) -> DataFrame:
     """frames and the variants of floor(N * ratio) episodes, chosen by hash: those up to the hash at that rank."""
-    ids = frames.select(by).distinct().withColumn("__u", F.xxhash64(F.lit(SEED), F.col(by), F.lit("choose")))
+    ids = written(frames.select(by).distinct().withColumn("__u", uniform(F.col(by), "choose")), "episodes")
     n = int(ids.count() * ratio)
     bound = values_at(ids, "__u", [], {"__bound": lambda m: F.lit(n - 1)})
     chosen = ids.crossJoin(F.broadcast(bound)).where(F.col("__u") <= F.col("__bound")).select(by)  # one row

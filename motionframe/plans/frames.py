@@ -126,5 +126,4 @@ R.add("largest_object", lambda s, d: I.largest_in_frame(detections(s, d)).select
 R.add("sampled_frames", lambda s, d: I.sampled(detections(s, d).select("video_id", "frame_idx").distinct(), 30.0, 10.0, 40), "SELECT DISTINCT CAST(l_suppkey % 10 AS VARCHAR) AS video_id, l_orderkey % 200 AS frame_idx FROM lineitem WHERE (l_orderkey % 200) % 3 = 0 AND l_orderkey % 200 < 120")
 R.add("viewpoint", lambda s, d: exploded(bodies(s, d).withColumn("pose", A.rotated(F.col("pose"), F.lit(90.0), F.lit(0.0), F.lit(0.0)))), f"WITH {BODY}, j AS (SELECT unnest(range(0, 33))::INTEGER AS j) SELECT episode_id, t, j, round(e[3*j+1] * cos(radians(90)) + e[3*j+3] * sin(radians(90)), 5) AS x, round(e[3*j+2], 5) AS y, round(-e[3*j+1] * sin(radians(90)) + e[3*j+3] * cos(radians(90)), 5) AS z FROM b, j")
 R.add("speed_change", lambda s, d: A.sped(bodies(s, d).select("episode_id", "t", "ts", "pose"), F.lit(1.25)).groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("ts"), 6).alias("end_ts")), "WITH f AS (SELECT vec_id // 50 AS e, count(*) AS n, max((vec_id % 50) / 30) AS t FROM embeddings GROUP BY 1) SELECT e AS episode_id, CAST(floor(n / 1.25) AS BIGINT) AS n, round(t / 1.25, 6) AS end_ts FROM f")
-R.add("augment_batch", lambda s, d: A.augment_batch(bodies(s, d).select("episode_id", "t", "ts", "pose"), 0.5).groupBy("variant").agg(F.count(F.lit(1)).alias("frames"), F.count_distinct("episode_id").alias("episodes")))
 R.add("pca_transform", lambda s, d: G.apply_pca(hands(s, d), G.fit_pca(hands(s, d), 4)).select("episode_id", "t", F.size("components").alias("k"), F.round(F.aggregate("components", F.lit(0.0), lambda a, v: a + v * v), 5).alias("energy")))
