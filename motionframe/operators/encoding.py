@@ -105,7 +105,9 @@ def state_tensor(pose: Column, velocity: Column | None = None) -> Column:
 
 
 def actions(frames: DataFrame, parts: list[str] = ["eef"], by: str = "episode_id", t: str = "t") -> DataFrame:
-    """action of the parts asked for: eef (wrists) or joints, quat or axis_angle of `rotation`, gripper; none is the wrists."""
+    """action of the parts asked for: eef (wrists) or joints, quat or axis_angle of `rotation`, gripper (a column), grippers (the
+    left and the right one, of left_hand and right_hand: 1 closed, 0 open or not seen); none is the wrists. Grippers are the next
+    frame's; the last frame has no action."""
     w = order(by, t)
     cols = []
     for p in parts or ["eef"]:
@@ -119,6 +121,9 @@ def actions(frames: DataFrame, parts: list[str] = ["eef"], by: str = "episode_id
             cols.append(d if p == "quat" else V.quat_axis_angle(d))
         elif p == "gripper":
             cols.append(F.array(F.lead("gripper").over(w)))
+        elif p == "grippers":
+            frames = frames.withColumn("__both", F.array(*(F.coalesce(gripper_closed(F.col(h)), F.lit(0.0)) for h in ("left_hand", "right_hand"))))
+            cols.append(F.lead("__both").over(w))
         else:
             raise ValueError(f"unknown part {p!r}")
     is_last = F.lead(F.lit(1)).over(w).isNull()

@@ -193,18 +193,22 @@ def apply_pca(frames: DataFrame, model, pose: str = "pose", out: str = "componen
     return model.transform(frames.withColumn("__v", array_to_vector(flat(F.col(pose))))).withColumn(out, vector_to_array("__p")).drop("__v", "__c", "__p")
 
 
-def reduced_precision(values: Column, kind: str = "float32") -> Column:
-    """Numbers as float32, or rounded to what float16 holds."""
-    if kind == "float32":
-        return values.cast("array<float>")
-    import numpy as np
-    import pandas as pd
+def half(x: Column) -> Column:
+    """The nearest number that float16 holds (of two, the even one); beyond its range infinity."""
+    size = F.abs(x)
+    guess = F.floor(F.log2(size))
+    power = F.pow(F.lit(2.0), guess)
+    exponent = guess + (power * 2 <= size).cast("int") - (power > size).cast("int")  # the logarithm may be off at powers of two
+    step = F.pow(F.lit(2.0), F.greatest(exponent, F.lit(-14)) - 10)
+    near = F.rint(x / step) * step
+    return F.when((size == 0) | F.isnan(x) | (size == float("inf")), x).when(F.abs(near) > 65504, F.signum(x) * float("inf")).otherwise(near)
 
-    @F.pandas_udf("array<float>")
-    def half(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else np.asarray(v, np.float16).astype(np.float32))
 
-    return half(values)
+def reduced_precision(values: Column, kind: str = "float32") -> Column:
+    """Numbers as float32, or rounded to what float16 holds."""
+    if kind == "float16":
+        values = F.transform(values, lambda v: half(v.cast("double")))
+    return values.cast("array<float>")
 
 
 def normalization_pipeline(frames: DataFrame, joints: list[str] | None = None, relative: bool = True, precision: str | None = "float32", least: float = 0.5) -> DataFrame:

@@ -140,7 +140,7 @@ R.add("interaction_events", lambda s, d: I.sessions(paired_frames(s, d), 30.0, 0
 # --- alignment with the body
 
 
-def _aligned(least: float) -> str:
+def aligned_sql(least: float) -> str:
     """q: poses in the body's own frame, of the last valid frame up to each."""
     unit = lambda k, a, n: ", ".join(f"{a}{c} / nullif({n}, 0) AS {k}{c}" for c in "xyz")
     along = lambda x, y, z, v: f"({x} * {v[0]} + {y} * {v[1]} + {z} * {v[2]}) / (u.s + 1e-8)"
@@ -154,10 +154,10 @@ g AS (SELECT *, last_value(CASE WHEN valid THEN fr END IGNORE NULLS) OVER (PARTI
 al AS (SELECT episode_id, t, valid, wd, CASE WHEN u IS NULL THEN e ELSE flatten(list_transform(range(0, 33), lambda j: [{along('u.xx', 'u.xy', 'u.xz', v)}, {along('u.yx', 'u.yy', 'u.yz', v)}, {along('u.zx', 'u.zy', 'u.zz', v)}])) END AS q FROM g)"""
 
 
-R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))).select("episode_id", *(F.round(c, 5).alias(c) for c in ("valid_ratio", "scale_min", "scale_max", "scale_mean", "scale_std", "coord_max", "coord_mean"))), f"WITH {_aligned(0.5)}, w AS (SELECT *, CASE WHEN valid THEN wd END AS s, CASE WHEN valid THEN list_max(list_transform(q, lambda x: abs(x))) END AS mx, CASE WHEN valid THEN list_sum(list_transform(q, lambda x: abs(x))) / 99 END AS me FROM al) SELECT episode_id, round(avg(valid::INT), 5) AS valid_ratio, round(min(s), 5) AS scale_min, round(max(s), 5) AS scale_max, round(avg(s), 5) AS scale_mean, round(stddev_pop(s), 5) AS scale_std, round(max(mx), 5) AS coord_max, round(avg(me), 5) AS coord_mean FROM w GROUP BY 1")
+R.add("body_alignment", lambda s, d: G.alignment_metrics(G.aligned(bodies(s, d))).select("episode_id", *(F.round(c, 5).alias(c) for c in ("valid_ratio", "scale_min", "scale_max", "scale_mean", "scale_std", "coord_max", "coord_mean"))), f"WITH {aligned_sql(0.5)}, w AS (SELECT *, CASE WHEN valid THEN wd END AS s, CASE WHEN valid THEN list_max(list_transform(q, lambda x: abs(x))) END AS mx, CASE WHEN valid THEN list_sum(list_transform(q, lambda x: abs(x))) / 99 END AS me FROM al) SELECT episode_id, round(avg(valid::INT), 5) AS valid_ratio, round(min(s), 5) AS scale_min, round(max(s), 5) AS scale_max, round(avg(s), 5) AS scale_mean, round(stddev_pop(s), 5) AS scale_std, round(max(mx), 5) AS coord_max, round(avg(me), 5) AS coord_mean FROM w GROUP BY 1")
 _KEPT = [(15, 13), (16, 14), (13, 11), (14, 12), (11, 0), (12, 0), (23, 0), (24, 0)]
 _FEATURES = ", ".join(f"q[{3 * j + k}] - q[{3 * p + k}]" for j, p in _KEPT for k in (1, 2, 3))
-R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid", F.round(_sum("features"), 3).alias("total"), F.round(F.col("features")[4].cast("double"), 4).alias("fifth")), f"WITH {_aligned(0.1)}, v AS (SELECT *, list_transform([{_FEATURES}], lambda x: x::FLOAT::DOUBLE) AS f FROM al) SELECT episode_id, t, len(f)::INTEGER AS width, valid, round(list_sum(f), 3) AS total, round(f[5], 4) AS fifth FROM v")
+R.add("normalization_pipeline", lambda s, d: G.normalization_pipeline(bodies(s, d), G.KEPT, least=0.1).select("episode_id", "t", F.size("features").alias("width"), "valid", F.round(_sum("features"), 3).alias("total"), F.round(F.col("features")[4].cast("double"), 4).alias("fifth")), f"WITH {aligned_sql(0.1)}, v AS (SELECT *, list_transform([{_FEATURES}], lambda x: x::FLOAT::DOUBLE) AS f FROM al) SELECT episode_id, t, len(f)::INTEGER AS width, valid, round(list_sum(f), 3) AS total, round(f[5], 4) AS fifth FROM v")
 
 
 # --- points and objects
