@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motionframe.plans import alerting, augmentation, catalogue, frames, learning, operations, reports, sinks, streams
+from motionframe.plans import alerting, augmentation, candidates, catalogue, frames, learning, operations, reports, sinks, streams
 from motionframe.plans.registry import Query
 
-_PARTS = [catalogue.R, frames.R, reports.R, operations.R, alerting.R, streams.R, sinks.R, augmentation.R, learning.R]
+_PARTS = [catalogue.R, frames.R, reports.R, operations.R, alerting.R, streams.R, sinks.R, augmentation.R, learning.R, candidates.R]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
