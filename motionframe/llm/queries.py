@@ -57,7 +57,7 @@ def op6_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality_lines.measure_lines(table(spark, sf_dir, "documents"))
+    rows = quality_lines.measure_lines(table(spark, sf_dir, "documents"), source_col="source")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "n_lost_words")
 
 
