@@ -80,17 +80,31 @@ def first_seen(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def crawl_flags(found: DataFrame, key: str = "video_id", order: list[str] = ["discovered_at", "platform", "keyword"]) -> DataFrame:
     """Each row found with its outcome: duplicate, filtered or accepted; duplicates are told before filters apply."""
-    w = Window.partitionBy(key).orderBy(*order)
-    dup = F.row_number().over(w) > 1
-    ok = passes_content(F.col("title"), F.col("description")) & passes_duration(F.col("duration_sec"))
-    return found.withColumn("outcome", F.when(dup, "duplicate").when(~ok, "filtered").otherwise("accepted"))
+    dup = F.row_number().over(Window.partitionBy(key).orderBy(*order)) > 1
+    rows = found.withColumn("__filtered", _filtered())  # before the shuffle, which titles then need not take part in
+    return rows.withColumn("outcome", F.when(dup, "duplicate").when(F.col("__filtered"), "filtered").otherwise("accepted")).drop("__filtered")
 
 
-def crawl_funnel(flags: DataFrame) -> DataFrame:
-    """Counts in total, by platform and by keyword, in one pass."""
-    n = lambda o: F.count_if(F.col("outcome") == o)
-    sets = flags.groupingSets([["platform"], ["keyword"], []], "platform", "keyword")
-    return sets.agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("found"), n("duplicate").alias("duplicates"), n("filtered").alias("filtered"), n("accepted").alias("accepted"))
+def _filtered() -> Column:
+    ok = passes_content(F.col("title"), F.col("description")) & passes_duration(F.col("duration_sec"))
+    return F.coalesce(~ok, F.lit(False))
+
+
+def crawl_funnel(found: DataFrame, key: str = "video_id", order: list[str] = ["discovered_at", "platform", "keyword"]) -> DataFrame:
+    """How many rows were found, duplicates, filtered and accepted: in total, by platform and by keyword.
+
+    As crawl_flags tells it, but counted before the shuffle: of each key, one row a platform and keyword is shuffled, however
+    many rows have that key, and no titles are. Rows that are equal in order count as filtered only if all of them are.
+    """
+    at = F.struct(*order, _filtered().alias("__filtered"))
+    per = found.select(key, "platform", "keyword", at.alias("__at")).groupBy(key, "platform", "keyword").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__at"))
+    place = F.struct("__at", "platform", "keyword")
+    per = per.withColumn("__first", place.eqNullSafe(F.min(place).over(Window.partitionBy(key))).cast("int"))
+    filtered = F.when(F.col("__at.__filtered"), F.col("__first")).otherwise(0)
+    total = lambda v: F.sum(v).cast("long")
+    sets = per.groupingSets([["platform"], ["keyword"], []], "platform", "keyword")
+    counts = {"found": F.col("__n"), "duplicates": F.col("__n") - F.col("__first"), "filtered": filtered, "accepted": F.col("__first") - filtered}
+    return sets.agg(F.grouping_id().alias("g"), *(total(v).alias(c) for c, v in counts.items()))
 
 
 def scraped_urls(pages: DataFrame, pattern: str, limit: int, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionframe.functions import scalar as S
+from motionframe.operators.ranges import running_sums
 
 # --- filters
 
@@ -59,8 +60,9 @@ def lookup(df: DataFrame, **equal: object) -> DataFrame:
 
 
 def queue_order(tasks: DataFrame) -> DataFrame:
-    """Waiting tasks as a queue gives them out: the highest priority first, and among equals the first that came."""
-    return tasks.where(F.col("status").isin("pending", "queued")).orderBy(F.col("priority").desc(), "created_at", "task_id")
+    """Waiting tasks and the place, from 1, in which a queue gives them out: the highest priority first, and among equals the first that came."""
+    waiting = tasks.where(F.col("status").isin("pending", "queued"))
+    return running_sums(waiting, [], [F.col("priority").desc(), "created_at", "task_id"], place=F.lit(1))
 
 
 def requeued(tasks: DataFrame, failed: DataFrame, retry: bool = True, key: str = "task_id") -> DataFrame:

@@ -188,13 +188,13 @@ def profile_drift(s: SparkSession, d: str) -> DataFrame:
 @add(
     "context_changes",
     """
-    WITH e AS (SELECT event_id, event_type, value, user_id FROM events WHERE event_id % 10 = 0)
+    WITH e AS (SELECT event_id, event_type, value, user_id FROM events)
     SELECT event_id AS context_id, ((event_id % 20 = 0)::INT + (event_id % 30 = 0)::INT)::BIGINT AS critical, ((event_id % 20 = 0)::INT + (event_id % 30 = 0)::INT + 1)::BIGINT AS changed FROM e
     """,
 )
 def context_changes(s: SparkSession, d: str) -> DataFrame:
     """Two runs' parameters: the rate of every second and the model of every third differ, a seed is new, a time does not count."""
-    e = events(s, d).where("event_id % 10 = 0")
+    e = events(s, d)
     of = lambda *kv: F.map_from_arrays(F.array(*(F.lit(k) for k, _ in kv)), F.array(*(v.cast("string") for _, v in kv)))
     a = e.select(eid().alias("context_id"), of(("rate", F.col("value")), ("model", F.col("event_type")), ("captured_at", F.lit("a"))).alias("params"))
     rate, model = F.when(eid() % 20 == 0, F.lit("other")).otherwise(F.col("value").cast("string")), F.when(eid() % 30 == 0, F.lit("new")).otherwise(F.col("event_type"))

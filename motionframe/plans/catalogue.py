@@ -114,7 +114,7 @@ R.add("keyword_combinations", lambda s, d: C.keyword_combinations(table(s, d, "r
 R.add("title_terms", lambda s, d: C.title_terms(table(s, d, "documents"), "text"), r"""WITH w AS (SELECT regexp_replace(unnest(regexp_split_to_array(lower(text), '\s+')), '^[.,!?()\[\]{}"'']+|[.,!?()\[\]{}"'']+$', '', 'g') AS word FROM documents) SELECT word, count(*) AS n FROM w WHERE length(word) > 3 GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, word LIMIT 50""")
 R.add("content_filter", lambda s, d: table(s, d, "documents").groupBy(C.passes_content(F.col("text"), F.col("lang"), ["tion", "est"], ["clown", "idiot"]).alias("passes"), C.passes_duration(F.col("n_chars")).alias("length_ok")).agg(F.count(F.lit(1)).alias("n")), "WITH x AS (SELECT lower(text || ' ' || lang) AS t, n_chars FROM documents) SELECT (t LIKE '%tion%' OR t LIKE '%est%') AND NOT (t LIKE '%clown%' OR t LIKE '%idiot%') AS passes, n_chars IS NULL OR n_chars BETWEEN 30 AND 1200 AS length_ok, count(*) AS n FROM x GROUP BY 1, 2")
 R.add("dedupe_first", lambda s, d: C.first_seen(table(s, d, "documents").select(F.sha2("text", 256).alias("video_id"), "doc_id", "source"), "video_id", ["doc_id"]), "SELECT sha256(text) AS video_id, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY 1")
-R.add("crawl_funnel", lambda s, d: C.crawl_funnel(C.crawl_flags(table(s, d, "documents").select(F.sha2("text", 256).alias("video_id"), F.col("doc_id").alias("discovered_at"), F.col("source").alias("platform"), F.col("lang").alias("keyword"), F.col("text").alias("title"), F.lit("").alias("description"), F.col("n_chars").alias("duration_sec")))).select("platform", "keyword", "found", "duplicates", "filtered", "accepted"), f"""WITH x AS (SELECT source AS platform, lang AS keyword, lower(text || ' ') AS t, n_chars AS c, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents), y AS (SELECT platform, keyword, CASE WHEN r > 1 THEN 'duplicate' WHEN ({' OR '.join(f"contains(t, '{w}')" for w in C.RELEVANT)}) AND NOT ({' OR '.join(f"contains(t, '{w}')" for w in C.REJECTED)}) AND c BETWEEN 30 AND 1200 THEN 'accepted' ELSE 'filtered' END AS o FROM x)
+R.add("crawl_funnel", lambda s, d: C.crawl_funnel(table(s, d, "documents").select(F.sha2("text", 256).alias("video_id"), F.col("doc_id").alias("discovered_at"), F.col("source").alias("platform"), F.col("lang").alias("keyword"), F.col("text").alias("title"), F.lit("").alias("description"), F.col("n_chars").alias("duration_sec"))).select("platform", "keyword", "found", "duplicates", "filtered", "accepted"), f"""WITH x AS (SELECT source AS platform, lang AS keyword, lower(text || ' ') AS t, n_chars AS c, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents), y AS (SELECT platform, keyword, CASE WHEN r > 1 THEN 'duplicate' WHEN ({' OR '.join(f"contains(t, '{w}')" for w in C.RELEVANT)}) AND NOT ({' OR '.join(f"contains(t, '{w}')" for w in C.REJECTED)}) AND c BETWEEN 30 AND 1200 THEN 'accepted' ELSE 'filtered' END AS o FROM x)
  SELECT platform, keyword, count(*) AS found, count_if(o='duplicate') AS duplicates, count_if(o='filtered') AS filtered, count_if(o='accepted') AS accepted FROM y GROUP BY GROUPING SETS ((platform), (keyword), ())""")
 R.add("relevance_score", lambda s, d: table(s, d, "documents").select("doc_id", F.round(C.relevance_score(F.col("text"), F.col("source"), F.array("lang"), F.col("n_chars") * 10, F.col("doc_id"), ["and", "the", "est", "en"]), 9).alias("score")), "SELECT doc_id, round(least(1.0, ((contains(lower(text), 'and')::INT + contains(lower(text), 'the')::INT + contains(lower(text), 'est')::INT + contains(lower(text), 'en')::INT) / 4 * 0.5 + (contains(lang, 'and')::INT + contains(lang, 'the')::INT + contains(lang, 'est')::INT + contains(lang, 'en')::INT) / 4 * 0.3 + (contains(source, 'and')::INT + contains(source, 'the')::INT + contains(source, 'est')::INT + contains(source, 'en')::INT) / 4 * 0.2) * CASE WHEN n_chars * 10 > 10000 THEN 1.1 ELSE 1.0 END * CASE WHEN doc_id > 100 THEN 1.05 ELSE 1.0 END), 9) AS score FROM documents")
 R.add("technical_score", lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", C.technical_score((F.col("l_partkey") % 2000).cast("int"), F.col("l_quantity"), F.col("l_extendedprice") / 50, F.col("l_extendedprice") * 100).alias("t")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.floor(F.col("t.technical") * 10000 + 1e-6).alias("technical"), F.size("t.reasons").alias("n_reasons")), """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_partkey % 2000 AS h, l_quantity AS f, l_extendedprice / 50 AS s, l_extendedprice * 100 / 1e6 AS b FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(floor(((CASE WHEN h < 720 THEN 0 WHEN h >= 1080 THEN 1 ELSE (h - 720) / 360.0 END) + (CASE WHEN f < 24 THEN 0 WHEN f >= 30 THEN 1 ELSE (f - 24) / 6 END) + (CASE WHEN s < 10 OR s > 1200 THEN 0 WHEN s <= 300 THEN s / 300 ELSE 1 - (s - 300) / 900 * 0.5 END) + (CASE WHEN b < 1 THEN 0.2 WHEN b >= 5 THEN 1 ELSE greatest(0.2, (b - 1) / 4) END)) / 4 * 10000 + 1e-6) AS BIGINT) AS technical, (h < 720)::INT + (f < 24)::INT + (s < 10)::INT + (s > 1200)::INT + (b < 1)::INT AS n_reasons FROM x""")

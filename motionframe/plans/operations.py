@@ -31,7 +31,11 @@ def _failed(s: SparkSession, d: str) -> DataFrame:
 
 R.add("requeued", lambda s, d: K.requeued(tasks(s, d), _failed(s, d)).select("task_id", "priority", "status", "retry_count", "error"), f"WITH {TASKS} SELECT task_id, CASE WHEN task_id % 4 = 1 AND retry_count + 1 < max_retries THEN greatest(1, priority - 1) ELSE priority END AS priority, CASE WHEN task_id % 4 != 1 THEN status WHEN retry_count + 1 < max_retries THEN 'pending' ELSE 'failed' END AS status, CASE WHEN task_id % 4 = 1 THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN task_id % 4 = 1 THEN 'e' || task_id % 3 END AS error FROM tasks")
 R.add("retried", lambda s, d: K.retried(tasks(s, d), _failed(s, d)).select("task_id", "status", "retry_count"), f"WITH {TASKS} SELECT task_id, CASE WHEN task_id % 4 = 1 THEN 'pending' ELSE status END AS status, CASE WHEN task_id % 4 = 1 THEN retry_count + 1 ELSE retry_count END AS retry_count FROM tasks")
-R.add("queue_order", lambda s, d: K.queue_order(tasks(s, d)).select("task_id", "priority").limit(40), f"WITH {TASKS} SELECT task_id, priority FROM tasks WHERE status IN ('pending', 'queued') ORDER BY priority DESC, created_at, task_id LIMIT 40")
+R.add(
+    "queue_order",
+    lambda s, d: K.queue_order(tasks(s, d)).select("task_id", "priority", "place"),
+    f"WITH {TASKS} SELECT task_id, priority, row_number() OVER (ORDER BY priority DESC, created_at, task_id) AS place FROM tasks WHERE status IN ('pending', 'queued')",
+)
 R.add("pending_uploads", lambda s, d: K.pending_uploads(tasks(s, d), 40).select("task_id", "priority"), f"WITH {TASKS} SELECT task_id, priority FROM tasks WHERE status = 'pending' AND retry_count < max_retries ORDER BY priority, created_at, task_id LIMIT 40")
 R.add("without_old", lambda s, d: K.without_old(tasks(s, d), F.lit("2024-01-31 00:00:00").cast("timestamp"), 7).select("task_id", "status"), f"WITH {TASKS} SELECT task_id, status FROM tasks WHERE NOT (status = 'completed' AND completed_at < TIMESTAMP '2024-01-24 00:00:00')")
 R.add("by_prefix", lambda s, d: K.by_prefix(jobs(s, d), "video_id", "v1").groupBy("video_id").agg(F.count(F.lit(1)).alias("n")).unionByName(K.by_prefix(jobs(s, d), "video_id", "v1", True).agg(F.lit("others").alias("video_id"), F.count(F.lit(1)).alias("n"))), f"WITH {JOBS} SELECT video_id, count(*) AS n FROM jobs WHERE video_id LIKE 'v1%' GROUP BY 1 UNION ALL SELECT 'others' AS video_id, count(*) AS n FROM jobs WHERE video_id NOT LIKE 'v1%'")

@@ -75,18 +75,23 @@ R.add("validated_pairs", lambda s, d: E.validated(_pairs(s, d).join(bodies(s, d)
 a AS (SELECT episode_id, count(state) AS n_states, count(action) AS n_actions, count(ts) AS n_times, stddev_pop(dt) AS ds, avg(dt) AS dm, max(len(state))::INTEGER AS state_dim, max(len(action))::INTEGER AS action_dim, min(list_min(state)) AS state_min, max(list_max(state)) AS state_max, min(list_min(action)) AS action_min, max(list_max(action)) AS action_max FROM y GROUP BY 1)
 SELECT episode_id, n_states, n_actions, n_times, state_dim, action_dim, round(state_min, 3) AS state_min, round(state_max, 3) AS state_max, round(action_min, 3) AS action_min, round(action_max, 3) AS action_max, concat_ws(',', CASE WHEN n_times != n_states THEN 'timestamps' END, CASE WHEN n_actions != n_states - 1 THEN 'actions' END) AS errors, concat_ws(',', CASE WHEN ds > dm * 0.1 THEN 'uneven' END, CASE WHEN greatest(abs(state_min), abs(state_max)) > 100 THEN 'large_states' END, CASE WHEN greatest(abs(action_min), abs(action_max)) > 10 THEN 'large_actions' END) AS notes, n_times = n_states AND n_actions = n_states - 1 AS valid FROM a""")
 R.add("dataset_stats", lambda s, d: E.dataset_stats(_pairs(s, d).join(bodies(s, d).select("episode_id", "t", "confidence", E.gripper(F.col("left_hand"), F.col("right_hand")).alias("gripper")), ["episode_id", "t"])).select("episodes", "frames", "state_dim", "with_hands", "ready", *(F.round(c, 4).alias(c) for c in ("mean_confidence", "mean_min", "mean_max", "mean_std"))), f"WITH {_PAIRS}, e AS (SELECT episode_id, count(*) AS frames, max(len(state)) AS dim, avg(conf) AS conf, max(g != 0.5) AS hands, min(list_min(state)) AS lo, max(list_max(state)) AS hi FROM sa GROUP BY 1), v AS (SELECT episode_id, stddev_pop(x) AS sd FROM (SELECT episode_id, unnest(state) AS x FROM sa) GROUP BY 1) SELECT count(*) AS episodes, sum(frames)::BIGINT AS frames, max(dim)::INTEGER AS state_dim, count_if(hands)::BIGINT AS with_hands, count_if(conf > 0.1 AND frames >= 5)::BIGINT AS ready, round(avg(conf), 4) AS mean_confidence, round(avg(lo), 4) AS mean_min, round(avg(hi), 4) AS mean_max, round(avg(sd), 4) AS mean_std FROM e JOIN v USING (episode_id)")
-_SOME = "(episode_id % 7 != 3 OR t = 0)"
+_COPY = 1_000_000  # added to the ids of copies
+
+
+def _with_short(s: SparkSession, d: str) -> DataFrame:
+    """All frames, and the first one of every seventh episode as an episode of its own."""
+    short = bodies(s, d).where("episode_id % 7 = 3 AND t = 0").withColumn("episode_id", F.col("episode_id") + _COPY)
+    return bodies(s, d).unionByName(short)
 
 
 def _eef(s: SparkSession, d: str) -> DataFrame:
-    """Some episodes have a single frame."""
-    return E.eef_pairs(bodies(s, d).where(_SOME), 30.0)
+    return E.eef_pairs(_with_short(s, d), 30.0)
 
 
-_EEF = _posed(0.1).replace("FROM b JOIN", f"FROM (SELECT * FROM b WHERE {_SOME}) b JOIN") + ", ef AS (SELECT episode_id, t, CASE WHEN n < 2 THEN 'too_short' ELSE 'ok' END AS status, list_concat(p, v, [conf, conf]) AS state, CASE WHEN pa IS NOT NULL THEN list_transform(range(46, 52), lambda i: pa[i] - p[i]) END AS action FROM pv)"
+_EEF = _posed(0.1).replace("FROM b JOIN", f"FROM (FROM b UNION ALL SELECT * REPLACE (episode_id + {_COPY} AS episode_id) FROM b WHERE episode_id % 7 = 3 AND t = 0) b JOIN").replace("b.episode_id * 50", f"b.episode_id % {_COPY} * 50") + ", ef AS (SELECT episode_id, t, CASE WHEN n < 2 THEN 'too_short' ELSE 'ok' END AS status, list_concat(p, v, [conf, conf]) AS state, CASE WHEN pa IS NOT NULL THEN list_transform(range(46, 52), lambda i: pa[i] - p[i]) END AS action FROM pv)"
 R.add("eef_states", lambda s, d: _eef(s, d).select("episode_id", "t", "status", F.size("state").alias("state_dim"), F.round(_sum("state"), 4).alias("state_sum"), F.round(_sum("action"), 5).alias("action_sum")), f"WITH {_EEF} SELECT episode_id, t, status, len(state)::INTEGER AS state_dim, round(list_sum(state), 4) AS state_sum, round(list_sum(action), 5) AS action_sum FROM ef")
 R.add("eef_encoding", lambda s, d: E.encoding_summary(E.encoding_results(_eef(s, d))), f"WITH {_EEF}, r AS (SELECT episode_id, max(status) AS status, count(*) AS frames FROM ef GROUP BY 1) SELECT status, count(*) AS episodes, sum(frames)::BIGINT AS frames FROM r GROUP BY 1")
-R.add("eef_results", lambda s, d: E.encoding_results(_eef(s, d), bodies(s, d).select((F.col("episode_id") + F.when(F.col("t") == 7, 1000).otherwise(0)).alias("episode_id")).distinct().withColumn("error", F.when(F.col("episode_id") % 11 == 5, "unreadable"))), f"WITH {_EEF}, f AS (SELECT DISTINCT vec_id // 50 + CASE WHEN vec_id % 50 = 7 THEN 1000 ELSE 0 END AS episode_id FROM embeddings), r AS (SELECT episode_id, max(status) AS status, count(*) AS frames, max(len(state))::INTEGER AS state_dim, coalesce(max(len(action)), 0)::INTEGER AS action_dim FROM ef GROUP BY 1) SELECT f.episode_id, CASE WHEN f.episode_id % 11 = 5 THEN 'error' WHEN status IS NULL THEN 'error' ELSE status END AS status, coalesce(frames, 0) AS frames, state_dim, action_dim, CASE WHEN f.episode_id % 11 = 5 THEN 'unreadable' WHEN status = 'too_short' THEN 'under 2 frames: ' || frames WHEN status IS NULL THEN 'no frames' END AS error FROM f LEFT JOIN r USING (episode_id)")
+R.add("eef_results", lambda s, d: E.encoding_results(_eef(s, d), _with_short(s, d).select((F.col("episode_id") + F.when(F.col("t") == 7, 1000).otherwise(0)).alias("episode_id")).distinct().withColumn("error", F.when(F.col("episode_id") % 11 == 5, "unreadable"))), f"WITH {_EEF}, f AS (SELECT DISTINCT vec_id // 50 + CASE WHEN vec_id % 50 = 7 THEN 1000 ELSE 0 END AS episode_id FROM embeddings UNION SELECT vec_id // 50 + {_COPY} FROM embeddings WHERE vec_id // 50 % 7 = 3 AND vec_id % 50 = 0), r AS (SELECT episode_id, max(status) AS status, count(*) AS frames, max(len(state))::INTEGER AS state_dim, coalesce(max(len(action)), 0)::INTEGER AS action_dim FROM ef GROUP BY 1) SELECT f.episode_id, CASE WHEN f.episode_id % 11 = 5 THEN 'error' WHEN status IS NULL THEN 'error' ELSE status END AS status, coalesce(frames, 0) AS frames, state_dim, action_dim, CASE WHEN f.episode_id % 11 = 5 THEN 'unreadable' WHEN status = 'too_short' THEN 'under 2 frames: ' || frames WHEN status IS NULL THEN 'no frames' END AS error FROM f LEFT JOIN r USING (episode_id)")
 R.add("episode_numbers", lambda s, d: E.episode_stats(_pairs(s, d)).select("episode_id", "rows", "width", "n", *(F.round(c, 3).alias(c) for c in ("mean", "std", "min", "max"))), f"WITH {_PAIRS}, v AS (SELECT episode_id, unnest(state) AS x, len(state) AS w FROM sa) SELECT episode_id, (SELECT count(*) FROM sa WHERE sa.episode_id = v.episode_id) AS rows, max(w)::INTEGER AS width, count(*) AS n, round(avg(x), 3) AS mean, round(stddev_pop(x), 3) AS std, round(min(x), 3) AS min, round(max(x), 3) AS max FROM v GROUP BY episode_id")
 
 # --- quality

@@ -210,10 +210,10 @@ def json_manifests(s: SparkSession, d: str) -> DataFrame:
     return S.read_manifests(s, path).select("version", "key", "sha256", "size_bytes", F.unix_timestamp("created_at").alias("created_s"))
 
 
-@add("json_contexts", "SELECT lower(event_type) AS platform, 'v' || event_id AS video_id, value::VARCHAR AS rate, event_type AS model FROM events WHERE event_id % 50 = 0")
+@add("json_contexts", "SELECT lower(event_type) AS platform, 'v' || user_id % 20 AS video_id, max(value)::VARCHAR AS rate, event_type AS model FROM events GROUP BY event_type, user_id % 20")
 def json_contexts(s: SparkSession, d: str) -> DataFrame:
-    path, e = folder(s, "contexts"), table(s, d, "events").where("event_id % 50 = 0")
-    rows = e.select(F.lower("event_type").alias("platform"), F.concat(F.lit("v"), "event_id").alias("video_id"), F.col("ts").cast("timestamp").alias("captured_at"), F.create_map(F.lit("rate"), F.col("value").cast("string")).alias("params"), F.create_map(F.lit("model"), F.col("event_type")).alias("versions"), F.lit("x").alias("unknown"))
+    path, e = folder(s, "contexts"), table(s, d, "events").groupBy("event_type", (F.col("user_id") % 20).alias("k")).agg(F.max("value").alias("value"), F.max("ts").alias("ts"))
+    rows = e.select(F.lower("event_type").alias("platform"), F.concat(F.lit("v"), "k").alias("video_id"), F.col("ts").cast("timestamp").alias("captured_at"), F.create_map(F.lit("rate"), F.col("value").cast("string")).alias("params"), F.create_map(F.lit("model"), F.col("event_type")).alias("versions"), F.lit("x").alias("unknown"))
     S.write_contexts(rows.repartition("platform"), path)
     return S.read_contexts(s, path).select("platform", "video_id", F.col("params")["rate"].alias("rate"), F.col("versions")["model"].alias("model"))
 

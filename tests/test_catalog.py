@@ -87,6 +87,12 @@ def test_candidates(spark):
     df = spark.createDataFrame([("a", "Robot ARM demo", 60, 1), ("a", "Robot again", 60, 2), ("b", "toy robot", 60, 1), ("c", "cooking", 60, 1), ("d", "gripper", 5, 1), ("e", "gripper", None, 1)], "video_id string, title string, duration_sec int, discovered_at int")
     flags = C.crawl_flags(df.withColumn("description", F.lit(None).cast("string")).withColumn("platform", F.lit("p")).withColumn("keyword", F.lit("k")))
     assert sorted((r.video_id, r.outcome) for r in flags.collect()) == [("a", "accepted"), ("a", "duplicate"), ("b", "filtered"), ("c", "filtered"), ("d", "filtered"), ("e", "accepted")]
+    found = flags.drop("outcome")
+    told = sorted((r.platform or "", r.keyword or "", r.found, r.duplicates, r.filtered, r.accepted) for r in C.crawl_funnel(found).collect())
+    assert told == [("", "", 6, 1, 3, 2), ("", "k", 6, 1, 3, 2), ("p", "", 6, 1, 3, 2)]
+    assert C.crawl_funnel(found.unionByName(found)).where("platform = 'p'").first().duplicates == 7 and C.crawl_funnel(found.limit(0)).count() == 0
+    nulls = found.withColumn("platform", F.lit(None).cast("string")).withColumn("video_id", F.lit(None).cast("string"))
+    assert [tuple(r)[-3:] for r in C.crawl_funnel(nulls).where("g = 3").collect()] == [(5, 0, 1)]
     f = "array<struct<vcodec:string,height:int,fps:double,tbr:double>>"
     info = spark.createDataFrame([(100, 0, 0.0, 0.0, "bin picking", "", [("none", 2000, 60.0, 9.0), ("h264", 720, 30.0, 2500.0)]), (100, 0, 0.0, 0.0, "bin picking", "", [("h264", 360, 30.0, 2500.0)]), (30, 720, 30.0, 0.0, "bin picking", "", None)], f"duration int, height int, fps double, tbr double, title string, description string, formats {f}")
     assert [r.passes for r in C.passes_constraints(info).collect()] == [True, False, False]
