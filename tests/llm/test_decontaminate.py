@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from motionframe.llm import decontaminate as D
@@ -85,6 +86,46 @@ def test_two_megabytes_of_items_in_one_pass(spark):
     assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in out.collect()} == {d[0]: brute(d[1], None, known=known) for d in docs}
 
 
+def test_large_benchmark_is_narrowed_to_one_pass(spark):
+    """Of many items few occur: these alone make the automaton, which sees only the texts that may have them."""
+    rng = random.Random(3)
+    vocab = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(say(rng.choice([1, 3, 6, 7, 12, 13, 14, 20, 60]))) + ("" if i % 9 else " été"), "") for i in range(8000)]
+    items += [(None, "only once", ""), (9001, None, ""), (9002, "?!", "")]
+    docs = [(-1, None, "", 0), (-2, "", "", 0), (-3, "ONLY, once", "", 0)]
+    for i in range(300):
+        part = rng.choice(items[:8000])[1].upper().split() if i % 10 == 0 else []
+        docs.append((i, " ".join([f"z{rng.randrange(99)}" for _ in range(20)] + part + ["zz"] * (i % 3)), "", 0))
+    docs.append((999, " ".join(["zz"] * 40_000) + " " + items[5][1], "", 0))
+    d = spark.createDataFrame(docs, "doc_id long, text string, n_words string, item_ids int")
+    b = spark.createDataFrame(items, "item_id long, text string, text2 string")
+    size = 1 << 16
+    assert sum(len(t or "") for _, t, _ in items) > 4 * size
+    out = D.scan_documents(d, b, block_bytes=size)
+    known = windows([i[:2] for i in items])
+    assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in out.collect()} == {x[0]: brute(x[1], None, known=known) for x in docs}
+    rows = d.select("doc_id", "text")
+    looked, left = D.narrowed(rows, D.distinct_items(b), "text", 13)
+    said = [f" {' '.join(WORD.findall((x[1] or '').translate(LOW)))} " for x in docs]
+    low = lambda t: WORD.findall(t.translate(LOW))
+    stand_for = lambda w: [w[i : i + 7] for i in range(0, len(w) - 6, 7)] if len(w) >= 13 else [w] if w else []
+    want = {(str(i) if i is not None else None, t) for i, t, _ in items if t and any(f" {' '.join(p)} " in d for p in stand_for(low(t)) for d in said)}
+    assert {(r["item"], r["text"]) for r in left.collect()} == want and 30 < len(want) < 100
+    assert len(list(D.item_pieces(left, size))) == 1
+    assert looked.where(F.size("__hits") > 0).count() < 50
+    assert looked.count() == len(docs)
+
+
+def test_filter_that_is_too_full_changes_no_result(spark, monkeypatch):
+    docs, items = make()
+    want = case(spark, docs, items)
+    monkeypatch.setattr(D, "filter_cells", lambda keys, n: np.full(16, 2**64 - 1, np.uint64))
+    got = case(spark, docs, items, block_bytes=100)
+    key = lambda r: (str(r.doc_id), r.n_words, r.n_hit, str(r.item_ids), str(r.spans))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
 def test_spans_are_in_the_original(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     text = "Ça va? " + item.upper().replace(" ", "\t-- ") + "; bien"
