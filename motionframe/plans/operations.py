@@ -65,7 +65,7 @@ SELECT 'compression' AS type, NULL AS storage_class, 'GLACIER' AS recommended_cl
 R.add("active_versions", lambda s, d: K.active_versions(K.deactivated(table(s, d, "part").select(F.col("p_partkey").alias("version"), (F.col("p_partkey") % 3 != 0).alias("is_active"), F.col("p_partkey").alias("created_at")), "7")).select("version"), "SELECT p_partkey AS version FROM part WHERE p_partkey % 3 != 0 AND p_partkey != 7")
 R.add("episode_videos", lambda s, d: K.scores_by_prefix(jobs(s, d).select(F.concat("video_id", F.lit("_ep"), F.lpad((F.col("event_id") % 3).cast("string"), 3, "0")).alias("episode_id")), jobs(s, d).groupBy("video_id").agg(F.count(F.lit(1)).alias("score"))).groupBy("episode_id").agg(F.max("score").alias("score")), f"WITH {JOBS}, c AS (SELECT video_id, count(*) AS score FROM jobs GROUP BY 1) SELECT DISTINCT j.video_id || '_ep00' || (event_id % 3) AS episode_id, score FROM jobs j JOIN c USING (video_id)")
 R.add("registered", lambda s, d: K.registered(files(s, d).where("size_bytes % 3 != 0").select(F.col("key").alias("episode_id"), F.lit("old").alias("cloud_path")), files(s, d).where("size_bytes % 2 = 0").select(F.col("key").alias("episode_id"), F.concat(F.lit("s3://b/"), "key").alias("uri"))), f"WITH {FILES} SELECT key AS episode_id, CASE WHEN size_bytes % 2 = 0 THEN 's3://b/' || key ELSE 'old' END AS cloud_path FROM files WHERE size_bytes % 3 != 0 OR size_bytes % 2 = 0")
-R.add("readable", lambda s, d: jobs(s, d).select("job_key", S.format_duration(F.col("event_id") * 360).alias("took"), S.format_size(F.col("event_id") * F.col("event_id") * 1000).alias("size"), S.resolution_label(F.col("event_id") % 2000, F.col("retry_count") * 360).alias("label"), S.video_summary(F.col("job_key"), F.col("event_id") / 7, F.col("event_id") % 2000, F.col("retry_count") * 360, F.col("retry_count") * 7.5, F.lit("h264"), F.lit(None).cast("string"), F.col("event_id") * 1048576).alias("summary")), f"""WITH {JOBS}, j AS (SELECT job_key, event_id AS e, retry_count * 360 AS h, retry_count * 7.5::DOUBLE AS fps, CAST(event_id * event_id * 1000 AS DOUBLE) AS b FROM jobs)
+R.add("readable", lambda s, d: jobs(s, d).select("job_key", S.format_duration(F.col("event_id") * 360).alias("took"), S.format_size(F.col("event_id") * F.col("event_id") * 1000, "TB").alias("size"), S.resolution_label(F.col("event_id") % 2000, F.col("retry_count") * 360).alias("label"), S.video_summary(F.col("job_key"), F.col("event_id") / 7, F.col("event_id") % 2000, F.col("retry_count") * 360, F.col("retry_count") * 7.5, F.lit("h264"), F.lit(None).cast("string"), F.col("event_id") * 1048576).alias("summary")), f"""WITH {JOBS}, j AS (SELECT job_key, event_id AS e, retry_count * 360 AS h, retry_count * 7.5::DOUBLE AS fps, CAST(event_id * event_id * 1000 AS DOUBLE) AS b FROM jobs)
 SELECT job_key, CASE WHEN e * 360 < 60 THEN printf('%.1fs', e * 360.0::DOUBLE) WHEN e * 360 < 3600 THEN printf('%.1fm', e * 6.0::DOUBLE) ELSE printf('%.1fh', e / 10) END AS took, CASE WHEN b < 1024 THEN printf('%.2f B', b) WHEN b < 1048576 THEN printf('%.2f KB', b / 1024 + 1e-9) WHEN b < 1073741824 THEN printf('%.2f MB', b / 1048576 + 1e-9) WHEN b < 1099511627776 THEN printf('%.2f GB', b / 1073741824 + 1e-9) ELSE printf('%.2f TB', b / 1099511627776 + 1e-9) END AS size,
 CASE h WHEN 2160 THEN '4K' WHEN 1440 THEN '1440p' WHEN 1080 THEN '1080p' WHEN 720 THEN '720p' WHEN 480 THEN '480p' WHEN 360 THEN '360p' ELSE (e % 2000) || 'x' || h END AS label,
 concat_ws(' | ', 'File: ' || job_key, CASE WHEN e > 0 THEN printf('Duration: %dm %ds', CAST(floor(floor(e / 7) / 60) AS BIGINT), CAST(floor(e / 7) % 60 AS BIGINT)) END, CASE WHEN e % 2000 > 0 AND h > 0 THEN printf('Resolution: %dx%d', e % 2000, h) END, CASE WHEN fps > 0 THEN printf('FPS: %.2f', fps) END, 'Video Codec: h264', CASE WHEN e > 0 THEN printf('Size: %.2f MB', e::DOUBLE) END) AS summary FROM j""")

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from motionframe.functions import scalar as S
 from motionframe.operators import candidates as C
 from motionframe.operators import catalog as K
@@ -32,6 +34,22 @@ def test_parsers(spark):
     assert column(spark, ["a, b,,c "], "string", S.split_keywords) == [["a", "b", "c"]]
 
 
+def test_large_sizes(spark):
+    sizes = [e * e * 1000 for e in (1_285_227, 2_563_719, 4_363_158)]
+    assert column(spark, sizes, "bigint", lambda c: S.format_size(c, "TB")) == ["1502.31 TB", "5977.80 TB", "17314.19 TB"]  # the last two are 5e-10 and less below a half
+    assert column(spark, [sizes[0], 5 << 60, None], "bigint", S.format_size) == ["1.47 PB", "5120.00 PB", None]
+
+
+def test_readable_of_large_ids(spark, tmp_path):
+    """As the query's SQL says it, on events whose sizes are over a petabyte."""
+    ids = [0, 1, 1000, 1_048_576, 1_285_227, 2_563_719, 4_363_158, 36_000_000]
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE events AS SELECT i::BIGINT AS event_id, TIMESTAMP '2024-01-01' AS ts, 1::BIGINT AS user_id, 'view' AS event_type, 1.5::DOUBLE AS value, '' AS props FROM unnest({ids}) AS t(i)")
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    want = con.execute(oracle_sql()["readable"]).fetchall()
+    assert sorted(map(tuple, queries()["readable"](spark, str(tmp_path)).collect())) == sorted(want)
+
+
 def test_versions(spark):
     got = column(spark, ["v1.2.3", "v10.0.0", "v9.9.9", "x"], "string", lambda c: S.version_text(S.bump(S.parse_version(c), F.lit("minor"))))
     assert got[:3] == ["v1.3.0", "v10.1.0", "v9.10.0"]
