@@ -9,9 +9,11 @@ The state store is RocksDB's, which these operators need: start them within `roc
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,11 +76,15 @@ class _Timed(StatefulProcessor):
 
 #: In what order commands of one time are taken.
 RANK = {"unsilence": 0, "silence": 1, "fire": 2, "force": 2, "resolve": 3}
+ACTIONS = list(RANK)
 ALERT_OUT = "rule string, ts timestamp, state string, fingerprint string, value double, fired_at timestamp"
 
 
 class Alerts(_Timed):
-    """One rule: when it last fired, whether it is silenced and until when, and its active alerts by fingerprint."""
+    """One rule: when it last fired, whether it is silenced and until when, and its active alerts by fingerprint.
+
+    One timer stands, at or before the first time at which something is over; what it finds over by the watermark goes.
+    """
 
     def __init__(self, cooldown: float, forget: float):
         self.cooldown, self.forget = int(cooldown * 1e6), int(forget * 1e6)
@@ -89,67 +95,140 @@ class Alerts(_Timed):
         self.silent = handle.getValueState("silent", "since bigint")
         self.ends = handle.getMapState("ends", "us bigint", "n int")
         self.active = handle.getMapState("active", "fingerprint string", "us bigint, value double")
+        self.due = handle.getValueState("due", "ms bigint")
+
+    @staticmethod
+    def commands(rows: Iterator[pd.DataFrame]) -> tuple[list, list[np.ndarray]]:
+        """The fingerprints, and the columns us, action, fingerprint's number, value and seconds in the order in which commands are taken."""
+        numbers, parts = {}, []
+        for pdf in rows:
+            pdf = pdf[pdf["ts"].notna()]
+            said, names = pd.factorize(pdf["action"])
+            shown, fps = pd.factorize(pdf["fingerprint"], use_na_sentinel=False)
+            fp = np.array([numbers.setdefault(None if pd.isna(f) else f, len(numbers)) for f in fps], np.int32)[shown]
+            action = np.array([ACTIONS.index(n) for n in names], np.int8)[said]
+            parts.append((pdf["ts"].to_numpy("datetime64[us]").astype(np.int64), action, fp, pdf["value"].to_numpy(float), pdf["seconds"].to_numpy(float)))
+        us, action, fp, value, seconds = (np.concatenate(c) for c in zip(*parts))
+        fps = list(numbers)
+        places = {f: i for i, f in enumerate(sorted({f or "" for f in fps}))}
+        order = np.lexsort((np.array([places[f or ""] for f in fps], np.int32)[fp], np.array([RANK[a] for a in ACTIONS])[action], us))
+        return fps, [c[order] for c in (us, action, fp, value, seconds)]
 
     def handleInputRows(self, key, rows, timerValues):
-        events = [(us, RANK[action], action, fp, value, seconds) for us, action, fp, value, seconds in self.together(rows, ["action", "fingerprint", "value", "seconds"])]
-        events += [(k[0], 0, "end", None, None, None) for k in self.ends.keys()]
-        for us, _, action, _, _, seconds in list(events):
-            if action == "silence" and seconds == seconds and seconds is not None:  # not NaN: it ends by itself
-                end = us + int(seconds * 1e6)
-                events.append((end, 0, "end", None, None, None))
-                self.ends.updateValue((end,), (1,))
-                self.wake(end)
-        newest = max((e[0] for e in events if e[2] != "end"), default=0)
+        fps, (us, action, fp, value, seconds) = self.commands(rows)
+        if not len(us):  # rows without a time alone
+            return
+        newest = int(us[-1])
+        begun = np.flatnonzero((action == ACTIONS.index("silence")) & ~np.isnan(seconds))  # NaN: it is ended by others
+        ends = {int(e) for e in us[begun] + (seconds[begun] * 1e6).astype(np.int64)}
+        known = {k[0] for k in self.ends.keys()}
+        over = sorted(e for e in known | ends if e <= newest)
         last = self.last.get()[0] if self.last.exists() else None
-        silent, out = self.silent.exists(), []
-        for us, _, action, fp, value, _ in sorted(events, key=lambda e: (*e[:2], e[3] or "")):
-            if action == "end":
-                if us <= newest:
-                    silent = False
-                    self.ends.removeKey((us,))
-            elif action in ("silence", "unsilence"):
-                silent = action == "silence"
-            elif action == "resolve":
-                if (shown := self._still_active(fp, us, out)) is not None:
-                    self.active.removeKey((fp,))
-                    out.append((time_of(us), "resolved", fp, shown[1], time_of(shown[0])))
-            elif not silent and (action == "force" or last is None or us - last >= self.cooldown):
-                last = us
-                self._still_active(fp, us, out)
-                self.active.updateValue((fp,), (us, None if value != value else value))
-                self.wake(us + self.forget)
-                out.append((time_of(us), "firing", fp, value, time_of(us)))
+        silent, out, was, now = self.silent.exists(), [], {}, {}
+
+        def still_active(f, at):
+            """(when it fired, value) of an active alert; one whose time was over before that time expires."""
+            if f not in now:
+                now[f] = was[f] = self.active.getValue((f,)) if self.active.containsKey((f,)) else None
+            shown = now[f]
+            if shown is None or shown[0] + self.forget > at:
+                return shown
+            now[f] = None
+            out.append((time_of(shown[0] + self.forget), "expired", f, shown[1], time_of(shown[0])))
+            return None
+
+        def fire(i):
+            nonlocal last
+            last, f, v = int(us[i]), fps[fp[i]], float(value[i])
+            still_active(f, last)
+            now[f] = (last, None if v != v else v)
+            out.append((time_of(last), "firing", f, v, time_of(last)))
+
+        # Alerts that are not forced are most of the rows: from what else happens to the next, only those that fire are looked at.
+        plain = np.flatnonzero(action == ACTIONS.index("fire"))
+        others = np.flatnonzero(action != ACTIONS.index("fire"))
+        when, place = us[plain], memoryview(plain)
+        times = memoryview(when)
+        steps = [(int(i), None, int(q)) for i, q in zip(others, np.searchsorted(plain, others))]
+        at = np.searchsorted(us, over)  # an end comes before all else of its time
+        steps += [(int(i), e, int(q)) for i, e, q in zip(at, over, np.searchsorted(plain, at))]
+        steps.sort(key=lambda s: (s[0], s[1] is None))
+        p = 0
+        for i, end, q in [*steps, (len(us), None, len(plain))]:
+            while not silent and p < q:
+                if last is not None and times[p] - last < self.cooldown:
+                    p = bisect_left(times, last + self.cooldown, p, q)
+                    if p == q:
+                        break
+                fire(place[p])
+                p += 1
+            p = q
+            if end is not None:
+                silent = False
+            elif i < len(us):
+                said = ACTIONS[action[i]]
+                if said in ("silence", "unsilence"):
+                    silent = said == "silence"
+                elif said == "resolve":
+                    f = fps[fp[i]]
+                    if (shown := still_active(f, int(us[i]))) is not None:
+                        now[f] = None
+                        out.append((time_of(int(us[i])), "resolved", f, shown[1], time_of(shown[0])))
+                elif not silent:
+                    fire(i)
+
+        for e in known:
+            if e <= newest:
+                self.ends.removeKey((e,))
+        later = {e for e in ends if e > newest}
+        for e in later - known:
+            self.ends.updateValue((e,), (1,))
+        for f, shown in now.items():
+            if shown is not None and shown != was[f]:
+                self.active.updateValue((f,), shown)
+            elif shown is None and was[f] is not None:
+                self.active.removeKey((f,))
         if last is not None:
             self.last.update((last,))
-            self.wake(last + self.cooldown)
         if silent:
             self.silent.update((newest,))
         elif self.silent.exists():
             self.silent.clear()
+        self._wake_by([*later, *([last + self.cooldown] if last is not None else []), *(s[0] + self.forget for s in now.values() if s is not None)])
         yield frame([(key[0], *x) for x in out], ALERT_OUT)
 
-    def _still_active(self, fp, us, out):
-        """(when it fired, value) of an active alert; one whose time was over before us expires."""
-        shown = self.active.getValue((fp,)) if self.active.containsKey((fp,)) else None
-        if shown is None or shown[0] + self.forget > us:
-            return shown
-        self.active.removeKey((fp,))
-        out.append((time_of(shown[0] + self.forget), "expired", fp, shown[1], time_of(shown[0])))
-        return None
+    def _wake_by(self, times: list[int]) -> None:
+        """The timer stands no later than the first of these times."""
+        if not times:
+            return
+        ms, before = -(-min(times) // 1000), self.due.get()[0] if self.due.exists() else None
+        if before is None or ms < before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.due.update((self.wake(min(times)),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        self.due.clear()
+        ahead, out = [], []
         for (end,) in list(self.ends.keys()):
             if end <= now:
                 self.ends.removeKey((end,))
                 self.silent.clear()
-        if self.last.exists() and self.last.get()[0] + self.cooldown <= now:
-            self.last.clear()  # nothing to wait for any more
-        out = []
+            else:
+                ahead.append(end)
+        if self.last.exists():
+            if (ready := self.last.get()[0] + self.cooldown) <= now:
+                self.last.clear()  # nothing to wait for any more
+            else:
+                ahead.append(ready)
         for (fp,), (fired, value) in list(self.active.iterator()):
             if fired + self.forget <= now:
                 self.active.removeKey((fp,))
                 out.append((time_of(fired + self.forget), "expired", fp, value, time_of(fired)))
+            else:
+                ahead.append(fired + self.forget)
+        self._wake_by(ahead)
         yield frame([(key[0], *x) for x in out], ALERT_OUT)
 
 

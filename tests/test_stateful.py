@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import tempfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,60 @@ def test_alerts_over_batches(spark):
     assert held <= 8  # nothing but silences that nothing ends
 
 
+class Held:
+    """State and timers of one key, in memory, with a count of what is asked of them."""
+
+    def __init__(self):
+        self.timers, self.calls, self.states = set(), 0, {}
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+        self.calls += 1
+
+    def deleteTimer(self, ms):
+        self.timers.discard(ms)
+        self.calls += 1
+
+    def getValueState(self, name, schema):
+        return self.getMapState(name, schema, schema)
+
+    def getMapState(self, name, key, value):
+        held, said = self.states.setdefault(name, {}), self
+
+        class State:
+            def __getattribute__(_, call):
+                said.calls += 1
+                one = lambda: list(held.items())
+                return {"exists": lambda: bool(held), "get": lambda: held[()], "update": lambda v: held.update({(): v}), "clear": held.clear, "keys": lambda: iter(list(held)), "iterator": lambda: iter(one()),
+                        "containsKey": lambda k: k in held, "getValue": held.get, "updateValue": lambda k, v: held.update({k: v}), "removeKey": lambda k: held.pop(k, None)}[call]
+
+        return State()
+
+
+class Now:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+def test_alerts_ask_little_of_their_state():
+    """What a batch of many alerts and silences costs does not grow with the timers that stand and the silences that ended."""
+
+    def cost(n):
+        rows = [(at(100 * i), a, f"f{i % 7}", 1.0, s) for i in range(n) for a, s in (("silence", 30.0), ("fire", None)) if a == "fire" or i % 3 == 0]
+        pdf = pd.DataFrame(rows, columns=["ts", "action", "fingerprint", "value", "seconds"])
+        pdf["ts"] = pdf["ts"].astype("datetime64[ns]")
+        held, alerts = Held(), S.Alerts(60.0, 1e9)
+        alerts.init(held)
+        out = pd.concat(alerts.handleInputRows(("r",), iter([pdf[:100], pdf[100:]]), None))
+        assert len(out) == n - len(range(0, n, 3)) and len(held.timers) == 1
+        held.timers.clear()
+        pd.concat(alerts.handleExpiredTimer(("r",), Now(int(at(100 * n + 1000).timestamp() * 1000)), Now(0)))
+        assert not held.states["ends"] and not held.states["last"] and len(held.states["active"]) == 7 and len(held.timers) == 1
+        return held.calls
+
+    assert cost(3000) == cost(300) < 100
+
+
 def test_alert_life_cycle(spark):
     say = lambda s, action, fp="f", seconds=None: ("r", at(s), action, fp, 1.0, seconds)
     rows = [say(0, "fire"), say(10, "fire"), say(20, "force", "g"), say(30, "resolve"), say(31, "resolve"), say(40, "silence", None, 100.0), say(130, "force"), say(140, "fire", "h"), say(150, "resolve", "g")]
