@@ -12,6 +12,8 @@ from motionframe.operators.candidates import url_column
 # --- CSV (S1-S6): quotes within quoted fields are doubled, fields may have line breaks
 
 CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+#: Files in one document of a manifest: about 20 MB.
+MANIFEST_FILES = 100_000
 WRITTEN = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
@@ -125,9 +127,18 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MANIFEST).json(path).select("version", "created_at", F.inline("files"))
 
 
-def write_manifests(entries: DataFrame, path: str) -> None:
+def write_manifests(entries: DataFrame, path: str, most: int = MANIFEST_FILES) -> None:
+    """A document for each version, on one line; a version of more than `most` files has several, each with the version's created_at.
+
+    Files are dealt to them by the hash of what is said of them, so one document holds all that are alike in everything.
+    """
     item = F.struct("key", "sha256", "size_bytes", "file_type", "storage_class", "compression")
-    entries.groupBy("version").agg(F.max("created_at").alias("created_at"), F.array_sort(F.collect_list(item)).alias("files")).write.mode("overwrite").options(**JSON).json(path)
+    n = F.count(F.lit(1))
+    large = entries.groupBy(F.col("version").alias("__version")).agg(F.ceil(n / most).alias("__parts"), F.max("created_at").alias("__created")).where("__parts > 1")  # a row for `most` rows at least
+    dealt = entries.join(F.broadcast(large), F.col("version").eqNullSafe(F.col("__version")), "left")
+    part = F.coalesce(F.pmod(F.xxhash64(item), F.col("__parts")), F.lit(0)).alias("__part")
+    created = F.max(F.coalesce("__created", "created_at")).alias("created_at")
+    dealt.groupBy("version", part).agg(created, F.array_sort(F.collect_list(item)).alias("files")).drop("__part").write.mode("overwrite").options(**JSON).json(path)
 
 
 def write_contexts(df: DataFrame, path: str) -> None:

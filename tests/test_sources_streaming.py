@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from motionframe import schemas
 from motionframe.sources import arrays as A
 from motionframe.sources import files as S
 
@@ -124,3 +125,16 @@ def test_csv_quoting(spark):
 def test_episode_scores(spark):
     f = spark.createDataFrame([("e", t, c) for t, c in enumerate((0.5, 0.75, None))], "episode_id string, t int, confidence double")
     assert tuple(S.episode_scores(f).first()) == ("e", 0, 3, 3, 0.625, 0.625, 0.0)
+
+
+def test_large_manifests_have_several_documents(spark, tmp_path):
+    rows = [(v, T0 + dt.timedelta(seconds=i), f"k{i}", f"s{i % 5}", i, "other", None, None) for v, n in (("a", 40), ("b", 3), (None, 9)) for i in range(n)]
+    entries = spark.createDataFrame(rows, "version string, created_at timestamp, key string, sha256 string, size_bytes long, file_type string, storage_class string, compression string")
+    path = str(tmp_path / "manifests")
+    S.write_manifests(entries, path, 4)
+    documents = spark.read.schema(schemas.MANIFEST).json(path).collect()
+    assert sum(d.version == "b" for d in documents) == 1
+    assert sum(d.version == "a" for d in documents) > 4 and max(len(d.files) for d in documents) <= 12
+    ends = {"a": 39, "b": 2, None: 8}
+    want = [(v, T0 + dt.timedelta(seconds=ends[v]), *rest) for v, _, *rest in rows]
+    assert sorted(map(tuple, S.read_manifests(spark, path).collect()), key=repr) == sorted(want, key=repr)
