@@ -31,9 +31,19 @@ def largest_in_frame(objects: DataFrame) -> DataFrame:
     return objects.groupBy("video_id", "frame_idx").agg(best.alias("best")).select("video_id", "frame_idx", F.col("best.o").alias("o"))
 
 
-def numbered(objects: DataFrame) -> DataFrame:
+#: Rows that one task sorts.
+TASK_ROWS = 500_000
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
+
+
+def numbered(objects: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rows (video_id, frame_idx, o) with the ordinal that each object has among those of its class in its frame, from the
-    left: other classes that come and go do not change it."""
+    left: other classes that come and go do not change it. Frames are dealt to that many tasks, or as Spark deals them."""
+    if tasks is not None:
+        objects = objects.repartition(tasks, "video_id", "frame_idx")
     box = F.col("o.bbox")
     w = Window.partitionBy("video_id", "frame_idx", "o.class_name").orderBy(box[0], box[1], box[2], box[3], "o.confidence")
     return objects.select("video_id", "frame_idx", (F.row_number().over(w) - 1).alias("ordinal"), "o")
@@ -64,12 +74,15 @@ def paired(hands: DataFrame, objects: DataFrame, width: int = 1920, height: int
     return rows.select("video_id", "frame_idx", "hand", F.concat_ws("#", "o.class_name", "ordinal").alias("object"), "distance", "distance_3d", F.col("m.grasp").alias("grasp"), F.col("m.open").alias("open"), "i.kind", "i.confidence")
 
 
-def sessions(rows: DataFrame, fps: float, least_seconds: float = 0.1) -> DataFrame:
+def sessions(rows: DataFrame, fps: float, least_seconds: float = 0.1, tasks: int | None = None) -> DataFrame:
     """A session opens with any interaction and closes with an explicit none; a missing detection does not close it.
 
     It ends a frame before the none, and in time with the none. Its kind is the strongest, its confidence the highest.
+    Objects are dealt to that many tasks, or hands and objects as Spark deals them.
     """
     key = ["video_id", "hand", "object"]
+    if tasks is not None:
+        rows = rows.repartition(tasks, "video_id", "object")  # a constant hand would not do as a key
     w = Window.partitionBy(*key).orderBy("frame_idx")
     none = F.col("kind") == "none"
     numbered = rows.withColumn("session", F.coalesce(F.sum(none.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

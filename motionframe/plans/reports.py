@@ -131,15 +131,25 @@ d AS (SELECT CAST(vec_id // 50 AS VARCHAR) AS video_id, vec_id % 50 AS frame_idx
 i AS (SELECT *, CASE WHEN distance < 20 AND grasp > 0.5 THEN 'grasp' WHEN distance < 30 THEN 'touch' WHEN distance < 100 THEN 'approach' ELSE 'none' END AS kind, CASE WHEN distance < 20 AND grasp > 0.5 THEN grasp WHEN distance < 30 THEN 1 - distance / 30 WHEN distance < 100 THEN 1 - distance / 100 ELSE 0 END AS confidence FROM d)"""
 
 
-def paired_frames(s: SparkSession, d: str) -> DataFrame:
-    return I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d)))
+def pairing_tasks(s: SparkSession, d: str) -> int:
+    """A pair for each detection: adaptive execution goes by compressed bytes, and these rows are many times as large in a task's memory."""
+    return I.tasks_for(hand_detections(s, d).count())
+
+
+def paired_frames(s: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
+    return I.paired(tracked_hands(s, d), I.numbered(hand_detections(s, d), tasks or pairing_tasks(s, d)))
+
+
+def interaction_events(s: SparkSession, d: str) -> DataFrame:
+    tasks = pairing_tasks(s, d)
+    return I.sessions(paired_frames(s, d, tasks), 30.0, 0.0, tasks).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence"))
 
 
 R.add("interactions", lambda s, d: paired_frames(s, d).groupBy("video_id", "kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("confidence"), 3).alias("confidence"), F.round(F.sum("distance_3d"), 2).alias("distance_3d")), f"WITH {_PAIRED} SELECT video_id, kind, count(*) AS n, round(sum(confidence), 3) AS confidence, round(sum(distance_3d), 2) AS distance_3d FROM i GROUP BY 1, 2")
 INTERACTION_EVENTS = f"""WITH {_PAIRED}, n AS (SELECT *, coalesce(sum((kind = 'none')::INT) OVER (PARTITION BY video_id, object ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS session, CASE kind WHEN 'grasp' THEN 3 WHEN 'touch' THEN 2 WHEN 'approach' THEN 1 ELSE 0 END AS k FROM i),
 e AS (SELECT video_id, object, min(CASE WHEN k > 0 THEN frame_idx END) AS start, max(CASE WHEN k > 0 THEN frame_idx END) AS last, max(CASE WHEN k = 0 THEN frame_idx END) AS closer, max(k) AS k, max(CASE WHEN k > 0 THEN confidence END) AS c FROM n GROUP BY video_id, object, session)
 SELECT video_id, 'left' AS hand, object, start, coalesce(closer - 1, last) AS "end", CASE k WHEN 3 THEN 'grasp' WHEN 2 THEN 'touch' ELSE 'approach' END AS kind, round(c, 6) AS peak_confidence FROM e WHERE start IS NOT NULL"""
-R.add("interaction_events", lambda s, d: I.sessions(paired_frames(s, d), 30.0, 0.0).select("video_id", "hand", "object", "start", "end", "kind", r("peak_confidence")), INTERACTION_EVENTS)
+R.add("interaction_events", interaction_events, INTERACTION_EVENTS)
 
 
 # --- alignment with the body

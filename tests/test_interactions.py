@@ -4,8 +4,10 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from motionframe import plans
+from motionframe.operators import interactions as I
 
 DIR = "/root/testdata/sf0.001"
 QUERIES = plans.queries()
@@ -77,3 +79,14 @@ def test_every_hand_is_paired(spark, few_orders, small):
     theirs = events(want)
     assert [x[:5] for x in mine] == [x[:5] for x in theirs] and len(mine) > 10
     assert all(abs(a[5] - b[5]) < 2e-4 for a, b in zip(mine, theirs))
+
+
+def test_sessions_in_many_tasks(spark):
+    """Objects are dealt to as many tasks as are asked for, also if the hand is a constant; adaptive execution does not join them."""
+    rows = spark.range(2000).select(F.concat(F.lit("v"), F.col("id") % 2).alias("video_id"), (F.col("id") % 50).alias("frame_idx"), F.lit("left").alias("hand"), F.concat(F.lit("cup#"), F.floor(F.col("id") / 50)).alias("object"), F.when(F.col("id") % 3 == 0, "touch").otherwise("none").alias("kind"), F.lit(0.5).alias("confidence"))
+    dealt = I.sessions(rows, 30.0, 0.0, 7)
+    assert dealt.rdd.getNumPartitions() == 7
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, I.sessions(rows, 30.0, 0.0).collect()))
+    objects = rows.select("video_id", "frame_idx", F.struct(F.lit("cup").alias("class_name"), F.array(*[F.col("frame_idx").cast("int")] * 4).alias("bbox"), F.lit(0.5).alias("confidence")).alias("o"))
+    assert I.numbered(objects, 7).rdd.getNumPartitions() == 7
+    assert I.tasks_for(0) == 1 and I.tasks_for(36_000_000) == 72
