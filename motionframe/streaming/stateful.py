@@ -298,47 +298,87 @@ SESSION_OUT = "video_id string, hand string, object string, start bigint, end bi
 STRENGTH = {"approach": 1, "touch": 2, "grasp": 3}
 
 
+#: Groups that the hands' objects of a video are dealt to: a call of Python and a state for each.
+GROUPS = 64
+
+
 class Sessions(_Timed):
+    """The objects of one group: their open sessions, and one timer, at the first time at which one of these is over."""
+
     def __init__(self, fps: float, least: float, idle: float):
         self.fps, self.least, self.idle = fps, least, int(idle * 1e6)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.state = handle.getValueState("session", "start bigint, last bigint, kind int, peak double, seen bigint, timer bigint")
+        self.state = handle.getListState("sessions", "object string, start bigint, last bigint, kind int, peak double, seen bigint")
+        self.due = handle.getValueState("due", "ms bigint")
 
-    def _closed(self, key, start, end, frames, kind, peak, out):
+    def _closed(self, key, name, start, end, frames, kind, peak, out):
         if frames / self.fps >= self.least:
-            out.append((*key, start, end, next(k for k, v in STRENGTH.items() if v == kind), peak))
+            out.append((*key[:2], name, start, end, next(k for k, v in STRENGTH.items() if v == kind), peak))
+
+    def _keep(self, open_: dict) -> None:
+        before = self.due.get()[0] if self.due.exists() else None
+        ms = -(-(min(s[4] for s in open_.values()) + self.idle) // 1000) if open_ else None
+        if before is not None and before != ms:
+            self.handle.deleteTimer(before)
+        if not open_:
+            self.state.clear()
+            self.due.clear()
+            return
+        self.state.put([(name, *s) for name, s in open_.items()])
+        if before != ms:
+            self.handle.registerTimer(ms)
+            self.due.update((ms,))
+
+    def _held(self) -> dict:
+        return {name: tuple(s) for name, *s in self.state.get()} if self.state.exists() else {}
 
     def handleInputRows(self, key, rows, timerValues):
-        start, last, kind, peak, seen, timer = self.state.get() if self.state.exists() else (None, None, 0, 0.0, None, None)
-        out = []
-        if timer is not None:
-            self.handle.deleteTimer(timer)
-        pdf = pd.concat(list(rows)).sort_values(["frame_idx", "ts"], kind="stable")
-        for f, t, k, c in zip(pdf["frame_idx"], pdf["ts"].map(micros_of), pdf["kind"], pdf["confidence"]):
+        held, out = self._held(), []
+        pdf = pd.concat(list(rows))
+        said, kinds = pd.factorize(pdf["kind"])
+        kind_of = np.array([0 if k == "none" else STRENGTH[k] for k in kinds], np.int8)[said]
+        object_of, names = pd.factorize(pdf["object"], use_na_sentinel=False)
+        names = [None if pd.isna(n) else n for n in names]
+        frame_of, peak_of = pdf["frame_idx"].to_numpy(np.int64), pdf["confidence"].to_numpy(float)
+        us = pdf["ts"].to_numpy("datetime64[us]").astype(np.int64)
+        order = np.lexsort((us, frame_of, object_of))
+        # A none does nothing where nothing is open, and most are such.
+        live, first = kind_of[order] > 0, np.diff(object_of[order], prepend=-1) != 0
+        before = np.where(first, np.array([n in held for n in names])[object_of[order]], np.roll(live, 1))
+        order = order[live | before]
+        now, start, last, kind, peak, seen = None, None, None, 0, 0.0, None
+        for o, f, t, k, c in zip(*(x[order].tolist() for x in (object_of, frame_of, us, kind_of, peak_of))):
+            if o != now:
+                if start is not None:
+                    held[names[now]] = (start, last, kind, peak, seen)
+                now = o
+                start, last, kind, peak, seen = held.pop(names[o], (None, None, 0, 0.0, None))
             if start is not None and t >= seen + self.idle:  # closed by then, wherever the batches were cut
-                self._closed(key, start, last, last - start, kind, peak, out)
+                self._closed(key, names[o], start, last, last - start, kind, peak, out)
                 start, last, kind, peak, seen = None, None, 0, 0.0, None
-            if k == "none":
+            if k == 0:
                 if start is not None:
-                    self._closed(key, start, int(f) - 1, int(f) - start, kind, peak, out)
+                    self._closed(key, names[o], start, f - 1, f - start, kind, peak, out)
                 start, last, kind, peak, seen = None, None, 0, 0.0, None
             else:
-                start, last, seen = (int(f) if start is None else start), int(f), max(t, seen or t)
-                kind, peak = max(kind, STRENGTH[k]), max(peak, float(c))
-        if start is None:
-            self.state.clear()
-        else:
-            self.state.update((start, last, kind, peak, seen, self.wake(seen + self.idle)))
+                start, last, seen = (f if start is None else start), f, t if seen is None else max(t, seen)
+                kind, peak = max(kind, k), max(peak, c)
+        if start is not None:
+            held[names[now]] = (start, last, kind, peak, seen)
+        self._keep(held)
         yield frame(out, SESSION_OUT)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = []
-        if self.state.exists():
-            start, last, kind, peak, *_ = self.state.get()
-            self._closed(key, start, last, last - start, kind, peak, out)
-            self.state.clear()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        held, out = self._held(), []
+        for name, (start, last, kind, peak, seen) in list(held.items()):
+            if seen + self.idle <= now:
+                self._closed(key, name, start, last, last - start, kind, peak, out)
+                del held[name]
+        self.due.clear()
+        self._keep(held)
         yield frame(out, SESSION_OUT)
 
 
@@ -346,7 +386,8 @@ def interaction_sessions(rows: DataFrame, fps: float, least_seconds: float = 0.1
     """Sessions of (hand, object) on live frames (video_id, hand, object, frame_idx, ts, kind, confidence).
 
     A session is given out when a frame of kind none closes it, or when nothing of it came for `idle` seconds; nothing is
-    kept of a hand and object that do not interact.
+    kept of a hand and object that do not interact. The objects of a hand are dealt to groups by hash, and a group's are taken together.
     """
-    rows = rows.select("video_id", "hand", "object", "frame_idx", "ts", "kind", "confidence").withWatermark("ts", late)
-    return rows.groupBy("video_id", "hand", "object").transformWithStateInPandas(Sessions(fps, least_seconds, idle), SESSION_OUT, "append", "EventTime")
+    group = F.pmod(F.xxhash64("object"), F.lit(GROUPS)).alias("group")
+    rows = rows.select("video_id", "hand", group, "object", "frame_idx", "ts", "kind", "confidence").withWatermark("ts", late)
+    return rows.groupBy("video_id", "hand", "group").transformWithStateInPandas(Sessions(fps, least_seconds, idle), SESSION_OUT, "append", "EventTime")

@@ -100,6 +100,8 @@ class Held:
     def getValueState(self, name, schema):
         return self.getMapState(name, schema, schema)
 
+    getListState = getValueState
+
     def getMapState(self, name, key, value):
         held, said = self.states.setdefault(name, {}), self
 
@@ -107,6 +109,8 @@ class Held:
             def __getattribute__(_, call):
                 said.calls += 1
                 one = lambda: list(held.items())
+                if call == "put":
+                    return lambda rows: held.update({(): rows})
                 return {"exists": lambda: bool(held), "get": lambda: held[()], "update": lambda v: held.update({(): v}), "clear": held.clear, "keys": lambda: iter(list(held)), "iterator": lambda: iter(one()),
                         "containsKey": lambda k: k in held, "getValue": held.get, "updateValue": lambda k, v: held.update({k: v}), "removeKey": lambda k: held.pop(k, None)}[call]
 
@@ -176,6 +180,25 @@ def test_sessions_close(spark):
     assert sorted((r.object, r.start) for r in got) == [("cup", 0)]
 
 
+def test_sessions_ask_little_of_their_state():
+    """A group of objects takes one read and one write, however many there are, and one timer."""
+
+    def cost(n):
+        rows = [(f"cup#{i}", f, at(f / 30), "touch" if f < 3 or i % 2 else "none", 0.5) for i in range(n) for f in range(5)]
+        pdf = pd.DataFrame(rows, columns=["object", "frame_idx", "ts", "kind", "confidence"])
+        pdf["ts"] = pdf["ts"].astype("datetime64[ns]")
+        held, sessions = Held(), S.Sessions(30.0, 0.0, 60.0)
+        sessions.init(held)
+        out = pd.concat(sessions.handleInputRows(("v", "left", 0), iter([pdf[::2], pdf[1::2]]), None))
+        assert sorted(out["object"]) == sorted(f"cup#{i}" for i in range(0, n, 2)) and set(out["end"]) == {2} and len(held.timers) == 1
+        held.timers.clear()
+        late = pd.concat(sessions.handleExpiredTimer(("v", "left", 0), Now(int(at(100).timestamp() * 1000)), Now(0)))
+        assert len(late) == n // 2 and set(late["end"]) == {4} and not held.states["sessions"] and not held.timers
+        return held.calls
+
+    assert cost(2000) == cost(20) < 40
+
+
 def target(spark):
     d = tempfile.mkdtemp()
     return d, lambda: spark.read.parquet(f"{d}/log").orderBy("commit").collect()
