@@ -73,8 +73,11 @@ def leaves(records: DataFrame, size: int = ARCHIVE_RECORDS) -> DataFrame:
 
 
 def copied(leaves_: DataFrame, copy: DataFrame) -> DataFrame:
-    """Leaves of a copy: the digests that its bytes have at the offset ranges that leaves_ gives. copy: (archive, start, bytes)."""
-    found = copy.select("archive", "start", F.sha2("bytes", 256).alias("__digest"))
+    """Leaves of a copy: the digests that its bytes have at the offset ranges that leaves_ gives. copy: (archive, start, bytes).
+
+    A copy may have the digests of its bytes in place of them, (archive, start, digest), so that no bytes are shuffled.
+    """
+    found = copy.select("archive", "start", (F.col("digest") if "digest" in copy.columns else F.sha2("bytes", 256)).alias("__digest"))
     at = leaves_.select("archive", "ordinal", "record_id", "start", "end")
     return at.join(found, ["archive", "start"]).withColumn("digest", F.col("__digest")).drop("__digest")
 
