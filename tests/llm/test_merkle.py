@@ -119,3 +119,11 @@ def test_query_with_null_and_repeated_rows(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7).write.parquet(f"{tmp_path}/pages.parquet")
     want = audited(rows)
     assert ran(spark, str(tmp_path)) == want and sum(x[2] == HIT[0] and x[5] == "changed" for x in want) >= 40 and any(x[5] == "missing" for x in want)
+
+
+def test_copies_by_their_digests(spark):
+    """A copy's digests stand for its bytes, so that these need not be shuffled."""
+    leaves = spark.createDataFrame([(0, 0, 7, 0, 3), (0, 1, 8, 3, 5)], "archive long, ordinal long, record_id long, start long, end long")
+    copy = spark.createDataFrame([(0, 0, bytearray(b"abc")), (0, 3, bytearray(b"de"))], "archive long, start long, bytes binary")
+    said = copy.selectExpr("archive", "start", "sha2(bytes, 256) AS digest")
+    assert sorted(map(tuple, M.copied(leaves, said).collect())) == sorted(map(tuple, M.copied(leaves, copy).collect()))
