@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motionframe.llm.common import SPANS, map_rows, positional, restored
+from motionframe.llm.skew import join_sorted
 from motionframe.session import written
 
 WINDOW = 13
@@ -252,8 +253,8 @@ def narrowed(rows: DataFrame, items: DataFrame, text: str, window: int) -> tuple
     looked = written(map_rows(rows, columns, [text], [("n_words", pa.int64()), ("__hits", pa.list_(pa.int64()))], look, setup), "looked")
     held.destroy()
     seen = looked.select(F.explode("__hits").alias("hash")).distinct()
-    occur = keys.join(seen, "hash", "left_semi").select("n").distinct()
-    return looked, numbered.join(occur, "n", "left_semi").select("item", "text")
+    occur = join_sorted(keys, seen, "hash", "left_semi").select("n").distinct()
+    return looked, join_sorted(numbered, occur, "n", "left_semi").select("item", "text")
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, keep: list[str] = ["doc_id"], block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -23,6 +23,7 @@ The threshold is a parameter in percent. At 85 a pair misses the bands with prob
 
 Rows are written once, with a number each. Rows of one text join the text's component by the text's key; texts that at
 least one in 10,000 rows has are at most 10,000, and are joined by broadcast, so no key with very many rows is shuffled.
+No other table is broadcast: band keys are 24 rows a text, which Spark would size as one.
 
 Nulls: a null text has no words. Null ids take part; a component's id is its least id that is not null, or null. Rows
 that share an id share its fate in `near_duplicate_rows`; `kept` is true where the id is the component's. `near_dedup`
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from motionframe.llm.common import map_rows, positional, restored
 from motionframe.llm.components import components
-from motionframe.llm.skew import join_by_share
+from motionframe.llm.skew import join_by_share, join_sorted
 from motionframe.session import written
 
 PERCENT = 85
@@ -126,7 +127,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             out.append(_linked(held[x], held[y], percent))
         return (out,)
 
-    both = pairs.join(texts.select(F.col("n").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("n").alias("v"), F.col("text").alias("b")), "v")
+    both = join_sorted(pairs, texts.select(F.col("n").alias("u"), F.col("text").alias("a")), "u")
+    both = join_sorted(both, texts.select(F.col("n").alias("v"), F.col("text").alias("b")), "v")
     return map_rows(both, ["u", "v"], ["a", "b"], [("linked", pa.bool_())], confirm).where("linked").select("u", "v")
 
 
@@ -151,7 +153,7 @@ def alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         return ([100 * min(m, n) >= percent * max(m, n) and int((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).sum()) >= agree for x, y, m, n in both],)
 
     side = lambda k: sketches.select(F.col("n").alias(k), F.col("sketch").alias(f"sketch_{k}"), F.col("n_shingles").alias(f"size_{k}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
+    both = join_sorted(join_sorted(pairs, side("u"), "u"), side("v"), "v")
     return map_rows(both, ["u", "v"], ["sketch_u", "sketch_v", "size_u", "size_v"], [("alike", pa.bool_())], compare).where("alike").select("u", "v")
 
 
@@ -228,21 +230,21 @@ def sketch_blocks(size: Column) -> Column:
 
 def _in_blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """rows once for each group of two blocks of its bucket that it is in. sizes: (key, blocks)."""
-    rows = rows.join(sizes, "key").withColumn("side", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = join_sorted(rows, sizes, "key").withColumn("side", F.pmod(F.xxhash64("n", "key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.struct("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"))
     return rows.withColumn("same", F.col("side") == F.col("other")).withColumn("group", group).drop("other", "blocks")
 
 
 def rest_links(posted: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links of bucket mates in different components. posted: (band, key, n)."""
-    rows = posted.join(labels, "n", "left").withColumn("component", F.coalesce("component", "n"))
+    rows = join_sorted(posted, labels, "n", "left").withColumn("component", F.coalesce("component", "n"))
     blocks = lambda share: F.ceil(share).cast("int").alias("blocks")
     open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo != hi").select("key", blocks(sketch_blocks(F.col("size"))))
-    rows = written(rows.join(open_.select("key"), "key").join(classes.select("n", "n_shingles", "sketch", "bands"), "n"), "open")
+    rows = written(join_sorted(join_sorted(rows, open_.select("key"), "key"), classes.select("n", "n_shingles", "sketch", "bands"), "n"), "open")
     some = _in_blocks(rows.select("key", "n", "component", "n_shingles", "sketch"), open_).groupBy("group").applyInArrow(_with_rivals(percent), "key bigint, n bigint").distinct()
-    near = written(rows.join(some, ["key", "n"]).join(texts.select("n", F.octet_length("text").alias("bytes")), "n"), "rivals")
+    near = written(join_sorted(join_sorted(rows, some, ["key", "n"]), texts.select("n", F.octet_length("text").alias("bytes")), "n"), "rivals")
     sizes = near.groupBy("key").agg(blocks(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)))
-    return _in_blocks(near.join(texts, "n"), sizes).groupBy("group").applyInArrow(_joining(percent), "u bigint, v bigint").distinct()
+    return _in_blocks(join_sorted(near, texts, "n"), sizes).groupBy("group").applyInArrow(_joining(percent), "u bigint, v bigint").distinct()
 
 
 def signed_rows(docs: DataFrame, text_col: str) -> DataFrame:
@@ -262,16 +264,16 @@ def near_classes(signed: DataFrame, id_col: str, text_col: str, percent: int) ->
     classes = written(classes.withColumn("n", F.monotonically_increasing_id()), "classes")  # n: a short name for a text
     keys = classes.select("n", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("v")).where("size > 1").select("key", "v")
-    posted = written(keys.join(shared, "key"), "posted")  # buckets of two and more
+    posted = written(join_sorted(keys, shared, "key"), "posted")  # buckets of two and more
     stars = written(posted.where(F.col("n") != F.col("v")).select(F.col("n").alias("u"), "v").distinct(), "stars")
-    mates = posted.select("n").distinct().join(classes.select("n", F.col("best.row").alias("__row")), "n")
-    texts = written(signed.select("__row", F.col(text_col).alias("text")).join(mates, "__row").select("n", "text"), "texts")
+    mates = join_sorted(posted.select("n").distinct(), classes.select("n", F.col("best.row").alias("__row")), "n")
+    texts = written(join_sorted(signed.select("__row", F.col(text_col).alias("text")), mates, "__row").select("n", "text"), "texts")
     links = written(confirmed(alike(stars, classes, percent), texts, percent), "links")
     labels = components(links).withColumnRenamed("node", "n")
     rest = written(rest_links(posted.select("band", "key", "n"), classes, labels, texts, percent), "rest")
     if not rest.isEmpty():
         labels = components(links.union(rest)).withColumnRenamed("node", "n")
-    return classes.join(labels, "n", "left").select("cid", "copies", "best", "least_id", F.coalesce("component", "n").alias("component"))
+    return join_sorted(classes, labels, "n", "left").select("cid", "copies", "best", "least_id", F.coalesce("component", "n").alias("component"))
 
 
 def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -292,5 +294,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
     signed = signed_rows(rows, text)
     stays = near_classes(signed, id_, text, percent).groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__row"))
-    out = signed.where("__size > 0").join(stays, "__row", "left_semi").unionByName(signed.where("__size = 0"))
+    out = join_sorted(signed.where("__size > 0"), stays, "__row", "left_semi").unionByName(signed.where("__size = 0"))
     return restored(out, names, docs.columns)

@@ -161,3 +161,12 @@ def test_query(spark):
     for r in rows:
         n, h, ids = brute(texts[r.doc_id], items)
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, h, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), h > 0 and 20 * h >= n)
+
+
+def test_narrowing_broadcasts_no_hashes(spark):
+    """Hashes of texts and of items are exploded: Spark would size either side of their join as one hash a row."""
+    docs = spark.createDataFrame([("a b c d e f g h i j k l m n o",), (None,)], "text string")
+    items = D.distinct_items(spark.createDataFrame([("x", "b c d e f g h i j k l m n"), ("y", "p q r")], "item_id string, text string"))
+    _, left = D.narrowed(docs, items, "text", 13)
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    assert [r["item"] for r in left.collect()] == ["x"]

@@ -4,10 +4,12 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from motionframe.llm import components as C
 from motionframe.llm import minhash as M
 from motionframe.llm import skew
 from motionframe.llm.components import components
 from motionframe.llm.queries import queries
+from motionframe.session import written
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -164,3 +166,26 @@ def test_join_by_share(spark):
         out = skew.join_by_share(rows, facts, "k", 3007, "copies", how).select("k", "i", "v").collect()
         want = [("hot", i, "h") for i in range(3000)] + [("few", i, "f") for i in range(5)] + more
         assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
+    """Spark puts these tables, and the band keys of a far larger input, below its threshold; no join is left to that."""
+    plans = {}
+
+    def spy(df, name):
+        plans.setdefault(name, []).append(plan_of(df))
+        return written(df, name)
+
+    monkeypatch.setattr(M, "written", spy)
+    monkeypatch.setattr(C, "written", spy)
+    d = spark.createDataFrame(make(), "doc_id long, text string")
+    empty = type(d).isEmpty
+    monkeypatch.setattr(type(d), "isEmpty", lambda df: plans.setdefault("isEmpty", []).append(plan_of(df)) or empty(df))
+    deduped = plan_of(M.near_dedup(d))
+    assert {"posted", "stars", "texts", "links", "edges", "open", "rivals", "rest", "isEmpty"} <= set(plans)
+    assert not [name for name, found in plans.items() if any("Broadcast" in p for p in found)]
+    assert "Broadcast" not in deduped
