@@ -281,7 +281,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signed = signed_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
     classes = written(near_classes(signed, "id", "text", percent), "named")
     least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    found = written(classes.join(least, "component").select("cid", "copies", "component_id"), "found")
+    found = written(join_sorted(classes, least, "component").select("cid", "copies", "component_id"), "found")
     rows = signed.select("id", F.col("__cid").alias("cid"), F.col("__size").alias("n_shingles"))
     out = join_by_share(rows, found, "cid", rows.count(), "copies")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))

@@ -186,6 +186,8 @@ def test_no_table_that_grows_is_broadcast(spark, monkeypatch):
     empty = type(d).isEmpty
     monkeypatch.setattr(type(d), "isEmpty", lambda df: plans.setdefault("isEmpty", []).append(plan_of(df)) or empty(df))
     deduped = plan_of(M.near_dedup(d))
-    assert {"posted", "stars", "texts", "links", "edges", "open", "rivals", "rest", "isEmpty"} <= set(plans)
+    out = plan_of(M.near_duplicate_rows(d))
+    assert {"posted", "stars", "texts", "links", "edges", "open", "rivals", "rest", "found", "isEmpty"} <= set(plans)
     assert not [name for name, found in plans.items() if any("Broadcast" in p for p in found)]
     assert "Broadcast" not in deduped
+    assert out.count("BroadcastHashJoin") == 2  # keys of many rows: 10,000 at most
